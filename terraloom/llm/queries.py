@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terraloom.llm import decontamination, near_dedup, packing, secrets
+from terraloom.llm import decontamination, language_model, near_dedup, packing, secrets
 from terraloom.llm.common import load
 
 
@@ -26,11 +26,16 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(load(spark, sf_dir, "documents"))
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_packing": op3_packing,
     "op8_near_dedup": op8_near_dedup,
     "op9_secrets": op9_secrets,
+    "op10_language_model": op10_language_model,
 }
 
 ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL}
