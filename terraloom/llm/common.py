@@ -129,3 +129,41 @@ def hashed_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOW[data].astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _M2)
+
+
+# --- samples to learn from ----------------------------------------------------------------------------------------
+
+def texts_of(docs: DataFrame, chosen: DataFrame, most_bytes: int) -> list[tuple]:
+    """(text, value) of a chosen, bounded set of ids, which is broadcast; longer texts are left out of the sample."""
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes))
+    found = rows.join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect()
+    return [(r["text"], r["value"]) for r in found]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_training: Column, per_class: dict[int, int], most_bytes: int) -> list[tuple[str, int]]:
+    """Texts and labels: of each class at most so many training rows, those of the least id hashes."""
+    known = labels.select("doc_id", F.col(label).alias("value")).where(in_training)
+    parts = [known.where(F.col("value") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for v, n in per_class.items()]
+    chosen = parts[0]
+    for part in parts[1:]:
+        chosen = chosen.unionByName(part)
+    return texts_of(docs, chosen, most_bytes)
+
+
+class Adam:
+    def __init__(self, parameters: dict[str, np.ndarray], rate: float) -> None:
+        self.parameters, self.rate, self.steps = parameters, rate, 0
+        self.mean = {k: np.zeros_like(v) for k, v in parameters.items()}
+        self.square = {k: np.zeros_like(v) for k, v in parameters.items()}
+
+    def step(self, gradients: dict[str, np.ndarray]) -> None:
+        self.steps += 1
+        correct = (1 - 0.999**self.steps) ** 0.5 / (1 - 0.9**self.steps)
+        for k, g in gradients.items():
+            self.mean[k] += 0.1 * (g - self.mean[k])
+            self.square[k] += 0.001 * (g * g - self.square[k])
+            self.parameters[k] -= self.rate * correct * self.mean[k] / (np.sqrt(self.square[k]) + 1e-8)
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -60, 60)))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terraloom.llm import decontamination, language_model, near_dedup, packing, secrets
+from terraloom.llm import decontamination, language_id, language_model, near_dedup, packing, quality, secrets, toxicity
 from terraloom.llm.common import load
 
 
@@ -18,6 +18,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict(load(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, sf_dir, "documents"))
 
@@ -33,6 +45,9 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
+    "op6_language_id": op6_language_id,
+    "op7_toxicity": op7_toxicity,
     "op8_near_dedup": op8_near_dedup,
     "op9_secrets": op9_secrets,
     "op10_language_model": op10_language_model,
