@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from terraloom.llm.common import fold, texts_of
 
 MODULUS, HELD_OUT = 5, 0
-MOST_LANGUAGES, SAMPLE, LANDMARKS, SAMPLE_BYTES = 64, 200, 24, 20_000
+MOST_LANGUAGES, SAMPLE, LANDMARKS, SAMPLE_BYTES = 64, 400, 40, 20_000
 ALPHABET, BASE = 62, 64
 OTHER_LETTER = 63
 RIDGE, SHARPNESS, BATCH = 1e-3, 6.0, 256

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terraloom.llm import decontamination, language_id, language_model, near_dedup, packing, quality, secrets, toxicity
-from terraloom.llm.common import load
+from terraloom.llm import decontamination, language_id, language_model, media, near_dedup, packing, quality, secrets, token_counts, toxicity
+from terraloom.llm.common import load, scratch_dir, written
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = written(token_counts.measured(load(spark, sf_dir, "documents")), "measured")
+    return token_counts.maintained(token_counts.Rollup(spark, f"{scratch_dir(spark)}/rollup-{uuid.uuid4().hex}"), rows)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
@@ -22,6 +28,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's tables hold no images: each embedding is drawn as one, and an edited copy of each is added."""
+    return media.copies(media.gallery(load(spark, sf_dir, "embeddings")))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(load(spark, sf_dir, "documents"))
 
@@ -44,8 +55,10 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
+    "op5_media": op5_media,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_near_dedup": op8_near_dedup,
