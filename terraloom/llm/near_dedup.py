@@ -1,13 +1,14 @@
 """MinHash near-duplicates with odd sketches.
 
 1. Each text becomes the set of its 5-word shingles (64-bit hashes). Equal sets are one class from here on.
-2. A class has ``BANDS * ROWS`` MinHash samples. They give band keys, and, folded into a parity bitmap, an odd sketch: the
-   population count of two sketches' XOR estimates how many samples differ.
+2. ``BANDS * ROWS`` MinHash samples of a class give its band keys. One-permutation MinHash samples, the least hash in each of
+   ``BINS`` ranges, are folded into a parity bitmap, its odd sketch: the population count of two sketches' XOR
+   estimates how many of these samples differ, and thus the similarity, with a standard error of 0.013 (0.021 for long texts).
 3. In each band bucket every member is paired with one leader (the least of a fixed random order, the same in all bands), so a
    bucket of n members gives n-1 pairs. Pairs whose sketches are close are confirmed on full shingle sets.
 4. Confirmed links are joined into components. Buckets that still hold several components are compared whole, in blocks,
-   by sketch; pairs across components are confirmed, until none is left. No link between components is lost this way,
-   whatever the size of a bucket.
+   by sketch: first the closest pair of a member and another component is confirmed, then all close pairs across
+   components. So no link between components is lost, whatever the size of a bucket.
 
 Texts are shuffled for confirmation, never sets of all documents; a leader's text goes to several tasks when it has
 many partners.
@@ -30,23 +31,15 @@ from terraloom.llm.common import hashed_words, maybe_broadcast, mix, spaced_word
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: At a similarity of 0.75 a pair shares no band with probability (1 - 0.75**5)**48 = 2e-6.
-BANDS, ROWS, SKETCH_BITS = 48, 5, 512
-#: Sketches must suggest a similarity of 0.55: 0.2 (over five standard deviations of the estimate) below the threshold.
-LEAST_ESTIMATE = 0.55
+BANDS, ROWS, BINS, SKETCH_BITS = 48, 5, 1024, 1024
+#: Sketches must suggest at least so much similarity, over four standard errors below the threshold; the second holds from LONG shingles on.
+LEAST_ESTIMATES, LONG = (0.69, 0.65), 1000
 BLOCK = 2048
 #: Rows of 16 to 24 bytes that may be broadcast (under 50 MB).
 BROADCAST_ROWS = 2_000_000
 SALTS = 16
 
 
-def _most_bits() -> int:
-    differing = 2 * BANDS * ROWS * (1 - LEAST_ESTIMATE)
-    return int(np.ceil(SKETCH_BITS / 2 * (1 - np.exp(-2 * differing / SKETCH_BITS))))
-
-
-MOST_BITS = _most_bits()
-
-
 @lru_cache(maxsize=1)
 def _functions() -> tuple[np.ndarray, np.ndarray]:
     """Fixed multipliers and masks of the sampling hashes."""
@@ -86,11 +79,16 @@ def _samples(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
-def _bands_and_sketch(least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _bands(least: np.ndarray) -> np.ndarray:
     salted = mix(least.astype(np.uint64) + (np.arange(len(least), dtype=np.uint64) << np.uint64(32)))
-    keys = mix(np.cumsum(salted.reshape(BANDS, ROWS), axis=1, dtype=np.uint64)[:, -1])
-    bits = np.bincount((salted % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return keys.view(np.int64), np.packbits(bits.astype(np.uint8)).view(np.int64)
+    return mix(np.cumsum(salted.reshape(BANDS, ROWS), axis=1, dtype=np.uint64)[:, -1]).view(np.int64)
+
+
+def _odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the hashed least shingle of each bin; a bin is a range of hashes, and the shingles are sorted."""
+    _, least = np.unique(shingles >> np.uint64(64 - BINS.bit_length() + 1), return_index=True)
+    places = mix(shingles[least] ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(SKETCH_BITS)
+    return np.packbits((np.bincount(places.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)).view(np.int64)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,9 +103,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             mixed = mix(shingles)
             prints.append((int(shingles.sum().view(np.int64)), int(mixed.sum().view(np.int64))))
-            band, sketch = _bands_and_sketch(_samples(shingles))
-            keys.append(band)
-            bits.append(sketch)
+            keys.append(_bands(_samples(shingles)))
+            bits.append(_odd_sketch(shingles))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
             names=["doc_id", "n_shingles", "print1", "print2", "bands", "sketch"],
@@ -119,13 +116,16 @@ def sketches(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_sketches, "doc_id bigint, n_shingles bigint, print1 bigint, print2 bigint, bands array<bigint>, sketch array<bigint>")
 
 
-def _differing(a: str, b: str):
-    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+def _most_bits(na, nb, ops):
+    """How many bits of two sketches of so many shingles may differ; ``ops`` has the functions for columns or arrays."""
+    least = ops["where"](ops["greatest"](na, nb) < LONG, LEAST_ESTIMATES[0], LEAST_ESTIMATES[1])
+    filled = lambda n: (1 - ops["exp"](n * float(np.log(1 - 1 / BINS)))) * float(BINS)
+    differing = filled(na) + filled(nb) - least * 2.0 * filled((na + nb) / (least + 1.0))
+    return (1 - ops["exp"](differing * (-2.0 / SKETCH_BITS))) * (SKETCH_BITS / 2) + 2.0
 
 
-def _sizes_fit(a: str, b: str):
-    """No pair can be similar enough unless the smaller set is at least that share of the larger."""
-    return DENOMINATOR * F.least(a, b) >= NUMERATOR * F.greatest(a, b)
+_COLUMNS = {"where": lambda c, a, b: F.when(c, F.lit(a)).otherwise(F.lit(b)), "greatest": F.greatest, "exp": F.exp}
+_ARRAYS = {"where": np.where, "greatest": np.maximum, "exp": np.exp}
 
 
 def close_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -133,7 +133,9 @@ def close_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     left = classes.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
     right = classes.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.where(_sizes_fit("na", "nb") & (_differing("sa", "sb") <= MOST_BITS)).select("a", "b")
+    fit = DENOMINATOR * F.least("na", "nb") >= NUMERATOR * F.greatest("na", "nb")
+    differing = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return both.where(fit & (differing <= _most_bits(F.col("na"), F.col("nb"), _COLUMNS))).select("a", "b")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -185,57 +187,62 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(heads)
 
 
-def _bucket_pairs(rows: list[tuple], found: dict[tuple[int, int], None]) -> None:
-    """Pairs of a bucket, or of two of its blocks, that lie in different components and may be similar."""
-    rep = np.array([r[0] for r in rows], np.int64)
-    comp = np.array([r[1] for r in rows], np.int64)
-    size = np.array([r[2] for r in rows], np.int64)
-    side = np.array([r[3] for r in rows], np.int64)
+def _bucket_pairs(rows: list[tuple], found: dict[tuple[int, int], None], closest: bool) -> None:
+    """Pairs of a bucket, or of two of its blocks, that lie in different components and may be similar; or only each member's closest in each other component."""
+    rep, comp, size, side = (np.array([r[i] for r in rows], np.int64) for i in range(4))
     bits = np.array([r[4] for r in rows], np.int64).view(np.uint64)
-    left = np.flatnonzero(side <= 1)
-    right = np.flatnonzero(side != 1)
+    left, right = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)
     for i in left:
-        ok = (comp[right] != comp[i]) & (rep[right] != rep[i])
-        if side[i] == 0:
+        ok = (comp[right] != comp[i]) & (DENOMINATOR * np.minimum(size[right], size[i]) >= NUMERATOR * np.maximum(size[right], size[i]))
+        if side[i] == 0 and not closest:
             ok &= rep[right] > rep[i]
-        ok &= DENOMINATOR * np.minimum(size[right], size[i]) >= NUMERATOR * np.maximum(size[right], size[i])
         near = right[ok]
-        if len(near):
-            near = near[np.bitwise_count(bits[near] ^ bits[i]).sum(axis=1, dtype=np.int64) <= MOST_BITS]
+        if not len(near):
+            continue
+        differing = np.bitwise_count(bits[near] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        most = _most_bits(size[near].astype(float), float(size[i]), _ARRAYS)
+        kept = differing <= most
+        near, spare = near[kept], (most - differing)[kept]
+        if closest:
+            near = near[np.argsort(-spare, kind="stable")]
+            near = near[np.unique(comp[near], return_index=True)[1]]
         for j in near:
-            found[(min(rep[i], rep[j]), max(rep[i], rep[j]))] = None
+            found[(int(min(rep[i], rep[j])), int(max(rep[i], rep[j])))] = None
 
 
-def crossing_pairs(classes: DataFrame, keys: DataFrame, nodes: DataFrame) -> DataFrame:
+def crossing_pairs(members: DataFrame, classes: DataFrame, nodes: DataFrame, closest: bool) -> DataFrame:
     """Close pairs across components within the buckets that hold several; buckets over BLOCK members are compared block by block."""
-    members = classes.select("rep", "n_shingles", "sketch", F.explode("bands").alias("key")).join(keys.select("key", "members"), "key")
-    members = members.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    members = members.join(mixed, "key")
+    placed = members.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    placed = written(placed, "members")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    rows = placed.join(written(mixed, "mixed"), "key").join(classes.select("rep", "n_shingles", "sketch"), "rep")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    members = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     # Side 0: both in one block; 1 and 2: the lower and the higher block of two.
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    dealt = members.select("key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "rep", "component", "n_shingles", side.alias("side"), "sketch")
+    dealt = rows.select("key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "rep", "component", "n_shingles", side.alias("side"), "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows, found = None, [], {}
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("key", "b1", "b2", "rep", "component", "n_shingles", "side", "sketch")]
             for key, b1, b2, *row in zip(*columns, strict=True):
                 if (key, b1, b2) != group:
                     if len(rows) > 1:
-                        _bucket_pairs(rows, found)
+                        _bucket_pairs(rows, found, closest)
                     group, rows = (key, b1, b2), []
                 rows.append(row)
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            # Pairs recur in other buckets; they are dropped here while they fit, and for good below.
+            if len(found) > 100_000:
+                yield made()
                 found = {}
         if len(rows) > 1:
-            _bucket_pairs(rows, found)
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            _bucket_pairs(rows, found, closest)
+        yield made()
 
     return dealt.repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2").mapInArrow(run, "a bigint, b bigint").distinct()
 
@@ -248,20 +255,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lead = F.struct(F.xxhash64("rep").alias("rank"), F.col("rep"))
     buckets = classes.select("rep", F.explode("bands").alias("key"))
     keys = written(buckets.groupBy("key").agg(F.count("*").alias("members"), F.min(lead).alias("lead")).where("members > 1").select("key", "members", F.col("lead.rep").alias("leader")), "keys")
-    stars = buckets.join(keys, "key").where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    members = written(buckets.join(keys, "key"), "buckets")
+    stars = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    members = members.select("key", "rep", "members")
     tried = written(close_pairs(stars, classes), "pairs")
     links = written(confirmed(tried, docs), "links")
-    while True:
-        nodes = written(components(links), "nodes")
-        fresh = crossing_pairs(classes, keys, nodes)
+    nodes = written(components(links), "nodes")
+    # The second pass confirms every close pair that still crosses components, so a third would find none.
+    for closest in (True, False):
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = written(fresh.join(known, ["a", "b"], "left_anti"), "pairs")
-        if not fresh.limit(1).count():
-            break
-        more = written(confirmed(fresh, docs), "links")
-        if not more.limit(1).count():
-            break
-        tried, links = tried.unionByName(fresh), links.unionByName(more)
+        fresh = written(crossing_pairs(members, classes, nodes, closest).join(known, ["a", "b"], "left_anti"), "pairs")
+        if fresh.isEmpty():
+            continue
+        tried, links = tried.unionByName(fresh), links.unionByName(written(confirmed(fresh, docs), "links"))
+        nodes = written(components(links), "nodes")
     placed = classes.select("print1", "print2", "rep").join(nodes.withColumnRenamed("node", "rep"), "rep", "left")
     # A class of one row that is linked with nothing needs no entry.
     placed = written(placed.select("print1", "print2", F.coalesce("component", "rep").alias("component")), "placed")
