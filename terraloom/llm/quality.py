@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from terraloom.llm.common import Adam, fold, labelled_sample, sigmoid, text_blocks
 
@@ -165,7 +166,7 @@ def with_score(docs: DataFrame, network: Network, name: str) -> DataFrame:
                 out.append(shared.value.scores([data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]))
             yield batch.append_column(name, pa.array(np.concatenate(out), pa.float64()))
 
-    return docs.mapInArrow(run, docs.schema.add(name, "double"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
