@@ -3,12 +3,12 @@
 1. Each text becomes the set of its 5-word shingles (64-bit hashes). Equal sets are one class from here on.
 2. ``BANDS * ROWS`` MinHash samples of a class give its band keys. One-permutation MinHash samples, the least hash in each of
    ``BINS`` ranges, are folded into a parity bitmap, its odd sketch: the population count of two sketches' XOR
-   estimates how many of these samples differ, and thus the similarity, with a standard error of 0.013 (0.021 for long texts).
+   estimates how many of these samples differ, and thus the similarity, with a standard error of 0.007.
 3. In each band bucket every member is paired with one leader (the least of a fixed random order, the same in all bands), so a
    bucket of n members gives n-1 pairs. Pairs whose sketches are close are confirmed on full shingle sets.
 4. Confirmed links are joined into components. Buckets that still hold several components are compared whole, in blocks,
-   by sketch: first the closest pair of a member and another component is confirmed, then all close pairs across
-   components. So no link between components is lost, whatever the size of a bucket.
+   by sketch: first each component's closest pair with another is confirmed, then all close pairs across components, each
+   in the first bucket that holds both. So no link between components is lost, whatever the size of a bucket.
 
 Texts are shuffled for confirmation, never sets of all documents; a leader's text goes to several tasks when it has
 many partners.
@@ -31,9 +31,9 @@ from terraloom.llm.common import hashed_words, maybe_broadcast, mix, spaced_word
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: At a similarity of 0.75 a pair shares no band with probability (1 - 0.75**5)**48 = 2e-6.
-BANDS, ROWS, BINS, SKETCH_BITS = 48, 5, 1024, 1024
+BANDS, ROWS, BINS, SKETCH_BITS = 48, 5, 4096, 4096
 #: Sketches must suggest at least so much similarity, over four standard errors below the threshold; the second holds from LONG shingles on.
-LEAST_ESTIMATES, LONG = (0.69, 0.65), 1000
+LEAST_ESTIMATES, LONG = (0.72, 0.715), 1000
 BLOCK = 2048
 #: Rows of 16 to 24 bytes that may be broadcast (under 50 MB).
 BROADCAST_ROWS = 2_000_000
@@ -187,27 +187,33 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(heads)
 
 
-def _bucket_pairs(rows: list[tuple], found: dict[tuple[int, int], None], closest: bool) -> None:
-    """Pairs of a bucket, or of two of its blocks, that lie in different components and may be similar; or only each member's closest in each other component."""
+def _bucket_pairs(key: int, rows: list[tuple], closest: bool) -> list[tuple[int, int]]:
+    """Pairs of a bucket, or of two of its blocks, that lie in different components and may be similar, unless an earlier bucket holds both; or only each component's closest."""
     rep, comp, size, side = (np.array([r[i] for r in rows], np.int64) for i in range(4))
-    bits = np.array([r[4] for r in rows], np.int64).view(np.uint64)
+    bits, bands = np.array([r[4] for r in rows], np.int64).view(np.uint64), np.array([r[5] for r in rows], np.int64)
     left, right = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)
+    found: list[tuple[int, int]] = []
+    best: dict[int, tuple[float, int, int]] = {}
     for i in left:
         ok = (comp[right] != comp[i]) & (DENOMINATOR * np.minimum(size[right], size[i]) >= NUMERATOR * np.maximum(size[right], size[i]))
-        if side[i] == 0 and not closest:
+        if side[i] == 0:
             ok &= rep[right] > rep[i]
         near = right[ok]
         if not len(near):
             continue
         differing = np.bitwise_count(bits[near] ^ bits[i]).sum(axis=1, dtype=np.int64)
-        most = _most_bits(size[near].astype(float), float(size[i]), _ARRAYS)
-        kept = differing <= most
-        near, spare = near[kept], (most - differing)[kept]
+        spare = _most_bits(size[near].astype(float), float(size[i]), _ARRAYS) - differing
+        near, spare = near[spare >= 0], spare[spare >= 0]
         if closest:
-            near = near[np.argsort(-spare, kind="stable")]
-            near = near[np.unique(comp[near], return_index=True)[1]]
-        for j in near:
-            found[(int(min(rep[i], rep[j])), int(max(rep[i], rep[j])))] = None
+            for j, room in zip(near, spare, strict=True):
+                for c in (comp[i], comp[j]):
+                    if c not in best or room > best[c][0]:
+                        best[c] = (room, rep[i], rep[j])
+        else:
+            first = (bands[near] == bands[i]).argmax(axis=1)
+            found += [(rep[i], rep[j]) for j in near[bands[i][first] == key]]
+    found += [(a, b) for _, a, b in best.values()]
+    return [(int(min(p)), int(max(p))) for p in found]
 
 
 def crossing_pairs(members: DataFrame, classes: DataFrame, nodes: DataFrame, closest: bool) -> DataFrame:
@@ -215,34 +221,29 @@ def crossing_pairs(members: DataFrame, classes: DataFrame, nodes: DataFrame, clo
     placed = members.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     placed = written(placed, "members")
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    rows = placed.join(written(mixed, "mixed"), "key").join(classes.select("rep", "n_shingles", "sketch"), "rep")
+    rows = placed.join(written(mixed, "mixed"), "key").join(classes.select("rep", "n_shingles", "sketch", "bands"), "rep")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     # Side 0: both in one block; 1 and 2: the lower and the higher block of two.
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    dealt = rows.select("key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "rep", "component", "n_shingles", side.alias("side"), "sketch")
+    dealt = rows.select("key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "rep", "component", "n_shingles", side.alias("side"), "sketch", "bands")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows, found = None, [], {}
+        group, rows = None, []
 
-        def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        def made(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "b1", "b2", "rep", "component", "n_shingles", "side", "sketch")]
+            columns = [batch.column(c).to_pylist() for c in ("key", "b1", "b2", "rep", "component", "n_shingles", "side", "sketch", "bands")]
             for key, b1, b2, *row in zip(*columns, strict=True):
                 if (key, b1, b2) != group:
                     if len(rows) > 1:
-                        _bucket_pairs(rows, found, closest)
+                        yield made(_bucket_pairs(group[0], rows, closest))
                     group, rows = (key, b1, b2), []
                 rows.append(row)
-            # Pairs recur in other buckets; they are dropped here while they fit, and for good below.
-            if len(found) > 100_000:
-                yield made()
-                found = {}
         if len(rows) > 1:
-            _bucket_pairs(rows, found, closest)
-        yield made()
+            yield made(_bucket_pairs(group[0], rows, closest))
 
     return dealt.repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2").mapInArrow(run, "a bigint, b bigint").distinct()
 
