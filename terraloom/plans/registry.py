@@ -1,11 +1,303 @@
-"""Queries over the driver's tables, by name, with the SQL that gives the same rows."""
+"""Queries over the driver's tables, by name, with the SQL that gives the same rows.
+
+The tables hold no geometry: each operator runs on columns derived from whole tables, as the comment at each query says.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from terraloom.functions import features, text
+from terraloom.functions.projection import mercator_forward, utm_forward, utm_zone
+from terraloom.operators import coverage, heights, rasters, seams, tiles
 
-FLAGSHIP = ""
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+FLAGSHIP = "grid_green_metrics"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def keep(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- heights: parts as buildings, every third with a height, every third with levels --------------------------------
+
+_BUILDINGS_SQL = """
+b AS (SELECT 'part/' || CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_size % 3 = 0 THEN CAST(p_size AS DOUBLE) / 2 END AS h, CASE WHEN p_size % 3 = 1 THEN p_size END AS l FROM part),
+hs AS (SELECT id, round(coalesce(h, l * 3.2, 8.0 + (CAST('0x' || substr(sha256(id), 1, 8) AS BIGINT) % 1201) / 100.0), 6) AS height_m, CASE WHEN h IS NULL THEN l END AS levels_int,
+  CASE WHEN h IS NOT NULL THEN 'height' WHEN l IS NOT NULL THEN 'levels' ELSE 'heuristic' END AS height_source FROM b)
+"""
+
+
+def _buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("part/"), F.col("p_partkey").cast("string")).alias("id"),
+        F.when(F.col("p_size") % 3 == 0, F.format_string("%.1f m", F.col("p_size").cast("double") / 2)).alias("height"),
+        F.when(F.col("p_size") % 3 == 1, F.concat(F.col("p_size").cast("string"), F.lit(" floors"))).alias("building_levels"),
+    )
+    return heights.with_heights(rows).withColumn("height_m", F.round("height_m", 6))
+
+
+@query(f"WITH {_BUILDINGS_SQL} SELECT id, height_m, CAST(levels_int AS INTEGER) AS levels_int, height_source FROM hs")
+def building_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _buildings(spark, sf_dir).select("id", "height_m", "levels_int", "height_source")
+
+
+@query(f"WITH {_BUILDINGS_SQL} SELECT count(*) FILTER (height_source = 'height') AS height, count(*) FILTER (height_source = 'levels') AS levels, count(*) FILTER (height_source = 'heuristic') AS heuristic FROM hs")
+def height_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heights.source_counts(_buildings(spark, sf_dir))
+
+
+@query(f"WITH {_BUILDINGS_SQL} SELECT count(*) AS total, count(*) FILTER (height_source = 'height') AS n_height, count(*) FILTER (height_source = 'levels') AS n_levels, count(*) FILTER (height_source = 'heuristic') AS n_heuristic, min(height_m) AS min_m, quantile_disc(height_m, 0.5) AS median_m, quantile_disc(height_m, 0.95) AS p95_m, max(height_m) AS max_m FROM hs")
+def height_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heights.height_report(_buildings(spark, sf_dir))
+
+
+# --- coverage: orders as rectangles over a grid of 12 x 12 cells of 100 m -------------------------------------------
+
+_PIECES_SQL = """
+p AS (SELECT CAST(o_orderkey * 37 % 1150 AS DOUBLE) AS x0, CAST(o_custkey * 53 % 1150 AS DOUBLE) AS y0, CAST(o_orderkey * 37 % 1150 + 10 + o_orderkey % 190 AS DOUBLE) AS x1, CAST(o_custkey * 53 % 1150 + 5 + o_custkey % 90 AS DOUBLE) AS y1 FROM orders),
+c AS (SELECT 'utm42n_100m_' || CAST(ix AS VARCHAR) || '_' || CAST(iy AS VARCHAR) AS cell_id, 100.0 * ix AS cx0, 100.0 * iy AS cy0 FROM (SELECT unnest(range(12)) AS ix), (SELECT unnest(range(12)) AS iy)),
+s AS (SELECT cell_id, sum((least(x1, cx0 + 100) - greatest(x0, cx0)) * (least(y1, cy0 + 100) - greatest(y0, cy0))) AS a FROM p JOIN c ON x0 < cx0 + 100 AND x1 > cx0 AND y0 < cy0 + 100 AND y1 > cy0 GROUP BY cell_id),
+m AS (SELECT c.cell_id, CAST(10000.0 AS DOUBLE) AS cell_area_m2, CAST(coalesce(a, 0) AS DOUBLE) AS green_area_m2, CAST(greatest(0, least(1, coalesce(a, 0) / 10000.0)) AS DOUBLE) AS green_share FROM c LEFT JOIN s USING (cell_id))
+"""
+
+
+def _cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x0, y0 = F.col("o_orderkey") * 37 % 1150, F.col("o_custkey") * 53 % 1150
+    pieces = table(spark, sf_dir, "orders").select(x0.cast("double").alias("x0"), y0.cast("double").alias("y0"), (x0 + 10 + F.col("o_orderkey") % 190).cast("double").alias("x1"), (y0 + 5 + F.col("o_custkey") % 90).cast("double").alias("y1"))
+    return coverage.coverage(coverage.grid_cells(spark, (0, 0, 1200, 1200), 100), pieces, 100)
+
+
+@query(f"WITH {_PIECES_SQL} SELECT * FROM m")
+def grid_green_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cover(spark, sf_dir)
+
+
+@query(f"WITH {_PIECES_SQL} SELECT count(*) AS cells_total, count(*) FILTER (green_area_m2 > 0) AS cells_intersected, min(green_share) AS share_min, max(green_share) AS share_max, round(avg(green_share), 9) AS share_avg FROM m")
+def grid_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.coverage_report(_cover(spark, sf_dir)).withColumn("share_avg", F.round("share_avg", 9))
+
+
+# --- rasters: line items as scene pixels, parts as a mask -----------------------------------------------------------
+
+
+def _stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("pixel"), F.col("l_quantity").alias("red"), (F.col("l_extendedprice") / 1000).alias("nir"), F.col("l_linenumber").alias("scl"))
+
+
+@query("""WITH v AS (SELECT l_partkey AS pixel, CASE WHEN l_linenumber NOT IN (0, 1, 3, 8, 9, 10, 11) AND l_quantity > 0 AND l_extendedprice / 1000 > 0 THEN (l_extendedprice / 1000 - l_quantity) / (l_extendedprice / 1000 + l_quantity) END AS x FROM lineitem),
+m AS (SELECT pixel, count(x) AS valid, CASE WHEN count(x) >= 3 THEN median(x) END AS y FROM v GROUP BY pixel)
+SELECT pixel, valid, round(y, 9) AS ndvi, CAST(CASE WHEN y IS NOT NULL THEN CASE WHEN y >= 0.3 THEN 1 ELSE 0 END END AS INTEGER) AS green FROM m""")
+def ndvi_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rasters.composite(_stack(spark, sf_dir), ["pixel"]).withColumn("ndvi", F.round("ndvi", 9))
+
+
+def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(F.floor(key / 50).cast("int").alias("row"), (key % 50).cast("int").alias("col"), (F.col("p_size") > 15).cast("int").alias("bit"))
+
+
+def _step_sql(source: str, least: int) -> str:
+    return f"(SELECT a.\"row\", a.col, CASE WHEN (SELECT 1) = 1 AND coalesce(n.n, 0) >= {least} THEN 1 ELSE 0 END AS bit FROM {source} a LEFT JOIN (SELECT a.\"row\", a.col, count(*) AS n FROM {source} a JOIN {source} b ON b.\"row\" BETWEEN a.\"row\" - 1 AND a.\"row\" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 WHERE b.bit = 1 GROUP BY 1, 2) n ON n.\"row\" = a.\"row\" AND n.col = a.col)"
+
+
+_MASK_SQL = "m0 AS (SELECT CAST(floor(p_partkey / 50) AS INTEGER) AS \"row\", CAST(p_partkey % 50 AS INTEGER) AS col, CASE WHEN p_size > 15 THEN 1 ELSE 0 END AS bit FROM part)" + "".join(
+    f", m{i + 1} AS {_step_sql(f'm{i}', least)}" for i, least in enumerate((9, 1, 1, 9))
+)
+
+
+@query(f"WITH {_MASK_SQL} SELECT \"row\", col, CAST(bit AS INTEGER) AS bit FROM m4")
+def morph_open_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rasters.cleaned(_mask(spark, sf_dir))
+
+
+@query(f"WITH {_MASK_SQL} SELECT count(bit) AS valid_px, count(*) FILTER (bit = 1) AS green_px, round(count(*) FILTER (bit = 1) / count(bit), 9) AS green_ratio FROM m4")
+def mask_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rasters.mask_report(rasters.cleaned(_mask(spark, sf_dir))).withColumn("green_ratio", F.round("green_ratio", 9))
+
+
+@query("SELECT l_partkey, arg_min(l_extendedprice, (l_suppkey, l_orderkey, l_linenumber)) AS price FROM lineitem WHERE l_discount > 0.02 GROUP BY l_partkey")
+def mosaic_first_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", F.when(F.col("l_discount") > 0.02, F.col("l_extendedprice")).alias("price"))
+    return rasters.first_valid(rows, ["l_partkey"], ["l_suppkey", "l_orderkey", "l_linenumber"], "price")
+
+
+@query("""WITH w AS (SELECT user_id, value, least(1.0, (event_id % 8 + 1) / 4.0) * least(1.0, (8 - event_id % 8) / 4.0) AS w FROM events)
+SELECT user_id, round(sum(value * w) / sum(w), 6) AS value FROM w GROUP BY user_id""")
+def mosaic_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weight = tiles.fade_weight(F.col("event_id") % 8, F.lit(8), F.lit(3), F.lit(True), F.lit(True))
+    rows = table(spark, sf_dir, "events").select("user_id", "value", weight.alias("w"))
+    return rasters.blended(rows, ["user_id"], "value", "w").withColumn("value", F.round("value", 6))
+
+
+# --- seams: embeddings as tiles of 8 x 8 pixels in a row ------------------------------------------------------------
+
+_SEAM_SQL = """e AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings),
+s AS (SELECT a.vec_id, list_sum([abs(a.v[i] - b.v[i]) FOR i IN range(1, 65)]) / 64 AS l1, list_sum([(a.v[i] - b.v[i]) * (a.v[i] - b.v[i]) FOR i IN range(1, 65)]) / 64 AS l2 FROM e a JOIN e b ON b.vec_id = a.vec_id + 1)"""
+
+
+def _seams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    other = rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("b"))
+    pairs = rows.select("vec_id", F.col("embedding").alias("a")).join(other, "vec_id")
+    return pairs.select("vec_id", seams.mean_difference("a", "b", 1).alias("l1"), seams.mean_difference("a", "b", 2).alias("l2"))
+
+
+@query(f"WITH {_SEAM_SQL} SELECT vec_id, round(l1, 9) AS l1, round(l2, 9) AS l2, round(l1 + 0.25 * l2, 9) AS score FROM s")
+def seam_l1_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = seams.seam_score({"rgb_l1": F.col("l1"), "rgb_l2": F.col("l2")})
+    return _seams(spark, sf_dir).select("vec_id", F.round("l1", 9).alias("l1"), F.round("l2", 9).alias("l2"), F.round(score, 9).alias("score"))
+
+
+@query(f"WITH {_SEAM_SQL} SELECT vec_id, round(l1 + 0.25 * l2, 9) AS score FROM s ORDER BY score DESC, vec_id LIMIT 10")
+def worst_seams_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = seams.seam_score({"rgb_l1": F.col("l1"), "rgb_l2": F.col("l2")})
+    return seams.worst(_seams(spark, sf_dir).select("vec_id", F.round(score, 9).alias("score")), 10, "score", ("vec_id",))
+
+
+@query("""WITH e AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings),
+p AS (SELECT vec_id, v, r, c FROM e, (SELECT unnest(range(8)) AS r), (SELECT unnest(range(8)) AS c)),
+i AS (SELECT vec_id, v, greatest(r - 1, 0) * 8 AS u, r * 8 AS m, least(r + 1, 7) * 8 AS d, greatest(c - 1, 0) + 1 AS l, c + 1 AS k, least(c + 1, 7) + 1 AS g FROM p),
+s AS (SELECT vec_id, (v[u + g] + 2 * v[m + g] + v[d + g]) - (v[u + l] + 2 * v[m + l] + v[d + l]) AS gx, (v[d + l] + 2 * v[d + k] + v[d + g]) - (v[u + l] + 2 * v[u + k] + v[u + g]) AS gy FROM i)
+SELECT vec_id, round(avg(sqrt(gx * gx + gy * gy)), 6) AS mean_magnitude FROM s GROUP BY vec_id""")
+def seam_sobel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pixels = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("at", "x"))
+    pixels = pixels.select("vec_id", F.floor(F.col("at") / 8).cast("int").alias("row"), (F.col("at") % 8).alias("col"), F.col("x").cast("double").alias("value"))
+    return seams.sobel_magnitude(pixels, ["vec_id"]).groupBy("vec_id").agg(F.round(F.avg("magnitude"), 6).alias("mean_magnitude"))
+
+
+@query("""WITH c AS (SELECT label, vec_id, CASE WHEN vec_id % 7 = 0 THEN 'failed' END AS error, CAST(embedding[1] AS DOUBLE) + 0.5 * CAST(embedding[2] AS DOUBLE) AS score FROM embeddings)
+SELECT label, arg_min(vec_id, (score, vec_id)) FILTER (error IS NULL) AS variant, round(min(score) FILTER (error IS NULL), 9) AS score, count(*) AS candidates, count(*) FILTER (error IS NOT NULL) AS failed FROM c GROUP BY label""")
+def candidate_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = lambda i: F.col("embedding")[i].cast("double")
+    total = seams.total_score(value(0), value(1), F.lit(0.0), F.lit(False), 0.5, 0.0, 0.0)
+    rows = table(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("variant"), F.when(F.col("vec_id") % 7 == 0, "failed").alias("error"), total.alias("total_score"))
+    return seams.selected(rows, ["label"]).withColumn("score", F.round("score", 9))
+
+
+# --- tiles ----------------------------------------------------------------------------------------------------------
+
+_TILES_SQL = "t AS (SELECT DISTINCT CAST(p_partkey % 60 AS INTEGER) AS x, CAST(floor(p_partkey / 60) AS INTEGER) % 70 AS y FROM part WHERE p_size < 40)"
+
+
+def _tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").where("p_size < 40").select((F.col("p_partkey") % 60).cast("int").alias("x"), (F.floor(F.col("p_partkey") / 60) % 70).cast("int").alias("y")).distinct()
+
+
+@query(f"WITH {_TILES_SQL} SELECT 'v' AS axis, a.x, a.y, b.x AS ox, b.y AS oy FROM t a JOIN t b ON b.x = a.x + 1 AND b.y = a.y UNION ALL SELECT 'h', a.x, a.y, b.x, b.y FROM t a JOIN t b ON b.x = a.x AND b.y = a.y + 1")
+def tile_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.neighbours(_tiles(spark, sf_dir))
+
+
+@query(f"WITH {_TILES_SQL} SELECT a.x, a.y FROM t a JOIN t b ON b.x = a.x + 1 AND b.y = a.y JOIN t c ON c.x = a.x AND c.y = a.y + 1 JOIN t d ON d.x = a.x + 1 AND d.y = a.y + 1")
+def tile_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.intersections(_tiles(spark, sf_dir))
+
+
+@query(f"WITH {_TILES_SQL}, r AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM t), g AS (SELECT CAST(x AS INTEGER) AS x, CAST(unnest(range(y0, y1 + 1)) AS INTEGER) AS y FROM (SELECT unnest(range(x0, x1 + 1)) AS x, y0, y1 FROM r)) SELECT g.x, g.y FROM g LEFT JOIN t ON t.x = g.x AND t.y = g.y WHERE t.x IS NULL")
+def tile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.missing_tiles(_tiles(spark, sf_dir))
+
+
+@query("""WITH b AS (SELECT radians(69.103) * 6378137.0 AS x0, ln(tan(pi() / 4 + radians(41.168) / 2)) * 6378137.0 AS y0, radians(69.397) * 6378137.0 AS x1, ln(tan(pi() / 4 + radians(41.434) / 2)) * 6378137.0 AS y1),
+t AS (SELECT CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y, x0 + x * (x1 - x0) / 8 AS l, y1 - y * (y1 - y0) / 8 AS u, (x1 - x0) / 8 AS w, (y1 - y0) / 8 AS h FROM b, (SELECT unnest(range(8)) AS x), (SELECT unnest(range(8)) AS y))
+SELECT x, y, round(degrees(l / 6378137.0), 6) AS west, round(degrees(2 * atan(exp((u - h) / 6378137.0)) - pi() / 2), 6) AS south, round(degrees(2 * atan(exp((u + 0.1 * h) / 6378137.0)) - pi() / 2), 6) AS north_overlap FROM t""")
+def tile_grid_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = tiles.split_bbox(spark, (69.103, 41.168, 69.397, 41.434), 8, 0.1)
+    return split.select("x", "y", F.round(F.col("bbox")[0], 6).alias("west"), F.round(F.col("bbox")[1], 6).alias("south"), F.round(F.col("bbox_overlap")[3], 6).alias("north_overlap"))
+
+
+@query("SELECT c_custkey, round((c_custkey % 100 - c_acctbal / 100) * 1.0, 6) AS u, round((c_custkey % 100 + c_acctbal / 100) * 0.5 - c_nationkey, 6) AS v FROM customer")
+def iso_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u, v = tiles.isometric(F.col("c_custkey") % 100, F.col("c_acctbal") / 100, F.col("c_nationkey"))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.round(u, 6).alias("u"), F.round(v, 6).alias("v"))
+
+
+@query("SELECT s_nationkey, string_agg(CAST(s_suppkey AS VARCHAR), ',' ORDER BY s_acctbal, s_suppkey) AS items FROM supplier GROUP BY s_nationkey")
+def painter_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = tiles.painter_order(table(spark, sf_dir, "supplier"), ["s_nationkey"], F.col("s_acctbal"), "s_suppkey")
+    return drawn.select("s_nationkey", F.array_join(F.transform("items", lambda i: i.cast("string")), ",").alias("items"))
+
+
+@query("""SELECT c_custkey, CAST((CASE WHEN c_acctbal >= 0 THEN 32600 ELSE 32700 END) + floor((c_custkey % 360 - 180 + 180) / 6) + 1 AS INTEGER) AS epsg,
+round(radians(c_custkey % 360 - 180) * 6378137.0, 4) AS mx, round(ln(tan(pi() / 4 + radians(greatest(-85.05112878, least(85.05112878, c_acctbal / 120))) / 2)) * 6378137.0, 4) AS my FROM customer""")
+def map_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lon, lat = (F.col("c_custkey") % 360 - 180).cast("double"), F.col("c_acctbal") / 120
+    x, y = mercator_forward(lon, lat)
+    return table(spark, sf_dir, "customer").select("c_custkey", utm_zone(lon, F.col("c_acctbal")).alias("epsg"), F.round(x, 4).alias("mx"), F.round(y, 4).alias("my"))
+
+
+@query()
+def utm_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transverse Mercator of points near zone 42; too long a series for the SQL side, tested against known points."""
+    east, north = utm_forward(F.lit(69.0) + (F.col("c_custkey") % 400) / 1000, F.lit(41.0) + (F.col("c_custkey") % 500) / 1000, 32642)
+    return table(spark, sf_dir, "customer").select("c_custkey", F.round(east, 4).alias("east"), F.round(north, 4).alias("north"))
+
+
+# --- names, seeds, retries ------------------------------------------------------------------------------------------
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR source = '' THEN 'hash/' || substr(sha256(text), 1, 16) ELSE source || '/' || CAST(doc_id AS VARCHAR) END AS id,
+coalesce(nullif(CASE WHEN doc_id % 2 = 0 THEN lang END, ''), nullif(source, ''), 'green') AS class FROM documents""")
+def feature_class_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.when(F.col("doc_id") % 3 != 0, F.col("doc_id"))
+    found = features.feature_class("green", {"landuse": F.when(F.col("doc_id") % 2 == 0, F.col("lang")), "leisure": F.col("source")})
+    return table(spark, sf_dir, "documents").select("doc_id", features.feature_id(F.col("source"), number, F.col("text")).alias("id"), found.alias("class"))
+
+
+@query("""SELECT count(*) AS input, count(*) FILTER (value > 0) AS written, count(*) FILTER (value IS NULL OR value <= 0) AS dropped_empty, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS geometry_types FROM events""")
+def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sound = F.coalesce(F.col("value") > 0, F.lit(False))
+    return table(spark, sf_dir, "events").agg(F.count("*").alias("input"), F.count_if(sound).alias("written"), F.count_if(~sound).alias("dropped_empty"), F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("geometry_types"))
+
+
+@query("""SELECT conv_id, turn, CASE WHEN s = '' THEN 'image' ELSE substr(s, 1, 40) END AS slug FROM (SELECT conv_id, turn, regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS s FROM conversations)""")
+def prompt_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.slug(F.col("text")).alias("slug"))
+
+
+@query("SELECT o_orderkey, CAST('0x' || substr(sha256('7:' || CAST(o_custkey AS VARCHAR) || ':' || CAST(o_orderkey % 9 AS VARCHAR) || ':2'), 1, 8) AS BIGINT) & 2147483647 AS seed FROM orders")
+def tile_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.tile_seed(F.lit(7), F.col("o_custkey"), F.col("o_orderkey") % 9, F.lit(2)).alias("seed"))
+
+
+@query("SELECT page_id, (CASE page_id % 5 WHEN 0 THEN 200 WHEN 1 THEN 429 WHEN 2 THEN 500 WHEN 3 THEN 404 ELSE 503 END) IN (429, 500, 502, 503, 504) OR contains(lower(html), 'timeout') OR contains(lower(html), 'nav') AS retry FROM pages")
+def retry_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.element_at(F.array(*[F.lit(s) for s in (200, 429, 500, 404, 503)]), (F.col("page_id") % 5 + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", text.retryable(status, F.col("html"), ("timeout", "nav")).alias("retry"))
+
+
+@query("SELECT event_id, round(least(0.5 * power(2, event_id % 10), 30.0) + (event_id % 4) * 0.25, 6) AS seconds FROM events")
+def retry_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seconds = text.backoff(F.col("event_id") % 10, 0.5, 30.0, (F.col("event_id") % 4) * F.lit(0.25))
+    return table(spark, sf_dir, "events").select("event_id", F.round(seconds, 6).alias("seconds"))
+
+
+@query("""WITH v AS (SELECT p_partkey, p_size / 50.0 AS s, CAST(p_size AS DOUBLE) AS h FROM part)
+SELECT p_partkey, round(CASE WHEN s <= 0 THEN 0.0 WHEN s <= 0.2 THEN s * 2 WHEN s <= 0.6 THEN 0.4 + (s - 0.2) * 1.25 WHEN s <= 1 THEN 0.9 + (s - 0.6) * 0.25 ELSE 1.0 END, 6) AS ramp, greatest(0, h - 0.8) AS wall_m, CAST(p_partkey % 3 AS BIGINT) AS variant FROM v""")
+def style_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ramp = text.colour_stop(F.col("p_size") / 50.0, [(0.0, 0.0), (0.2, 0.4), (0.6, 0.9), (1.0, 1.0)])
+    feature = F.concat(F.lit("way/"), F.col("p_partkey").cast("string"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.round(ramp, 6).alias("ramp"), F.greatest(F.lit(0.0), F.col("p_size") - 0.8).alias("wall_m"), text.facade_variant(feature).alias("variant"))
+
+
+@query("SELECT o_custkey, arg_max(sha256(o_orderpriority || CAST(o_orderkey AS VARCHAR)), (o_orderdate, o_orderkey)) AS sha256, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS size FROM orders GROUP BY o_custkey")
+def artifact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.sha2(F.concat("o_orderpriority", F.col("o_orderkey").cast("string")), 256)
+    rows = table(spark, sf_dir, "orders").select("o_custkey", F.struct("o_orderdate", "o_orderkey").alias("at"), F.struct(digest.alias("sha256"), F.col("o_totalprice").alias("size")).alias("entry"))
+    return rows.groupBy("o_custkey").agg(F.max_by("entry", "at").alias("entry")).select("o_custkey", "entry.*")
