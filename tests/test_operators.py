@@ -221,3 +221,102 @@ def test_manifest(spark, tmp_path):
     assert "$.extra: is not allowed" in broken and "$.run_id: has a wrong form" in broken and "$.artifacts[0].sha256: has a wrong form" in broken
     rows = spark.range(20).withColumn("v", F.col("id") * 2)
     assert manifest.content_digest(rows) == manifest.content_digest(rows.repartition(3)) != manifest.content_digest(rows.limit(19))
+
+
+def tile_pixels(spark, tiles_, size, value):
+    rows = [(x, y, r, c, value(x, y, r, c)) for x, y in tiles_ for r in range(size) for c in range(size)]
+    return spark.createDataFrame(rows, "x int, y int, row int, col int, v int")
+
+
+def test_mosaics(spark):
+    from terraloom.operators import mosaics
+
+    size, overlap = 12, 0.25  # a margin of 2 and a core of 8
+    places = [(0, 0), (1, 0), (0, 1)]
+    world = tile_pixels(spark, places, size, lambda x, y, r, c: (y * 8 + r) * 31 + (x * 8 + c) * 7)
+    want = {(y * 8 + r, x * 8 + c): (y * 8 + r + 2) * 31 + (x * 8 + c + 2) * 7 for x, y in places for r in range(8) for c in range(8)}
+    got = {(r.out_row, r.out_col): r.v for r in mosaics.cropped(world, size, overlap).collect()}
+    assert got == want
+    mixed = {(r.out_row, r.out_col): r.v for r in mosaics.blended(world, size, overlap, ["v"]).collect()}
+    assert {k: mixed[k] for k in want} == want  # tiles agree, so blending changes nothing
+    darker = mosaics.cropped(world, size, overlap).withColumn("v", F.lit(0))
+    back = mosaics.written_back(world, darker, size, overlap, ["v"])
+    assert {r.v == 0 for r in back.where("row BETWEEN 2 AND 9 AND col BETWEEN 2 AND 9").collect()} == {True}
+    assert back.where("row < 2 AND v <> 0").count() == world.where("row < 2 AND v <> 0").count()
+    assert mosaics.layout_report(world).first().asDict() == {"x_min": 0, "x_max": 1, "y_min": 0, "y_max": 1, "expected": 4, "found": 3, "missing": 1}
+
+
+def test_harmonised_seams(spark):
+    from terraloom.operators import mosaics
+
+    flat = tile_pixels(spark, [(0, 0), (1, 0)], 12, lambda x, y, r, c: 100 + 40 * x)
+    seam = tiles.neighbours(flat.select("x", "y").distinct())
+    out = {(r.x, r.col): r.v for r in mosaics.harmonised_seams(flat, seam, 12, 0.25, 4, ["v"]).where("row = 5").collect()}
+    assert [out[0, c] for c in (5, 6, 7, 8, 9)] == [100, 105, 110, 115, 120] and [out[1, c] for c in (2, 3, 4, 5, 6)] == [120, 125, 130, 135, 140]
+
+
+def test_imaging(spark):
+    from terraloom.operators import imaging
+
+    image = np.random.default_rng(4).integers(0, 256, (30, 41, 3)).astype(np.uint8)
+    small = imaging.box_downscaled(image, 0.3)
+    assert small.shape == (9, 12, 3) and small.mean() == pytest.approx(image.mean())
+    out = imaging.stylised(image, colours=6)
+    assert out.shape == image.shape and len(np.unique(out.reshape(-1, 3), axis=0)) <= 7
+    table = spark.createDataFrame([(0, 0, images.encode_png(image)), (1, 0, images.encode_png(image[:, :, 0]))], "x int, y int, content binary")
+    assert [images.decode_png(bytes(r.content)).shape for r in imaging.stylised_tiles(table).orderBy("x").collect()] == [(30, 41, 3)] * 2
+    mask = imaging.rasterised(box(1, 1, 3, 3), 0, 4, 1, 4, 4)
+    assert mask.tolist() == [[0, 0, 0, 0], [0, 1, 1, 0], [0, 1, 1, 0], [0, 0, 0, 0]]
+    rows = [(g.to_wkb(box(10, 10, 20, 20)), 5.0), (g.to_wkb(box(60, 10, 70, 20)), 3.0), (None, 1.0)]
+    drawn = imaging.rendered(spark.createDataFrame(rows, "geometry binary, height_m double"), 32, 1.0, 1.0).collect()
+    first = next(images.decode_png(bytes(r.content)) for r in drawn if (r.tx, r.ty) == (0, 0))
+    assert first.shape == (32, 32, 3) and (first[10, 0] == imaging.ROOF).all() and len(np.unique(first.reshape(-1, 3), axis=0)) >= 3
+
+
+def test_generation(spark):
+    from terraloom.operators import generation
+
+    lines = spark.createDataFrame([(0, "# note"), (1, " A cat "), (2, ""), (3, "Dogs!"), (4, "more")], "line_no int, value string")
+    asked = generation.requests(generation.prompts(lines, 2), 2, 7)
+    assert {r.file for r in asked.collect()} == {"0001-a-cat-v00-c00.png", "0001-a-cat-v01-c00.png", "0002-dogs-v00-c00.png", "0002-dogs-v01-c00.png"}
+
+    def model(prompt, seed):
+        if prompt.startswith("D"):
+            raise ValueError("no dogs")
+        return generation.echo(prompt, seed)
+
+    done = generation.generated(asked, model, 2).cache()
+    assert generation.run_report(done).first().asDict() == {"total": 4, "ok": 2, "failed": 2, "all_failed": False}
+    calls = []
+
+    def flaky():
+        calls.append(1)
+        if len(calls) < 3:
+            raise TimeoutError
+        return b"x"
+
+    assert generation.with_retries(flaky, lambda e: True, 3, lambda n: 0, lambda s: None) == b"x"
+    answer = json.dumps({"candidates": [{"content": {"parts": [{"text": "hi"}, {"inlineData": {"mimeType": "image/png", "data": "AA"}}]}}, {"content": {"parts": []}}]})
+    blocked = json.dumps({"promptFeedback": {"blockReason": "SAFETY"}})
+    got = [r.i for r in spark.createDataFrame([(answer,), (blocked,), ("{",)], "a string").select(generation.response_images(F.col("a")).alias("i")).collect()]
+    assert [(p.mime, p.data) for p in got[0]] == [("image/png", "AA")] and got[1:] == [None, None]
+    import hashlib
+
+    key = spark.range(1).select(generation.cache_key({"b": F.lit("x y"), "a": F.lit(3)}).alias("k")).first().k
+    assert key == hashlib.sha256(json.dumps({"b": "x y", "a": 3}, sort_keys=True).encode()).hexdigest()
+
+
+def test_choice_along_the_grid(spark):
+    from terraloom.operators import generation
+
+    rng = np.random.default_rng(9)
+    own = [(x, y, v, float(rng.random())) for x in range(3) for y in range(3) for v in range(3)]
+    pairs = [(x, y, v, ox, oy, w, float(rng.random())) for x in range(3) for y in range(3) for ox, oy in ((x - 1, y), (x, y - 1)) if ox >= 0 and oy >= 0 for v in range(3) for w in range(3)]
+    got = {(r.x, r.y): r.variant for r in generation.chosen_along_grid(spark.createDataFrame(own, "x int, y int, variant int, cost double"), spark.createDataFrame(pairs, "x int, y int, variant int, ox int, oy int, other_variant int, cost double")).collect()}
+    cost = {p[:6]: p[6] for p in pairs}
+    want: dict = {}
+    for y in range(3):
+        for x in range(3):
+            scores = [c + sum(cost[x, y, v, ox, oy, want[ox, oy]] for ox, oy in ((x - 1, y), (x, y - 1)) if (ox, oy) in want) for a, b, v, c in own if (a, b) == (x, y)]
+            want[x, y] = int(np.argmin(scores))
+    assert got == want
