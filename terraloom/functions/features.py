@@ -37,14 +37,13 @@ def hex_number(digits: Column) -> Column:
 
 
 def parsed_height(raw: Column) -> Column:
-    """Metres of ``12``, ``12.5`` or ``12 m``; null for anything else and for 0."""
-    number = F.regexp_extract(raw, r"(?i)^\s*([0-9]+(?:\.[0-9]+)?)\s*m?\s*$", 1).try_cast("double")
-    return F.when(number > 0, number)
+    """Metres of ``12``, ``12.5``, ``12 m`` or ``0``; null for anything else. White space is Unicode's."""
+    return F.regexp_extract(raw, r"(?iU)^\s*([0-9]+(?:\.[0-9]+)?)\s*m?\s*$", 1).try_cast("double")
 
 
 def parsed_levels(raw: Column) -> Column:
     """The leading whole number; null if there is none or it is 0."""
-    number = F.regexp_extract(raw, r"^\s*([0-9]+)", 1).try_cast("int")
+    number = F.regexp_extract(raw, r"(?U)^\s*([0-9]+)", 1).try_cast("int")
     return F.when(number > 0, number)
 
 

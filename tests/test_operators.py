@@ -55,10 +55,10 @@ def test_layer_tags(spark):
 
 
 def test_heights(spark):
-    rows = spark.createDataFrame([("way/101", "12m", None), ("way/102", None, "3"), ("way/103", None, None), (None, "12,5", "-1"), ("a", "12 M", None), ("b", "0", " 7 floors"), ("c", "40 ft", "3.5")], "id string, height string, building_levels string")
+    rows = spark.createDataFrame([("way/101", "12m", None), ("way/102", None, "3"), ("way/103", None, None), (None, "12,5", "-1"), ("a", "12 M", None), ("b", "0", "2"), ("d", None, " 7 floors"), ("c", "40 ft", "3.5")], "id string, height string, building_levels string")
     out = {r.id: (round(r.height_m, 6), r.levels_int, r.height_source) for r in heights.with_heights(rows).collect()}
     assert out["way/101"] == (12.0, None, "height") and out["way/102"] == (9.6, 3, "levels") and out["way/103"] == (9.92, None, "heuristic")
-    assert out["a"] == (12.0, None, "height") and out["b"] == (22.4, 7, "levels") and out["c"] == (9.6, 3, "levels") and out[None][2] == "heuristic"
+    assert out["a"] == (12.0, None, "height") and out["b"] == (0.0, None, "height") and out["d"] == (22.4, 7, "levels") and out["c"] == (9.6, 3, "levels") and out[None][2] == "heuristic"
     again = heights.with_heights(heights.with_heights(rows))
     assert again.columns == ["id", "height", "building_levels", "height_m", "levels_int", "height_source"]
     bare = heights.with_heights(spark.createDataFrame([("x",)], "id string"))
