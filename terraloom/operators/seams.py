@@ -81,3 +81,52 @@ def harmonised(pairs: DataFrame, half: int) -> DataFrame:
     weight = F.greatest(F.lit(0.0), F.lit(1.0) - F.col("distance") / F.lit(float(half)))
     mean = (F.col("a") + F.col("b")) / 2
     return pairs.withColumn("a", F.col("a") + (mean - F.col("a")) * weight).withColumn("b", F.col("b") + (mean - F.col("b")) * weight)
+
+
+def strip_scores(candidates: DataFrame, chosen: DataFrame, size: int, strip: int, weights: dict[str, float] | None = None) -> DataFrame:
+    """Seam score of each candidate (x, y, variant, row, col, value) against chosen tiles (x, y, row, col, value) to its left and above, over strips of overlap.
+
+    The candidate's first ``strip`` columns lie over the left tile's last ones, its first rows over the upper tile's last ones.
+    """
+    strip = max(1, strip)
+    parts = []
+    for across, dx, dy in (("col", 1, 0), ("row", 0, 1)):
+        mine = candidates.where(F.col(across) < strip)
+        theirs = chosen.where(F.col(across) >= size - strip).select((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"), *[(F.col(c) - (size - strip if c == across else 0)).alias(c) for c in ("row", "col")], F.col("value").alias("other"))
+        parts.append(mine.join(theirs, ["x", "y", "row", "col"]).withColumn("side", F.lit(across)))
+    both = parts[0].unionByName(parts[1])
+    gap = F.col("value") - F.col("other")
+    metrics = both.groupBy("x", "y", "variant", "side").agg(F.avg(F.abs(gap)).alias("rgb_l1"), F.avg(gap * gap).alias("rgb_l2"))
+    score = seam_score({"rgb_l1": F.col("rgb_l1"), "rgb_l2": F.col("rgb_l2")}, {k: v for k, v in usable_weights(weights).items() if k != "sobel_l1"})
+    return metrics.groupBy("x", "y", "variant").agg(F.sum(score).alias("seam"))
+
+
+def heat_colour(level: Column) -> list[Column]:
+    """Red, green and blue of a level from 0 to 1: black, red, yellow, white."""
+    clip = lambda v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v))
+    return [F.rint(clip(level * 3 - k) * 255).cast("int").alias(c) for k, c in enumerate("rgb")]
+
+
+def heatmap(profiles: DataFrame) -> DataFrame:
+    """A pixel of each place along a seam (out_row, out_col, axis, l1), as a share of the greatest; at crossings the horizontal seam shows."""
+    # The greatest value is one row, so the cross join adds a column and no rows.
+    top = profiles.agg(F.max("l1").alias("top"))
+    level = profiles.crossJoin(F.broadcast(top)).withColumn("level", F.when(F.col("top") > 0, F.col("l1") / F.col("top")).otherwise(F.lit(0.0)))
+    shown = level.groupBy("out_row", "out_col").agg(F.max_by("level", F.when(F.col("axis") == "h", 1).otherwise(0)).alias("level"))
+    return shown.select("out_row", "out_col", *heat_colour(F.col("level")))
+
+
+def skip_reasons(pairs: DataFrame) -> DataFrame:
+    return pairs.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def index_gaps(tiles: DataFrame, axis: str) -> DataFrame:
+    """Consecutive indices along an axis that aren't neighbours: at, next."""
+    found = tiles.select(F.col(axis).alias("at")).distinct()
+    after = found.select((F.col("at") - 1).alias("at"), F.lit(True).alias("has_next"))
+    ends = found.join(after, "at", "left").where("has_next IS NULL").select("at")
+    starts = found.select((F.col("at")).alias("next")).join(found.select((F.col("at") + 1).alias("next")), "next", "left_anti")
+    # Distinct indices of an axis are few (a tile set's side), so ordering them in one task is its size.
+    a = ends.selectExpr("at", "row_number() OVER (ORDER BY at) AS n")
+    b = starts.selectExpr("next", "row_number() OVER (ORDER BY next) - 1 AS n")
+    return a.join(b, "n").select("at", "next")

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.functions import features, text
+from terraloom.functions import features, rules, text
 from terraloom.functions.projection import mercator_forward, utm_forward, utm_zone
 from terraloom.operators import coverage, heights, rasters, seams, tiles
 
@@ -301,3 +301,56 @@ def artifact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(F.concat("o_orderpriority", F.col("o_orderkey").cast("string")), 256)
     rows = table(spark, sf_dir, "orders").select("o_custkey", F.struct("o_orderdate", "o_orderkey").alias("at"), F.struct(digest.alias("sha256"), F.col("o_totalprice").alias("size")).alias("entry"))
     return rows.groupBy("o_custkey").agg(F.max_by("entry", "at").alias("entry")).select("o_custkey", "entry.*")
+
+
+# --- rules ----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT00:00:00.000Z') AS instant FROM orders")
+def http_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    header = F.date_format("o_orderdate", "EEE, dd MMM yyyy '00:00:00 GMT'")
+    return table(spark, sf_dir, "orders").select("o_orderkey", rules.instant_of_http_date(header).alias("instant"))
+
+
+@query("SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) || '-05-01T00:00:00Z/' || CAST(year(o_orderdate) AS VARCHAR) || '-09-30T23:59:59Z' AS season FROM orders")
+def season_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.season_range(F.year("o_orderdate"), "05-01", "09-30").alias("season"))
+
+
+@query("SELECT p_partkey, CAST(greatest(p_size, ceil(1.0 / ((p_partkey % 20 + 1) / 40.0))) AS INTEGER) AS steps, CAST(CASE WHEN floor((p_partkey % 20 + 1) / 40.0 * p_size) < 1 THEN greatest(p_size, ceil(1.0 / ((p_partkey % 20 + 1) / 40.0))) ELSE p_size END AS INTEGER) AS raised, CAST(greatest(8, floor(p_size * 7 / 8) * 8) AS INTEGER) AS side FROM part")
+def generation_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    strength = (F.col("p_partkey") % 20 + 1) / F.lit(40.0)
+    return table(spark, sf_dir, "part").select("p_partkey", rules.effective_steps(F.col("p_size"), strength).alias("steps"), rules.raised_steps(F.col("p_size"), strength).alias("raised"), rules.multiple_of_eight(F.col("p_size") * 7).alias("side"))
+
+
+@query("""WITH p AS (SELECT user_id, value AS x, CAST(event_id % 1000 AS DOUBLE) AS y FROM events)
+SELECT user_id, min(x) AS west, min(y) AS south, max(x) AS east, max(y) AS north, min(x) >= -1000 AND min(y) >= 0 AND max(x) <= 100 AND max(y) <= 999 AS inside FROM p GROUP BY user_id""")
+def point_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = F.collect_list(F.array("value", (F.col("event_id") % 1000).cast("double")))
+    found = table(spark, sf_dir, "events").groupBy("user_id").agg(rules.bbox_of(points).alias("b"))
+    frame = F.array(*[F.lit(v) for v in (-1000.0, 0.0, 100.0, 999.0)])
+    return found.select("user_id", *[F.col("b")[i].alias(n) for i, n in enumerate(("west", "south", "east", "north"))], rules.covers(frame, F.col("b"), 0.0).alias("inside"))
+
+
+@query(f"WITH {_TILES_SQL}, d AS (SELECT DISTINCT x FROM t WHERE x % 7 NOT IN (2, 3)), n AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx FROM d) SELECT x AS gap_from, nx AS gap_to FROM n WHERE nx > x + 1")
+def tile_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seams.index_gaps(_tiles(spark, sf_dir).where("x % 7 NOT IN (2, 3)"), "x").toDF("gap_from", "gap_to")
+
+
+@query("""WITH e AS (SELECT vec_id, CAST(vec_id % 20 AS INTEGER) AS place, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings),
+p AS (SELECT a.vec_id, b.vec_id AS other, k, (a.v[8 * k + 1] - b.v[8 * k + 8]) AS g FROM e a JOIN e b ON b.vec_id = a.vec_id - 1 AND a.place > 0, (SELECT unnest(range(8)) AS k))
+SELECT place, vec_id // 20 AS variant_row, round(avg(abs(g)) + 0.25 * avg(g * g), 9) AS seam FROM p JOIN e USING (vec_id) GROUP BY place, vec_id // 20""")
+def candidate_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors are rows of 20 tiles of 8 x 8 pixels, each scored against its left neighbour."""
+    pixels = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 20).cast("int").alias("x"), F.floor(F.col("vec_id") / 20).alias("y"), F.posexplode("embedding").alias("at", "v"))
+    pixels = pixels.select("x", (F.col("y") * 2).alias("y"), F.floor(F.col("at") / 8).cast("int").alias("row"), (F.col("at") % 8).alias("col"), F.col("v").cast("double").alias("value"))
+    scored = seams.strip_scores(pixels.withColumn("variant", F.lit(0)), pixels, 8, 1)
+    return scored.select(F.col("x").alias("place"), (F.col("y") / 2).cast("bigint").alias("variant_row"), F.round("seam", 9).alias("seam"))
+
+
+@query("""WITH p AS (SELECT l_suppkey, l_linenumber, avg(abs(l_extendedprice - l_quantity)) AS l1 FROM lineitem GROUP BY 1, 2), n AS (SELECT *, l1 / (SELECT max(l1) FROM p) AS level FROM p)
+SELECT CAST(l_suppkey AS BIGINT) AS out_row, l_linenumber AS out_col, CAST(round_even(greatest(0, least(1, level * 3)) * 255, 0) AS INTEGER) AS r, CAST(round_even(greatest(0, least(1, level * 3 - 1)) * 255, 0) AS INTEGER) AS g, CAST(round_even(greatest(0, least(1, level * 3 - 2)) * 255, 0) AS INTEGER) AS b FROM n""")
+def seam_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sides = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("out_row"), F.col("l_linenumber").alias("out_col"), F.col("l_extendedprice").alias("a"), F.col("l_quantity").alias("b"))
+    profile = seams.seam_profile(sides, ["out_row"], "out_col").withColumn("axis", F.lit("v"))
+    return seams.heatmap(profile)

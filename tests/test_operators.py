@@ -320,3 +320,48 @@ def test_choice_along_the_grid(spark):
             scores = [c + sum(cost[x, y, v, ox, oy, want[ox, oy]] for ox, oy in ((x - 1, y), (x, y - 1)) if (ox, oy) in want) for a, b, v, c in own if (a, b) == (x, y)]
             want[x, y] = int(np.argmin(scores))
     assert got == want
+
+
+def test_windows_and_repairs(spark):
+    from terraloom.operators import windows
+
+    rows = [(r, c, r + c) for r in range(70) for c in range(100)]
+    mosaic = spark.createDataFrame(rows, "out_row int, out_col int, v int")
+    same = windows.painted(mosaic, 70, 100, lambda image, seed: image, ["v"], 64, 16)
+    assert {tuple(r) for r in same.collect()} == set(rows)
+    lighter = windows.painted(mosaic, 70, 100, lambda image, seed: image + 10, ["v"], 64, 16)
+    assert {(r.out_row, r.out_col, r.v - 10) for r in lighter.collect()} == set(rows)
+    marks = spark.createDataFrame([(20, 30)], "mark_row int, mark_col int")
+    fixed = {(r.out_row, r.out_col): r.v for r in windows.repaired_around(mosaic, marks, 8, lambda image, seed: image + 100, ["v"]).collect()}
+    assert fixed[0, 0] == 0 and fixed[20, 30] > 120 and fixed[20, 37] - 57 < 10 and len(fixed) == len(rows)
+
+
+def test_rules(spark):
+    from terraloom.functions import rules
+
+    assert rules.year_list("2019, 2017,2019") == [2017, 2019] and rules.year_list("2020-2018") == [2018, 2019, 2020] and rules.year_list("2021") == [2021]
+    for bad in ("x", "1000-2000", "20"):
+        with pytest.raises(ValueError):
+            rules.year_list(bad)
+    assert rules.byte_range("bytes=0-3", 26) == (0, 3) and rules.byte_range("bytes=-5", 26) == (21, 25) and rules.byte_range("bytes=20-", 26) == (20, 25) and rules.byte_range(None, 26) is None
+    for bad in ("bytes=0-1,3-4", "bytes=30-", "bytes=-", "lines=1-2"):
+        with pytest.raises(ValueError):
+            rules.byte_range(bad, 26)
+    shape = '{"type":"Point","coordinates":[1,2]}'
+    row = spark.range(1).select(
+        rules.first_geometry(F.lit('{"features":[{"geometry":%s}]}' % shape)).alias("a"), rules.first_geometry(F.lit('{"type":"Feature","geometry":%s}' % shape)).alias("b"), rules.first_geometry(F.lit(shape)).alias("c"),
+        rules.usable_overlap(F.lit('{"overlap":0.1}')).alias("d"), rules.usable_overlap(F.lit('{"overlap":0.9}')).alias("e"), rules.layer_list(F.lit("roads, green,roads,x"), ("green", "water", "roads")).alias("f"),
+        rules.instant_of_http_date(F.lit("Sat, 07 Feb 2026 01:02:03 GMT")).alias("g"), rules.instant_of_http_date(F.lit("soon")).alias("h"), rules.bbox_ring(*map(F.lit, (0, 1, 2, 3))).alias("i"),
+    ).first()
+    assert row.a == row.b == row.c == shape and (row.d, row.e, row.f) == (0.1, 0.0, ["green", "roads"])
+    assert (row.g, row.h, row.i) == ("2026-02-07T01:02:03.000Z", None, [[0, 1], [2, 1], [2, 3], [0, 3], [0, 1]])
+
+
+def test_strips_gaps_and_heat(spark):
+    a = tile_pixels(spark, [(0, 0), (1, 0)], 4, lambda x, y, r, c: 10 * x + c).withColumnRenamed("v", "value")
+    own = a.where("x = 1").withColumn("variant", F.lit(0))
+    got = seams.strip_scores(own, a, 4, 2).first()
+    assert got.seam == pytest.approx(8 + 0.25 * 64)  # columns 0, 1 of the right tile over columns 2, 3 of the left one
+    assert seams.index_gaps(spark.createDataFrame([(0, 0), (1, 0), (4, 0), (6, 0)], "x int, y int"), "x").collect() == [(1, 4), (4, 6)]
+    heat = seams.heatmap(spark.createDataFrame([(0, 0, "v", 4.0), (0, 0, "h", 2.0), (1, 0, "v", 4.0)], "out_row int, out_col int, axis string, l1 double"))
+    assert {(r.out_row, r.r, r.g, r.b) for r in heat.collect()} == {(0, 255, 128, 0), (1, 255, 255, 255)}
