@@ -72,7 +72,7 @@ def usable_overlap(tileset: Column) -> Column:
 
 def layer_list(query: Column, known: tuple[str, ...]) -> Column:
     """Known layers of a comma-separated list, in the known order, without repeats."""
-    asked = F.transform(F.split(F.coalesce(query, F.lit("")), ","), F.trim)
+    asked = F.transform(F.split(F.coalesce(query, F.lit("")), ","), lambda name: F.trim(name))
     return F.filter(F.array(*map(F.lit, known)), lambda name: F.array_contains(asked, name))
 
 
