@@ -35,8 +35,8 @@ BANDS, ROWS, BINS, SKETCH_BITS = 48, 5, 4096, 4096
 #: Sketches must suggest at least so much similarity, over four standard errors below the threshold; the second holds from LONG shingles on.
 LEAST_ESTIMATES, LONG = (0.72, 0.715), 1000
 BLOCK = 2048
-#: Rows of 16 to 24 bytes that may be broadcast (under 50 MB).
-BROADCAST_ROWS = 2_000_000
+#: Rows of pairs that may be broadcast (about 40 bytes each); more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 SALTS = 16
 
 
@@ -143,9 +143,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     wanted = pairs.select("a", F.col("b").alias("doc_id"), F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt"))
     members = wanted.withColumn("leads", F.lit(False))
     leaders = wanted.select("a", F.col("a").alias("doc_id"), "salt").distinct().withColumn("leads", F.lit(True))
-    groups = written(members.unionByName(leaders).groupBy("doc_id").agg(F.collect_list(F.struct("a", "salt", "leads")).alias("groups")), "groups")
-    texts = docs.select("doc_id", "text").join(maybe_broadcast(groups, groups.count(), BROADCAST_ROWS), "doc_id")
-    texts = texts.select("doc_id", "text", F.inline("groups"))
+    sent = written(members.unionByName(leaders), "sent")
+    texts = docs.select("doc_id", "text").join(maybe_broadcast(sent, sent.count(), BROADCAST_ROWS), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, leader = None, None
