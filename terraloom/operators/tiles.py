@@ -99,3 +99,27 @@ def missing_tiles(tiles: DataFrame) -> DataFrame:
     ends = tiles.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).where("x0 IS NOT NULL")
     every = ends.select("y0", "y1", F.explode(F.sequence("x0", "x1")).alias("x")).select("x", F.explode(F.sequence("y0", "y1")).alias("y"))
     return every.join(tiles.select("x", "y"), ["x", "y"], "left_anti")
+
+
+def pyramid_layout(spark: SparkSession, bounds: tuple[float, float, float, float], size: int, overlap: float, top: float = 0.0, most: int | None = None) -> DataFrame:
+    """Tiles of a view (u0, v0, u1, v1): x, y, the left upper corner of each tile's core and of the whole tile. A quarter tile is added around, and ``top`` above for what stands up."""
+    core = size / (1 + 2 * overlap)
+    u0, v0 = bounds[0] - size / 4, bounds[1] - size / 4 - top
+    columns, rows = (max(1, -int(-(high - low) // core)) for low, high in ((u0, bounds[2] + size / 4), (v0, bounds[3] + size / 4)))
+    tiles = spark.range(columns).select(F.col("id").cast("int").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("y"))
+    tiles = tiles if most is None else tiles.orderBy("x", "y").limit(most)
+    margin = (size - core) / 2
+    return tiles.select("x", "y", (F.col("x") * core + u0).alias("core_u"), (F.col("y") * core + v0).alias("core_v"), (F.col("x") * core + u0 - margin).alias("u"), (F.col("y") * core + v0 - margin).alias("v"))
+
+
+def layer_features(layers: dict[str, DataFrame], buildings: DataFrame | None = None) -> dict[str, DataFrame]:
+    """What the vector tilers read: one table of the base layers with their class, and buildings with id and height."""
+    base = None
+    for name in ("green", "roads", "water"):
+        if name in layers:
+            part = layers[name].select(F.lit(name).alias("layer"), "class", "geometry")
+            base = part if base is None else base.unionByName(part)
+    out = {} if base is None else {"base": base}
+    if buildings is not None:
+        out["buildings"] = buildings.select("id", "height_m", "height_source", "geometry")
+    return out
