@@ -23,7 +23,7 @@ from terraloom.llm.common import Adam, fold, labelled_sample, sigmoid, text_bloc
 
 MODULUS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 SAMPLE, SAMPLE_BYTES = {0: 2400, 1: 1600}, 8_000
-BUCKETS, DIM, SEGMENT, SIZES = 1 << 18, 8, 6, (3, 4, 5)
+BUCKETS, DIM, SEGMENT, SIZES = 1 << 18, 8, 3, (3, 4, 5)
 EPOCHS, LEAST_STEPS, BATCH, RATE, SHARPNESS = 14, 400, 100, 0.01, 1.0
 
 _FOLDED = np.arange(256, dtype=np.uint8)
