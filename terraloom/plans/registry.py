@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from terraloom.functions import features, rules, text
 from terraloom.functions.projection import mercator_forward, utm_forward, utm_zone
-from terraloom.operators import coverage, heights, rasters, seams, tiles
+from terraloom.operators import coverage, heights, ingest, mosaics, rasters, seams, tiles
+from terraloom.sources import manifest, stac
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -354,3 +355,73 @@ def seam_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("out_row"), F.col("l_linenumber").alias("out_col"), F.col("l_extendedprice").alias("a"), F.col("l_quantity").alias("b"))
     profile = seams.seam_profile(sides, ["out_row"], "out_col").withColumn("axis", F.lit("v"))
     return seams.heatmap(profile)
+
+
+# --- mosaics and joins of tiles: vectors as tiles of 8 x 8 pixels, 20 in a row, with a margin of one pixel at each side ---
+
+_MOSAIC_SQL = "t AS (SELECT CAST(vec_id % 20 AS INTEGER) AS x, CAST(vec_id // 20 AS INTEGER) AS y, CAST(k // 8 AS INTEGER) AS r, CAST(k % 8 AS INTEGER) AS c, CAST(floor(embedding[k + 1] * 1000) AS INTEGER) + 1000 AS v FROM embeddings, (SELECT unnest(range(64)) AS k))"
+
+
+def _mosaic_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pixels = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 20).cast("int").alias("x"), F.floor(F.col("vec_id") / 20).cast("int").alias("y"), F.posexplode("embedding").alias("k", "f"))
+    return pixels.select("x", "y", F.floor(F.col("k") / 8).cast("int").alias("row"), (F.col("k") % 8).cast("int").alias("col"), (F.floor(F.col("f") * 1000) + 1000).cast("int").alias("v"))
+
+
+@query(f"WITH {_MOSAIC_SQL} SELECT y * 6 + r - 1 AS out_row, x * 6 + c - 1 AS out_col, v FROM t WHERE r BETWEEN 1 AND 6 AND c BETWEEN 1 AND 6")
+def mosaic_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mosaics.cropped(_mosaic_pixels(spark, sf_dir), 8, 1 / 6)
+
+
+@query(f"""WITH {_MOSAIC_SQL}, a AS (SELECT r, l.x, l.y, l.v + (n.v - l.v) / 2.0 AS v FROM t l JOIN t n USING (r) WHERE n.x = l.x + 1 AND n.y = l.y AND l.c = 6 AND n.c = 1)
+SELECT x, y, r AS along, round(v, 6) AS seam_value FROM a""")
+def seam_meeting_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both sides of each vertical seam become at the seam itself."""
+    pixels = _mosaic_pixels(spark, sf_dir)
+    strips = mosaics.seam_strips(pixels, tiles.neighbours(pixels.select("x", "y").distinct()).where("axis = 'v'"), 8, 1 / 6, 1, ["v"])
+    met = seams.harmonised(strips.withColumnRenamed("a_v", "a").withColumnRenamed("b_v", "b"), 1)
+    return met.select("x", "y", "along", F.round(F.col("a").cast("double"), 6).alias("seam_value"))
+
+
+@query("SELECT max(x) - min(x) + 1 AS width, CAST((max(x) - min(x) + 1) * (max(y) - min(y) + 1) AS BIGINT) AS expected, count(*) AS found, CAST((max(x) - min(x) + 1) * (max(y) - min(y) + 1) AS BIGINT) - count(*) AS missing FROM (SELECT DISTINCT CAST(p_partkey % 60 AS INTEGER) AS x, CAST(floor(p_partkey / 60) AS INTEGER) % 70 AS y FROM part WHERE p_size < 40)")
+def mosaic_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mosaics.layout_report(_tiles(spark, sf_dir)).select((F.col("x_max") - F.col("x_min") + 1).alias("width"), "expected", "found", "missing")
+
+
+@query("""WITH o AS (SELECT o_orderkey AS id, CAST(o_orderkey * 37 % 9000 AS DOUBLE) AS x0, CAST(o_custkey * 53 % 9000 AS DOUBLE) AS y0, CAST(o_orderkey * 37 % 9000 + 3 + o_orderkey % 60 AS DOUBLE) AS x1, CAST(o_custkey * 53 % 9000 + 3 + o_custkey % 60 AS DOUBLE) AS y1 FROM orders),
+c AS (SELECT c_custkey AS id, CAST(c_custkey * 91 % 9000 AS DOUBLE) AS x0, CAST(c_custkey * 17 % 9000 AS DOUBLE) AS y0, CAST(c_custkey * 91 % 9000 + 200 AS DOUBLE) AS x1, CAST(c_custkey * 17 % 9000 + 100 AS DOUBLE) AS y1 FROM customer)
+SELECT c.id AS c_custkey, count(*) AS met FROM c JOIN o ON o.x0 < c.x1 AND c.x0 < o.x1 AND o.y0 < c.y1 AND c.y0 < o.y1 GROUP BY c.id""")
+def spatial_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def box(name: str, key: str, x: F.Column, y: F.Column, w: F.Column, h: F.Column, out: str) -> DataFrame:
+        return table(spark, sf_dir, name).select(F.col(key).alias(out), x.cast("double").alias("x0"), y.cast("double").alias("y0"), (x + w).cast("double").alias("x1"), (y + h).cast("double").alias("y1"))
+
+    o, c = F.col("o_orderkey"), F.col("c_custkey")
+    orders = box("orders", "o_orderkey", o * 37 % 9000, F.col("o_custkey") * 53 % 9000, 3 + o % 60, 3 + F.col("o_custkey") % 60, "rid")
+    customers = box("customer", "c_custkey", c * 91 % 9000, c * 17 % 9000, F.lit(200), F.lit(100), "lid")
+    return ingest.spatial_pairs(customers, orders, 250).groupBy(F.col("lid").alias("c_custkey")).agg(F.count("*").alias("met"))
+
+
+@query("""WITH o AS (SELECT 'file/' || CAST(o_custkey % 500 AS VARCHAR) AS path, sha256(CAST(o_orderkey AS VARCHAR)) AS sha256, o_orderkey AS size, o_orderkey AS seq FROM orders),
+e AS (SELECT 'file/' || CAST(c_custkey % 700 AS VARCHAR) AS path, max(sha256(CAST(c_custkey AS VARCHAR))) AS sha256, max(c_custkey) AS size FROM customer GROUP BY 1),
+n AS (SELECT path, arg_max(sha256, seq) AS sha256, arg_max(size, seq) AS size FROM o GROUP BY path)
+SELECT coalesce(n.path, e.path) AS path, coalesce(n.sha256, e.sha256) AS sha256, CAST(coalesce(n.size, e.size) AS BIGINT) AS size FROM e FULL JOIN n ON n.path = e.path""")
+def manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = lambda c, m: F.concat(F.lit("file/"), (F.col(c) % m).cast("string")).alias("path")
+    digest = lambda c: F.sha2(F.col(c).cast("string"), 256)
+    new = table(spark, sf_dir, "orders").select(file("o_custkey", 500), digest("o_orderkey").alias("sha256"), F.col("o_orderkey").alias("size"), F.col("o_orderkey").alias("at"))
+    old = table(spark, sf_dir, "customer").groupBy(file("c_custkey", 700)).agg(F.max(digest("c_custkey")).alias("sha256"), F.max("c_custkey").alias("size"))
+    return manifest.upserted(old, new)
+
+
+@query("""SELECT 'scene/' || CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS datetime, CASE WHEN event_id % 5 <> 0 THEN CAST(event_id % 100 AS DOUBLE) END AS cloud_cover,
+CASE WHEN event_id % 3 = 0 THEN 'T' || CAST(user_id AS VARCHAR) ELSE '42T' || event_type END AS tile_id, 'red/' || CAST(event_id AS VARCHAR) AS red FROM events""")
+def stac_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a catalogue item, ten thousand at most on a page."""
+    number = F.col("event_id").cast("string")
+    properties = F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datetime"), F.when(F.col("event_id") % 5 != 0, (F.col("event_id") % 100).cast("double")).alias("eo:cloud_cover"),
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("T"), F.col("user_id").cast("string"))).alias("s2:tile_id"), F.lit(42).alias("mgrs:utm_zone"), F.lit("T").alias("mgrs:latitude_band"), F.col("event_type").alias("mgrs:grid_square"),
+    )
+    assets = F.struct(*[F.struct(F.concat(F.lit(f"{k}/"), number).alias("href")).alias(k) for k in ("red", "nir", "scl")])
+    item = F.struct(F.concat(F.lit("scene/"), number).alias("id"), properties.alias("properties"), assets.alias("assets"))
+    pages = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 10_000)).agg(F.to_json(F.struct(F.collect_list(item).alias("features"))).alias("value"))
+    return stac.items(pages).select("id", "datetime", "cloud_cover", "tile_id", F.col("assets.red").alias("red"))
