@@ -21,15 +21,14 @@ def grid_cells(spark: SparkSession, bounds: tuple[float, float, float, float], s
         raise ValueError("the grid has no cells")
     columns = spark.range(first[0], last[0]).select(F.col("id").cast("int").alias("ix"))
     cells = columns.select("ix", F.explode(F.sequence(F.lit(first[1]), F.lit(last[1] - 1))).alias("iy"))
-    return with_cell_columns(cells, size)
+    cells = cells.withColumn("cell_id", cell_id(size, F.col("ix"), F.col("iy"))).withColumn("cell_area_m2", F.lit(float(size) ** 2))
+    return with_cell_edges(cells, size)
 
 
-def with_cell_columns(cells: DataFrame, size: float) -> DataFrame:
+def with_cell_edges(rows: DataFrame, size: float) -> DataFrame:
+    """Rows with ix and iy, and their cell's edges."""
     edge = lambda c, plus: (F.col(c) + plus).cast("double") * F.lit(float(size))
-    return cells.select(
-        "ix", "iy", cell_id(size, F.col("ix"), F.col("iy")).alias("cell_id"), F.lit(float(size) ** 2).alias("cell_area_m2"),
-        edge("ix", 0).alias("cx0"), edge("iy", 0).alias("cy0"), edge("ix", 1).alias("cx1"), edge("iy", 1).alias("cy1"),
-    )
+    return rows.withColumns({"cx0": edge("ix", 0), "cy0": edge("iy", 0), "cx1": edge("ix", 1), "cy1": edge("iy", 1)})
 
 
 def cells_touched(pieces: DataFrame, size: float) -> DataFrame:

@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.functions import features, rules, text
+from terraloom.functions import features, geometry, rules, text
 from terraloom.functions.projection import mercator_forward, utm_forward, utm_zone
-from terraloom.operators import coverage, heights, ingest, mosaics, rasters, seams, tiles
+from terraloom.operators import coverage, heights, imaging, ingest, mosaics, rasters, seams, tiles
 from terraloom.sources import manifest, stac
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -425,3 +425,45 @@ def stac_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = F.struct(F.concat(F.lit("scene/"), number).alias("id"), properties.alias("properties"), assets.alias("assets"))
     pages = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 10_000)).agg(F.to_json(F.struct(F.collect_list(item).alias("features"))).alias("value"))
     return stac.items(pages).select("id", "datetime", "cloud_cover", "tile_id", F.col("assets.red").alias("red"))
+
+
+# --- geometry kernels: customers as squares, every tenth one crossed, every seventh without a shape --------------------
+
+
+def _feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y, s = F.col("c_custkey") % 300 * 100, F.floor(F.col("c_custkey") / 300) * 100, F.col("c_custkey") % 50 + 1
+    corner = lambda a, b: F.format_string("[%d,%d]", (x + s * a).cast("bigint"), (y + s * b).cast("bigint"))
+    ring = lambda *corners: F.concat(F.lit("[["), F.concat_ws(",", *[corner(*c) for c in corners]), F.lit("]]"))
+    shape = F.when(F.col("c_custkey") % 10 == 0, ring((0, 0), (1, 1), (1, 0), (0, 1), (0, 0))).otherwise(ring((0, 0), (1, 0), (1, 1), (0, 1), (0, 0)))
+    node = F.when(F.col("c_custkey") % 7 == 0, F.lit("null")).otherwise(F.concat(F.lit('{"type":"Polygon","coordinates":'), shape, F.lit("}")))
+    line = F.concat(F.lit('{"type":"Feature","properties":{"@type":"way","@id":'), F.col("c_custkey").cast("string"), F.lit(',"building":"'), F.col("c_mktsegment"), F.lit('","height":"'), (F.col("c_custkey") % 30).cast("string"), F.lit(' m"},"geometry":'), node, F.lit("}"))
+    return table(spark, sf_dir, "customer").select(line.alias("line"))
+
+
+@query("""SELECT 'way/' || CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS class, CAST(c_custkey % 30 AS DOUBLE) AS height_m, CASE WHEN c_custkey % 10 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
+CAST((c_custkey % 50 + 1) * (c_custkey % 50 + 1) AS DOUBLE) / CASE WHEN c_custkey % 10 = 0 THEN 2 ELSE 1 END AS area FROM customer WHERE c_custkey % 7 <> 0""")
+def ingest_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = ingest.ingest(_feature_lines(spark, sf_dir), "buildings")
+    return heights.with_heights(rows).select("id", "class", "height_m", geometry.st_kind("geometry").alias("kind"), F.round(geometry.st_area("geometry"), 6).alias("area"))
+
+
+@query("SELECT count(*) AS input, count(*) FILTER (c_custkey % 7 <> 0) AS written, count(*) FILTER (c_custkey % 7 = 0) AS dropped_empty, count(*) FILTER (c_custkey % 7 <> 0 AND c_custkey % 10 = 0) AS invalid, count(*) FILTER (c_custkey % 7 <> 0 AND c_custkey % 10 = 0) AS fixed FROM customer")
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.ingest(_feature_lines(spark, sf_dir), "buildings")[1].select("input", "written", "dropped_empty", "invalid", "fixed")
+
+
+@query("""SELECT 'way/' || CAST(c_custkey AS VARCHAR) AS id, CAST((c_custkey % 50 + 1) * (c_custkey % 50 + 1) AS DOUBLE) / CASE WHEN c_custkey % 10 = 0 THEN 2 ELSE 1 END AS area FROM customer WHERE c_custkey % 7 <> 0""")
+def clipped_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cells of 7 m cut from each shape adds up to its area."""
+    rows, _ = ingest.ingest(_feature_lines(spark, sf_dir), "buildings")
+    pieces = rows.select("id", "geometry", geometry.st_envelope("geometry").alias("e")).select("id", "geometry", "e.*")
+    met = coverage.with_cell_edges(coverage.cells_touched(pieces, 7), 7)
+    return met.groupBy("id").agg(F.round(F.sum(geometry.st_area_within("geometry", "cx0", "cy0", "cx1", "cy1")), 6).alias("area"))
+
+
+@query()
+def isometric_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The squares seen from above at an angle, as tiles of 256 pixels. Pictures have no SQL; tests look at pixels."""
+    rows, _ = ingest.ingest(_feature_lines(spark, sf_dir), "buildings")
+    drawn = imaging.rendered(heights.with_heights(rows), 256, 0.25, 0.25)
+    return drawn.select("tx", "ty", F.sha2("content", 256).alias("sha256"))
