@@ -296,7 +296,8 @@ def repaired(geometry: Geometry) -> Geometry | None:
     if not rings:
         return None
     every = np.concatenate(rings)
-    grain = max(np.ptp(every, axis=0).max(), 1e-300) * 1e-12
+    # Meeting points are found up to rounding; an odd grain keeps round coordinates off the edges of its cells.
+    grain = max(np.ptp(every, axis=0).max(), 1e-300) * 0.7310585786e-9
     node = lambda p: (round(float(p[0]) / grain), round(float(p[1]) / grain))
     at: dict[tuple[int, int], np.ndarray] = {}
     count: dict[tuple, int] = {}
@@ -337,16 +338,16 @@ def repaired(geometry: Geometry) -> Geometry | None:
                     (outer if size > 0 else holes).append(ring)
     # A face counts if its inside is in the area by the even-odd rule.
     whole = ("Polygon", [rings])
-    faces = [r for r in outer if contains(whole, *_inner_point(r))[0]]
+    faces = [r for r in outer if contains(whole, *_beside(r))[0]]
     if not faces:
         return None
     polygons = [[f] for f in faces]
     for hole in holes:
-        x, y = _inner_point(hole)
-        # The outline of what is enclosed by the smallest face around it, if that inside isn't area itself.
-        around = [p for p in polygons if contains(("Polygon", [[p[0]]]), x, y)[0] and abs(signed_area(p[0])) > abs(signed_area(hole)) * (1 + 1e-9)]
-        if around:
-            min(around, key=lambda p: abs(signed_area(p[0])))[1:] += [hole]
+        # An outline walked clockwise has the area outside it on its left; it belongs to the smallest face around that place.
+        x, y = _beside(hole)
+        around = [p for p in polygons if contains(("Polygon", [[p[0]]]), x, y)[0]]
+        if around and contains(whole, x, y)[0]:
+            min(around, key=lambda p: abs(signed_area(p[0]))).append(hole)
     return ("Polygon", polygons) if len(polygons) == 1 else ("MultiPolygon", polygons)
 
 
@@ -365,15 +366,12 @@ def _loops(path: list) -> list[list]:
     return loops
 
 
-def _inner_point(ring: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A point inside a simple ring: halfway between the first two crossings of a scan line that meets no corner."""
-    ys = np.unique(ring[:, 1])
-    gap = int(np.argmax(np.diff(ys)))
-    y = (ys[gap] + ys[gap + 1]) / 2
-    a, b = ring[:-1], ring[1:]
-    met = (a[:, 1] > y) != (b[:, 1] > y)
-    xs = np.sort(a[met, 0] + (y - a[met, 1]) / (b[met, 1] - a[met, 1]) * (b[met, 0] - a[met, 0]))
-    return np.array([(xs[0] + xs[1]) / 2]), np.array([y])
+def _beside(ring: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A point just left of the middle of a ring's longest edge."""
+    steps = np.diff(ring, axis=0)
+    k = int(np.hypot(*steps.T).argmax())
+    x, y = (ring[k] + ring[k + 1]) / 2 + 1e-6 * np.array([-steps[k][1], steps[k][0]])
+    return np.array([x]), np.array([y])
 
 
 # --- simplification -----------------------------------------------------------------------------------------------

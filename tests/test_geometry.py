@@ -91,3 +91,9 @@ def test_projections():
     assert g.area(g.projected(there, 4326, 32642)) == pytest.approx(125000, rel=1e-9)
     with pytest.raises(ValueError):
         utm_forward(lon, lat, 4326)
+
+
+def test_repair_of_a_hole_that_touches_its_outline():
+    fixed = g.repaired(("Polygon", [[ring((5, 7), (1, 7), (7, 0), (9, 10), (0, 9), (3, 0))]]))
+    x, y = np.random.default_rng(1).random((2, 500)) * 10
+    assert (g.contains(fixed, x, y) == g.contains(("Polygon", [[ring((5, 7), (1, 7), (7, 0), (9, 10), (0, 9), (3, 0))]]), x, y)).all()
