@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -32,7 +31,7 @@ def ascii_lower(text: Column) -> Column:
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set (local tests)."""
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().getOrElse(None)
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if base is None:
         if not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
@@ -41,27 +40,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return base
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The files go when the application ends.
+    As with checkpoints, who owns the folder clears it.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/terraloom-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-
-    def clean() -> None:
-        try:
-            drop_path(spark, path)
-        except Exception:  # the session is gone; its owner clears the folder
-            pass
-
-    atexit.register(clean)
     return spark.read.schema(df.schema).parquet(path)
 
 

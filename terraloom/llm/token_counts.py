@@ -1,9 +1,8 @@
 """Token totals by source, language and tokenizer version, maintained by signed deltas.
 
 A change is a signed row: an insert adds a document and its tokens, a delete takes them away, a revised count does both. A
-batch of changes is added up by key and written to a folder named after the batch; the folder's success marker is the
-commit. Totals are the sum over committed batches, so a batch that is sent again changes nothing, and one that broke off
-before its marker is written anew. ``compact`` folds batches into one base without changing any total.
+batch of changes is added up by key and written under the batch's name; a commit row follows. Totals are the sum over
+committed batches, so a batch that is sent again changes nothing, and one that broke off before its commit is written anew. ``compact`` folds batches into one base without changing any total.
 
 Defined results: null sources and languages are keys of their own; null texts count as empty; rows that repeat an id are
 counted one by one; keys whose documents and tokens are both 0 leave the totals; an empty batch is committed too.
@@ -15,10 +14,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.llm.common import drop_path
 from terraloom.llm.tokens import counted, vocabulary
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -28,78 +27,64 @@ DELTA = "source string, lang string, tokenizer string, docs bigint, tokens bigin
 
 
 class Rollup:
-    """Totals kept under a path that driver and executors share. One writer at a time; readers see whole batches only."""
+    """Totals kept under a path that driver and executors share. One writer at a time.
+
+    ``deltas/<batch>`` holds a batch's sums and ``commits/<batch>`` its commit: one row, written after the sums. ``bases/<number>`` holds the
+    totals of folded batches, and ``folded/<number>``, written after them, the batches. The base of the highest number with
+    a list is in force; a batch counts if it is committed and not in that list.
+    """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
+    def _rows(self, pattern: str, schema: str) -> list:
+        """Rows of small tables below a pattern; none where there is no such path."""
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{pattern}").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
 
-    def _has(self, path: str) -> bool:
-        fs, at = self._fs(path)
-        return fs.exists(at)
+    def _put(self, name: str, rows: list[tuple], schema: str) -> None:
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{name}")
 
-    def committed(self) -> list[str]:
-        """Folders of the base in force and of committed batches that it doesn't hold."""
-        fs, at = self._fs(self.path)
-        if not fs.exists(at):
-            return []
-        names = sorted(f.getPath().getName() for f in fs.listStatus(at) if self._has(f"{self.path}/{f.getPath().getName()}/_SUCCESS"))
-        bases = [n for n in names if n.startswith("base-")]
-        if not bases:
-            return names
-        held = {r["batch"] for r in self.spark.read.text(f"{self.path}/{bases[-1]}/batches").select(F.col("value").alias("batch")).collect()}
-        return [bases[-1], *[n for n in names if n.startswith("batch-") and n not in held]]
-
-    def _is_known(self, name: str) -> bool:
-        if self._has(f"{self.path}/{name}/_SUCCESS"):
-            return True
-        bases = [n for n in self.committed() if n.startswith("base-")]
-        return bool(bases) and not self.spark.read.text(f"{self.path}/{bases[-1]}/batches").where(F.col("value") == name).isEmpty()
+    def state(self) -> tuple[int, list[str], list[str]]:
+        """The number of the base in force (0: none), the batches it holds, and the committed batches beside it."""
+        folded = self._rows("folded/*", "number int, batch string")
+        number = max((r["number"] for r in folded), default=0)
+        held = sorted(r["batch"] for r in folded if r["number"] == number)
+        return number, held, sorted({r["batch"] for r in self._rows("commits/*", "batch string")} - set(held))
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Add up signed changes (source, lang, tokenizer, docs, tokens) and commit them under an id; False if it was committed before."""
         if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", batch_id):
             raise ValueError(f"not a batch id: {batch_id!r}")
-        name = f"batch-{batch_id}"
-        if self._is_known(name):
+        _, held, fresh = self.state()
+        if batch_id in held or batch_id in fresh:
             return False
         sums = changes.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        sums.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        sums.write.mode("overwrite").parquet(f"{self.path}/deltas/{batch_id}")
+        self._put(f"commits/{batch_id}", [(batch_id,)], "batch string")
         return True
 
     def totals(self) -> DataFrame:
-        names = self.committed()
-        if not names:
+        number, _, fresh = self.state()
+        paths = [f"{self.path}/bases/{number}"] * bool(number) + [f"{self.path}/deltas/{b}" for b in fresh]
+        if not paths:
             return self.spark.createDataFrame([], DELTA)
-        paths = [f"{self.path}/{n}/totals" if n.startswith("base-") else f"{self.path}/{n}" for n in names]
         sums = self.spark.read.schema(DELTA).parquet(*paths).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.where("docs <> 0 OR tokens <> 0")
 
     def compact(self) -> None:
-        """Fold everything committed into a new base; old folders go only after its marker is there."""
-        names = self.committed()
-        batches = [n for n in names if n.startswith("batch-")]
-        if not batches:
+        """Fold everything committed into a new base. Folded deltas are emptied after the new base is in force."""
+        number, held, fresh = self.state()
+        if not fresh:
             return
-        fs, at = self._fs(self.path)
-        old = [f.getPath().getName() for f in fs.listStatus(at)]
-        number = 1 + max((int(n[5:]) for n in old if n.startswith("base-")), default=0)
-        base = f"{self.path}/base-{number:08d}"
-        held = self.spark.createDataFrame([(n,) for n in batches], "value string")
-        for n in names:
-            if n.startswith("base-"):
-                held = held.unionByName(self.spark.read.text(f"{self.path}/{n}/batches"))
-        drop_path(self.spark, base)
-        self.totals().write.parquet(f"{base}/totals")
-        held.coalesce(1).write.text(f"{base}/batches")
-        marker = self._fs(f"{base}/_SUCCESS")
-        marker[0].create(marker[1], True).close()
-        for n in names:
-            drop_path(self.spark, f"{self.path}/{n}")
+        self.totals().write.mode("overwrite").parquet(f"{self.path}/bases/{number + 1}")
+        self._put(f"folded/{number + 1}", [(number + 1, b) for b in held + fresh], "number int, batch string")
+        for batch in fresh:
+            self._put(f"deltas/{batch}", [], DELTA)
 
 
 def tidied(text: str) -> str:

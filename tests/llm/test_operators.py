@@ -7,6 +7,7 @@ import hashlib
 import json
 import math
 import re
+import shutil
 import zlib
 from collections import Counter
 
@@ -105,14 +106,14 @@ def test_token_counts(spark, tmp_path):
     before = sorted(map(tuple, rollup.totals().collect()), key=str)
     assert not rollup.commit("insert", token_counts.changes(rows, 1))
     rollup.compact()
-    assert rollup.committed() == ["base-00000001"]
+    assert rollup.state() == (1, ["delete-copies", "insert", "revise"], [])
     assert not rollup.commit("insert", token_counts.changes(rows, 1))
     assert sorted(map(tuple, rollup.totals().collect()), key=str) == before
     assert rollup.commit("more", token_counts.changes(rows, 1)) and rollup.commit("less", token_counts.changes(rows, -1))
     assert sorted(map(tuple, rollup.totals().collect()), key=str) == before
-    # A batch without its marker is not counted and can be sent again.
-    (tmp_path / "rollup" / "batch-more" / "_SUCCESS").unlink()
-    assert rollup.commit("more", token_counts.changes(rows, 1))
+    # A batch without its commit is not counted and can be sent again.
+    shutil.rmtree(tmp_path / "rollup" / "commits" / "more")
+    assert rollup.state()[2] == ["less"] and rollup.commit("more", token_counts.changes(rows, 1))
     rollup.compact()
     assert sorted(map(tuple, rollup.totals().collect()), key=str) == before
     assert token_counts.Rollup(spark, str(tmp_path / "none")).totals().count() == 0
