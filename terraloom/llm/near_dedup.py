@@ -50,7 +50,7 @@ def _functions() -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    for _, _, data, offsets in text_blocks(column):
+    for _, _, data, offsets in text_blocks(column, 1 << 19):
         starts, ends, first = spaced_words(data, offsets)
         words = hashed_words(data, starts, ends)
         n = len(words)

@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Chunks kept by a worker (about 200 bytes each); a full table is emptied, which costs time and changes nothing.
-MOST_CHUNKS = 1_200_000
+MOST_CHUNKS = 800_000
 
 
 def vocabulary(name: str) -> str:

@@ -24,6 +24,8 @@ from terraloom.llm.common import Adam, fold, labelled_sample, sigmoid, text_bloc
 MODULUS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 SAMPLE, SAMPLE_BYTES = {0: 2400, 1: 1600}, 8_000
 BUCKETS, DIM, SEGMENT, SIZES = 1 << 18, 8, 3, (3, 4, 5)
+#: Bytes scored at a time.
+BLOCK_BYTES = 1 << 18
 EPOCHS, LEAST_STEPS, BATCH, RATE, SHARPNESS = 14, 400, 100, 0.01, 1.0
 
 _FOLDED = np.arange(256, dtype=np.uint8)
@@ -151,7 +153,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [np.zeros(0)]
-            for _, _, data, offsets in text_blocks(batch.column("text")):
+            for _, _, data, offsets in text_blocks(batch.column("text"), BLOCK_BYTES):
                 out.append(shared.value.scores(data, offsets))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(out), pa.float64())], names=["doc_id", "score"])
 
