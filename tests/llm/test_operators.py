@@ -468,3 +468,25 @@ def test_media_edge_cases(spark):
     got = {r.media_id: (r.class_id, r.n_links) for r in media.copies(table_).collect()}
     assert got == {1: (1, 0), 2: (1, 0), 3: (3, 0), 4: (4, 0), 5: (5, 0), 6: (6, 0)}
     assert media.copies(table_.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_media_groups(spark, monkeypatch, block):
+    """Groups of edited copies and unlike images with a common mark, against every image compared with every other."""
+    monkeypatch.setattr(media, "BLOCK", block)
+    monkeypatch.setattr(media, "IMAGES", block)
+    rng = np.random.default_rng(5)
+    base = [media.drawn(rng.normal(size=64).astype(np.float32)) for _ in range(6)]
+    for image in base[1:]:
+        image[:36, :36] = base[1][:36, :36] if image is not base[2] else image[:36, :36]
+    pictures = {i: np.clip(base[0].astype(int) + 3 * i, 0, 255).astype(np.uint8) for i in range(7)}
+    pictures |= {10 + i: image for i, image in enumerate(base[1:])} | {20 + i: image[8:, 8:].copy() for i, image in enumerate(base[1:])}
+    gallery = spark.createDataFrame([(i, (*p.shape, p.tobytes())) for i, p in pictures.items()], f"media_id bigint, image {media.IMAGE}")
+    corners = {r.id: (np.array(r.places).reshape(-1, 4), np.array(r.tests, np.int64).view(np.uint64)) for r in media.described(gallery).collect()}
+    linked = {i: {j for j in corners if j != i and media.are_linked(corners[min(i, j)], corners[max(i, j)])} for i in corners}
+    classes = {i: i for i in pictures}
+    for _ in pictures:
+        classes = {i: min([classes[i], *(classes[j] for j in linked[i])]) for i in classes}
+    got = {r.media_id: (r.class_id, r.n_links) for r in media.copies(gallery).collect()}
+    assert got == {i: (classes[i], len(linked[i])) for i in pictures}
+    assert all(got[i] == (0, 6) for i in range(7))
