@@ -14,7 +14,8 @@ Texts are shuffled for confirmation, never sets of all documents; a leader's tex
 many partners.
 
 Defined results: a null, empty or blank text has no shingles and is a component of its own; fewer than five words are one
-shingle; each row gets a row; rows that repeat an id share its component; other columns are ignored.
+shingle; each row gets a row; rows that repeat an id share its component; a row without an id is a component of its own (null) and is kept; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -250,7 +251,7 @@ def crossing_pairs(members: DataFrame, classes: DataFrame, nodes: DataFrame, clo
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs``."""
     rows = written(sketches(docs), "sketches")
-    classes = rows.where("n_shingles > 0").groupBy("print1", "print2").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n_shingles", "bands", "sketch"), "doc_id").alias("own"))
+    classes = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("print1", "print2").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n_shingles", "bands", "sketch"), "doc_id").alias("own"))
     classes = written(classes.select("print1", "print2", "rep", "own.*"), "classes")
     lead = F.struct(F.xxhash64("rep").alias("rank"), F.col("rep"))
     buckets = classes.select("rep", F.explode("bands").alias("key"))
@@ -273,11 +274,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # A class of one row that is linked with nothing needs no entry.
     placed = written(placed.select("print1", "print2", F.coalesce("component", "rep").alias("component")), "placed")
     out = rows.select("doc_id", "n_shingles", "print1", "print2").join(placed, ["print1", "print2"], "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: the one with the least id."""
-    keep = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+    """``docs`` with one document of each component, the one with the least id, and all without an id; of rows of equal id and text one stays."""
+    keep = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    keep = written(keep, "keep")
+    out = docs.join(keep.where("n = 1"), "doc_id", "left_semi").unionByName(docs.where(F.col("doc_id").isNull()))
+    again = keep.where("n > 1")
+    # Only rows of repeated ids are compared by text.
+    return out if again.isEmpty() else out.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -325,6 +325,15 @@ def test_near_duplicates(spark, monkeypatch, block):
     assert near_dedup.near_duplicates(table(spark, {})).count() == 0
 
 
+def test_near_duplicates_without_or_with_repeated_ids(spark):
+    a, b, c = (" ".join(words_of(40, seed)) for seed in (201, 202, 203))
+    docs = spark.createDataFrame([(None, a), (None, b), (1, a), (2, c), (2, c), (3, c), (4, b), (4, a)], "doc_id bigint, text string")
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()}
+    assert {(None, None, True), (1, 1, True), (2, 2, True), (3, 2, False)} <= got
+    kept = sorted((r.doc_id or 0, r.text) for r in near_dedup.without_near_duplicates(docs.where("doc_id IS NULL OR doc_id < 4")).collect())
+    assert kept == sorted([(0, a), (0, b), (1, a), (2, c)])
+
+
 def test_odd_sketch_estimates():
     rng = np.random.default_rng(4)
     for n in (60, 500, 5000):
