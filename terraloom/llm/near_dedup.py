@@ -33,8 +33,8 @@ from terraloom.llm.common import hashed_words, maybe_broadcast, mix, spaced_word
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: At a similarity of 0.75 a pair shares no band with probability (1 - 0.75**5)**48 = 2e-6.
 BANDS, ROWS, BINS, SKETCH_BITS = 48, 5, 4096, 4096
-#: Sketches must suggest at least so much similarity, over four standard errors below the threshold; the second holds from LONG shingles on.
-LEAST_ESTIMATES, LONG = (0.72, 0.715), 1000
+#: Sketches may differ by so many standard errors, of sampling and parity together, more than those of a pair at the threshold.
+STANDARD_ERRORS = 5.0
 BLOCK = 2048
 #: Rows of pairs that may be broadcast (about 40 bytes each); more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -119,14 +119,20 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def _most_bits(na, nb, ops):
     """How many bits of two sketches of so many shingles may differ; ``ops`` has the functions for columns or arrays."""
-    least = ops["where"](ops["greatest"](na, nb) < LONG, LEAST_ESTIMATES[0], LEAST_ESTIMATES[1])
     filled = lambda n: (1 - ops["exp"](n * float(np.log(1 - 1 / BINS)))) * float(BINS)
-    differing = filled(na) + filled(nb) - least * 2.0 * filled((na + nb) / (least + 1.0))
-    return (1 - ops["exp"](differing * (-2.0 / SKETCH_BITS))) * (SKETCH_BITS / 2) + 2.0
-
-
-_COLUMNS = {"where": lambda c, a, b: F.when(c, F.lit(a)).otherwise(F.lit(b)), "greatest": F.greatest, "exp": F.exp}
-_ARRAYS = {"where": np.where, "greatest": np.maximum, "exp": np.exp}
+    least = NUMERATOR / DENOMINATOR
+    union = (na + nb) / (least + 1.0)
+    bins = filled(union)
+    differing = filled(na) + filled(nb) - bins * (2.0 * least)
+    # Common samples are drawn from the union without repeats; none are left out where every shingle has its own bin.
+    sampling = bins * (1 - bins / union) * (4 * least * (1 - least))
+    even = ops["exp"](differing * (-2.0 / SKETCH_BITS))
+    parity = (1 - even * even) * (SKETCH_BITS / 4) - differing * even * even
+    return (1 - even) * (SKETCH_BITS / 2) + ops["sqrt"](parity + sampling * even * even) * STANDARD_ERRORS + 2.0
+
+
+_COLUMNS = {"exp": F.exp, "sqrt": F.sqrt}
+_ARRAYS = {"exp": np.exp, "sqrt": np.sqrt}
 
 
 def close_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:

@@ -346,6 +346,18 @@ def test_odd_sketch_estimates():
         assert misses == 0
 
 
+def test_odd_sketch_allows_five_standard_errors_at_the_threshold():
+    rng = np.random.default_rng(12)
+    for n in (60, 500, 3000, 6000, 20_000):
+        common, bits = round(n * 6 / 7), []  # a similarity of 0.75
+        for _ in range(200):
+            every = rng.integers(0, 1 << 64, 2 * n - common, np.uint64)
+            a, b = (near_dedup._odd_sketch(np.sort(x)).view(np.uint64) for x in (every[:n], np.concatenate([every[:common], every[n:]])))
+            bits.append(int(np.bitwise_count(a ^ b).sum()))
+        most = float(near_dedup._most_bits(np.array([float(n)]), float(n), near_dedup._ARRAYS)[0])
+        assert most - np.mean(bits) > 4.4 * np.std(bits), (n, most, np.mean(bits), np.std(bits))
+
+
 # --- secrets ------------------------------------------------------------------------------------------------------
 
 
