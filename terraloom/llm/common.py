@@ -119,16 +119,22 @@ def hashed_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 # --- samples to learn from ----------------------------------------------------------------------------------------
 
+def short(text: Column, most_bytes: int) -> Column:
+    """Texts that may be learned from: not null and not longer."""
+    return text.isNotNull() & (F.octet_length(text) <= most_bytes)
+
+
 def texts_of(docs: DataFrame, chosen: DataFrame, most_bytes: int) -> list[tuple]:
-    """(text, value) of a chosen, bounded set of ids, which is broadcast; longer texts are left out of the sample."""
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes))
-    found = rows.join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect()
+    """(text, value) of a chosen, bounded set of ids, which is broadcast; longer texts of the same ids are left out. Of several values of an id the least counts."""
+    rows = docs.select("doc_id", "text").where(short(F.col("text"), most_bytes))
+    found = rows.join(F.broadcast(chosen.groupBy("doc_id").agg(F.min("value").alias("value"))), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect()
     return [(r["text"], r["value"]) for r in found]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_training: Column, per_class: dict[int, int], most_bytes: int) -> list[tuple[str, int]]:
-    """Texts and labels: of each class at most so many training rows, those of the least id hashes."""
+    """Texts and labels: of each class at most so many training rows, those of the least id hashes among the texts that are short enough."""
     known = labels.select("doc_id", F.col(label).alias("value")).where(in_training)
+    known = known.join(docs.where(short(F.col("text"), most_bytes)).select("doc_id"), "doc_id", "left_semi").distinct()
     parts = [known.where(F.col("value") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for v, n in per_class.items()]
     chosen = parts[0]
     for part in parts[1:]:

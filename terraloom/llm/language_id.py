@@ -2,13 +2,13 @@
 
 A text is the set of the 1- to 3-character grams that occur in it; the kernel of two texts is the number of grams they share,
 normalised by their own numbers. ``LANDMARKS`` sampled texts a language span the Nyström approximation, and
-one-versus-rest kernel ridge regression is solved on ``SAMPLE`` texts a language. Tasks build presence rows over the
+one-versus-rest kernel ridge regression is solved on ``SAMPLE`` texts a language (fewer of each where there are more than 16 or 64 languages). Tasks build presence rows over the
 landmarks' grams and score them by matrix products, a batch at a time. Characters are folded to the ``ALPHABET`` most
 frequent letters of the sample; other letters are one symbol, everything else another.
 
 Defined results: null and texts without any letter are ``und`` with score 0; so is every text when no training row has a
-language; each row gets a row; only the ``MOST_LANGUAGES`` most frequent languages are learned; language, source and
-id are no inputs of a prediction.
+language; each row gets a row; of more than ``MOST_LANGUAGES`` languages those with most sampled texts are learned; language, source and
+id are no inputs of a prediction; other columns are ignored. A text is held whole while its grams are marked in a table of fixed size.
 """
 
 from __future__ import annotations
@@ -19,16 +19,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.llm.common import fold, texts_of
+from terraloom.llm.common import fold, short, texts_of, written
 
 MODULUS, HELD_OUT = 5, 0
-MOST_LANGUAGES, SAMPLE, LANDMARKS, SAMPLE_BYTES = 64, 400, 40, 20_000
-ALPHABET, BASE = 62, 64
-OTHER_LETTER = 63
-RIDGE, SHARPNESS, BATCH = 1e-3, 6.0, 256
+#: Bounds of what is learned from: texts and landmarks a language, bytes a text; and in all, whatever the number of languages.
+SAMPLE, LANDMARKS, SAMPLE_BYTES = 400, 40, 20_000
+MOST_LANGUAGES, SAMPLE_IN_ALL, LANDMARKS_IN_ALL, MARKS_BYTES = 1024, 25_600, 640, 200_000_000
+ALPHABET, BASE = 126, 128
+OTHER_LETTER = 127
+RIDGE, SHARPNESS, BATCH = 1e-3, 6.0, 128
 #: Codes of grams: one, two and three symbols follow each other.
 SHIFTS = (0, BASE, BASE + BASE**2)
 CODES = BASE + BASE**2 + BASE**3
@@ -40,7 +42,7 @@ def _letters() -> np.ndarray:
 
 
 def alphabet_of(texts: list[str]) -> np.ndarray:
-    """A symbol for each code point: 0 for no letter, 1 to 62 for frequent letters (both cases), 63 for other letters."""
+    """A symbol for each code point: 0 for no letter, 1 to ALPHABET for frequent letters (both cases), OTHER_LETTER for other letters."""
     counts = Counter()
     for text in texts:
         counts.update(text.lower())
@@ -69,13 +71,18 @@ class Model:
         if not self.languages:
             return
         taken: Counter = Counter()
-        marks = []
+        turns = []  # the first text of each language, then the second of each
         for text, value in sample:
             if taken[value] < LANDMARKS:
+                turns.append((taken[value], len(turns), text))
                 taken[value] += 1
-                marks.append(text)
-        sets = [np.unique(np.concatenate(codes(t, table)[0])) for t in marks]
-        self.grams = np.unique(np.concatenate(sets))
+        marks = [text for _, _, text in sorted(turns)[:LANDMARKS_IN_ALL]]
+        while True:
+            sets = [np.unique(np.concatenate(codes(t, table)[0])) for t in marks]
+            self.grams = np.unique(np.concatenate(sets))
+            if 4 * len(marks) * len(self.grams) <= MARKS_BYTES or len(marks) == 1:
+                break
+            marks = marks[: len(marks) // 2]
         rows = np.zeros((len(marks), len(self.grams)), np.float32)
         for row, own in zip(rows, sets, strict=True):
             row[np.searchsorted(self.grams, own)] = 1
@@ -83,7 +90,7 @@ class Model:
         values, vectors = np.linalg.eigh((self.marks.T @ self.marks).astype(float))
         keep = values > 1e-6 * values[-1]
         self.root = vectors[:, keep] / np.sqrt(values[keep])
-        phi = self.features([t for t, _ in sample])[0]
+        phi = np.concatenate([self.features([t for t, _ in sample[lo : lo + BATCH]])[0] for lo in range(0, len(sample), BATCH)])
         targets = np.where(np.array([v for _, v in sample])[:, None] == np.array(self.languages), 1.0, -1.0)
         self.offset = targets.mean(axis=0)
         self.weights = np.linalg.solve(phi.T @ phi + RIDGE * len(sample) * np.eye(phi.shape[1]), phi.T @ (targets - self.offset))
@@ -116,15 +123,16 @@ class Model:
 
 
 def fit(docs: DataFrame) -> Model:
-    """Learns from at most SAMPLE training texts a language; ids are chosen without reading texts."""
-    known = docs.select("doc_id", F.col("lang").alias("value")).where((fold(F.col("doc_id"), MODULUS) != HELD_OUT) & F.col("value").isNotNull())
-    languages = [r["value"] for r in known.groupBy("value").count().orderBy(F.desc("count"), "value").limit(MOST_LANGUAGES).collect()]
-    parts = [known.where(F.col("value") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for v in languages]
-    if not parts:
+    """Learns from at most SAMPLE training texts a language, those of the least id hashes; one pass chooses ids, one fetches their texts."""
+    known = docs.where((fold(F.col("doc_id"), MODULUS) != HELD_OUT) & F.col("lang").isNotNull() & short(F.col("text"), SAMPLE_BYTES)).select("doc_id", F.col("lang").alias("value"))
+    # Each task keeps its own least hashes before anything is shuffled.
+    rank = F.row_number().over(Window.partitionBy("value").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ranked = written(known.withColumn("rank", rank).where(F.col("rank") <= SAMPLE), "sample")
+    languages = [r["value"] for r in ranked.groupBy("value").count().orderBy(F.desc("count"), "value").limit(MOST_LANGUAGES).collect()]
+    if not languages:
         return Model(alphabet_of([]), [])
-    chosen = parts[0]
-    for part in parts[1:]:
-        chosen = chosen.unionByName(part)
+    each = min(SAMPLE, max(1, SAMPLE_IN_ALL // len(languages)))
+    chosen = ranked.where(F.col("value").isin(languages) & (F.col("rank") <= each))
     sample = [(t, v) for t, v in texts_of(docs, chosen, SAMPLE_BYTES) if any(c.isalpha() for c in t)]
     return Model(alphabet_of([t for t, _ in sample]), sample)
 
