@@ -7,7 +7,8 @@ what is left at a task's end (less than the smallest context) is a tail. Tails o
 small step that concatenates them into padded windows of the longest context. Windows of each tier are dealt to step
 groups in turn, so groups hold nearly the same number of tokens and the same mix of lengths.
 
-Nothing but one chunk of documents is held by a task. Window ids come from the partition number and a count within it. The
+A task holds the documents of one chunk (``CHUNK_IDS`` ids or ``CHUNK_ROWS`` rows, whichever comes first) and what is left of those before it; one
+text is encoded whole. Window ids come from the partition number and a count within it. The
 pieces are written once, so a task that runs again can't change them.
 
 Defined results: null is an empty text, which still has the end token; each row is packed on its own, repeated ids too; an
@@ -32,7 +33,7 @@ from terraloom.llm.tokens import encoded, vocabulary
 
 CONTEXTS = (512, 1024, 2048, 4096)
 END, STEP_GROUPS, TAILS = 2, 64, 64
-CHUNK_IDS, CHUNK_TEXTS = 2_000_000, 256
+CHUNK_IDS, CHUNK_ROWS, CHUNK_TEXTS = 2_000_000, 16_384, 256
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, context int, step_group int"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("context", pa.int32()), ("step_group", pa.int32())])
 
@@ -137,17 +138,17 @@ def pack(docs: DataFrame, tokenizer: str | None = None, contexts: tuple[int, ...
     path = tokenizer or vocabulary("word_bpe_49k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, held = Packer(TaskContext.get().partitionId(), contexts), 0
+        packer, held, rows = Packer(TaskContext.get().partitionId(), contexts), 0, 0
         for batch in batches:
             for lo in range(0, batch.num_rows, CHUNK_TEXTS):
                 part = batch.slice(lo, CHUNK_TEXTS)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoded(texts, path), strict=True):
                     packer.add(doc_id, np.append(ids, np.uint32(END)))
-                    held += len(ids)
-                if held >= CHUNK_IDS:
+                    held, rows = held + len(ids) + 1, rows + 1
+                if held >= CHUNK_IDS or rows >= CHUNK_ROWS:
                     yield _batch(packer.fill())
-                    held = 0
+                    held = rows = 0
         yield _batch(packer.fill(last=True))
 
     def with_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
