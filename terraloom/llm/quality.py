@@ -4,10 +4,12 @@ Bytes are embedded; filters of 8 bytes slide in steps of 4; their answers are ma
 overlap by half and cover the whole text; a small layer reads each chunk's pooled vector, so a chunk in which few
 filters answer (the same word again and again) stands out; its outputs are averaged over the chunks and give one
 probability. The network is fitted on the driver to a sample of at most ``SAMPLE`` labelled texts a class, each of at most
-``SAMPLE_BYTES``; texts are scored whole in tasks, a quarter megabyte at a time.
+``SAMPLE_BYTES``; texts are scored whole in tasks, ``BLOCK_BYTES`` at a time: of a longer text the sums over its chunks are carried on, so that memory
+doesn't grow with its length.
 
 Defined results: a null text is an empty one, which has one chunk of padding and so a score; each row gets a row; without
-any labels in the training fold the score is 0.5; labels, language, source and id are no inputs.
+any labels in the training fold the score is 0.5; labels, language, source and id are no inputs; other columns are ignored by ``score`` and kept by ``accepted``,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -88,6 +90,23 @@ class Network:
         mean = np.add.reduceat(hidden, heads, axis=0) / (blocks - 1)[:, None]
         return mean @ p["out"] + p["out_bias"]
 
+    def long_logit(self, text: np.ndarray) -> float:
+        """The same of one text, some blocks at a time."""
+        p, blocks = self.p, max(2, -(-len(text) // BLOCK))
+        total, before = np.zeros(HIDDEN), np.zeros((0, FILTERS), np.float32)
+        for lo in range(0, blocks, BLOCK_BYTES // BLOCK):
+            n = min(BLOCK_BYTES // BLOCK, blocks - lo)
+            part = np.zeros(n * BLOCK + STEP, np.uint8)  # and the step after it
+            own = text[lo * BLOCK : (lo + n) * BLOCK + STEP]
+            part[: len(own)] = own
+            steps = p["embed"][part].reshape(-1, STEP * DIM)
+            answers = steps[:-1] @ p["first"] + steps[1:] @ p["second"] + p["bias"]
+            pooled = np.concatenate([before, answers.reshape(n, PLACES, FILTERS).max(axis=1)])
+            chunk = np.maximum(np.maximum(pooled[:-1], pooled[1:]), 0)
+            total += np.maximum(chunk @ p["mix"] + p["mix_bias"], 0).sum(axis=0, dtype=float)
+            before = pooled[-1:]
+        return float(total / (blocks - 1) @ p["out"] + p["out_bias"][0])
+
     def gradients(self, texts: list[np.ndarray], y: np.ndarray) -> dict[str, np.ndarray]:
         p = self.p
         data, blocks = _padded(texts)
@@ -143,6 +162,8 @@ class Network:
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         if not self.fitted:
             return np.full(len(texts), 0.5)
+        if len(texts) == 1 and len(texts[0]) > BLOCK_BYTES:
+            return sigmoid(np.array([self.long_logit(texts[0])]))
         return sigmoid(self.logits(texts).astype(float))
 
 
