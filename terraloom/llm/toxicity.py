@@ -7,7 +7,8 @@ make a long text toxic. Embeddings and softmax are trained together in numpy, on
 labelled texts a class. As the softmax is linear, a gram's vector acts through one number, which is what tasks look up.
 
 Defined results: a null, empty or wordless text has no gram and gets the score of the bias alone; each row gets a row; without
-labels in the training fold the score is 0; labels, language, source and id are no inputs.
+labels in the training fold the score is 0; labels, language, source and id are no inputs; other columns are ignored. Of a text over ``BLOCK_BYTES`` the sums
+are carried on from block to block, so that memory doesn't grow with its length.
 """
 
 from __future__ import annotations
@@ -44,6 +45,15 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], list
     own = np.arange(len(data)) + np.repeat(np.arange(n), np.diff(offsets)) + 1
     text = np.full(len(data) + n + 1, 32, np.uint8)
     text[own] = _FOLDED[data]
+    buckets, valid, starts = _marked(text)
+    text_of = np.searchsorted(offsets + np.arange(n + 1), starts, "right") - 1
+    first = np.searchsorted(text_of, np.arange(n))
+    segment = (np.arange(len(starts)) - first[text_of]) % SEGMENT == 0
+    return buckets, valid, starts[segment], text_of[segment]
+
+
+def _marked(text: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Of folded bytes for each gram size the buckets and whether a gram starts there; and the mark before each word."""
     mark = text == 32
     inside = np.concatenate([[0], np.cumsum(mark)])
     wide = text.astype(np.uint32)
@@ -62,11 +72,7 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], list
         pad = len(text) - last
         buckets.append(np.concatenate([(h & np.uint32(BUCKETS - 1)).astype(np.int64), np.zeros(pad, np.int64)]))
         valid.append(np.concatenate([ok, np.zeros(pad, bool)]))
-    starts = np.flatnonzero(mark[:-1] & ~mark[1:])  # the mark before each word
-    text_of = np.searchsorted(offsets + np.arange(n + 1), starts, "right") - 1
-    first = np.searchsorted(text_of, np.arange(n))
-    segment = (np.arange(len(starts)) - first[text_of]) % SEGMENT == 0
-    return buckets, valid, starts[segment], text_of[segment]
+    return buckets, valid, np.flatnonzero(mark[:-1] & ~mark[1:])
 
 
 def _pooled(logits: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,8 +107,50 @@ class Classifier:
         value, _ = _pooled(total / np.maximum(count, 1) + self.bias, block[3], n)
         return np.where(np.isfinite(value), value, self.bias)
 
+    def long_logit(self, data: np.ndarray) -> float:
+        """The same of one text, a block at a time: the open segment's sums and the soft maximum's are carried on."""
+        size, ahead = len(data) + 2, max(SIZES) - 1
+        words, total, count = 0, 0.0, 0
+        top, weight, weighed = -np.inf, 0.0, 0.0
+
+        def pool(logits: np.ndarray) -> None:
+            nonlocal top, weight, weighed
+            if len(logits):
+                most = max(top, float(logits.max()))
+                share = np.exp(SHARPNESS * (logits - most))
+                before = np.exp(SHARPNESS * (top - most)) if weight else 0.0
+                top, weight, weighed = most, weight * before + share.sum(), weighed * before + (share * logits).sum()
+
+        for lo in range(0, size, BLOCK_BYTES):
+            hi = min(lo + BLOCK_BYTES, size)
+            text = np.full(min(hi + ahead, size) - lo, 32, np.uint8)
+            first, last = max(lo, 1), min(lo + len(text), size - 1)  # of the places that hold bytes
+            text[first - lo : last - lo] = _FOLDED[data[first - 1 : last - 1]]
+            buckets, valid, starts = _marked(text)
+            starts = starts[starts < hi - lo]
+            values = sum(np.where(v, self.weights[b], 0) for b, v in zip(buckets, valid, strict=True))[: hi - lo]
+            numbers = sum(v.astype(np.int32) for v in valid)[: hi - lo]
+            segments = starts[(words + np.arange(len(starts))) % SEGMENT == 0]
+            cut = int(segments[0]) if len(segments) else hi - lo
+            if words:
+                total, count = total + float(values[:cut].sum()), count + int(numbers[:cut].sum())
+            if len(segments):
+                if words:
+                    pool(np.array([total / max(count, 1) + self.bias]))
+                sums, counts = np.add.reduceat(values, segments), np.add.reduceat(numbers, segments)
+                pool(sums[:-1] / np.maximum(counts[:-1], 1) + self.bias)
+                total, count = float(sums[-1]), int(counts[-1])
+            words += len(starts)
+        if words:
+            pool(np.array([total / max(count, 1) + self.bias]))
+        return weighed / weight if weight else self.bias
+
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return sigmoid(self.logits(data, offsets).astype(float)) if self.fitted else np.zeros(len(offsets) - 1)
+        if not self.fitted:
+            return np.zeros(len(offsets) - 1)
+        if len(offsets) == 2 and len(data) > BLOCK_BYTES:
+            return sigmoid(np.array([self.long_logit(data)]))
+        return sigmoid(self.logits(data, offsets).astype(float))
 
     def fit(self, sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 5) -> Classifier:
         if not sample:
