@@ -10,12 +10,16 @@
    by sketch: first each component's closest pair with another is confirmed, then all close pairs across components, each
    in the first bucket that holds both. So no link between components is lost, whatever the size of a bucket.
 
+5. A bucket of more than ``HOT`` members that still holds several components, as of one template, is not compared by blocks:
+   its members are dealt again by the rarest shingles of their sets, an exact rule, and compared within these buckets.
+
 Texts are shuffled for confirmation, never sets of all documents; a leader's text goes to several tasks when it has
 many partners.
 
 Defined results: a null, empty or blank text has no shingles and is a component of its own; fewer than five words are one
-shingle; each row gets a row; rows that repeat an id share its component; a row without an id is a component of its own (null) and is kept; other
-columns are ignored.
+shingle; each row gets a row and is a document of its own: rows that repeat an id are linked by their texts only, a component bears the least
+id among its rows, and of that id's rows the one text of the least hash is kept (rows of equal id and text alike); a row without an id is a component of
+its own (null) and is kept; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraloom.llm.common import hashed_words, maybe_broadcast, mix, spaced_words, text_blocks, written
@@ -35,10 +39,11 @@ SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 BANDS, ROWS, BINS, SKETCH_BITS = 48, 5, 4096, 4096
 #: Sketches may differ by so many standard errors, of sampling and parity together, more than those of a pair at the threshold.
 STANDARD_ERRORS = 5.0
-BLOCK = 2048
+BLOCK, HOT = 2048, 8192
 #: Rows of pairs that may be broadcast (about 40 bytes each); more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-SALTS = 16
+#: Partners of a leader whose texts come to one task.
+PARTNERS = 1024
 
 
 @lru_cache(maxsize=1)
@@ -107,14 +112,13 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(_bands(_samples(shingles)))
             bits.append(_odd_sketch(shingles))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "print1", "print2", "bands", "sketch"],
+            [batch.column("doc_id"), batch.column("digest"), pa.array(sizes, pa.int64()), pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
+            names=["doc_id", "digest", "n_shingles", "print1", "print2", "bands", "sketch"],
         )
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_sketches, "doc_id bigint, n_shingles bigint, print1 bigint, print2 bigint, bands array<bigint>, sketch array<bigint>")
+    return _texts(docs).mapInArrow(_sketches, "doc_id bigint, digest bigint, n_shingles bigint, print1 bigint, print2 bigint, bands array<bigint>, sketch array<bigint>")
 
 
 def _most_bits(na, nb, ops):
@@ -145,20 +149,26 @@ def close_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(fit & (differing <= _most_bits(F.col("na"), F.col("nb"), _COLUMNS))).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of the written pairs (a, b) those that are similar on full sets. The texts of a's partners come to a's task, salted."""
-    wanted = pairs.select("a", F.col("b").alias("doc_id"), F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt"))
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text and digest, by which the text of one of several rows of an id is found again."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("digest", F.xxhash64("text"))
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Of the written pairs (a, b) those that are similar on full sets. The texts of a's partners come to a's tasks, so many to each."""
+    sized = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("partners")), "a")
+    wanted = sized.select("a", F.col("b").alias("rep"), F.pmod(F.xxhash64("b"), F.ceil(F.col("partners") / PARTNERS)).alias("salt"))
     members = wanted.withColumn("leads", F.lit(False))
-    leaders = wanted.select("a", F.col("a").alias("doc_id"), "salt").distinct().withColumn("leads", F.lit(True))
-    sent = written(members.unionByName(leaders), "sent")
-    texts = docs.select("doc_id", "text").join(maybe_broadcast(sent, sent.count(), BROADCAST_ROWS), "doc_id")
+    leaders = wanted.select("a", F.col("a").alias("rep"), "salt").distinct().withColumn("leads", F.lit(True))
+    sent = written(members.unionByName(leaders).join(classes.select("rep", "doc_id", "digest"), "rep"), "sent")
+    texts = _texts(docs).join(maybe_broadcast(sent, sent.count(), BROADCAST_ROWS), ["doc_id", "digest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, leader = None, None
         for batch in batches:
             links: tuple[list[int], list[int]] = ([], [])
-            rows = zip(batch.column("a").to_pylist(), batch.column("salt").to_pylist(), batch.column("leads").to_pylist(), batch.column("doc_id").to_pylist(), strict=True)
-            for (a, salt, leads, doc_id), own in zip(rows, shingle_sets(batch.column("text")), strict=True):
+            rows = zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "leads", "rep")), strict=True)
+            for (a, salt, leads, rep), own in zip(rows, shingle_sets(batch.column("text")), strict=True):
                 if leads:
                     group, leader = (a, salt), own
                     continue
@@ -166,7 +176,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 common = len(np.intersect1d(leader, own, assume_unique=True))
                 if DENOMINATOR * common >= NUMERATOR * (len(leader) + len(own) - common):
                     links[0].append(a)
-                    links[1].append(doc_id)
+                    links[1].append(rep)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in links], names=["a", "b"])
 
     ordered = texts.repartition("a", "salt").sortWithinPartitions("a", "salt", F.desc("leads"))
@@ -193,8 +203,8 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(heads)
 
 
-def _bucket_pairs(key: int, rows: list[tuple], closest: bool) -> list[tuple[int, int]]:
-    """Pairs of a bucket, or of two of its blocks, that lie in different components and may be similar, unless an earlier bucket holds both; or only each component's closest."""
+def _bucket_pairs(key: int, rows: list[tuple], closest: bool, banded: bool) -> list[tuple[int, int]]:
+    """Pairs of a bucket, or of two of its blocks, that lie in different components and may be similar, unless an earlier band's bucket holds both; or only each component's closest."""
     rep, comp, size, side = (np.array([r[i] for r in rows], np.int64) for i in range(4))
     bits, bands = np.array([r[4] for r in rows], np.int64).view(np.uint64), np.array([r[5] for r in rows], np.int64)
     left, right = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)
@@ -216,18 +226,46 @@ def _bucket_pairs(key: int, rows: list[tuple], closest: bool) -> list[tuple[int,
                     if c not in best or room > best[c][0]:
                         best[c] = (room, rep[i], rep[j])
         else:
-            first = (bands[near] == bands[i]).argmax(axis=1)
-            found += [(rep[i], rep[j]) for j in near[bands[i][first] == key]]
+            if banded:
+                near = near[bands[i][(bands[near] == bands[i]).argmax(axis=1)] == key]
+            found += [(rep[i], rep[j]) for j in near]
     found += [(a, b) for _, a, b in best.values()]
     return [(int(min(p)), int(max(p))) for p in found]
 
 
-def crossing_pairs(members: DataFrame, classes: DataFrame, nodes: DataFrame, closest: bool) -> DataFrame:
-    """Close pairs across components within the buckets that hold several; buckets over BLOCK members are compared block by block."""
+def rare_buckets(reps: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """key, rep, members: the given classes by each shingle of their prefixes. Sets of the similarity share one, so nothing is missed.
+
+    A prefix is the rarest part of a set: all but so many shingles as a similar set must share, and one more. What very many texts have in
+    common, as a template, is thus no bucket unless it is nearly all that they have.
+    """
+    texts = _texts(docs).join(reps.join(classes.select("rep", "doc_id", "digest"), "rep"), ["doc_id", "digest"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, own in zip(batch.column("rep").to_pylist(), shingle_sets(batch.column("text")), strict=True):
+                n = len(own)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, rep, np.int64)), pa.array(own.view(np.int64)), pa.array(np.full(n, n - -(-NUMERATOR * n // DENOMINATOR) + 1, np.int64))], names=["rep", "key", "prefix"])
+
+    shingles = written(texts.select("rep", "text").mapInArrow(run, "rep bigint, key bigint, prefix bigint"), "shingles")
+    often = shingles.groupBy("key").agg(F.count("*").alias("often"))
+    # Rows that repeat have equal ranks.
+    rank = F.dense_rank().over(Window.partitionBy("rep").orderBy("often", "key"))
+    prefixes = written(shingles.join(often, "key").withColumn("rank", rank).where("rank <= prefix").select("key", "rep").distinct(), "prefixes")
+    return prefixes.join(prefixes.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "key")
+
+
+def mixed_buckets(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``members`` (key, rep, members) of buckets that hold several components, each with its component."""
     placed = members.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     placed = written(placed, "members")
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    rows = placed.join(written(mixed, "mixed"), "key").join(classes.select("rep", "n_shingles", "sketch", "bands"), "rep")
+    return placed.join(written(mixed, "mixed"), "key")
+
+
+def crossing_pairs(mixed: DataFrame, classes: DataFrame, closest: bool, banded: bool) -> DataFrame:
+    """Close pairs across components within mixed buckets; those over BLOCK members are compared block by block."""
+    rows = mixed.join(classes.select("rep", "n_shingles", "sketch", "bands"), "rep")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     # Side 0: both in one block; 1 and 2: the lower and the higher block of two.
@@ -245,20 +283,22 @@ def crossing_pairs(members: DataFrame, classes: DataFrame, nodes: DataFrame, clo
             for key, b1, b2, *row in zip(*columns, strict=True):
                 if (key, b1, b2) != group:
                     if len(rows) > 1:
-                        yield made(_bucket_pairs(group[0], rows, closest))
+                        yield made(_bucket_pairs(group[0], rows, closest, banded))
                     group, rows = (key, b1, b2), []
                 rows.append(row)
         if len(rows) > 1:
-            yield made(_bucket_pairs(group[0], rows, closest))
+            yield made(_bucket_pairs(group[0], rows, closest, banded))
 
     return dealt.repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of ``docs``."""
+def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows; and for each class its component's least row: print1, print2, component (its id), first (its digest)."""
     rows = written(sketches(docs), "sketches")
-    classes = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("print1", "print2").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n_shingles", "bands", "sketch"), "doc_id").alias("own"))
-    classes = written(classes.select("print1", "print2", "rep", "own.*"), "classes")
+    least = F.min_by(F.struct("doc_id", "digest", "n_shingles", "bands", "sketch"), F.struct("doc_id", "digest"))
+    classes = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("print1", "print2").agg(least.alias("own"))
+    # Ids may repeat, so classes have numbers of their own.
+    classes = written(classes.select(F.monotonically_increasing_id().alias("rep"), "print1", "print2", "own.*"), "classes")
     lead = F.struct(F.xxhash64("rep").alias("rank"), F.col("rep"))
     buckets = classes.select("rep", F.explode("bands").alias("key"))
     keys = written(buckets.groupBy("key").agg(F.count("*").alias("members"), F.min(lead).alias("lead")).where("members > 1").select("key", "members", F.col("lead.rep").alias("leader")), "keys")
@@ -266,29 +306,52 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     members = members.select("key", "rep", "members")
     tried = written(close_pairs(stars, classes), "pairs")
-    links = written(confirmed(tried, docs), "links")
+    links = written(confirmed(tried, classes, docs), "links")
     nodes = written(components(links), "nodes")
+    rare = None
     # The second pass confirms every close pair that still crosses components, so a third would find none.
     for closest in (True, False):
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = written(crossing_pairs(members, classes, nodes, closest).join(known, ["a", "b"], "left_anti"), "pairs")
+        mixed = mixed_buckets(members, nodes)
+        hot = mixed.where(F.col("members") > HOT).select("rep").distinct()
+        if rare is None and not hot.isEmpty():
+            rare = written(rare_buckets(hot, classes, docs), "rare")
+        crossing = crossing_pairs(mixed.where(F.col("members") <= HOT), classes, closest, True)
+        if rare is not None:
+            crossing = crossing.unionByName(crossing_pairs(mixed_buckets(rare, nodes), classes, closest, False)).distinct()
+        fresh = written(crossing.join(known, ["a", "b"], "left_anti"), "pairs")
         if fresh.isEmpty():
             continue
-        tried, links = tried.unionByName(fresh), links.unionByName(written(confirmed(fresh, docs), "links"))
+        tried, links = tried.unionByName(fresh), links.unionByName(written(confirmed(fresh, classes, docs), "links"))
         nodes = written(components(links), "nodes")
-    placed = classes.select("print1", "print2", "rep").join(nodes.withColumnRenamed("node", "rep"), "rep", "left")
-    # A class of one row that is linked with nothing needs no entry.
-    placed = written(placed.select("print1", "print2", F.coalesce("component", "rep").alias("component")), "placed")
-    out = rows.select("doc_id", "n_shingles", "print1", "print2").join(placed, ["print1", "print2"], "left")
+    own = classes.select("print1", "print2", "rep", F.struct("doc_id", "digest").alias("row")).join(nodes.withColumnRenamed("node", "rep"), "rep", "left")
+    own = own.withColumn("linked", F.col("component").isNotNull())
+    heads = own.where("linked").groupBy("component").agg(F.min("row").alias("head"))
+    head = F.coalesce("head", "row")
+    placed = own.join(heads, "component", "left").select("print1", "print2", head["doc_id"].alias("component"), head["digest"].alias("first"))
+    return rows, written(placed, "placed")
+
+
+def _decided(docs: DataFrame) -> DataFrame:
+    """doc_id, digest, n_shingles, component_id, kept."""
+    rows, placed = _placed(docs)
+    out = rows.select("doc_id", "digest", "n_shingles", "print1", "print2").join(placed, ["print1", "print2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    kept = F.coalesce((F.col("doc_id") == component) & (F.col("digest") == F.coalesce("first", "digest")), F.lit(True))
+    return out.select("doc_id", "digest", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of ``docs``."""
+    return _decided(docs).drop("digest")
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, the one with the least id, and all without an id; of rows of equal id and text one stays."""
-    keep = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    """``docs`` with one row of each component, the one with the least id, and all rows without an id; of rows of equal id and text one stays."""
+    keep = _decided(docs).where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).agg(F.count("*").alias("_n"))
     keep = written(keep, "keep")
-    out = docs.join(keep.where("n = 1"), "doc_id", "left_semi").unionByName(docs.where(F.col("doc_id").isNull()))
-    again = keep.where("n > 1")
-    # Only rows of repeated ids are compared by text.
-    return out if again.isEmpty() else out.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+    chosen = (docs["doc_id"].cast("bigint") == keep["_id"]) & (F.xxhash64(docs["text"].cast("string")) == keep["_digest"])
+    out = docs.join(keep.where("_n = 1"), chosen, "left_semi").unionByName(docs.where(F.col("doc_id").isNull()))
+    again = keep.where("_n > 1")
+    # Only rows that repeat are compared by text.
+    return out if again.isEmpty() else out.unionByName(docs.join(again, chosen, "left_semi").dropDuplicates(["doc_id", "text"]))
