@@ -1,10 +1,10 @@
 """Benchmark decontamination with DataFrame functions only.
 
 The windows of the benchmark are normalised n-grams kept as (length, hash, words, items). Their table is broadcast when its
-measured size is under ``broadcast_rows``; otherwise the join is left to the optimizer. Training texts are scanned
-once: every window position is hashed, looked up, and a hit is confirmed word by word in the join condition, so only
-confirmed occurrences leave the scan. One more row a document, of length 0, meets a row of its own in the table and carries
-the word count, so no second scan is needed.
+measured bytes are at most ``broadcast_bytes``. Training texts are then scanned once: every window position is hashed, looked
+up, and a hit is confirmed word by word in the join condition, so only confirmed occurrences leave the scan. One more row a
+document, of length 0, meets a row of its own in the table and carries the word count, so no second scan is needed. A larger table is joined by shuffle: of
+each position only numbers and the hash are sent, and words only of documents where a hash met one.
 
 Defined results: null, empty or wordless texts have no words and no hits; benchmark items without words have no window;
 repeated items share windows; each row of ``docs`` gets a row, repeated ids too; other columns are ignored.
@@ -20,8 +20,8 @@ from terraloom.llm.common import ascii_lower, written
 WINDOW = 13
 #: What stands between words: ASCII that is neither digit nor lower-case letter; and the same before lower-casing.
 GAPS, RAW_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
-#: A window row is about 13 words (150 bytes); at most so many are broadcast (about 150 MB).
-BROADCAST_ROWS = 1_000_000
+#: The most bytes of windows, their words and items counted, that are broadcast.
+BROADCAST_BYTES = 150_000_000
 
 
 def normal_words(text: Column) -> Column:
@@ -38,14 +38,15 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return real.unionByName(counter)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """For each row of ``docs``: row_key, doc_id, n_words, n_hit, spans (sorted word spans: start from 1, end exclusive), items."""
     windows = written(benchmark_windows(benchmark, window), "windows")
-    facts = windows.agg(F.count("*").alias("n"), F.sort_array(F.collect_set(F.when(F.col("len") > 0, F.col("len")))).alias("lens")).first()
-    if facts["n"] <= broadcast_rows:
-        windows = F.broadcast(windows)
-    words = docs.select("doc_id", normal_words(F.col("text")).alias("w")).withColumn("row_key", F.monotonically_increasing_id())
-    words = words.withColumn("size", F.explode(F.array(*map(F.lit, facts["lens"] or [window]))))
+    size = F.lit(64) + F.octet_length(F.array_join("win", " ")) + 16 * F.size("win") + 16 * F.size("items")
+    facts = windows.agg(F.sum(size).alias("bytes"), F.sort_array(F.collect_set(F.when(F.col("len") > 0, F.col("len")))).alias("lens")).first()
+    whole = docs.select("doc_id", normal_words(F.col("text")).alias("w")).withColumn("row_key", F.monotonically_increasing_id())
+    small = facts["bytes"] <= broadcast_bytes
+    whole = whole if small else written(whole, "words")
+    words = whole.withColumn("size", F.explode(F.array(*map(F.lit, facts["lens"] or [window]))))
     # Position 0 is the document's counting row; from 1 on, windows start there.
     places = words.select("doc_id", "row_key", "w", "size", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - F.col("size") + 1, F.lit(0)))).alias("pos"))
     counting = F.col("pos") == 0
@@ -55,8 +56,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_
         F.when(counting, F.lit(0).cast("bigint")).otherwise(F.xxhash64(F.slice("w", F.greatest("pos", F.lit(1)), F.col("size")))).alias("at_key"),
     )
     same = F.slice("w", F.greatest("pos", F.lit(1)), F.col("at_len")) == F.col("win")
-    found = places.join(windows, (F.col("at_len") == F.col("len")) & (F.col("at_key") == F.col("key")) & same)
-    found = found.select("doc_id", "row_key", "n", F.when(F.col("pos") > 0, F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("at_len")).alias("end"))).alias("span"), "items")
+    alike = (F.col("at_len") == F.col("len")) & (F.col("at_key") == F.col("key"))
+    span = F.when(F.col("pos") > 0, F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("at_len")).alias("end")))
+    if small:
+        found = places.join(F.broadcast(windows), alike & same).select("doc_id", "row_key", "n", span.alias("span"), "items")
+    else:
+        met = places.where(~counting).select("row_key", "pos", "at_len", "at_key").join(windows.select("len", "key"), alike, "left_semi")
+        hits = met.join(whole, "row_key").join(windows, alike & same).select("doc_id", "row_key", F.lit(None).cast("int").alias("n"), span.alias("span"), "items")
+        none = F.array().cast(windows.schema["items"].dataType)
+        found = hits.unionByName(whole.select("doc_id", "row_key", F.size("w").alias("n"), F.lit(None).cast(hits.schema["span"].dataType).alias("span"), none.alias("items")))
     rows = found.groupBy("row_key", "doc_id").agg(F.max("n").alias("n_words"), F.sort_array(F.collect_list("span")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     start = F.struct(F.lit(0).alias("hit"), F.lit(0).alias("reach"))
     covered = F.aggregate("spans", start, lambda a, s: F.struct((a["hit"] + F.greatest(s["end"] - F.greatest(s["start"], a["reach"]), F.lit(0))).alias("hit"), F.greatest(a["reach"], s["end"]).alias("reach")), lambda a: a["hit"])
