@@ -8,13 +8,17 @@ import json
 import math
 import re
 import shutil
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from terraloom.llm import decontamination, language_id, language_model, media, near_dedup, packing, quality, secrets, token_counts, toxicity
+from terraloom.llm.common import labelled_sample
 from terraloom.llm.tokens import encoded, vocabulary
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -66,12 +70,15 @@ def test_decontamination(spark, passage):
     docs = {
         1: " ".join(passage), 2: None, 3: "", 4: "?!", 5: " ".join(other), 6: " ".join(other[:100] + passage[2:18] + other[100:]), 7: "say Two-WORDS, two words!",
         8: " ".join(passage[:12]), 9: " ".join(other * 10 + passage[:14]), 10: "é" + " ".join(passage[:13]) + "é", 11: " ".join(passage[:13]).title(),
+        12: " ".join(other * 50 + passage + other * 50), 13: "two words " * 10_000,
     }
     bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontamination.report(table(spark, docs), bench).collect()}
     assert got == plain_decontamination(docs, items)
-    joined = decontamination.scan(table(spark, docs), bench, broadcast_rows=0)
-    assert {(r.doc_id, r.n_words, r.n_hit) for r in joined.collect()} == {(i, v[0], v[1]) for i, v in got.items()}
+    joined = decontamination.scan(table(spark, docs), bench, broadcast_bytes=0)
+    assert {(r.doc_id, r.n_words, r.n_hit, len(r["items"])) for r in joined.collect()} == {(i, *v[:3]) for i, v in got.items()}
+    twice = table(spark, docs).unionByName(table(spark, docs))
+    assert Counter((r.doc_id, r.n_words, r.n_hit) for r in decontamination.report(twice, bench).collect()) == Counter({(i, v[0], v[1]): 2 for i, v in got.items()})
     kept = decontamination.without_contaminated(table(spark, docs), bench)
     assert {r.doc_id for r in kept.collect()} == {i for i, v in got.items() if not v[4]}
     assert kept.columns == table(spark, docs).columns
@@ -165,6 +172,40 @@ def test_packing(spark):
     deal = Counter((r.context, r.step_group) for r in pieces.where("offset = 0 AND context = 4096").collect())
     assert max(deal.values()) <= 1 + min(1, len(deal))
     assert packing.pack(table(spark, {})).count() == 0
+    again = packing.pack(docs.unionByName(docs)).groupBy("doc_id").agg({"length": "sum"}).collect()
+    assert {r[0]: r[1] for r in again} == {p.doc_id: 2 * p.doc_tokens for p in pieces.collect()}
+
+
+def test_packing_holds_few_empty_texts(spark, monkeypatch):
+    """Empty texts count as rows: the pool of open pieces stays small whatever their number."""
+    most, plainly = [0], packing.Packer.fill
+
+    def watched(self, last=False):
+        most[0] = max(most[0], len(self.pool))
+        return plainly(self, last)
+
+    monkeypatch.setattr(packing.Packer, "fill", watched)
+    packer, n = packing.Packer(0), 60_000
+    for i in range(n):
+        packer.add(i, np.array([packing.END], np.uint32))
+    assert len(packer.fill(last=True)) == n
+    empties = spark.range(n, numPartitions=1).selectExpr("id AS doc_id", "CAST(NULL AS string) AS text")
+    got = packing.pack(empties)
+    assert got.count() == n and got.agg({"length": "sum"}).first()[0] == n
+    windows = got.groupBy("sequence_id").agg({"length": "sum"}).collect()
+    assert len(windows) == -(-n // 512) or max(r[1] for r in windows) <= 4096
+
+
+def test_tokens_are_those_of_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    rng = np.random.default_rng(17)
+    letters = list("abc XYZ  \n\t.,'-_0123éßİΣ中文 \u200d\u0301😀")
+    texts = ["", " ", "Hello, World!", "don't STOP", "a" * 400] + ["".join(rng.choice(letters, int(rng.integers(1, 60)))) for _ in range(400)]
+    for text, ids in zip(texts, encoded(texts, path), strict=True):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 # --- classifiers --------------------------------------------------------------------------------------------------
@@ -200,6 +241,42 @@ def test_quality(spark):
     assert quality.score(table(spark, {}), marks).count() == 0
 
 
+def plain_quality(net: quality.Network, text: bytes) -> float:
+    """One text, one chunk and one filter place at a time."""
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    n = max(2, -(-len(text) // 64)) * 64
+    data = text + bytes(n + 4 - len(text))
+    answers = np.array([p["bias"] + np.concatenate([p["embed"][b] for b in data[at : at + 8]]) @ np.concatenate([p["first"], p["second"]]) for at in range(0, n, 4)])
+    hidden = []
+    for chunk in range(0, n - 64, 64):
+        pooled = np.maximum(answers[chunk // 4 : chunk // 4 + 32].max(axis=0), 0)
+        hidden.append(np.maximum(pooled @ p["mix"] + p["mix_bias"], 0))
+    return float(1 / (1 + np.exp(-(np.mean(hidden, axis=0) @ p["out"] + p["out_bias"][0]))))
+
+
+def test_quality_scores_are_those_of_a_plain_network(monkeypatch):
+    net = quality.Network(3)
+    net.fitted = True
+    texts = [b"", b"x", b"short text", " ".join(words_of(30, 1)).encode(), " ".join(words_of(90, 2)).encode(), "é中".encode() * 50, b"y" * 128, b"z" * 129]
+    plain = [plain_quality(net, t) for t in texts]
+    arrays = [np.frombuffer(t, np.uint8) for t in texts]
+    assert np.allclose(net.scores(arrays), plain, atol=1e-5)
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 128)
+    assert np.allclose([net.scores([t])[0] for t in arrays], plain, atol=1e-5)
+
+
+def peak_mb(code: str) -> float:
+    """The most memory that a fresh interpreter takes for a piece of code, beyond what it had before."""
+    lines = ["import resource, numpy as np", "peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024", *code.strip().splitlines(), "print(peak() - before)"]
+    return float(subprocess.run([sys.executable, "-c", "\n".join(lines)], capture_output=True, check=True, text=True).stdout)
+
+
+def test_long_texts_take_bounded_memory():
+    data = "text = np.frombuffer(b'some words, and more of them 123 ' * (1 << 21), np.uint8)\nbefore = peak()"
+    assert peak_mb(f"from terraloom.llm import quality\nnet = quality.Network()\nnet.fitted = True\n{data}\nnet.scores([text])") < 300
+    assert peak_mb(f"from terraloom.llm import toxicity\nc = toxicity.Classifier()\nc.fitted = True\n{data}\nc.scores(text, np.array([0, len(text)]))") < 300
+
+
 def test_quality_gradients():
     net = quality.Network()
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
@@ -244,6 +321,98 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score(docs, marks.limit(0)).collect()} == {0.0}
 
 
+def plain_toxicity(c: toxicity.Classifier, text: str) -> float:
+    """One word and one gram at a time."""
+    words = [w for w in re.split(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.encode().translate(bytes(toxicity._FOLDED.tolist()))) if w.strip()]
+    words = [w for w in b" ".join(words).split(b" ") if w]
+
+    def bucket(gram: bytes) -> int:
+        h = len(gram)
+        for b in gram:
+            h = ((h ^ b) * 0x01000193) & 0xFFFFFFFF
+            h ^= h >> 15
+        return h & (toxicity.BUCKETS - 1)
+
+    logits = []
+    for at in range(0, len(words), 3):
+        grams = [(b" " + w + b" ")[i : i + n] for w in words[at : at + 3] for n in (3, 4, 5) for i in range(len(w) + 3 - n)]
+        logits.append(sum(float(c.weights[bucket(g)]) for g in grams) / max(len(grams), 1) + c.bias)
+    if not logits:
+        return float(toxicity.sigmoid(np.array([c.bias]))[0])
+    share = np.exp(np.array(logits) - max(logits))
+    return float(toxicity.sigmoid(np.array([(share * logits).sum() / share.sum()]))[0])
+
+
+def test_toxicity_scores_are_those_of_a_plain_sum(monkeypatch):
+    c = toxicity.Classifier()
+    c.weights = np.random.default_rng(2).normal(0, 3, toxicity.BUCKETS).astype(np.float32)
+    c.bias, c.fitted = -0.7, True
+    texts = ["", "...", "a", "Hello", "one Two three FOUR", ", ".join(words_of(50, 3)), "é中 x" * 30, "a" * 300, " a b ", "x-y_z 12 " * 40]
+    plain = [plain_toxicity(c, t) for t in texts]
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in data])])
+    assert np.allclose(c.scores(np.frombuffer(b"".join(data), np.uint8), offsets), plain, atol=1e-5)
+    for block in (7, 64):
+        monkeypatch.setattr(toxicity, "BLOCK_BYTES", block)
+        assert np.allclose([c.scores(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in data], plain, atol=1e-5)
+
+
+def test_toxicity_learns_down_the_slope():
+    """Training lowers the loss of what it is trained on."""
+    sample = [(" ".join(words_of(12, i) + (["stupid"] if i % 3 == 0 else [])), int(i % 3 == 0)) for i in range(60)]
+    loss = lambda c: np.mean([-np.log(p if v else 1 - p) for (t, v), p in ((x, np.clip(plain_toxicity(c, x[0]), 1e-9, 1 - 1e-9)) for x in sample)])
+    assert loss(toxicity.Classifier().fit(sample)) < 0.1
+
+
+def test_samples_skip_long_texts_before_they_are_bounded(spark):
+    texts = {i: "long " * 4000 if i < 40 else " ".join(words_of(9, i)) for i in range(60)}
+    marks = spark.createDataFrame([(i, i % 2, i % 2) for i in texts] * 2, "doc_id bigint, quality int, toxic int")
+    for per, expected in ((5, 5), (100, 10)):
+        got = labelled_sample(table(spark, texts), marks, "quality", F.lit(True), {0: per, 1: per}, 8000)
+        assert Counter(v for _, v in got) == {0: expected, 1: expected}, got
+    none = table(spark, {})
+    assert toxicity.score(none, marks).count() == 0 and language_id.predict(none).count() == 0
+    twice = table(spark, {1: "a b", 2: None})
+    assert sorted(r.doc_id for r in toxicity.score(twice.unionByName(twice), marks).collect()) == [1, 1, 2, 2]
+    assert sorted(r.doc_id for r in quality.score(twice.unionByName(twice), marks).collect()) == [1, 1, 2, 2]
+
+
+def test_language_scores_are_those_of_a_plain_ridge():
+    rng = np.random.default_rng(4)
+    sample = [("".join(rng.choice(list(letters), 60)), lang) for lang, letters in (("aa", "abcd "), ("bb", "cdef ")) for _ in range(30)]
+    table_ = language_id.alphabet_of([t for t, _ in sample])
+    model = language_id.Model(table_, sample)
+    sets = lambda t: set(np.concatenate(language_id.codes(t, table_)[0]).tolist())
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    every = [sets(t) for t, _ in sample]
+    # Landmarks are all 60 texts, so the approximation is the kernel itself: solve by duals.
+    gram = np.array([[kernel(a, b) for b in every] for a in every])
+    y = np.array([[1.0 if v == k else -1.0 for k in ("aa", "bb")] for _, v in sample])
+    dual = np.linalg.solve(gram + language_id.RIDGE * len(sample) * np.eye(len(sample)), y - y.mean(axis=0))
+    fresh = ["".join(rng.choice(list("abcdef "), 50)) for _ in range(20)]
+    margins = np.array([[kernel(sets(t), b) for b in every] for t in fresh]) @ dual + y.mean(axis=0)
+    names, scores = model.predictions(fresh)
+    assert names == [("aa", "bb")[k] for k in margins.argmax(axis=1)]
+    raised = np.exp(language_id.SHARPNESS * (margins - margins.max(axis=1, keepdims=True)))
+    assert np.allclose(scores, raised.max(axis=1) / raised.sum(axis=1), atol=1e-3)
+
+
+def test_language_bounds(spark, monkeypatch):
+    """With more languages than landmarks, each is still learned; with more than are taken, the rest are never said."""
+    monkeypatch.setattr(language_id, "LANDMARKS_IN_ALL", 8)
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts, langs = {}, {}
+    for i in range(390):
+        rng, k = np.random.default_rng(i), i % 13
+        texts[i], langs[i] = "".join(rng.choice(list(letters[2 * k : 2 * k + 2] + " "), 40)), f"l{k:02}"
+    rows = language_id.predict(table(spark, texts, langs)).collect()
+    seen = {r.lang_pred for r in rows}
+    assert len(seen) <= 12
+    held = [r.lang_pred == langs[r.doc_id] for r in rows if r.held_out and langs[r.doc_id] in seen]
+    assert np.mean(held) > 0.9
+
+
 def test_language_id(spark):
     texts, langs = {}, {}
     alphabets = {"aa": "abcdefg ", "bb": "defghij ", "cc": "ghijklé "}
@@ -326,12 +495,42 @@ def test_near_duplicates(spark, monkeypatch, block):
 
 
 def test_near_duplicates_without_or_with_repeated_ids(spark):
-    a, b, c = (" ".join(words_of(40, seed)) for seed in (201, 202, 203))
-    docs = spark.createDataFrame([(None, a), (None, b), (1, a), (2, c), (2, c), (3, c), (4, b), (4, a)], "doc_id bigint, text string")
-    got = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()}
-    assert {(None, None, True), (1, 1, True), (2, 2, True), (3, 2, False)} <= got
-    kept = sorted((r.doc_id or 0, r.text) for r in near_dedup.without_near_duplicates(docs.where("doc_id IS NULL OR doc_id < 4")).collect())
-    assert kept == sorted([(0, a), (0, b), (1, a), (2, c)])
+    a, b, c, d = (" ".join(words_of(40, seed)) for seed in (201, 202, 203, 204))
+    near = lambda t: t.rsplit(" ", 1)[0]
+    rows = [(None, a), (None, b), (1, a), (2, c), (2, c), (3, c), (4, b), (4, near(a)), (5, d), (5, near(b)), (6, None), (6, d), (5, None), (7, near(d)), (7, near(c)), (7, "")]
+    # Each row is a document of its own; a plain run over row numbers gives its component, which bears the least id.
+    numbered = {i: t for i, (k, t) in enumerate(rows) if k is not None}
+    plain = {i: c for i, (_, c) in plain_components(numbered).items()}
+    name = {c: min(rows[i][0] for i in plain if plain[i] == c) for c in plain.values()}
+    docs = spark.createDataFrame([(*r, 7, "x") for r in rows], "doc_id bigint, text string, digest int, first string")
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect())
+    assert got == Counter((k, name[plain[i]] if i in plain else None, k is None or k == name[plain[i]]) for i, (k, _) in enumerate(rows))
+    kept = near_dedup.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    found = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert found == Counter([(None, a), (None, b), (1, a), (2, c), (4, b), (5, d), (5, None), (6, None), (7, "")])
+
+
+def test_near_duplicates_in_hot_buckets(spark, monkeypatch):
+    """Texts of one template, near copies among them: no bucket is dealt block by block, all links are found."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "HOT", 16)
+    template, texts = words_of(70, 300), {}
+    for k in range(150):
+        texts[k] = " ".join(template + words_of(40, 400 + k))
+        if k % 3 == 0:
+            texts[1000 + k] = " ".join(template[1:] + words_of(40, 400 + k))
+    met = []
+    plainly = near_dedup.crossing_pairs
+
+    def watched(mixed, classes, closest, banded):
+        met.append((banded, mixed.agg({"members": "max"}).first()[0] or 0))
+        return plainly(mixed, classes, closest, banded)
+
+    monkeypatch.setattr(near_dedup, "crossing_pairs", watched)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(table(spark, texts)).collect()}
+    assert got == plain_components(texts)
+    assert any(not banded for banded, _ in met) and max(n for _, n in met) <= 16
 
 
 def test_odd_sketch_estimates():
