@@ -55,6 +55,14 @@ def bbox_of(points: Column) -> Column:
     return F.when(F.size(sound) > 0, F.array(F.array_min(x), F.array_min(y), F.array_max(x), F.array_max(y)))
 
 
+def bbox_over(x: Column, y: Column) -> Column:
+    """The same as an aggregate over rows, which adds up before a shuffle."""
+    finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
+    sound = finite(x) & finite(y)
+    own = lambda v: F.when(sound, v)
+    return F.when(F.count_if(sound) > 0, F.array(F.min(own(x)), F.min(own(y)), F.max(own(x)), F.max(own(y))))
+
+
 def covers(outer: Column, inner: Column, slack: float = 1e-9) -> Column:
     return (inner[0] >= outer[0] - slack) & (inner[1] >= outer[1] - slack) & (inner[2] <= outer[2] + slack) & (inner[3] <= outer[3] + slack)
 

@@ -29,7 +29,11 @@ def masked_seed(number: Column) -> Column:
     return F.floor(number).cast("bigint").bitwiseAND(F.lit(INT31))
 
 
-def retryable(status: Column, message: Column, tokens: tuple[str, ...]) -> Column:
+#: What the message of a failure that may pass contains.
+RETRY_TOKENS = ("429", "rate", "resource exhausted", "unavailable", "internal", "server error", "timeout", "temporar", "502", "503", "504")
+
+
+def retryable(status: Column, message: Column, tokens: tuple[str, ...] = RETRY_TOKENS) -> Column:
     """A status to retry, or a message that holds one of the tokens in any case."""
     low = F.lower(message)
     told = F.lit(False)
@@ -87,3 +91,46 @@ def colour_stop(value: Column, stops: list[tuple[float, float]]) -> Column:
     for (x0, y0), (x1, y1) in zip(stops, stops[1:], strict=False):
         out = out.when(value <= x1, F.lit(y0) + (value - x0) * F.lit((y1 - y0) / (x1 - x0)))
     return out.otherwise(F.lit(stops[-1][1]))
+
+
+#: Parts of names of models that may not be used, and the rules that follow every prompt.
+DENIED_MODELS = ("gemini-2.",)
+GUARDRAILS = [
+    "Hard constraints:",
+    "- Do not copy the anchors or neighbors; use them only as style references.",
+    "- Do not introduce new large objects that cross tile boundaries.",
+    "- Keep global lighting/camera consistent with the anchors.",
+]
+KEEP_ROOFS = "- Preserve per-building roof colors/materials from the {} tile; avoid homogenizing everything."
+LEAN_ON_REFERENCE = "- Lean on the COLOR REFERENCE to keep Tashkent-specific turquoise/mint/blue roofs instead of drifting toward generic browns."
+
+
+def is_allowed_model(model: Column, denied: tuple[str, ...] = DENIED_MODELS) -> Column:
+    """No denied part in any case; no name at all is allowed."""
+    low = F.lower(F.trim(F.coalesce(model, F.lit(""))))
+    allowed = F.lit(True)
+    for part in denied:
+        allowed = allowed & ~low.contains(part)
+    return allowed
+
+
+def assembled_prompt(template: Column, layer: Column, referenced: Column) -> Column:
+    """The template with its label renamed, and the rules that its layer and a colour reference call for."""
+    user = F.trim(F.replace(F.replace(F.coalesce(template, F.lit("")), F.lit("labeled WHITEBOX"), F.lit("labeled INPUT TILE")), F.lit("WHITEBOX"), F.lit("INPUT TILE")))
+    lines = lambda *more: F.lit("\n".join([GUARDRAILS[0], *more, *GUARDRAILS[1:]]))
+    plain = F.lower(F.coalesce(layer, F.lit(""))).contains("whitebox")
+    rules = F.when(referenced, lines(KEEP_ROOFS.format("COLOR REFERENCE"), LEAN_ON_REFERENCE)).when(~plain, lines(KEEP_ROOFS.format("input"))).otherwise(lines())
+    return F.trim(F.concat(user, F.lit("\n\n"), rules))
+
+
+def structure_weights(layer: str, referenced: bool) -> dict[str, float]:
+    """Colour counts more where a layer has true colours or a reference shows them."""
+    if referenced or "whitebox" not in (layer or "").lower():
+        return {"rgb_l1": 1.0, "rgb_l2": 0.0, "sobel_l1": 0.5}
+    return {"rgb_l1": 0.15, "rgb_l2": 0.0, "sobel_l1": 1.0}
+
+
+def path_below(root: Column, path: Column) -> Column:
+    """A path below a root as seen from there, the root itself as a dot; other paths stay."""
+    base = F.regexp_replace(root, "/+$", "")
+    return F.when(path == base, F.lit(".")).when(F.startswith(path, F.concat(base, F.lit("/"))), F.substring(path, F.length(base) + 2, F.length(path))).otherwise(path)

@@ -85,18 +85,43 @@ def widened(mask: np.ndarray, size: int) -> np.ndarray:
     return np.max([wide[i : i + h, j : j + w] for i in range(size) for j in range(size)], axis=0)
 
 
+def lanczos(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """An image of numbers at another size by a windowed sinc of three lobes, which widens as the image shrinks; each axis on its own."""
+    out = image.astype(float)
+    for axis, size in ((0, height), (1, width)):
+        old = out.shape[axis]
+        scale = max(old / size, 1.0)
+        centre = (np.arange(size) + 0.5) * (old / size) - 0.5
+        away = (np.arange(old)[None] - centre[:, None]) / scale
+        weights = np.where(np.abs(away) < 3, np.sinc(away) * np.sinc(away / 3), 0.0)
+        out = np.moveaxis(np.tensordot(weights / weights.sum(axis=1, keepdims=True), out, (1, axis)), 0, axis)
+    return out
+
+
+def unit_image(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Three channels at a size, from 0 to 1; resized as whole numbers."""
+    rgb = np.repeat(image, 3, axis=2) if image.shape[2] == 1 else image[:, :, :3]
+    sized = rgb if rgb.shape[:2] == (height, width) else np.clip(np.rint(lanczos(rgb, height, width)), 0, 255)
+    return sized.astype(np.float32) / 255
+
+
+def edge_statistics(edges: np.ndarray, thickness: int, threshold: int, most_cover: float) -> tuple[np.ndarray, int, float]:
+    """The mask of edges, the threshold used and the share covered: the threshold rises by 8, to 250 at most, until edges cover no more than ``most_cover`` (which counts between 0 and 1)."""
+    while True:
+        mask = widened(edges >= threshold, 2 * (thickness // 2) + 1)
+        if not 0 < most_cover < 1 or mask.mean() <= most_cover or threshold >= 250:
+            return mask, threshold, float(mask.mean())
+        threshold = min(250, threshold + 8)
+
+
 def stylised(image: np.ndarray, scale: float = 0.5, colours: int = 24, contrast: float = 1.1, saturation: float = 1.1, threshold: int = 40, thickness: int = 1, dark: float = 200.0, most_cover: float = 0.2, ink: tuple[int, int, int] = (20, 20, 30)) -> np.ndarray:
     """Few colours at low resolution with inked edges, shown at the old size by the nearest pixel. The threshold rises until edges cover at most ``most_cover``."""
     low = quantised(enhanced(box_downscaled(image, scale), contrast, saturation), colours)
     h, w = image.shape[:2]
     rows, cols = (np.arange(n) * m // n for n, m in ((h, low.shape[0]), (w, low.shape[1])))
     edges = box_downscaled(edge_strength(image)[..., None], scale)[..., 0]
-    while True:
-        mask = widened(edges >= threshold, 2 * (thickness // 2) + 1)
-        if mask.mean() <= most_cover or threshold >= 250:
-            break
-        threshold = min(250, threshold + 8)
-    mask &= low @ LUMA <= dark
+    mask, _, _ = edge_statistics(edges, thickness, threshold, most_cover)
+    mask = mask & (low @ LUMA <= dark)
     low[mask] = ink
     return low[rows][:, cols].astype(np.uint8)
 
@@ -129,11 +154,13 @@ def _filled(canvas: np.ndarray, points: np.ndarray, colour: tuple[int, int, int]
             canvas[y, max(0, math.ceil(x0 - 0.5)) : max(0, min(w, math.ceil(x1 - 0.5)))] = colour
 
 
-ROOF, WALLS, GROUND = (236, 232, 224), ((176, 170, 160), (206, 200, 190)), (245, 245, 240)
+#: Colours of roofs and of walls in light.
+ROOF, WALL_LIGHT = (236, 238, 242), (214, 219, 226)
+GROUND = (245, 245, 240)
 
 
 def drawn(buildings: list[tuple[bytes, float]], u0: float, v0: float, size: int, scale: float, z_scale: float) -> np.ndarray:
-    """Buildings (WKB in metres, height) from back to front: walls that face the viewer, then the roof, outer rings only."""
+    """Buildings (WKB in metres, height) from back to front: walls that face the camera, which stands south-west, then the roof, outer rings only."""
     canvas = np.full((size, size, 3), GROUND, np.uint8)
     shapes = [(g.from_wkb(wkb), h) for wkb, h in buildings]
     for shape, height in sorted(shapes, key=lambda s: sum(g.centroid(s[0]))):
@@ -144,8 +171,8 @@ def drawn(buildings: list[tuple[bytes, float]], u0: float, v0: float, size: int,
             for i in range(len(ring)):
                 j = (i + 1) % len(ring)
                 dx, dy = ring[j] - ring[i]
-                if dy - dx > 0:  # the outward normal (dy, -dx) looks along (1, 1): towards the viewer in rows that grow downwards
-                    _filled(canvas, np.array([base[i], base[j], roof[j], roof[i]]), WALLS[int(abs(dx) > abs(dy))])
+                if dx - dy > 0:  # the outward normal (dy, -dx) looks along (-1, -1); only these walls are seen, so all are in light
+                    _filled(canvas, np.array([base[i], base[j], roof[j], roof[i]]), WALL_LIGHT)
             _filled(canvas, roof, ROOF)
     return canvas
 

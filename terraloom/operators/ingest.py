@@ -20,7 +20,7 @@ LAYER_KINDS = {
     "buildings": ("Polygon", "MultiPolygon"),
     "green": ("Polygon", "MultiPolygon"),
     "roads": ("LineString", "MultiLineString"),
-    "water": ("LineString", "MultiLineString", "Polygon", "MultiPolygon"),
+    "water": ("Polygon", "MultiPolygon", "LineString", "MultiLineString"),
 }
 LAYER_TAGS = {
     "buildings": [("a", "building", None)],
@@ -32,6 +32,13 @@ COLUMNS = ["id", "source", "class", "name", "height", "building_levels", "geomet
 _SHAPE = StructType([StructField("wkb", BinaryType()), StructField("kind", StringType()), StructField("invalid", BooleanType()), StructField("fixed", BooleanType())])
 
 
+def large_enough(shapes: DataFrame, least_m2: float, source: int = 4326) -> tuple[DataFrame, DataFrame]:
+    """Shapes of at least so many square metres on the web map, and how many smaller ones (null ones too) were dropped."""
+    sized = shapes.withColumn("_area", g.st_area(g.st_project(F.col("geometry"), source, 3857)))
+    fits = F.coalesce(F.col("_area") >= least_m2, F.lit(False))
+    return sized.where(fits).drop("_area"), sized.agg(F.count_if(~fits).alias("dropped_small"))
+
+
 def in_layer(layer: str, kind: Column, tags: Column) -> Column:
     """Whether an object (kind ``a`` for area or ``w`` for way, and a map of tags) belongs to a layer."""
     found = F.lit(False)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terraloom.operators.seams import seam_weight
 from terraloom.operators.tiles import fade_weight
 
 
@@ -36,17 +37,16 @@ def cropped(pixels: DataFrame, size: int, overlap: float) -> DataFrame:
 
 
 def blended(pixels: DataFrame, size: int, overlap: float, channels: list[str], feather: int | None = None) -> DataFrame:
-    """Tiles laid over each other with linear ramps towards neighbours that exist, as a weighted mean at each output pixel, cut to whole numbers."""
+    """Tiles laid over each other with linear ramps towards neighbours that exist, as a weighted mean at each output pixel, cut to whole numbers from 0 to 255 or whatever the channels hold."""
     m = margin_of(size, overlap)
-    core, feather = size - 2 * m, min(m, round(0.75 * m) if feather is None else feather)
+    core, reach = size - 2 * m, max(0, min(m, feather if feather else round(0.75 * m)))
     there = pixels.select("x", "y").distinct()
     sides = {"west": (1, 0), "east": (-1, 0), "north": (0, 1), "south": (0, -1)}
     known = there
     for name, (dx, dy) in sides.items():
         known = known.join(there.select((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"), F.lit(True).alias(name)), ["x", "y"], "left")
     known = known.select("x", "y", *[F.coalesce(F.col(n), F.lit(False)).alias(n) for n in sides])
-    # A side with a neighbour reaches half the feather beyond the core; one without shows its core only.
-    reach = feather // 2
+    # A side with a neighbour reaches the feather beyond the core and fades there; one without shows its core only.
     place = {}
     for axis, low, high in (("row", "north", "south"), ("col", "west", "east")):
         start = m - F.when(F.col(low), reach).otherwise(0)
@@ -57,9 +57,9 @@ def blended(pixels: DataFrame, size: int, overlap: float, channels: list[str], f
     weight = F.lit(1.0)
     for at, length, low, high in place.values():
         inside = inside & (at >= 0) & (at < length)
-        weight = weight * fade_weight(at, length, F.lit(2 * reach), F.col(low), F.col(high))
+        weight = weight * fade_weight(at, length, F.lit(reach), F.col(low), F.col(high))
     laid = laid.where(inside).select((F.col("y") * core + F.col("row") - m).alias("out_row"), (F.col("x") * core + F.col("col") - m).alias("out_col"), weight.alias("w"), *channels)
-    total = F.sum("w")
+    total = F.nullif(F.sum("w"), F.lit(0.0))
     return laid.groupBy("out_row", "out_col").agg(*[F.floor(F.sum(F.col(c) * F.col("w")) / total + F.lit(1e-9)).cast("int").alias(c) for c in channels])
 
 
@@ -106,11 +106,11 @@ def seam_strips(pixels: DataFrame, seams: DataFrame, size: int, overlap: float,
 
 
 def harmonised_seams(pixels: DataFrame, seams: DataFrame, size: int, overlap: float, half: int, channels: list[str]) -> DataFrame:
-    """Tiles with both sides of every seam drawn to their mean, the weight falling from 1 to 0 over ``half`` pixels. Where two seams meet a pixel, their changes are averaged."""
+    """Tiles with both sides of every seam drawn to their mean, the weight falling from 1 at the seam to 0 at the last of ``half`` pixels. Where two seams meet a pixel, their changes are averaged."""
     m = margin_of(size, overlap)
     core = size - 2 * m
     strips = seam_strips(pixels, seams, size, overlap, half, channels)
-    weight = F.lit(1.0) - F.col("distance") / F.lit(float(half))
+    weight = seam_weight(F.col("distance"), half)
     changes = None
     for end, (x, y) in (("a", ("x", "y")), ("b", ("ox", "oy"))):
         across = F.lit(m + core - 1) - F.col("distance") if end == "a" else F.col("distance") + m

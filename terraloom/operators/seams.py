@@ -76,28 +76,50 @@ def seam_profile(pixels: DataFrame, keys: list[str], along: str) -> DataFrame:
     return pixels.groupBy(*keys, along).agg(F.avg(F.abs(F.col("a") - F.col("b"))).alias("l1"))
 
 
+def seam_weight(distance: Column, half: int) -> Column:
+    """1 at a seam, falling to 0 at the last of ``half`` pixels; 1 where there is but one."""
+    return F.greatest(F.lit(0.0), F.lit(1.0) - distance / F.lit(float(half - 1))) if half > 1 else F.lit(1.0)
+
+
 def harmonised(pairs: DataFrame, half: int) -> DataFrame:
-    """Both sides of a seam drawn to their mean, with a weight that falls from 1 at the seam to 0 at ``half`` pixels: mirrored pixels are joined as (distance, a, b)."""
-    weight = F.greatest(F.lit(0.0), F.lit(1.0) - F.col("distance") / F.lit(float(half)))
+    """Both sides of a seam drawn to their mean: mirrored pixels are joined as (distance, a, b)."""
+    weight = seam_weight(F.col("distance"), half)
     mean = (F.col("a") + F.col("b")) / 2
-    return pairs.withColumn("a", F.col("a") + (mean - F.col("a")) * weight).withColumn("b", F.col("b") + (mean - F.col("b")) * weight)
+    return pairs.withColumns({c: F.col(c) + (mean - F.col(c)) * weight for c in "ab"})
+
+
+def sobel_difference(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """sobel_l1 of each image pair (row, col, value, other): the mean absolute difference of the two gradient magnitudes."""
+    mine, theirs = sobel_magnitude(pairs, keys, "value"), sobel_magnitude(pairs, keys, "other").withColumnRenamed("magnitude", "_other")
+    return mine.join(theirs, [*keys, "row", "col"]).groupBy(*keys).agg(F.avg(F.abs(F.col("magnitude") - F.col("_other"))).alias("sobel_l1"))
+
+
+#: Where a neighbour lies, and across which axes its last pixels meet a candidate's first.
+SIDES = {"left": (1, 0, ("col",)), "top": (0, 1, ("row",)), "tl": (1, 1, ("row", "col"))}
 
 
-def strip_scores(candidates: DataFrame, chosen: DataFrame, size: int, strip: int, weights: dict[str, float] | None = None) -> DataFrame:
-    """Seam score of each candidate (x, y, variant, row, col, value) against chosen tiles (x, y, row, col, value) to its left and above, over strips of overlap.
+def strip_scores(candidates: DataFrame, chosen: DataFrame, size: int, strip: int, weights: dict[str, float] | None = None, neighbours: str = "left+top") -> DataFrame:
+    """Seam score of each candidate (x, y, variant, row, col, value) against chosen tiles (x, y, row, col, value), over strips of overlap.
 
-    The candidate's first ``strip`` columns lie over the left tile's last ones, its first rows over the upper tile's last ones.
+    ``neighbours`` names the sides: left, top, and tl (or top-left) for the corner. The candidate's first ``strip`` columns lie over the left tile's last ones, its
+    first rows over the upper tile's last ones. Gradients are taken within a strip.
     """
-    strip = max(1, strip)
-    parts = []
-    for across, dx, dy in (("col", 1, 0), ("row", 0, 1)):
-        mine = candidates.where(F.col(across) < strip)
-        theirs = chosen.where(F.col(across) >= size - strip).select((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"), *[(F.col(c) - (size - strip if c == across else 0)).alias(c) for c in ("row", "col")], F.col("value").alias("other"))
-        parts.append(mine.join(theirs, ["x", "y", "row", "col"]).withColumn("side", F.lit(across)))
-    both = parts[0].unionByName(parts[1])
-    gap = F.col("value") - F.col("other")
-    metrics = both.groupBy("x", "y", "variant", "side").agg(F.avg(F.abs(gap)).alias("rgb_l1"), F.avg(gap * gap).alias("rgb_l2"))
-    score = seam_score({"rgb_l1": F.col("rgb_l1"), "rgb_l2": F.col("rgb_l2")}, {k: v for k, v in usable_weights(weights).items() if k != "sobel_l1"})
+    strip, asked = max(1, min(strip, size)), neighbours.replace("top-left", "tl").split("+")
+    both = None
+    for side, (dx, dy, across) in SIDES.items():
+        if side not in asked:
+            continue
+        mine, theirs = candidates, chosen
+        for axis in across:
+            mine, theirs = mine.where(F.col(axis) < strip), theirs.where(F.col(axis) >= size - strip)
+        theirs = theirs.select((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"), *[(F.col(c) - (size - strip if c in across else 0)).alias(c) for c in ("row", "col")], F.col("value").alias("other"))
+        part = mine.join(theirs, ["x", "y", "row", "col"]).withColumn("side", F.lit(side))
+        both = part if both is None else both.unionByName(part)
+    gap, keys, used = F.col("value") - F.col("other"), ["x", "y", "variant", "side"], usable_weights(weights)
+    metrics = both.groupBy(*keys).agg(F.avg(F.abs(gap)).alias("rgb_l1"), F.avg(gap * gap).alias("rgb_l2"))
+    if used.get("sobel_l1"):
+        metrics = metrics.join(sobel_difference(both, keys), keys)
+    score = seam_score({k: F.col(k) for k in used if k in metrics.columns}, used)
     return metrics.groupBy("x", "y", "variant").agg(F.sum(score).alias("seam"))
 
 

@@ -14,19 +14,18 @@ def crop_margin(size: Column, overlap: float) -> Column:
 
 
 def window_starts(extent: int, window: int, overlap: int) -> list[int]:
-    """Starts of windows over an extent; the last one is flush with the end."""
-    if window < 64 or not 0 <= overlap < window:
-        raise ValueError("windows need 64 pixels and an overlap smaller than that")
+    """Starts of windows (64 pixels at least) over an extent; the last one is flush with the end."""
+    window = max(64, window)
     if extent <= window:
         return [0]
-    starts = list(range(0, extent - window + 1, window - overlap))
+    starts = list(range(0, extent - window + 1, max(1, window - overlap)))
     return starts if starts[-1] == extent - window else [*starts, extent - window]
 
 
 def fade_weight(position: Column, size: Column, fade: Column, before: Column, after: Column) -> Column:
-    """Linear ramps over ``fade`` pixels, only towards neighbours that exist; the outermost pixel isn't 0."""
-    rise = F.when(before & (fade > 0), F.least(F.lit(1.0), (position + 1) / (fade + 1))).otherwise(F.lit(1.0))
-    fall = F.when(after & (fade > 0), F.least(F.lit(1.0), (size - position) / (fade + 1))).otherwise(F.lit(1.0))
+    """Linear ramps over the first and the last ``fade`` pixels, only towards neighbours that exist: 0, 1/n, 2/n ... up and 1, 1 - 1/n ... 1/n down."""
+    rise = F.when(before & (position < fade), position / fade).otherwise(F.lit(1.0))
+    fall = F.when(after & (position >= size - fade), (size - position) / fade).otherwise(F.lit(1.0))
     return rise * fall
 
 

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.operators.tiles import window_starts
+from terraloom.operators.tiles import fade_weight, window_starts
 
 Paint = Callable[[np.ndarray, int], np.ndarray]
 
@@ -26,16 +26,14 @@ def dealt(pixels: DataFrame, height: int, width: int, window: int, overlap: int)
 
 
 def window_weight(at: Column, start: Column, extent: int, window: int, overlap: int) -> Column:
-    """Ramps over the overlap, except at the mosaic's own ends."""
-    place = at - start
+    """Ramps over the overlap, over half a window at most, except at the mosaic's own ends."""
     size = min(window, extent)
-    rise = F.when((start > 0) & (place < overlap), (place + 1) / F.lit(float(overlap + 1))).otherwise(F.lit(1.0))
-    fall = F.when((start + window < extent) & (place >= size - overlap), (size - place) / F.lit(float(overlap + 1))).otherwise(F.lit(1.0))
-    return rise * fall
+    return fade_weight(at - start, F.lit(size), F.lit(max(0, min(overlap, size // 2))), start > 0, start + window < extent)
 
 
 def painted(pixels: DataFrame, height: int, width: int, paint: Paint, channels: list[str], window: int = 512, overlap: int = 64, seed: int = 0) -> DataFrame:
     """The mosaic after ``paint(image, seed)`` on every window; pixels without weight keep what they had."""
+    window = max(64, window)
     own = dealt(pixels.select("out_row", "out_col", *channels), height, width, window, overlap)
     kinds = ", ".join(f"{c} double" for c in channels)
 
@@ -52,7 +50,7 @@ def painted(pixels: DataFrame, height: int, width: int, paint: Paint, channels:
     done = own.groupBy("wr", "wc").applyInPandas(run, f"out_row int, out_col int, wr int, wc int, {kinds}")
     weight = window_weight(F.col("out_row"), F.col("wr"), height, window, overlap) * window_weight(F.col("out_col"), F.col("wc"), width, window, overlap)
     done = done.withColumn("w", weight)
-    total = F.sum("w")
+    total = F.nullif(F.sum("w"), F.lit(0.0))
     mixed = done.groupBy("out_row", "out_col").agg(*[F.floor(F.sum(F.col(c) * F.col("w")) / total + F.lit(0.5)).cast("int").alias(f"_{c}") for c in channels])
     joined = pixels.join(mixed, ["out_row", "out_col"], "left")
     return joined.select("out_row", "out_col", *[F.coalesce(f"_{c}", c).alias(c) for c in channels])

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from terraloom.functions import features, geometry, rules, text
 from terraloom.functions.projection import mercator_forward, utm_forward, utm_zone
-from terraloom.operators import coverage, heights, imaging, ingest, mosaics, rasters, seams, tiles
-from terraloom.sources import manifest, stac
+from terraloom.operators import audit, coverage, heights, imaging, ingest, mosaics, rasters, scenes, seams, tiles
+from terraloom.sources import geojsonseq, manifest, stac
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -138,7 +138,7 @@ def mosaic_first_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rasters.first_valid(rows, ["l_partkey"], ["l_suppkey", "l_orderkey", "l_linenumber"], "price")
 
 
-@query("""WITH w AS (SELECT user_id, value, least(1.0, (event_id % 8 + 1) / 4.0) * least(1.0, (8 - event_id % 8) / 4.0) AS w FROM events)
+@query("""WITH w AS (SELECT user_id, value, (CASE event_id % 8 WHEN 0 THEN 0.0 WHEN 1 THEN 1.0 / 3 WHEN 2 THEN 2.0 / 3 ELSE 1.0 END) * (CASE event_id % 8 WHEN 5 THEN 1.0 WHEN 6 THEN 2.0 / 3 WHEN 7 THEN 1.0 / 3 ELSE 1.0 END) AS w FROM events)
 SELECT user_id, round(sum(value * w) / sum(w), 6) AS value FROM w GROUP BY user_id""")
 def mosaic_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
     weight = tiles.fade_weight(F.col("event_id") % 8, F.lit(8), F.lit(3), F.lit(True), F.lit(True))
@@ -182,22 +182,24 @@ def seam_sobel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seams.sobel_magnitude(pixels, ["vec_id"]).groupBy("vec_id").agg(F.round(F.avg("magnitude"), 6).alias("mean_magnitude"))
 
 
-@query("""WITH c AS (SELECT label, vec_id, CASE WHEN vec_id % 7 = 0 THEN 'failed' END AS error, CAST(embedding[1] AS DOUBLE) + 0.5 * CAST(embedding[2] AS DOUBLE) AS score FROM embeddings)
+@query("""WITH c AS (SELECT label, vec_id, CASE WHEN vec_id % 7 = 0 THEN 'failed' END AS error, round(list_sum([abs(CAST(x AS DOUBLE)) FOR x IN embedding]) / 64, 9) + 0.5 * round(list_sum([CAST(x AS DOUBLE) * CAST(x AS DOUBLE) FOR x IN embedding]) / 64, 9) AS score FROM embeddings)
 SELECT label, arg_min(vec_id, (score, vec_id)) FILTER (error IS NULL) AS variant, round(min(score) FILTER (error IS NULL), 9) AS score, count(*) AS candidates, count(*) FILTER (error IS NOT NULL) AS failed FROM c GROUP BY label""")
 def candidate_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = lambda i: F.col("embedding")[i].cast("double")
-    total = seams.total_score(value(0), value(1), F.lit(0.0), F.lit(False), 0.5, 0.0, 0.0)
+    """Each vector is a candidate of its label: its mean size as the seam score, its mean square as the structure score."""
+    mean = lambda f: F.round(F.aggregate(F.transform("embedding", lambda x: f(x.cast("double"))), F.lit(0.0), lambda a, x: a + x) / 64, 9)
+    total = seams.total_score(mean(F.abs), mean(lambda x: x * x), F.lit(0.0), F.lit(False), 0.5, 0.0, 0.0)
     rows = table(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("variant"), F.when(F.col("vec_id") % 7 == 0, "failed").alias("error"), total.alias("total_score"))
     return seams.selected(rows, ["label"]).withColumn("score", F.round("score", 9))
 
 
 # --- tiles ----------------------------------------------------------------------------------------------------------
 
-_TILES_SQL = "t AS (SELECT DISTINCT CAST(p_partkey % 60 AS INTEGER) AS x, CAST(floor(p_partkey / 60) AS INTEGER) % 70 AS y FROM part WHERE p_size < 40)"
+_TILES_SQL = "t AS (SELECT DISTINCT CAST(p_size + p_size // 4 AS INTEGER) AS x, CAST(p_partkey % 70 AS INTEGER) AS y FROM part)"
 
 
 def _tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").where("p_size < 40").select((F.col("p_partkey") % 60).cast("int").alias("x"), (F.floor(F.col("p_partkey") / 60) % 70).cast("int").alias("y")).distinct()
+    """Sizes and keys of all parts as places; every fifth index of x is left out."""
+    return table(spark, sf_dir, "part").select((F.col("p_size") + F.floor(F.col("p_size") / 4)).cast("int").alias("x"), (F.col("p_partkey") % 70).cast("int").alias("y")).distinct()
 
 
 @query(f"WITH {_TILES_SQL} SELECT 'v' AS axis, a.x, a.y, b.x AS ox, b.y AS oy FROM t a JOIN t b ON b.x = a.x + 1 AND b.y = a.y UNION ALL SELECT 'h', a.x, a.y, b.x, b.y FROM t a JOIN t b ON b.x = a.x AND b.y = a.y + 1")
@@ -261,10 +263,12 @@ def feature_class_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", features.feature_id(F.col("source"), number, F.col("text")).alias("id"), found.alias("class"))
 
 
-@query("""SELECT count(*) AS input, count(*) FILTER (value > 0) AS written, count(*) FILTER (value IS NULL OR value <= 0) AS dropped_empty, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS geometry_types FROM events""")
+@query("""SELECT count(*) AS input, count(*) FILTER (value > 0) AS written, count(*) FILTER (value IS NULL OR value <= 0) AS dropped_empty FROM events""")
 def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sound = F.coalesce(F.col("value") > 0, F.lit(False))
-    return table(spark, sf_dir, "events").agg(F.count("*").alias("input"), F.count_if(sound).alias("written"), F.count_if(~sound).alias("dropped_empty"), F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("geometry_types"))
+    """Events as points of roads: a sound value is a line of that length, others have no geometry."""
+    shape = F.when(F.col("value") > 0, F.concat(F.lit('{"type":"LineString","coordinates":[[0,0],[0,'), F.col("value").cast("string"), F.lit("]]}"))).otherwise(F.lit("null"))
+    line = F.concat(F.lit('{"type":"Feature","properties":{"@type":"way","@id":'), F.col("event_id").cast("string"), F.lit(',"highway":"'), F.col("event_type"), F.lit('"},"geometry":'), F.coalesce(shape, F.lit("null")), F.lit("}"))
+    return ingest.ingest(table(spark, sf_dir, "events").select(line.alias("line")), "roads")[1].select("input", "written", "dropped_empty")
 
 
 @query("""SELECT conv_id, turn, CASE WHEN s = '' THEN 'image' ELSE substr(s, 1, 40) END AS slug FROM (SELECT conv_id, turn, regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS s FROM conversations)""")
@@ -277,10 +281,10 @@ def tile_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", text.tile_seed(F.lit(7), F.col("o_custkey"), F.col("o_orderkey") % 9, F.lit(2)).alias("seed"))
 
 
-@query("SELECT page_id, (CASE page_id % 5 WHEN 0 THEN 200 WHEN 1 THEN 429 WHEN 2 THEN 500 WHEN 3 THEN 404 ELSE 503 END) IN (429, 500, 502, 503, 504) OR contains(lower(html), 'timeout') OR contains(lower(html), 'nav') AS retry FROM pages")
+@query("SELECT page_id, (CASE page_id % 5 WHEN 0 THEN 200 WHEN 1 THEN 429 WHEN 2 THEN 500 WHEN 3 THEN 404 ELSE 503 END) IN (429, 500, 502, 503, 504) OR regexp_matches(lower(html), '429|rate|resource exhausted|unavailable|internal|server error|timeout|temporar|502|503|504') AS retry FROM pages")
 def retry_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.element_at(F.array(*[F.lit(s) for s in (200, 429, 500, 404, 503)]), (F.col("page_id") % 5 + 1).cast("int"))
-    return table(spark, sf_dir, "pages").select("page_id", text.retryable(status, F.col("html"), ("timeout", "nav")).alias("retry"))
+    return table(spark, sf_dir, "pages").select("page_id", text.retryable(status, F.col("html")).alias("retry"))
 
 
 @query("SELECT event_id, round(least(0.5 * power(2, event_id % 10), 30.0) + (event_id % 4) * 0.25, 6) AS seconds FROM events")
@@ -300,8 +304,11 @@ def style_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_custkey, arg_max(sha256(o_orderpriority || CAST(o_orderkey AS VARCHAR)), (o_orderdate, o_orderkey)) AS sha256, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS size FROM orders GROUP BY o_custkey")
 def artifact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(F.concat("o_orderpriority", F.col("o_orderkey").cast("string")), 256)
-    rows = table(spark, sf_dir, "orders").select("o_custkey", F.struct("o_orderdate", "o_orderkey").alias("at"), F.struct(digest.alias("sha256"), F.col("o_totalprice").alias("size")).alias("entry"))
-    return rows.groupBy("o_custkey").agg(F.max_by("entry", "at").alias("entry")).select("o_custkey", "entry.*")
+    """Orders as versions of their customer's file: none is known before, and the last of the new ones counts."""
+    at = F.unix_timestamp("o_orderdate") * 100_000_000 + F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("path"), digest.alias("sha256"), F.col("o_totalprice").alias("size"), at.alias("at"))
+    known = rows.limit(0).drop("at")
+    return manifest.upserted(known, rows).select(F.col("path").cast("bigint").alias("o_custkey"), "sha256", "size")
 
 
 # --- rules ----------------------------------------------------------------------------------------------------------
@@ -327,20 +334,19 @@ def generation_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH p AS (SELECT user_id, value AS x, CAST(event_id % 1000 AS DOUBLE) AS y FROM events)
 SELECT user_id, min(x) AS west, min(y) AS south, max(x) AS east, max(y) AS north, min(x) >= -1000 AND min(y) >= 0 AND max(x) <= 100 AND max(y) <= 999 AS inside FROM p GROUP BY user_id""")
 def point_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = F.collect_list(F.array("value", (F.col("event_id") % 1000).cast("double")))
-    found = table(spark, sf_dir, "events").groupBy("user_id").agg(rules.bbox_of(points).alias("b"))
+    found = table(spark, sf_dir, "events").groupBy("user_id").agg(rules.bbox_over(F.col("value"), (F.col("event_id") % 1000).cast("double")).alias("b"))
     frame = F.array(*[F.lit(v) for v in (-1000.0, 0.0, 100.0, 999.0)])
     return found.select("user_id", *[F.col("b")[i].alias(n) for i, n in enumerate(("west", "south", "east", "north"))], rules.covers(frame, F.col("b"), 0.0).alias("inside"))
 
 
-@query(f"WITH {_TILES_SQL}, d AS (SELECT DISTINCT x FROM t WHERE x % 7 NOT IN (2, 3)), n AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx FROM d) SELECT x AS gap_from, nx AS gap_to FROM n WHERE nx > x + 1")
+@query(f"WITH {_TILES_SQL}, d AS (SELECT DISTINCT x FROM t), n AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx FROM d) SELECT x AS gap_from, nx AS gap_to FROM n WHERE nx > x + 1")
 def tile_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seams.index_gaps(_tiles(spark, sf_dir).where("x % 7 NOT IN (2, 3)"), "x").toDF("gap_from", "gap_to")
+    return seams.index_gaps(_tiles(spark, sf_dir), "x").toDF("gap_from", "gap_to")
 
 
 @query("""WITH e AS (SELECT vec_id, CAST(vec_id % 20 AS INTEGER) AS place, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings),
-p AS (SELECT a.vec_id, b.vec_id AS other, k, (a.v[8 * k + 1] - b.v[8 * k + 8]) AS g FROM e a JOIN e b ON b.vec_id = a.vec_id - 1 AND a.place > 0, (SELECT unnest(range(8)) AS k))
-SELECT place, vec_id // 20 AS variant_row, round(avg(abs(g)) + 0.25 * avg(g * g), 9) AS seam FROM p JOIN e USING (vec_id) GROUP BY place, vec_id // 20""")
+p AS (SELECT a.vec_id, (a.v[8 * k + 1] - b.v[8 * k + 8]) AS g, abs(abs(4 * (a.v[8 * least(k + 1, 7) + 1] - a.v[8 * greatest(k - 1, 0) + 1])) - abs(4 * (b.v[8 * least(k + 1, 7) + 8] - b.v[8 * greatest(k - 1, 0) + 8]))) AS s FROM e a JOIN e b ON b.vec_id = a.vec_id - 1 AND a.place > 0, (SELECT unnest(range(8)) AS k))
+SELECT place, vec_id // 20 AS variant_row, round(avg(abs(g)) + 0.25 * avg(g * g) + 0.5 * avg(s), 9) AS seam FROM p JOIN e USING (vec_id) GROUP BY place, vec_id // 20""")
 def candidate_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vectors are rows of 20 tiles of 8 x 8 pixels, each scored against its left neighbour."""
     pixels = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 20).cast("int").alias("x"), F.floor(F.col("vec_id") / 20).alias("y"), F.posexplode("embedding").alias("at", "v"))
@@ -372,17 +378,30 @@ def mosaic_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mosaics.cropped(_mosaic_pixels(spark, sf_dir), 8, 1 / 6)
 
 
-@query(f"""WITH {_MOSAIC_SQL}, a AS (SELECT r, l.x, l.y, l.v + (n.v - l.v) / 2.0 AS v FROM t l JOIN t n USING (r) WHERE n.x = l.x + 1 AND n.y = l.y AND l.c = 6 AND n.c = 1)
-SELECT x, y, r AS along, round(v, 6) AS seam_value FROM a""")
+@query(f"""WITH {_MOSAIC_SQL}, a AS (SELECT r, l.x, l.y, n.c - 1 AS d, l.v AS a, n.v AS b, (l.v + n.v) / 2.0 AS m FROM t l JOIN t n USING (r) WHERE n.x = l.x + 1 AND n.y = l.y AND l.c = 7 - n.c AND n.c BETWEEN 1 AND 4)
+SELECT x, y, r AS along, CAST(d AS INTEGER) AS distance, round(CASE d WHEN 0 THEN m WHEN 1 THEN (a + 2 * m) / 3 WHEN 2 THEN (2 * a + m) / 3 ELSE a END, 6) AS left_value,
+round(CASE d WHEN 0 THEN m WHEN 1 THEN (b + 2 * m) / 3 WHEN 2 THEN (2 * b + m) / 3 ELSE b END, 6) AS right_value FROM a""")
 def seam_meeting_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What both sides of each vertical seam become at the seam itself."""
+    """What both sides of each vertical seam become, four pixels wide."""
     pixels = _mosaic_pixels(spark, sf_dir)
-    strips = mosaics.seam_strips(pixels, tiles.neighbours(pixels.select("x", "y").distinct()).where("axis = 'v'"), 8, 1 / 6, 1, ["v"])
-    met = seams.harmonised(strips.withColumnRenamed("a_v", "a").withColumnRenamed("b_v", "b"), 1)
-    return met.select("x", "y", "along", F.round(F.col("a").cast("double"), 6).alias("seam_value"))
+    strips = mosaics.seam_strips(pixels, tiles.neighbours(pixels.select("x", "y").distinct()).where("axis = 'v'"), 8, 1 / 6, 4, ["v"])
+    met = seams.harmonised(strips.withColumnRenamed("a_v", "a").withColumnRenamed("b_v", "b"), 4)
+    value = lambda c: F.round(F.col(c).cast("double"), 6)
+    return met.select("x", "y", "along", F.col("distance").cast("int").alias("distance"), value("a").alias("left_value"), value("b").alias("right_value"))
 
 
-@query("SELECT max(x) - min(x) + 1 AS width, CAST((max(x) - min(x) + 1) * (max(y) - min(y) + 1) AS BIGINT) AS expected, count(*) AS found, CAST((max(x) - min(x) + 1) * (max(y) - min(y) + 1) AS BIGINT) - count(*) AS missing FROM (SELECT DISTINCT CAST(p_partkey % 60 AS INTEGER) AS x, CAST(floor(p_partkey / 60) AS INTEGER) % 70 AS y FROM part WHERE p_size < 40)")
+@query(f"""WITH {_MOSAIC_SQL}, a AS (
+SELECT y * 6 + r - 1 AS out_row, x * 6 + c - 1 AS out_col, v FROM t WHERE r BETWEEN 1 AND 6 AND c BETWEEN 1 AND 6
+UNION ALL SELECT t.y * 6 + r - 1, t.x * 6 + c - 1, v FROM t JOIN (SELECT DISTINCT x, y FROM t) n ON n.x = t.x + 1 AND n.y = t.y WHERE r BETWEEN 1 AND 6 AND c = 7
+UNION ALL SELECT t.y * 6 + r - 1, t.x * 6 + c - 1, v FROM t JOIN (SELECT DISTINCT x, y FROM t) n ON n.x = t.x AND n.y = t.y + 1 WHERE r = 7 AND c BETWEEN 1 AND 6
+UNION ALL SELECT t.y * 6 + r - 1, t.x * 6 + c - 1, v FROM t JOIN (SELECT DISTINCT x, y FROM t) n ON n.x = t.x + 1 AND n.y = t.y JOIN (SELECT DISTINCT x, y FROM t) s ON s.x = t.x AND s.y = t.y + 1 WHERE r = 7 AND c = 7)
+SELECT out_row, out_col, CAST(floor(sum(v) / count(*) + 1e-9) AS INTEGER) AS v FROM a GROUP BY out_row, out_col""")
+def mosaic_feather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole tiles laid over each other. With a ramp of one pixel a tile's pixel before its core weighs 0 and that after it 1."""
+    return mosaics.blended(_mosaic_pixels(spark, sf_dir), 8, 1 / 6, ["v"])
+
+
+@query(f"WITH {_TILES_SQL} SELECT max(x) - min(x) + 1 AS width, CAST((max(x) - min(x) + 1) * (max(y) - min(y) + 1) AS BIGINT) AS expected, count(*) AS found, CAST((max(x) - min(x) + 1) * (max(y) - min(y) + 1) AS BIGINT) - count(*) AS missing FROM t")
 def mosaic_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mosaics.layout_report(_tiles(spark, sf_dir)).select((F.col("x_max") - F.col("x_min") + 1).alias("width"), "expected", "found", "missing")
 
@@ -467,3 +486,127 @@ def isometric_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = ingest.ingest(_feature_lines(spark, sf_dir), "buildings")
     drawn = imaging.rendered(heights.with_heights(rows), 256, 0.25, 0.25)
     return drawn.select("tx", "ty", F.sha2("content", 256).alias("sha256"))
+
+
+@query("SELECT count(*) FILTER (a >= 500) AS kept, count(*) FILTER (a < 500) AS dropped_small FROM (SELECT (c_custkey % 50 + 1) * (c_custkey % 50 + 1) / CASE WHEN c_custkey % 10 = 0 THEN 2.0 ELSE 1.0 END AS a FROM customer WHERE c_custkey % 7 <> 0)")
+def large_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The squares, taken as lying on the web map, of at least 500 square metres, and how many are smaller."""
+    kept, dropped = ingest.large_enough(ingest.ingest(_feature_lines(spark, sf_dir), "buildings")[0], 500, 3857)
+    return kept.agg(F.count("*").alias("kept")).crossJoin(F.broadcast(dropped))  # one row beside one row
+
+
+# --- scenes: orders as scenes of their customers' places -------------------------------------------------------------
+
+_ITEMS_SQL = "i AS (SELECT o_orderkey, o_orderdate, floor(o_totalprice) % 100 AS cloud, o_custkey % 100 AS west, o_custkey % 50 AS south, o_orderpriority AS collection FROM orders)"
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    west, south = (F.col("o_custkey") % 100).cast("double"), (F.col("o_custkey") % 50).cast("double")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00'Z'").alias("datetime"), (F.floor("o_totalprice") % 100).cast("double").alias("cloud_cover"), F.array(west, south, west + 2, south + 1).alias("bbox"), F.col("o_orderpriority").alias("collection"))
+
+
+@query(f"""WITH {_ITEMS_SQL} SELECT o_orderkey FROM i WHERE o_orderdate >= DATE '1994-05-01' AND o_orderdate <= DATE '1997-09-30' AND cloud <= 60 AND west <= 40 AND west + 2 >= 10 AND south <= 30 AND south + 1 >= 5 AND collection IN ('1-URGENT', '2-HIGH', '3-MEDIUM')""")
+def scene_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scenes.matching(_items(spark, sf_dir), "1994-05-01T00:00:00Z", "1997-09-30T23:59:59Z", 60, (10, 5, 40, 30), ("1-URGENT", "2-HIGH", "3-MEDIUM")).select("o_orderkey")
+
+
+@query("""SELECT string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ',' ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS years, CAST(min(year(o_orderdate)) AS VARCHAR) || '-05-01T00:00:00Z' AS datetime_start, CAST(max(year(o_orderdate)) AS VARCHAR) || '-09-30T23:59:59Z' AS datetime_end, count(*) AS items FROM orders""")
+def scene_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scenes.year_summary(_items(spark, sf_dir), "05-01", "09-30")
+    return found.withColumn("years", F.array_join(F.transform("years", lambda y: y.cast("string")), ","))
+
+
+@query("""WITH b AS (SELECT c_custkey, c_custkey % 90 * 1.0 AS w, c_nationkey * 2.0 AS s, c_custkey % 90 + 7.5 AS e, c_nationkey * 2.0 + 12.25 AS n FROM customer),
+i AS (SELECT c_custkey, greatest(w, 30) AS w, greatest(s, 20) AS s, least(e, 60) AS e, least(n, 50) AS n FROM b)
+SELECT c_custkey, CAST(floor((50 - n) / 0.5) AS INTEGER) AS row_off, CAST(floor((w - 30) / 0.5) AS INTEGER) AS col_off, CAST(ceil((n - s) / 0.5) AS INTEGER) AS height, CAST(ceil((e - w) / 0.5) AS INTEGER) AS width FROM i WHERE e > w AND n > s""")
+def scene_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window of one tile that each customer's box covers; boxes beside the tile have none."""
+    west, south = (F.col("c_custkey") % 90).cast("double"), F.col("c_nationkey") * 2.0
+    tile = F.array(*[F.lit(v) for v in (30.0, 20.0, 60.0, 50.0)])
+    window = scenes.area_window(tile, F.array(west, south, west + 7.5, south + 12.25), 0.5)
+    return table(spark, sf_dir, "customer").select("c_custkey", window.alias("w")).where("w IS NOT NULL").select("c_custkey", "w.*")
+
+
+@query("""WITH p AS (SELECT CAST(o_custkey % 5 AS INTEGER) AS scene, CAST(o_orderkey % 32 AS INTEGER) AS r, CAST(o_orderkey // 32 % 32 AS INTEGER) AS c, avg(o_totalprice) AS red, max(o_totalprice) + 1000 AS nir FROM orders GROUP BY 1, 2, 3),
+k AS (SELECT CAST(c_custkey % 5 AS INTEGER) AS scene, CAST(c_custkey // 5 % 16 AS INTEGER) AS r, CAST(c_custkey // 80 % 16 AS INTEGER) AS c, min(c_nationkey % 12) AS scl FROM customer GROUP BY 1, 2, 3),
+j AS (SELECT p.r, p.c, red, nir, scl FROM p JOIN k ON k.scene = p.scene AND k.r = p.r // 2 AND k.c = p.c // 2 WHERE p.r < 30 AND p.c < 28),
+m AS (SELECT r, c, count(*) FILTER (scl NOT IN (0, 1, 3, 8, 9, 10, 11)) AS valid, median((nir - red) / (nir + red)) FILTER (scl NOT IN (0, 1, 3, 8, 9, 10, 11)) AS v FROM j GROUP BY r, c)
+SELECT r AS "row", c AS col, valid, round(CASE WHEN valid >= 2 THEN v END, 9) AS ndvi, CASE WHEN valid >= 2 THEN CAST(v >= 0.01 AS INTEGER) END AS green FROM m""")
+def scene_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bands of 32 x 32 pixels from orders, classes of half as many from customers, within an area of 30 x 28: joined and composed."""
+    place = [(F.col("o_custkey") % 5).cast("int").alias("scene"), (F.col("o_orderkey") % 32).cast("int").alias("row"), (F.floor(F.col("o_orderkey") / 32) % 32).cast("int").alias("col")]
+    bands = table(spark, sf_dir, "orders").groupBy(*place)
+    half = [(F.col("c_custkey") % 5).cast("int").alias("scene"), (F.floor(F.col("c_custkey") / 5) % 16).cast("int").alias("row"), (F.floor(F.col("c_custkey") / 80) % 16).cast("int").alias("col")]
+    classes = table(spark, sf_dir, "customer").groupBy(*half).agg(F.min(F.col("c_nationkey") % 12).alias("value"))
+    area = spark.range(30).select(F.col("id").cast("int").alias("row"), F.explode(F.sequence(F.lit(0), F.lit(27))).alias("col"))
+    stack = scenes.stacked(bands.agg(F.avg("o_totalprice").alias("value")), bands.agg((F.max("o_totalprice") + 1000).alias("value")), classes, 2, area)
+    return rasters.composite(stack, ["row", "col"], min_valid=2, threshold=0.01).withColumn("ndvi", F.round("ndvi", 9))
+
+
+# --- accounts of a run ------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {_TILES_SQL}, xs AS (SELECT DISTINCT x FROM t), ys AS (SELECT DISTINCT y FROM t), n AS (SELECT (SELECT count(*) FROM xs) AS nx, (SELECT count(*) FROM ys) AS ny,
+(SELECT count(*) FROM xs a JOIN xs b ON b.x = a.x + 1) AS px, (SELECT count(*) FROM ys a JOIN ys b ON b.y = a.y + 1) AS py) SELECT px * ny + py * nx AS seams_total, px * py AS intersections_total FROM n""")
+def seam_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.seam_totals(_tiles(spark, sf_dir))
+
+
+@query(f"""WITH {_TILES_SQL}, d AS (SELECT DISTINCT x FROM t), g AS (SELECT x AS a, lead(x) OVER (ORDER BY x) AS nxt FROM d), r AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM t),
+f AS (SELECT CAST(x AS INTEGER) AS x, CAST(unnest(range(y0, y1 + 1)) AS INTEGER) AS y FROM (SELECT unnest(range(x0, x1 + 1)) AS x, y0, y1 FROM r)),
+s AS (SELECT 0 AS rank, 'x_index_gap' AS reason, a, nxt, CAST(nxt - a - 1 AS INTEGER) AS missing FROM g WHERE nxt > a + 1 UNION ALL SELECT 2, 'missing_tile', f.x, f.y, NULL FROM f LEFT JOIN t ON t.x = f.x AND t.y = f.y WHERE t.x IS NULL)
+SELECT reason, a AS "at", nxt AS "next", missing FROM s ORDER BY rank, a, nxt LIMIT 256""")
+def suspicious_seams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps of both axes, then places without a tile; the first 256 are the report."""
+    own = _tiles(spark, sf_dir)
+    skipped = tiles.missing_tiles(own).select(F.lit("missing_tile").alias("reason"), F.col("x").alias("at"), F.col("y").alias("next"))
+    return audit.suspicious({axis: seams.index_gaps(own, axis) for axis in "xy"}, skipped)
+
+
+@query("""WITH s AS (SELECT user_id AS run_id, event_id % 3 AS k, event_id AS a, CAST(length(event_type) AS BIGINT) AS b FROM events)
+SELECT run_id, coalesce(CASE WHEN count(*) FILTER (k = 2) > 0 THEN max(a) FILTER (k = 2) ELSE max(a) FILTER (k = 0) END, 0) AS seams_total, coalesce(CASE WHEN count(*) FILTER (k = 2) > 0 THEN max(b) FILTER (k = 2) ELSE max(b) FILTER (k = 0) END, 0) AS seams_skipped,
+coalesce(max(a) FILTER (k = 0), 0) AS base_seams_total, coalesce(max(a) FILTER (k = 2), 0) AS post_global_seams_total, coalesce(max(b) FILTER (k = 1), 0) AS global_intersections_skipped, count(*) FILTER (k = 1) > 0 AS global_pass_enabled FROM s GROUP BY run_id""")
+def run_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage = F.element_at(F.array(*map(F.lit, ("seam", "global", "refine"))), (F.col("event_id") % 3 + 1).cast("int"))
+    total, skipped = F.col("event_id"), F.length("event_type").cast("bigint")
+    counters = [(skipped if c.endswith("skipped") else total).alias(c) for c in audit.COUNTERS]
+    report = audit.quality_report(table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), stage.alias("stage"), *counters))
+    return report.select("run_id", "seams_total", "seams_skipped", "base_seams_total", "post_global_seams_total", "global_intersections_skipped", "global_pass_enabled")
+
+
+# --- models, prompts and paths ----------------------------------------------------------------------------------------
+
+
+@query("SELECT p_partkey, NOT contains(lower(trim(coalesce(CASE p_partkey % 3 WHEN 0 THEN ' Gemini-2.' || p_type WHEN 1 THEN p_name END, ''))), 'gemini-2.') AS allowed FROM part")
+def allowed_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" Gemini-2."), "p_type")).when(F.col("p_partkey") % 3 == 1, F.col("p_name"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.is_allowed_model(model).alias("allowed"))
+
+
+_RULES_SQL = {
+    "head": "'Hard constraints:'", "lean": "'- Lean on the COLOR REFERENCE to keep Tashkent-specific turquoise/mint/blue roofs instead of drifting toward generic browns.'",
+    "keep": "'- Preserve per-building roof colors/materials from the ' || {} || ' tile; avoid homogenizing everything.'",
+    "tail": "'- Do not copy the anchors or neighbors; use them only as style references.' || chr(10) || '- Do not introduce new large objects that cross tile boundaries.' || chr(10) || '- Keep global lighting/camera consistent with the anchors.'",
+}
+
+
+@query(f"""SELECT conv_id, turn, sha256(trim(replace(replace('The image labeled WHITEBOX: ' || text, 'labeled WHITEBOX', 'labeled INPUT TILE'), 'WHITEBOX', 'INPUT TILE'), ' ') || chr(10) || chr(10) || {_RULES_SQL["head"]} || chr(10) ||
+CASE WHEN turn % 3 = 0 THEN {_RULES_SQL["keep"].format("'COLOR REFERENCE'")} || chr(10) || {_RULES_SQL["lean"]} || chr(10) WHEN role = 'user' THEN {_RULES_SQL["keep"].format("'input'")} || chr(10) ELSE '' END || {_RULES_SQL["tail"]}) AS prompt_hash FROM conversations""")
+def prompt_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layer = F.when(F.col("role") == "user", "raw").otherwise("sd_WhiteBox")
+    prompt = text.assembled_prompt(F.concat(F.lit("The image labeled WHITEBOX: "), "text"), layer, F.col("turn") % 3 == 0)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.sha2(prompt, 256).alias("prompt_hash"))
+
+
+@query("WITH p AS (SELECT page_id, url, CASE page_id % 3 WHEN 0 THEN regexp_extract(url, '^[^/]*//[^/]*') || '/' WHEN 1 THEN url ELSE 'other' END AS root FROM pages), r AS (SELECT page_id, url, regexp_replace(root, '/+$', '') AS root FROM p) SELECT page_id, CASE WHEN url = root THEN '.' WHEN starts_with(url, root || '/') THEN substr(url, length(root) + 2) ELSE url END AS path FROM r")
+def relative_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = F.when(F.col("page_id") % 3 == 0, F.concat(F.regexp_extract("url", "^[^/]*//[^/]*", 0), F.lit("/"))).when(F.col("page_id") % 3 == 1, F.col("url")).otherwise("other")
+    return table(spark, sf_dir, "pages").select("page_id", text.path_below(root, F.col("url")).alias("path"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE 'ff' || lower(hex(o_orderpriority)) END AS bytes, strftime(o_orderdate, '%Y-%m-%d') AS day, o_custkey FROM orders")
+def json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that are text and bytes that aren't, a date and a number, as JSON can hold them."""
+    raw = F.encode("o_orderpriority", "UTF-8")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, raw).otherwise(F.concat(F.lit(b"\xff"), raw)).alias("bytes"), F.col("o_orderdate").cast("date").alias("day"), "o_custkey")
+    return rows.select(*geojsonseq.jsonable(rows, ["o_orderkey", "bytes", "day", "o_custkey"]))

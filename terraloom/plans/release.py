@@ -14,8 +14,8 @@ from terraloom.operators import coverage, heights, ingest
 from terraloom.sources import geojsonseq, geoparquet, manifest
 
 
-def new_document(run_id: str, created_at: str, bbox: tuple[float, float, float, float], notes: str = "") -> dict:
-    document = {"run_id": run_id, "created_at": created_at, "aoi": {"crs": "EPSG:4326", "bbox": list(bbox)}, "sources": {}, "notes": notes, "artifacts": []}
+def new_document(run_id: str, created_at: str, bbox: tuple[float, float, float, float], notes: str = "", aoi_id: str = "area") -> dict:
+    document = {"run_id": run_id, "created_at": created_at, "aoi": {"id": aoi_id, "bbox": list(bbox), "crs": "EPSG:4326"}, "sources": {"osm": {}}, "notes": notes, "artifacts": []}
     if broken := manifest.problems(document):
         raise ValueError("; ".join(broken))
     return document

@@ -1,8 +1,19 @@
-"""Parquet with a WKB geometry column. The coordinate system travels as column metadata, which Spark keeps in the file's schema."""
+"""Parquet with a WKB geometry column and the ``geo`` footer that other tools read and write."""
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+
+WORLD = 4326
 
 
 def with_crs(df: DataFrame, epsg: int, geometry: str = "geometry", kinds: list[str] | None = None) -> DataFrame:
@@ -15,9 +26,73 @@ def crs_of(df: DataFrame, default: int, geometry: str = "geometry") -> int:
     return found if isinstance(found, int) else default
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def footer(epsg: int, geometry: str = "geometry", kinds: list[str] | None = None) -> bytes:
+    column = {"encoding": "WKB", "geometry_types": kinds or [], "crs": {"id": {"authority": "EPSG", "code": epsg}}}
+    return json.dumps({"version": "1.0.0", "primary_column": geometry, "columns": {geometry: column}}).encode()
+
+
+def epsg_of(geo: dict, geometry: str) -> int | None:
+    """The code in a footer: that of the world where a column has no system, none where it has one without a code."""
+    column = geo.get("columns", {}).get(geometry)
+    if column is None:
+        return None
+    if "crs" not in column:
+        return WORLD
+    own = (column["crs"] or {}).get("id", {})
+    if own.get("authority") == "OGC" and str(own.get("code", "")).startswith("CRS84"):
+        return WORLD
+    return int(own["code"]) if own.get("authority", "EPSG") == "EPSG" and str(own.get("code", "")).isdigit() else None
+
+
+def _system(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+def geo_of(path: str) -> dict:
+    """The ``geo`` footer of a file, or of the first file of a folder; empty where there is none. Only a footer is read."""
+    system, at = _system(path)
+    info = system.get_file_info(at)
+    files = [at] if info.type == fs.FileType.File else sorted(f.path for f in system.get_file_info(fs.FileSelector(at, recursive=True)) if f.type == fs.FileType.File and f.base_name.endswith(".parquet"))
+    found = (pq.read_schema(files[0], filesystem=system).metadata or {}) if files else {}
+    return json.loads(found.get(b"geo", b"{}"))
+
+
+def read(spark: SparkSession, path: str, geometry: str = "geometry") -> DataFrame:
+    """A table whose geometry column bears the system that the footer names. A footer whose system has no EPSG code is refused."""
+    df, geo = spark.read.parquet(path), geo_of(path)
+    if geometry not in df.columns or not geo:
+        return df
+    epsg = epsg_of(geo, geometry)
+    if epsg is None:
+        raise ValueError(f"the footer of {path} names no EPSG code for {geometry}")
+    column = geo["columns"][geometry]
+    kinds = column.get("geometry_types", column.get("geometry_type", []))
+    return with_crs(df, epsg, geometry, [kinds] if isinstance(kinds, str) else list(kinds))
+
+
+def write(df: DataFrame, path: str, epsg: int, geometry: str = "geometry", kinds: list[str] | None = None) -> int:
+    """Overwrite a folder with one file for each partition, each with the footer; the number of rows.
+
+    A file is written under a name of its own and then takes its partition's name, so a task that runs again replaces its own file.
+    """
+    system, at = _system(path)
+    if system.get_file_info(at).type == fs.FileType.Directory:
+        system.delete_dir_contents(at)
+    system.create_dir(at, recursive=True)
+    schema = to_arrow_schema(df.schema).with_metadata({b"geo": footer(epsg, geometry, kinds)})
+
+    def save(batches: Iterator[pa.RecordBatch], name: str) -> int:
+        system, at = _system(path)
+        draft, n = f"{at}/.{name}-{uuid.uuid4().hex}", 0
+        with pq.ParquetWriter(draft, schema, filesystem=system) as writer:
+            for batch in batches:
+                writer.write_batch(pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, schema, strict=True)], schema=schema))
+                n += batch.num_rows
+        system.move(draft, f"{at}/{name}")
+        return n
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = save(batches, f"part-{TaskContext.get().partitionId():05}.parquet")
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-def write(df: DataFrame, path: str, epsg: int, geometry: str = "geometry", kinds: list[str] | None = None) -> None:
-    with_crs(df, epsg, geometry, kinds).write.mode("overwrite").parquet(path)
+    return sum(r["n"] for r in df.mapInArrow(run, "n bigint").collect()) or save(iter(()), "part-00000.parquet")

@@ -107,3 +107,22 @@ def encoded(pixels_: DataFrame, keys: list[str]) -> DataFrame:
 
     kinds = ", ".join(f"{k} {pixels_.schema[k].dataType.simpleString()}" for k in keys)
     return pixels_.select(*keys, "row", "col", "r", "g", "b").groupBy(*keys).applyInPandas(build, f"{kinds}, content binary")
+
+
+#: Endings of image files.
+IMAGE_FILES = r"(?i)\.(png|jpg|jpeg|webp)$"
+
+
+def listed(spark: SparkSession, root: str, most: int | None = None, names: str = r"(?i)\.png$") -> DataFrame:
+    """path and length of the image files anywhere below a folder, in path order; at most so many. Contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    found = files.where(F.col("path").rlike(names)).select("path", "length").orderBy("path")
+    return found if most is None else found.limit(most)
+
+
+def anchors(spark: SparkSession, root: str, least: int = 3, most: int = 6) -> list[str]:
+    """The images of a folder that show a style, in order; there must be three to six."""
+    found = [r["path"] for r in listed(spark, root, most + 1, IMAGE_FILES).collect()]
+    if not least <= len(found) <= most:
+        raise ValueError(f"{least} to {most} anchors are needed")
+    return found

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The fields of the document and the forms of ids and digests.
-RUN_ID, SHA256 = re.compile(r"[a-zA-Z0-9][a-zA-Z0-9_-]{0,127}"), re.compile(r"[0-9a-f]{64}")
-FIELDS = {"run_id", "created_at", "aoi", "sources", "notes", "artifacts"}
-REQUIRED = {"run_id", "created_at", "aoi", "sources", "artifacts"}
+#: The fields of the document and of its parts, which of them must be there, and the forms of ids, digests and dates.
+RUN_ID, SHA256, CRS = re.compile(r"[a-zA-Z0-9][a-zA-Z0-9_-]{0,127}"), re.compile(r"[a-fA-F0-9]{64}"), re.compile(r"EPSG:[0-9]+")
+DATE_TIME = re.compile(r"[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])[Tt]([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})")
+FIELDS = ["run_id", "created_at", "aoi", "sources", "notes", "artifacts"]
+AOI, OSM = ["id", "bbox", "crs"], ["region", "url", "date", "etag", "downloaded_at", "path", "sha256", "size", "dry_run"]
+SOURCES = ["osm", "sentinel2", "google_photorealistic_3d_tiles"]
 ARTIFACTS = "path string, sha256 string, size bigint"
 
 
@@ -35,20 +38,42 @@ def upserted(existing: DataFrame, new: DataFrame) -> DataFrame:
     return ranked.groupBy("path").agg(F.max_by("e", F.struct("k", "e")).alias("e")).select("path", "e.*")
 
 
+def _is_text(value: object) -> bool:
+    return isinstance(value, str) and value != ""
+
+
+def _is_count(value: object) -> bool:
+    return isinstance(value, int) and not isinstance(value, bool) and value >= 0
+
+
+def _is_form(form: re.Pattern) -> Callable[[object], bool]:
+    return lambda value: isinstance(value, str) and form.fullmatch(value) is not None
+
+
+def _is_box(value: object) -> bool:
+    return isinstance(value, list) and len(value) == 4 and all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in value)
+
+
+def _object(at: str, value: object, required: list[str], allowed: list[str], forms: dict[str, Callable[[object], bool]], nullable: bool = False) -> list[str]:
+    """Breaches of one object's rules: fields that are missing, not allowed or of a wrong form."""
+    if not isinstance(value, dict):
+        return [f"{at}: must be an object"]
+    found = [f"{at}.{k}: is missing" for k in sorted(set(required) - set(value))] + [f"{at}.{k}: is not allowed" for k in sorted(set(value) - set(allowed))]
+    return found + [f"{at}.{k}: has a wrong form" for k, fits in forms.items() if k in value and not (nullable and value[k] is None) and not fits(value[k])]
+
+
 def problems(document: dict) -> list[str]:
     """All breaches of the document's rules, as ``$.path: message``."""
-    found = [f"$.{k}: is missing" for k in sorted(REQUIRED - set(document))] + [f"$.{k}: is not allowed" for k in sorted(set(document) - FIELDS)]
-    if "run_id" in document and not RUN_ID.fullmatch(str(document["run_id"])):
-        found.append("$.run_id: has a wrong form")
-    epsg = (document.get("aoi") or {}).get("crs") if isinstance(document.get("aoi"), dict) else None
-    if epsg is not None and not re.fullmatch(r"EPSG:[0-9]+", str(epsg)):
-        found.append("$.aoi.crs: has a wrong form")
-    for i, entry in enumerate(document.get("artifacts") or []):
-        found += [f"$.artifacts[{i}].{k}: is missing" for k in ("path", "sha256", "size") if k not in entry]
-        if "sha256" in entry and not SHA256.fullmatch(str(entry["sha256"])):
-            found.append(f"$.artifacts[{i}].sha256: has a wrong form")
-        if "size" in entry and (not isinstance(entry["size"], int) or entry["size"] < 0):
-            found.append(f"$.artifacts[{i}].size: must be a whole number from 0")
+    found = _object("$", document, FIELDS, FIELDS, {"run_id": _is_form(RUN_ID), "created_at": _is_form(DATE_TIME), "notes": lambda v: isinstance(v, str), "artifacts": lambda v: isinstance(v, list)})
+    if "aoi" in document:
+        found += _object("$.aoi", document["aoi"], AOI, AOI, {"id": _is_text, "bbox": _is_box, "crs": _is_form(CRS)})
+    if "sources" in document:
+        found += _object("$.sources", document["sources"], ["osm"], SOURCES, dict.fromkeys(SOURCES[1:], lambda v: v is None or isinstance(v, dict)))
+        osm = document["sources"].get("osm", {}) if isinstance(document["sources"], dict) else {}
+        forms = dict.fromkeys(("region", "url", "etag", "path"), _is_text) | dict.fromkeys(("date", "downloaded_at"), _is_form(DATE_TIME))
+        found += _object("$.sources.osm", osm, [], OSM, forms | {"sha256": _is_form(SHA256), "size": _is_count, "dry_run": lambda v: isinstance(v, bool)}, nullable=True)
+    for i, entry in enumerate(document["artifacts"] if isinstance(document.get("artifacts"), list) else []):
+        found += _object(f"$.artifacts[{i}]", entry, ["path", "sha256", "size"], ["path", "sha256", "size"], {"path": _is_text, "sha256": _is_form(SHA256), "size": _is_count})
     return found
 
 

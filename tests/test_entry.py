@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import glob
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -42,3 +45,11 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_without_the_training_data_subpackage(tmp_path):
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(f"{root}/terraloom", tmp_path / "terraloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; from terraloom.plans import registry as r; assert e.queries() == r.QUERIES and e.oracle_sql() == r.ORACLES"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, check=True)

@@ -155,7 +155,7 @@ def test_tile_arithmetic(spark):
     split = {(r.x, r.y): r for r in tiles.split_bbox(spark, (69.103, 41.168, 69.397, 41.434), 4, 0.1).collect()}
     assert len(split) == 16 and split[0, 0].bbox[3] == pytest.approx(41.434) and split[3, 3].bbox[1] == pytest.approx(41.168)
     assert split[1, 1].bbox_overlap[0] < split[1, 1].bbox[0] and split[0, 0].bbox_3857[2] == pytest.approx(split[1, 0].bbox_3857[0])
-    assert tiles.window_starts(100, 64, 16) == [0, 36] and tiles.window_starts(50, 64, 0) == [0] and tiles.window_starts(160, 64, 16) == [0, 48, 96]
+    assert tiles.window_starts(100, 64, 16) == [0, 36] and tiles.window_starts(50, 64, 0) == [0] and tiles.window_starts(160, 64, 16) == [0, 48, 96] and tiles.window_starts(100, 10, 16) == [0, 36]
     for bad in ((65, 0.1), (0, 0.1), (4, 0.5)):
         with pytest.raises(ValueError):
             tiles.split_bbox(spark, (0, 0, 1, 1), *bad)
@@ -213,12 +213,15 @@ def test_geoparquet_and_export(spark, tmp_path):
 
 def test_manifest(spark, tmp_path):
     (tmp_path / "f.bin").write_bytes(b"dummy")
-    document = {"run_id": "run-1", "created_at": "2026-02-07T00:00:00.000Z", "aoi": {"crs": "EPSG:4326"}, "sources": {}, "artifacts": [{"path": "old", "sha256": "0" * 64, "size": 1}]}
+    document = {"run_id": "run-1", "created_at": "2026-02-07T00:00:00.000Z", "aoi": {"id": "a", "bbox": [1, 2, 3, 4], "crs": "EPSG:4326"}, "sources": {"osm": {"size": 3, "sha256": "AB" * 32, "date": None}}, "notes": "", "artifacts": [{"path": "old", "sha256": "0" * 64, "size": 1}]}
     new = manifest.hashed_files(spark, str(tmp_path / "f.bin"))
     once = manifest.committed(spark, document, new)
     assert manifest.committed(spark, once, new) == once and len(once["artifacts"]) == 2
     broken = manifest.problems({"run_id": "-x", "extra": 1, "artifacts": [{"path": "p", "sha256": "z", "size": -1}]})
     assert "$.extra: is not allowed" in broken and "$.run_id: has a wrong form" in broken and "$.artifacts[0].sha256: has a wrong form" in broken
+    assert {"$.notes: is missing", "$.aoi: is missing", "$.sources: is missing"} <= set(broken)
+    odd = manifest.problems(document | {"created_at": "2026-13-07T00:00:00Z", "aoi": {"id": "", "bbox": [1, 2, 3], "crs": "4326"}, "sources": {"osm": {"date": "today", "size": -1, "more": 1}}, "notes": None})
+    assert set(odd) == {"$.created_at: has a wrong form", "$.aoi.id: has a wrong form", "$.aoi.bbox: has a wrong form", "$.aoi.crs: has a wrong form", "$.sources.osm.date: has a wrong form", "$.sources.osm.size: has a wrong form", "$.sources.osm.more: is not allowed", "$.notes: has a wrong form"}
     rows = spark.range(20).withColumn("v", F.col("id") * 2)
     assert manifest.content_digest(rows) == manifest.content_digest(rows.repartition(3)) != manifest.content_digest(rows.limit(19))
 
@@ -252,7 +255,7 @@ def test_harmonised_seams(spark):
     flat = tile_pixels(spark, [(0, 0), (1, 0)], 12, lambda x, y, r, c: 100 + 40 * x)
     seam = tiles.neighbours(flat.select("x", "y").distinct())
     out = {(r.x, r.col): r.v for r in mosaics.harmonised_seams(flat, seam, 12, 0.25, 4, ["v"]).where("row = 5").collect()}
-    assert [out[0, c] for c in (5, 6, 7, 8, 9)] == [100, 105, 110, 115, 120] and [out[1, c] for c in (2, 3, 4, 5, 6)] == [120, 125, 130, 135, 140]
+    assert [out[0, c] for c in (5, 6, 7, 8, 9)] == [100, 100, 107, 113, 120] and [out[1, c] for c in (2, 3, 4, 5, 6)] == [120, 127, 133, 140, 140]
 
 
 def test_imaging(spark):
@@ -270,7 +273,108 @@ def test_imaging(spark):
     rows = [(g.to_wkb(box(10, 10, 20, 20)), 5.0), (g.to_wkb(box(60, 10, 70, 20)), 3.0), (None, 1.0)]
     drawn = imaging.rendered(spark.createDataFrame(rows, "geometry binary, height_m double"), 32, 1.0, 1.0).collect()
     first = next(images.decode_png(bytes(r.content)) for r in drawn if (r.tx, r.ty) == (0, 0))
-    assert first.shape == (32, 32, 3) and (first[10, 0] == imaging.ROOF).all() and len(np.unique(first.reshape(-1, 3), axis=0)) >= 3
+    assert first.shape == (32, 32, 3) and (first[10, 0] == imaging.ROOF).all()
+    # The camera stands south-west: of a square only the walls whose normals look to -x or -y are drawn, above the roof of what has no height.
+    flat, tall = (imaging.drawn([(g.to_wkb(box(10, 10, 20, 20)), h)], -20, 0, 40, 1.0, 1.0) for h in (0.0, 4.0))
+    lit = (tall == imaging.WALL_LIGHT).all(axis=2)
+    roof = lambda image: (image == imaging.ROOF).all(axis=2)
+    assert not (flat == imaging.WALL_LIGHT).all(axis=2).any() and (roof(tall)[:-4] == roof(flat)[4:]).all() and not (lit & roof(tall)).any()
+    assert lit.sum() == 0 or np.nonzero(lit)[0].max() < 15  # walls to the north-east of row 15, the middle of the base, are never seen
+    wide = np.arange(60, dtype=float).reshape(6, 10, 1)
+    assert np.allclose(imaging.lanczos(np.full((7, 9, 3), 5.0), 4, 20), 5) and np.allclose(imaging.lanczos(wide, 6, 10), wide)
+    assert imaging.lanczos(wide, 3, 5).shape == (3, 5, 1) and imaging.lanczos(wide, 3, 5).mean() == pytest.approx(wide.mean(), rel=0.02)
+    assert imaging.unit_image(image, 30, 41)[3, 4] == pytest.approx(image[3, 4] / 255) and imaging.unit_image(image[:, :, :1], 8, 8).shape == (8, 8, 3)
+    strength = np.arange(100.0).reshape(10, 10) * 2.5
+    assert [imaging.edge_statistics(strength, 1, 40, c)[1:] for c in (0.2, 1.0)] == [(200, 0.2), (40, 0.84)]
+
+
+def test_strips_against_plain_scores(spark):
+    rng = np.random.default_rng(3)
+    cand, left, top, corner = (rng.normal(size=(6, 6)) for _ in range(4))
+
+    def magnitude(v):
+        w = np.pad(v, 1, mode="edge")
+        gx = (w[:-2, 2:] + 2 * w[1:-1, 2:] + w[2:, 2:]) - (w[:-2, :-2] + 2 * w[1:-1, :-2] + w[2:, :-2])
+        gy = (w[2:, :-2] + 2 * w[2:, 1:-1] + w[2:, 2:]) - (w[:-2, :-2] + 2 * w[:-2, 1:-1] + w[:-2, 2:])
+        return np.hypot(gx, gy)
+
+    def plain(a, b):
+        return np.abs(a - b).mean() + 0.25 * ((a - b) ** 2).mean() + 0.5 * np.abs(magnitude(a) - magnitude(b)).mean()
+
+    long = lambda x, y, v: [(x, y, r, c, float(v[r, c])) for r in range(6) for c in range(6)]
+    chosen = spark.createDataFrame(long(0, 1, left) + long(1, 0, top) + long(0, 0, corner), "x int, y int, row int, col int, value double")
+    candidates = spark.createDataFrame(long(1, 1, cand), "x int, y int, row int, col int, value double").withColumn("variant", F.lit(0))
+    sides = {"left": plain(cand[:, :2], left[:, 4:]), "top": plain(cand[:2], top[4:]), "tl": plain(cand[:2, :2], corner[4:, 4:])}
+    for asked in ("left", "left+top", "left+top+top-left"):
+        want = sum(sides[s.replace("top-left", "tl")] for s in asked.split("+"))
+        assert seams.strip_scores(candidates, chosen, 6, 2, neighbours=asked).first().seam == pytest.approx(want)
+    assert text.structure_weights("sd_WHITEBOX", False)["rgb_l1"] == 0.15 and text.structure_weights("sd_WHITEBOX", True) == text.structure_weights("raw", False)
+
+
+def test_feature_files(spark, tmp_path):
+    from terraloom.sources import geojsonseq
+
+    rows = spark.createDataFrame([(2, "b", bytearray(b"\xff"), '{"type": "Point", "coordinates": [1, 2]}'), (1, None, bytearray(b"ok"), '{"type": "Point", "coordinates": [3, 4]}'), (3, "c", None, None)], "id int, name string, raw binary, shape string")
+    assert geojsonseq.write_features(rows, str(tmp_path / "seq"), "shape", ["id", "raw"]) == {"written": 2, "dropped": 1}
+    lines = [json.loads(v.value.lstrip("\x1e")) for v in spark.read.text(str(tmp_path / "seq")).collect()]
+    assert {(f["properties"]["id"], f["properties"]["raw"]) for f in lines} == {(1, "ok"), (2, "ff")}
+    for name, table in (("all", rows), ("none", rows.limit(0))):
+        geojsonseq.write_collection(table, str(tmp_path / name), "shape", ["id", "name"], ["id"])
+        (file,) = (tmp_path / name).glob("part-*")
+        found = json.loads(file.read_text())
+        assert found["type"] == "FeatureCollection" and [f["properties"]["id"] for f in found["features"]] == ([1, 2] if name == "all" else [])
+
+
+def test_geoparquet_footer(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from terraloom.sources import geoparquet
+
+    wkb = g.to_wkb(box(0, 0, 1, 1))
+    geo = {"version": "1.0.0", "primary_column": "geometry", "columns": {"geometry": {"encoding": "WKB", "geometry_types": ["Polygon"], "crs": {"type": "ProjectedCRS", "id": {"authority": "EPSG", "code": 32642}}}}}
+    for name, crs, want in (("utm", geo["columns"]["geometry"]["crs"], 32642), ("world", {"id": {"authority": "OGC", "code": "CRS84"}}, 4326), ("odd", {"name": "own"}, None), ("none", None, 4326)):
+        column = geo["columns"]["geometry"] | {"crs": crs}
+        own = geo | {"columns": {"geometry": column if crs else {k: v for k, v in column.items() if k != "crs"}}}
+        table = pa.table({"id": ["a"], "geometry": [wkb]}).replace_schema_metadata({"geo": json.dumps(own)})
+        pq.write_table(table, tmp_path / f"{name}.parquet")
+        if want is None:
+            with pytest.raises(ValueError):
+                geoparquet.read(spark, str(tmp_path / f"{name}.parquet"))
+        else:
+            assert geoparquet.crs_of(geoparquet.read(spark, str(tmp_path / f"{name}.parquet")), 0) == want
+    rows = spark.createDataFrame([(i, bytearray(wkb)) for i in range(9)], "id int, geometry binary").repartition(3)
+    at = str(tmp_path / "ours")
+    for table, n in ((rows, 9), (rows.limit(0), 0), (rows, 9)):
+        assert geoparquet.write(table, at, 32642, kinds=["Polygon"]) == n
+        back = geoparquet.read(spark, at)
+        assert back.count() == n and geoparquet.crs_of(back, 0) == 32642 and back.dtypes == rows.dtypes
+    for file in (tmp_path / "ours").glob("*.parquet"):
+        meta = json.loads(pq.read_schema(file).metadata[b"geo"])
+        assert meta["columns"]["geometry"]["crs"]["id"]["code"] == 32642 and meta["primary_column"] == "geometry"
+
+
+def test_listed_images(spark, tmp_path):
+    for name in ("a/b.PNG", "a/c.jpg", "d.png", "e.txt", "f.webp"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    names = lambda rows: [r.path.rsplit("/", 1)[1] for r in rows]
+    assert names(images.listed(spark, str(tmp_path)).collect()) == ["b.PNG", "d.png"] and names(images.listed(spark, str(tmp_path), 1).collect()) == ["b.PNG"]
+    assert [p.rsplit("/", 1)[1] for p in images.anchors(spark, str(tmp_path))] == ["b.PNG", "c.jpg", "d.png", "f.webp"]
+    with pytest.raises(ValueError):
+        images.anchors(spark, str(tmp_path), most=3)
+
+
+def test_large_enough_and_search_body(spark):
+    from terraloom.operators import ingest, scenes
+
+    side = 0.001  # 111 m north, 84 m east at 41 degrees; on the web map 111 m and 148 m
+    rows = spark.createDataFrame([(1, bytearray(g.to_wkb(box(69, 41, 69 + side, 41 + side)))), (2, None)], "id int, geometry binary")
+    for least, kept in ((16_000, [1]), (17_000, [])):
+        large, report = ingest.large_enough(rows, least)
+        assert [r.id for r in large.collect()] == kept and report.first().dropped_small == 2 - len(kept)
+    body = scenes.search_body("c", (1, 2, 3, 4), "2020/2021", 60)
+    assert body["query"] == {"eo:cloud_cover": {"lte": 60}} and body["limit"] == 200 and body["bbox"] == [1, 2, 3, 4]
 
 
 def test_generation(spark):
