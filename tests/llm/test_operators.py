@@ -18,7 +18,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terraloom.llm import decontamination, language_id, language_model, media, near_dedup, packing, quality, secrets, token_counts, toxicity
-from terraloom.llm.common import labelled_sample
+from terraloom.llm.common import hashed_words, labelled_sample, spaced_words
 from terraloom.llm.tokens import encoded, vocabulary
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -625,26 +625,59 @@ def test_language_model(spark, monkeypatch):
     assert language_model.score(table(spark, {})).count() == 0
 
 
-def test_class_model_is_a_distribution(spark):
+def test_class_model_is_a_distribution(spark, monkeypatch):
     """After any context, the probabilities of all words, one unseen word a shape and the end add up to one."""
-    texts = {i: " ".join(words_of(30, i % 7)) for i in range(30)}
+    texts = {i: " ".join(words_of(30, i % 7) + words_of(12, 99)) for i in range(30)}
+    monkeypatch.setattr(language_model, "CLUSTERED", 100)
     docs = table(spark, texts)
     counts = language_model.token_counts(docs).cache()
-    model = language_model.Model(counts, docs)
-    total = {}
-    units = model.units
-    clustered = {int(h) for h in units.sorted.view(np.int64)}
-    mass = np.zeros(model.of.max() + 1)
-    for u in range(units.words):
-        mass[model.of[u]] += 10 ** model.emission[u]
-    for r in counts.where("h <> 0").collect():
-        if r.h not in clustered:
-            mass[model.of[units.words + r["shape"]]] += (r.c + 1) * 10 ** model.emission[units.words + r["shape"]]
-    for shape in range(language_model.SHAPES):
-        mass[model.of[units.words + shape]] += 10 ** model.emission[units.words + shape]
-    mass[model.of[units.end]] += 1
-    total = (10**model.transitions) @ mass
-    assert np.allclose(total, 1)
+    for table_rows in (1 << 19, 40):
+        monkeypatch.setattr(language_model, "TABLE_ROWS", table_rows)
+        model = language_model.Model(counts, docs)
+        classes = model.classes
+        classed = {int(h): (int(c), e) for h, c, e in zip(classes.known.view(np.int64), classes.own, model.emission, strict=True) if c >= 0}
+        assert len(classed) >= (100 if table_rows > 40 else 8)
+        mass = np.zeros(classes.size)
+        for c, e in classed.values():
+            mass[c] += 10**e
+        for r in counts.where("h <> 0").collect():
+            if r.h not in classed:
+                mass[classes.words + r["shape"]] += (r.c + 1) * 10 ** model.shape_emission[r["shape"]]
+        mass[classes.words : classes.end] += 10**model.shape_emission
+        mass[classes.end] += 1
+        assert np.allclose((10**model.transitions) @ mass, 1)
+        # Scores are plain sums over the words.
+        rows = {r.doc_id: r.score for r in language_model.score(docs).collect()}
+        seen = {r.h: r.c for r in counts.collect()}
+        for i in (0, 3, 20):
+            data = texts[i].encode()
+            starts, ends, _ = spaced_words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+            before, total = classes.end, 0.0
+            for h, shape in zip(hashed_words(np.frombuffer(data, np.uint8), starts, ends).view(np.int64).tolist(), language_model._shapes(np.frombuffer(data, np.uint8), starts, ends).tolist(), strict=True):
+                own, log = classed.get(h, (classes.words + shape, model.shape_emission[shape] + math.log10(seen.get(h, 0) + 1)))
+                total, before = total + model.transitions[before, own] + log, own
+            assert rows[i] == pytest.approx(total + model.transitions[before, classes.end], rel=1e-9)
+
+
+def test_further_words_raise_the_likelihood(spark, monkeypatch):
+    """Words of three kinds in turn. Most are not clustered with each other; joining classes by their neighbours makes texts likelier, held-out ones too."""
+    monkeypatch.setattr(language_model, "CLUSTERED", 30)
+    monkeypatch.setattr(language_model, "CLASSES", 3)
+    kinds = [words_of(80, k) for k in range(3)]
+    rng = np.random.default_rng(1)
+    share = 1 / np.arange(3, 83)
+    docs = table(spark, {i: " ".join(kinds[k % 3][rng.choice(80, p=share / share.sum())] for k in range(150)) for i in range(80)})
+
+    def likelihood() -> dict:
+        return {r.held_out: r.s for r in language_model.score(docs).groupBy("held_out").agg(F.sum("score").alias("s")).collect()}
+
+    model = language_model.Model(language_model.token_counts(docs), docs)
+    assert (model.classes.own >= 0).sum() > 200
+    found = likelihood()
+    plainly = language_model.exchanged
+    monkeypatch.setattr(language_model, "exchanged", lambda *a: plainly(*a).limit(0))
+    bare = likelihood()
+    assert all(found[fold] > 0.9 * bare[fold] for fold in (True, False)), (found, bare)
 
 
 def test_exchange_raises_the_likelihood():
