@@ -49,7 +49,7 @@ def backoff(attempt: Column, base: float, cap: float, jitter: Column | float = 0
 
 
 def image_name(prompt_no: Column, name: Column, variant: Column, candidate: Column, extension: Column) -> Column:
-    number = lambda c, n: F.lpad(c.cast("string"), n, "0")
+    number = lambda c, n: F.lpad(c.cast("string"), F.greatest(F.lit(n), F.length(c.cast("string"))), "0")  # noqa: E731  (a bare lpad cuts longer numbers)
     return F.concat(number(prompt_no, 4), F.lit("-"), name, F.lit("-v"), number(variant, 2), F.lit("-c"), number(candidate, 2), F.lit("."), extension)
 
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.functions.text import image_name, slug, tile_seed
@@ -93,20 +94,39 @@ def cache_key(fields: dict[str, Column]) -> Column:
     return F.sha2(F.concat(F.lit("{"), *parts, F.lit("}")), 256)
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share for tables between steps."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if folder is None:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return folder
+
+
 def chosen_along_grid(own: DataFrame, pairs: DataFrame) -> DataFrame:
     """One candidate a tile: its own cost plus seam costs to the chosen left and upper neighbours is least, ties to the lowest variant.
 
     ``own``: x, y, variant, cost; ``pairs``: x, y, variant, ox, oy, other_variant, cost (from a tile to its left or upper neighbour).
-    Tiles on an anti-diagonal don't depend on each other, so each diagonal is one step; pair costs are known beforehand.
+    Tiles on an anti-diagonal don't depend on each other, so each diagonal is one step; pair costs are known beforehand. Costs are laid
+    out by diagonal once, and a step reads its own and what the last one wrote, so all steps together read every row twice at most.
+    The tables lie in the folder of ``spark.checkpoint.dir``, which must be set.
     """
-    steps = [r["d"] for r in own.select((F.col("x") + F.col("y")).alias("d")).distinct().orderBy("d").collect()]
-    chosen = own.sparkSession.createDataFrame([], "x int, y int, variant int, score double")
+    spark, root = own.sparkSession, f"{checkpoint_folder(own.sparkSession)}/grid-{uuid.uuid4().hex}"
+
+    def laid_out(df: DataFrame, name: str) -> DataFrame:
+        rows = df.withColumn("d", (F.col("x") + F.col("y")).cast("int"))
+        rows.repartition("d").write.partitionBy("d").parquet(f"{root}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{root}/{name}")
+
+    costs, seams = laid_out(own, "own"), laid_out(pairs, "pairs")
+    form = "x int, y int, variant int, score double"
+    last = spark.createDataFrame([], form)
+    steps = [r["d"] for r in costs.select("d").distinct().orderBy("d").collect()]
     for d in steps:
-        here = own.where(F.col("x") + F.col("y") == d)
-        seen = pairs.where(F.col("x") + F.col("y") == d).join(chosen.select(F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("variant").alias("other_variant")), ["ox", "oy", "other_variant"])
-        seam = seen.groupBy("x", "y", "variant").agg(F.sum("cost").alias("seam"))
-        total = here.join(seam, ["x", "y", "variant"], "left").withColumn("score", F.col("cost") + F.coalesce("seam", F.lit(0.0)))
+        left = last.select(F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("variant").alias("other_variant"))
+        seam = seams.where(F.col("d") == d).join(left, ["ox", "oy", "other_variant"]).groupBy("x", "y", "variant").agg(F.sum("cost").alias("seam"))
+        total = costs.where(F.col("d") == d).join(seam, ["x", "y", "variant"], "left").withColumn("score", F.col("cost") + F.coalesce("seam", F.lit(0.0)))
         best = total.groupBy("x", "y").agg(F.min(F.struct("score", "variant")).alias("b")).select("x", "y", F.col("b.variant").cast("int").alias("variant"), F.col("b.score").alias("score"))
-        # The lineage is cut at every step: a diagonal is small, and the next ones would repeat all before.
-        chosen = chosen.unionByName(best).checkpoint()
-    return chosen
+        best.write.parquet(f"{root}/chosen/d={d}")
+        last = spark.read.schema(form).parquet(f"{root}/chosen/d={d}")
+    return spark.read.schema(f"{form}, d int").parquet(f"{root}/chosen").drop("d") if steps else last

@@ -94,10 +94,15 @@ def intersections(tiles: DataFrame) -> DataFrame:
 
 
 def missing_tiles(tiles: DataFrame) -> DataFrame:
-    """Places within the index ranges that have no tile."""
-    ends = tiles.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).where("x0 IS NOT NULL")
-    every = ends.select("y0", "y1", F.explode(F.sequence("x0", "x1")).alias("x")).select("x", F.explode(F.sequence("y0", "y1")).alias("y"))
-    return every.join(tiles.select("x", "y"), ["x", "y"], "left_anti")
+    """Places within the index ranges that have no tile. The ranges, one row, are found first, so that the places are made in many tasks."""
+    own = tiles.select("x", "y")
+    x0, x1, y0, y1 = own.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    if x0 is None or y0 is None:
+        return own.limit(0)
+    height = y1 - y0 + 1
+    place = lambda at, axis: at.cast(own.schema[axis].dataType).alias(axis)
+    every = own.sparkSession.range((x1 - x0 + 1) * height).select(place(F.floor(F.col("id") / height) + x0, "x"), place(F.col("id") % height + y0, "y"))
+    return every.join(own, ["x", "y"], "left_anti")
 
 
 def pyramid_layout(spark: SparkSession, bounds: tuple[float, float, float, float], size: int, overlap: float, top: float = 0.0, most: int | None = None) -> DataFrame:

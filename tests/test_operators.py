@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import json
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as g
 from terraloom.functions import text
-from terraloom.operators import coverage, heights, ingest, rasters, seams, tiles
+from terraloom.operators import coverage, generation, heights, ingest, rasters, seams, tiles
 from terraloom.sources import geojsonseq, geoparquet, images, manifest, stac
 
 SQUARE = [[69.200, 41.300], [69.201, 41.300], [69.201, 41.301], [69.200, 41.301], [69.200, 41.300]]
@@ -469,3 +470,27 @@ def test_strips_gaps_and_heat(spark):
     assert seams.index_gaps(spark.createDataFrame([(0, 0), (1, 0), (4, 0), (6, 0)], "x int, y int"), "x").collect() == [(1, 4), (4, 6)]
     heat = seams.heatmap(spark.createDataFrame([(0, 0, "v", 4.0), (0, 0, "h", 2.0), (1, 0, "v", 4.0)], "out_row int, out_col int, axis string, l1 double"))
     assert {(r.out_row, r.r, r.g, r.b) for r in heat.collect()} == {(0, 255, 128, 0), (1, 255, 255, 255)}
+
+
+def test_grid_choice_reads_only_the_last_diagonal_and_takes_empty_tables(spark):
+    own = spark.createDataFrame([], "x int, y int, variant int, cost double")
+    pairs = spark.createDataFrame([], "x int, y int, variant int, ox int, oy int, other_variant int, cost double")
+    assert generation.chosen_along_grid(own, pairs).collect() == []
+    rng = random.Random(5)
+    side, variants = 4, 3
+    cost = {(x, y, v): float(rng.randrange(50)) for x in range(side) for y in range(side) for v in range(variants)}
+    rows = [(x, y, v, x - dx, y - dy, o, float(rng.randrange(50))) for x, y, v in cost for dx, dy in ((1, 0), (0, 1)) if x >= dx and y >= dy for o in range(variants)]
+    seam = {r[:6]: r[6] for r in rows}
+    best: dict[tuple[int, int], tuple[float, int]] = {}
+    for x, y in sorted(((x, y) for x in range(side) for y in range(side)), key=sum):
+        near = [(i, j) for i, j in ((x - 1, y), (x, y - 1)) if (i, j) in best]
+        best[x, y] = min((cost[x, y, v] + sum(seam[x, y, v, i, j, best[i, j][1]] for i, j in near), v) for v in range(variants))
+    got = generation.chosen_along_grid(spark.createDataFrame([(*k, c) for k, c in cost.items()], own.schema), spark.createDataFrame(rows, pairs.schema)).collect()
+    assert {(r.x, r.y): (r.score, r.variant) for r in got} == best
+
+
+def test_missing_tiles_of_negative_indices_and_of_no_tiles(spark):
+    own = spark.createDataFrame([(-1, 2), (1, 3), (1, 3)], "x int, y int")
+    assert sorted(map(tuple, tiles.missing_tiles(own).collect())) == [(-1, 3), (0, 2), (0, 3), (1, 2)]
+    assert tiles.missing_tiles(own).schema == own.schema
+    assert tiles.missing_tiles(own.limit(0)).collect() == []
