@@ -355,3 +355,19 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     again = keep.where("_n > 1")
     # Only rows that repeat are compared by text.
     return out if again.isEmpty() else out.unionByName(docs.join(again, chosen, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+#: The same rows in SQL: all pairs of texts that share a shingle are counted, so it is meant for small tables.
+SQL = r"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT r, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM t),
+g AS (SELECT r, i, concat_ws(' ', a, lead(a, 1) OVER v, lead(a, 2) OVER v, lead(a, 3) OVER v, lead(a, 4) OVER v) AS s, lead(a, 4) OVER v AS fifth FROM p WINDOW v AS (PARTITION BY r ORDER BY i)),
+sh AS (SELECT DISTINCT r, s FROM g WHERE fifth IS NOT NULL OR i = 1),
+n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+c AS (SELECT x.r AS a, y.r AS b, count(*) AS shared FROM sh x JOIN sh y ON x.s = y.s AND x.r < y.r GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT r AS a, r AS b FROM t UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b),
+k AS (SELECT reach.a AS r, min(t.doc_id) AS component_id FROM reach JOIN t ON t.r = reach.b GROUP BY reach.a)
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, k.component_id, t.doc_id = k.component_id AS kept FROM t JOIN k ON k.r = t.r LEFT JOIN n ON n.r = t.r
+"""

@@ -66,4 +66,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_model": op10_language_model,
 }
 
-ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL}
+ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL, "op8_near_dedup": near_dedup.SQL}
