@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terraloom.llm import decontamination, language_id, language_model, media, near_dedup, packing, quality, secrets, token_counts, toxicity, warc
+from terraloom.llm import alignment, decontamination, language_id, language_model, media, near_dedup, packing, quality, secrets, token_counts, toxicity, warc
 from terraloom.llm.common import load, scratch_dir, written
 
 
@@ -57,6 +57,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.revisited(load(spark, sf_dir, "pages"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_language_model": op10_language_model,
     "op12_warc": op12_warc,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL, "op8_near_dedup": near_dedup.SQL, "op12_warc": warc.SQL}
