@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terraloom.llm import alignment, decontamination, language_id, language_model, media, near_dedup, packing, quality, secrets, token_counts, toxicity, warc
+from terraloom.llm import alignment, decontamination, divergence, language_id, language_model, media, near_dedup, packing, quality, secrets, token_counts, toxicity, warc
 from terraloom.llm.common import load, scratch_dir, written
 
 
@@ -53,6 +53,10 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(load(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(load(spark, sf_dir, "documents"))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.revisited(load(spark, sf_dir, "pages"))
 
@@ -72,8 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_secrets": op9_secrets,
     "op10_language_model": op10_language_model,
+    "op11_divergence": op11_divergence,
     "op12_warc": op12_warc,
     "op13_alignment": op13_alignment,
 }
 
-ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL, "op8_near_dedup": near_dedup.SQL, "op12_warc": warc.SQL}
+ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL, "op8_near_dedup": near_dedup.SQL, "op11_divergence": divergence.SQL, "op12_warc": warc.SQL}
