@@ -4,7 +4,8 @@
 for each page. A record is one line of Spark's text writer, whose line end is the blank line that ends a record, so the files
 are committed by Spark and lie wherever Spark can write. They are gzip files; the whole file is one stream.
 
-``records`` reads archives. Spark cuts the stream before each ``WARC/1.``; where a payload itself holds that mark, the declared
+``records`` reads archives. Spark cuts the stream before each ``WARC/1.`` (a mark of which no part begins like the mark: the reader
+can miss others where its buffer ends); where a head or payload itself holds that mark, the declared
 length of the record shows that it is not complete, and the next cuts are put back behind it, byte for byte. A record whose
 length can't be met raises an error. A gzip file is read by one task from its first byte to its last; cut pieces of plain files
 are first brought into order by a shuffle. A task holds one record and a few MB of output.
@@ -114,24 +115,32 @@ def _lines(head: bytes) -> list[tuple[str, str]]:
 
 
 class _Open:
-    """A record that isn't complete yet."""
+    """A record that isn't complete yet: ``need`` is None until its head is."""
 
     def __init__(self, piece: bytes) -> None:
-        version, _, rest = piece.partition(b"\n")
-        head, blank, body = rest.partition(b"\r\n\r\n")
-        if version.rstrip() not in (b"0", b"1"):
-            raise Damaged(f"no record begins with {(MARK.encode() + piece[:40])!r}")
-        self.fields, self.parts, self.blank = _lines(head), [body], bool(blank)
-        self.need, self.have = int(dict(self.fields).get("content-length", -1)), len(body)
-        if self.need < 0:
-            raise Damaged("a record without Content-Length")
+        self.parts, self.need, self.have = [], None, 0
+        self._grow(piece)
 
-    def more(self, piece: bytes) -> None:
-        """A cut that lay within the block; the first blank line may have been the one that ends the head."""
-        piece = (b"" if not self.blank else BREAK.encode()) + MARK.encode() + piece
-        self.blank = True
+    def _grow(self, piece: bytes) -> None:
         self.parts.append(piece)
         self.have += len(piece)
+        if self.need is None and BREAK.encode() in piece:
+            version, _, rest = b"".join(self.parts).partition(b"\n")
+            head, _, body = rest.partition(BREAK.encode())
+            if version.rstrip() not in (b"0", b"1"):
+                raise Damaged(f"no record begins with {(MARK.encode() + version[:40])!r}")
+            self.fields, self.parts, self.have = _lines(head), [body], len(body)
+            self.need = int(dict(self.fields).get("content-length", -1))
+            if self.need < 0:
+                raise Damaged("a record without Content-Length")
+
+    @property
+    def complete(self) -> bool:
+        return self.need is not None and self.have >= self.need
+
+    def more(self, piece: bytes) -> None:
+        """What follows a mark that lay within the record."""
+        self._grow(MARK.encode() + piece)
 
     def block(self) -> bytes:
         block = b"".join(self.parts)
@@ -173,9 +182,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """The records of all archives below ``path``; without ``payloads`` their length and digest only, taken from the whole payload."""
-    cut = spark.read.text(path, lineSep=BREAK + MARK)
+    cut = spark.read.text(path, lineSep=MARK)
     cut = cut.select("value", "_metadata.file_path", F.col("_metadata.file_block_start").alias("start"))
-    if not all(f.endswith((".gz", ".zst", ".bz2")) for f in cut.inputFiles()):
+    if not all(f.endswith(".gz") for f in cut.inputFiles()):
         cut = cut.withColumn("line", F.monotonically_increasing_id()).repartition("file_path").sortWithinPartitions("file_path", "start", "line")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +193,7 @@ def records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
         def close() -> None:
             nonlocal record, size
             if record:
-                if record.have < record.need:
+                if not record.complete:
                     raise Damaged(f"{at} ends within a record")
                 held.append(_row(record, payloads))
                 size += 500 + (record.need if payloads else 0)
@@ -199,7 +208,7 @@ def records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
                     piece = piece.removeprefix(MARK.encode())
                     if not piece.strip():
                         continue
-                if record and record.have < record.need:
+                if record and not record.complete:
                     record.more(piece)
                 else:
                     close()

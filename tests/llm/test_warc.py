@@ -36,9 +36,10 @@ ODD = [
 
 
 def test_pages_come_back(spark):
-    pages = [(i, f"http://e.com/{i} \r\nWARC-Type: x" if i % 2 else None, h) for i, h in enumerate(ODD)]
+    pages = [(i, f"http://e.com/{i} \r\nWARC-Type: x WARC/1.1\r\n\r\nWARC/1." if i % 2 else None, h) for i, h in enumerate(ODD)]
     pages += [(100 + i, "u", h) for i, h in enumerate(ODD[:6])] + [(None, "u", "a"), (None, "v", "only null"), (103, "u", "\r\n"), (200, "w", "twice"), (200, "w2", "twice"), (300, "z", "same row"), (300, "z", "same row")]
     pages += [(1000 + i, "hot", "copied") for i in range(3000)]
+    pages += [(9000 + i, "sized", f"{i}\r\n\r\n" + "z" * (i * 37 % 900) + "\r\n" * (i % 5)) for i in range(4000)]  # marks fall on all places of a buffer
     for least in (0, 2):
         got = [tuple(r)[:5] for r in warc.revisited(table(spark, pages), least).collect()]
         assert sorted(got, key=str) == plain(pages, least)
