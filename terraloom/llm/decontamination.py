@@ -4,7 +4,7 @@ The windows of the benchmark are normalised n-grams kept as (length, hash, words
 measured bytes are at most ``broadcast_bytes``. Training texts are then scanned once: every window position is hashed, looked
 up, and a hit is confirmed word by word in the join condition, so only confirmed occurrences leave the scan. One more row a
 document, of length 0, meets a row of its own in the table and carries the word count, so no second scan is needed. A larger table is joined by shuffle: of
-each position only numbers and the hash are sent, and words only of documents where a hash met one.
+each position numbers and the hash are sent, of each document its words once, and of each place where a hash met one the words there.
 
 Defined results: null, empty or wordless texts have no words and no hits; benchmark items without words have no window;
 repeated items share windows; each row of ``docs`` gets a row, repeated ids too; other columns are ignored.
@@ -62,7 +62,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_
         found = places.join(F.broadcast(windows), alike & same).select("doc_id", "row_key", "n", span.alias("span"), "items")
     else:
         met = places.where(~counting).select("row_key", "pos", "at_len", "at_key").join(windows.select("len", "key"), alike, "left_semi")
-        hits = met.join(whole, "row_key").join(windows, alike & same).select("doc_id", "row_key", F.lit(None).cast("int").alias("n"), span.alias("span"), "items")
+        # The words of the place alone go on to the windows, not those of the document.
+        here = met.join(whole, "row_key").select("doc_id", "row_key", "pos", "at_len", "at_key", F.slice("w", F.col("pos"), F.col("at_len")).alias("here"))
+        hits = here.join(windows, alike & (F.col("here") == F.col("win"))).select("doc_id", "row_key", F.lit(None).cast("int").alias("n"), span.alias("span"), "items")
         none = F.array().cast(windows.schema["items"].dataType)
         found = hits.unionByName(whole.select("doc_id", "row_key", F.size("w").alias("n"), F.lit(None).cast(hits.schema["span"].dataType).alias("span"), none.alias("items")))
     rows = found.groupBy("row_key", "doc_id").agg(F.max("n").alias("n_words"), F.sort_array(F.collect_list("span")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
