@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -124,22 +124,31 @@ def short(text: Column, most_bytes: int) -> Column:
     return text.isNotNull() & (F.octet_length(text) <= most_bytes)
 
 
-def texts_of(docs: DataFrame, chosen: DataFrame, most_bytes: int) -> list[tuple]:
-    """(text, value) of a chosen, bounded set of ids, which is broadcast; longer texts of the same ids are left out. Of several values of an id the least counts."""
-    rows = docs.select("doc_id", "text").where(short(F.col("text"), most_bytes))
-    found = rows.join(F.broadcast(chosen.groupBy("doc_id").agg(F.min("value").alias("value"))), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect()
-    return [(r["text"], r["value"]) for r in found]
+def texts_of(rows: DataFrame, chosen: DataFrame, on: list[str], most: Column | int) -> list[tuple]:
+    """(text, value) of the ``rows`` (doc_id, text, what else is in ``on``) that a bounded set ``chosen`` names, which is broadcast.
+
+    Bounded by rows, not by ids: of each value at most ``most`` rows come to the driver, those of the least id hashes.
+    """
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")]
+    found = rows.join(F.broadcast(chosen.select(*on, *[c for c in ("value",) if c not in on]).distinct()), on)
+    found = found.withColumn("rank", F.row_number().over(Window.partitionBy("value").orderBy(*order))).where(F.col("rank") <= most)
+    return [(r["text"], r["value"]) for r in found.orderBy(*order).select("text", "value").collect()]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_training: Column, per_class: dict[int, int], most_bytes: int) -> list[tuple[str, int]]:
-    """Texts and labels: of each class at most so many training rows, those of the least id hashes among the texts that are short enough."""
+    """Texts and labels: of each class at most so many training rows, those of the least id hashes among the texts that are short enough.
+
+    Of several labels of an id the least counts; a repeated id is as many rows, and the bound is one of rows.
+    """
+    rows = docs.where(short(F.col("text"), most_bytes)).select("doc_id", F.col("text").cast("string").alias("text"))
     known = labels.select("doc_id", F.col(label).alias("value")).where(in_training)
-    known = known.join(docs.where(short(F.col("text"), most_bytes)).select("doc_id"), "doc_id", "left_semi").distinct()
+    known = known.join(rows.select("doc_id"), "doc_id", "left_semi").distinct()
     parts = [known.where(F.col("value") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for v, n in per_class.items()]
     chosen = parts[0]
     for part in parts[1:]:
         chosen = chosen.unionByName(part)
-    return texts_of(docs, chosen, most_bytes)
+    most = F.coalesce(*[F.when(F.col("value") == v, n) for v, n in per_class.items()])
+    return texts_of(rows, chosen.groupBy("doc_id").agg(F.min("value").alias("value")), ["doc_id"], most)
 
 
 class Adam:

@@ -123,17 +123,20 @@ class Model:
 
 
 def fit(docs: DataFrame) -> Model:
-    """Learns from at most SAMPLE training texts a language, those of the least id hashes; one pass chooses ids, one fetches their texts."""
-    known = docs.where((fold(F.col("doc_id"), MODULUS) != HELD_OUT) & F.col("lang").isNotNull() & short(F.col("text"), SAMPLE_BYTES)).select("doc_id", F.col("lang").alias("value"))
+    """Learns from at most SAMPLE training rows a language, those of the least id hashes, each with the language of its own row; one pass chooses rows, one fetches their texts."""
+    known = docs.where((fold(F.col("doc_id"), MODULUS) != HELD_OUT) & F.col("lang").isNotNull() & short(F.col("text"), SAMPLE_BYTES))
+    known = known.select("doc_id", F.col("lang").cast("string").alias("value"), F.col("text").cast("string").alias("text"))
     # Each task keeps its own least hashes before anything is shuffled.
-    rank = F.row_number().over(Window.partitionBy("value").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ranked = written(known.withColumn("rank", rank).where(F.col("rank") <= SAMPLE), "sample")
+    marked = known.select("doc_id", "value", F.xxhash64("text").alias("digest"))
+    rank = F.row_number().over(Window.partitionBy("value").orderBy(F.xxhash64("doc_id"), "doc_id", "digest"))
+    ranked = written(marked.withColumn("rank", rank).where(F.col("rank") <= SAMPLE), "sample")
     languages = [r["value"] for r in ranked.groupBy("value").count().orderBy(F.desc("count"), "value").limit(MOST_LANGUAGES).collect()]
     if not languages:
         return Model(alphabet_of([]), [])
     each = min(SAMPLE, max(1, SAMPLE_IN_ALL // len(languages)))
     chosen = ranked.where(F.col("value").isin(languages) & (F.col("rank") <= each))
-    sample = [(t, v) for t, v in texts_of(docs, chosen, SAMPLE_BYTES) if any(c.isalpha() for c in t)]
+    found = texts_of(known.withColumn("digest", F.xxhash64("text")), chosen, ["doc_id", "value", "digest"], each)
+    sample = [(t, v) for t, v in found if any(c.isalpha() for c in t)]
     return Model(alphabet_of([t for t, _ in sample]), sample)
 
 
