@@ -333,22 +333,23 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _decided(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, n_shingles, component_id, kept."""
+    """doc_id, digest, n_shingles, component_id, kept (the row has its component's id), stays (it has that id's first text too)."""
     rows, placed = _placed(docs)
     out = rows.select("doc_id", "digest", "n_shingles", "print1", "print2").join(placed, ["print1", "print2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    kept = F.coalesce((F.col("doc_id") == component) & (F.col("digest") == F.coalesce("first", "digest")), F.lit(True))
-    return out.select("doc_id", "digest", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
+    stays = kept & F.coalesce(F.col("digest") == F.coalesce("first", "digest"), F.lit(True))
+    return out.select("doc_id", "digest", "n_shingles", component.alias("component_id"), kept.alias("kept"), stays.alias("stays"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs``."""
-    return _decided(docs).drop("digest")
+    return _decided(docs).drop("digest", "stays")
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component, the one with the least id, and all rows without an id; of rows of equal id and text one stays."""
-    keep = _decided(docs).where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).agg(F.count("*").alias("_n"))
+    keep = _decided(docs).where("stays AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).agg(F.count("*").alias("_n"))
     keep = written(keep, "keep")
     chosen = (docs["doc_id"].cast("bigint") == keep["_id"]) & (F.xxhash64(docs["text"].cast("string")) == keep["_digest"])
     out = docs.join(keep.where("_n = 1"), chosen, "left_semi").unionByName(docs.where(F.col("doc_id").isNull()))
