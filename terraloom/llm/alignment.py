@@ -24,8 +24,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -71,48 +73,62 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.n_b)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
+        self.digits = [str(i) for i in range(max(self.n_a, self.n_b))]
         self.known: dict[str, tuple | None] = {}
+        self.before: dict[str, tuple | None] = {}
 
     def _aligned(self, want: bytes, a: list[int], b: list[int]) -> tuple | None:
         a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if b"".join(a_bytes) != want or b"".join(b_bytes) != want:
             return None
-        groups, links, i, j, i0, j0, at_a, at_b = [], [], 0, 0, 0, 0, 0, 0
-        while i < len(a):
-            at_a += len(a_bytes[i])
-            i += 1
-            while at_b < at_a:
-                at_b += len(b_bytes[j])
-                j += 1
-            if at_a == at_b:
-                groups.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-                links.append(b[j - 1] * self.n_a + a[i - 1])
+        of, last = self.digits, self.n_a
+        if len(a) == 1 or len(b) == 1:
+            return len(a), len(b), 1, f"{','.join([of[i] for i in a])}|{','.join([of[i] for i in b])}", _code(b[-1] * last + a[-1])
+        b_at = dict(zip(accumulate(map(len, b_bytes)), range(1, len(b) + 1), strict=True))
+        groups, links, i0, j0 = [], b"", 0, 0
+        for i, end in enumerate(accumulate(map(len, a_bytes)), 1):
+            j = b_at.get(end)
+            if j:
+                groups.append(f"{','.join([of[x] for x in a[i0:i]])}|{','.join([of[x] for x in b[j0:j]])}")
+                links += _code(b[j - 1] * last + a[i - 1])
                 i0, j0 = i, j
-        return len(a), len(b), len(groups), ";".join(groups), np.array(links, np.int64).tobytes()
+        return len(a), len(b), len(groups), ";".join(groups), links
 
     def encode(self, chunks: list[str]) -> list[tuple | None]:
         """``chunks`` begin with the space that B puts there."""
+        if not chunks:
+            return []
         made = zip(chunks, self.a.encode_batch_fast(chunks, add_special_tokens=False), self.b.encode([c[1:] for c in chunks], num_threads=1), strict=True)
         return [self._aligned(c.encode(), a.ids, b) for c, a, b in made]
 
     def texts(self, texts: list[str | None]) -> list[list[tuple]]:
         """The chunks' results of each text."""
-        if len(self.known) > MOST_CHUNKS:
-            self.known.clear()
+        if len(self.known) > MOST_CHUNKS // 2:  # chunks of the last half that are met again stay
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
         split = [[] if not t else [" " + c for c in (CUT.split(t) if self.cuts else [t])] for t in texts]
-        fresh = list(set().union(*split).difference(self.known))
-        found = dict(zip(fresh, self.encode(fresh), strict=True))
+        fresh = set().union(*split).difference(known)
+        kept = fresh & before.keys()
+        known.update((c, before[c]) for c in kept)
+        fresh = list(fresh - kept)
+        known.update(zip(fresh, self.encode(fresh), strict=True))
         out = []
         for text, chunks in zip(texts, split, strict=True):
-            parts = [self.known[c] if c in self.known else found[c] for c in chunks]
+            parts = [known[c] for c in chunks]
             if None in parts:
                 whole = self.encode([" " + text])[0]
                 parts = [whole] if whole else []
             out.append(parts)
-        self.known.update((c, v) for c, v in found.items() if len(c) <= LONGEST_CHUNK)
+        for c in fresh:
+            if len(c) > LONGEST_CHUNK:
+                del known[c]
         return out
 
 
+#: A link's code as eight bytes.
+_code = struct.Struct("<q").pack
+
+
 @lru_cache(maxsize=2)
 def _pair(a_path: str, b_path: str) -> Pair:
     return Pair(a_path, b_path)
@@ -155,11 +171,11 @@ class _Batch:
         sha = hashlib.sha256()
         for i in range(0, len(parts), 10_000):
             sha.update((";" if i else "").encode() + ";".join([p[3] for p in parts[i : i + 10_000]]).encode())
+        n = [sum(c) for c in list(zip(*parts, strict=True))[:3]] or [0, 0, 0]
         self.owners.append(np.full(len(codes), len(self.texts), np.uint16))
         self.codes.append(codes)
         self.counts.append(counts)
         self.size += len(codes)
-        n = [sum(p[i] for p in parts) for i in range(3)]
         self.texts.append((doc_id, *n, n[2], sha.hexdigest() if parts else ""))
 
     def rows(self) -> Iterator[tuple]:
