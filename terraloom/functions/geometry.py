@@ -221,6 +221,28 @@ def meets_box(geometry: Geometry, box: tuple[float, float, float, float]) -> boo
     return bool(contains(geometry, np.array([x0]), np.array([y0]))[0])
 
 
+def meet(one: Geometry, other: Geometry) -> bool:
+    """Whether two polygonal geometries share any point, touching included: edges that meet, or one within the other."""
+    ours, theirs = ([np.column_stack([r[:-1], r[1:]]) for r in arrays(x) if len(r) > 1] for x in (one, other))
+    if not ours or not theirs:
+        return False
+    a, b = np.concatenate(ours), np.concatenate(theirs)
+    side = lambda p0, p1, q: (p1[..., 0] - p0[..., 0]) * (q[..., 1] - p0[..., 1]) - (p1[..., 1] - p0[..., 1]) * (q[..., 0] - p0[..., 0])
+    for lo in range(0, len(a), max(1, 1_000_000 // len(b))):
+        p = a[lo : lo + max(1, 1_000_000 // len(b)), None, :]
+        p0, p1, q0, q1 = p[..., :2], p[..., 2:], b[None, :, :2], b[None, :, 2:]
+        near = ((np.minimum(p0, p1) <= np.maximum(q0, q1)) & (np.minimum(q0, q1) <= np.maximum(p0, p1))).all(-1)
+        if (near & (side(p0, p1, q0) * side(p0, p1, q1) <= 0) & (side(q0, q1, p0) * side(q0, q1, p1) <= 0)).any():
+            return True
+    return _part_within(one, other) or _part_within(other, one)
+
+
+def _part_within(inner: Geometry, outer: Geometry) -> bool:
+    """Whether any ring of one lies in the other, for parts that don't touch."""
+    firsts = np.array([r[0] for r in arrays(inner) if len(r)])
+    return bool(contains(outer, firsts[:, 0], firsts[:, 1]).any())
+
+
 # --- validity and repair ------------------------------------------------------------------------------------------
 
 
@@ -498,6 +520,18 @@ def st_meets_box(wkb: pd.Series, x0: pd.Series, y0: pd.Series, x1: pd.Series, y1
     return pd.Series(_each(lambda g, *box: meets_box(g, box))(wkb, x0, y0, x1, y1), dtype="boolean")
 
 
+@F.pandas_udf(BooleanType())
+def st_meet(wkb: pd.Series, other: pd.Series) -> pd.Series:
+    return pd.Series(_each(lambda g, o: None if o is None else meet(g, from_wkb(o)))(wkb, other), dtype="boolean")
+
+
+@F.pandas_udf(BinaryType())
+def st_polygon(points: pd.Series) -> pd.Series:
+    """A polygon of one ring, given as x, y, x, y and so on; it is closed here."""
+    ring = lambda p: np.asarray(p, float).reshape(-1, 2)
+    return pd.Series([None if p is None else to_wkb(("Polygon", [[np.concatenate([ring(p), ring(p)[:1]])]])) for p in points], dtype=object)
+
+
 @F.pandas_udf(StringType())
 def st_geojson(wkb: pd.Series) -> pd.Series:
     return pd.Series(_each(lambda g: None if is_empty(g) else json.dumps(to_geojson(g)))(wkb), dtype=object)

@@ -141,3 +141,13 @@ def spatial_pairs(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
     met = a.join(b, ["ix", "iy"]).where("lx0 < rx1 AND rx0 < lx1 AND ly0 < ry1 AND ry0 < ly1")
     first = lambda c: F.floor(F.greatest(f"l{c}0", f"r{c}0") / F.lit(float(size))).cast("int")
     return met.where((F.col("ix") == first("x")) & (F.col("iy") == first("y"))).select("lid", "rid")
+
+
+def shape_pairs(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
+    """Pairs (lid, rid) of polygonal shapes (geometry) that share a point: envelopes meet in buckets without shapes, which are fetched for the pairs alone. Ids must be unique."""
+    boxed = lambda df, key: df.where("geometry IS NOT NULL").select(key, g.st_envelope("geometry").alias("e")).where("e.x0 IS NOT NULL").select(key, "e.*")
+    # Envelopes that only touch may belong to shapes that do; those of points on a line have no width.
+    wider = lambda df: df.withColumns({"x0": F.col("x0") - 1e-9 * size, "y0": F.col("y0") - 1e-9 * size, "x1": F.col("x1") + 1e-9 * size, "y1": F.col("y1") + 1e-9 * size})
+    met = spatial_pairs(wider(boxed(left, "lid")), wider(boxed(right, "rid")), size)
+    both = met.join(left.select("lid", F.col("geometry").alias("_l")), "lid").join(right.select("rid", F.col("geometry").alias("_r")), "rid")
+    return both.where(g.st_meet("_l", "_r")).select("lid", "rid")

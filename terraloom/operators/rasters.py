@@ -1,14 +1,23 @@
 """Pixel tables: vegetation composites over scenes, mosaics of tiles, and binary morphology.
 
 A raster is a long table keyed by pixel. No operator collects a raster: composites group by pixel, mosaics by world pixel,
-and morphology sends each set pixel to its neighbours and counts what arrives.
+and morphology runs on chunks with a margin.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terraloom.functions import geometry as g
+from terraloom.functions.spans import centre_spans as spans_of_centres
+from terraloom.functions.spans import joined as joined_spans
+from terraloom.operators import chunks
+
 #: Scene classes that are never vegetation (no data, saturated, shadow, clouds, snow).
 EXCLUDED_CLASSES = (0, 1, 3, 8, 9, 10, 11)
 MIN_VALID, THRESHOLD, NODATA, MASK_NODATA = 3, 0.3, -9999.0, 255
@@ -41,43 +50,35 @@ def blended(tiles: DataFrame, pixel: list[str], value: str, weight: str) -> Data
     return tiles.groupBy(*pixel).agg(F.when(total > 0, F.sum(F.col(value) * F.col(weight)) / total).alias(value))
 
 
-def _spread(mask: DataFrame) -> DataFrame:
-    """Every set pixel at each place of its 3 x 3 neighbourhood."""
-    offsets = F.array(*[F.struct(F.lit(r).alias("dr"), F.lit(c).alias("dc")) for r in (-1, 0, 1) for c in (-1, 0, 1)])
-    return mask.where("bit = 1").select("row", "col", F.inline(offsets)).select((F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"))
-
-
-def _combined(mask: DataFrame, least: int) -> DataFrame:
-    """Pixels of the mask are set where so many neighbours, itself included, are; what lies outside counts as 0."""
-    counts = _spread(mask).groupBy("row", "col").agg(F.count("*").alias("n"))
-    return mask.select("row", "col").join(counts, ["row", "col"], "left").select("row", "col", (F.coalesce("n", F.lit(0)) >= least).cast("int").alias("bit"))
+def _stepped(mask: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
+    """Steps of morphology in one shuffle: chunks with as many pixels around them as there are steps."""
+    out = chunks.by_chunk(mask, [], "bit", sum(times for times, _ in steps), chunks.morphology(steps), "bit")
+    return out.select(F.col("row").cast(mask.schema["row"].dataType).alias("row"), F.col("col").cast(mask.schema["col"].dataType).alias("col"), F.col("bit").cast("int").alias("bit"))
 
 
 def dilated(mask: DataFrame, radius: int = 1) -> DataFrame:
-    for _ in range(radius):
-        mask = _combined(mask, 1)
-    return mask
+    return _stepped(mask, [(radius, 1)])
 
 
 def eroded(mask: DataFrame, radius: int = 1) -> DataFrame:
-    for _ in range(radius):
-        mask = _combined(mask, 9)
-    return mask
+    """What lies outside counts as 0."""
+    return _stepped(mask, [(radius, 9)])
 
 
 def opened(mask: DataFrame, radius: int = 1) -> DataFrame:
-    return dilated(eroded(mask, radius), radius)
+    return _stepped(mask, [(radius, 9), (radius, 1)])
 
 
 def closed(mask: DataFrame, radius: int = 1) -> DataFrame:
-    return eroded(dilated(mask, radius), radius)
+    return _stepped(mask, [(radius, 1), (radius, 9)])
 
 
 def cleaned(mask: DataFrame, open_radius: int = 1, close_radius: int = 1) -> DataFrame:
-    """Opening, then closing, with missing pixels (null bits) as 0; they are missing again afterwards."""
-    known = mask.select("row", "col", F.coalesce("bit", F.lit(0)).alias("bit"))
-    out = closed(opened(known, open_radius), close_radius)
-    return out.join(mask.select("row", "col", F.col("bit").isNull().alias("missing")), ["row", "col"]).select("row", "col", F.when(~F.col("missing"), F.col("bit")).alias("bit"))
+    """Opening, then closing, with missing pixels (null bits) as 0; they are missing again afterwards. One shuffle in all."""
+    steps = chunks.morphology([(open_radius, 9), (open_radius, 1), (close_radius, 1), (close_radius, 9)])
+    kernel = lambda bits, there: np.where(np.isnan(bits), np.nan, steps(bits, there))
+    out = chunks.by_chunk(mask, [], "bit", 2 * (open_radius + close_radius), kernel, "bit")
+    return out.select("row", "col", F.when(~F.isnan("bit"), F.col("bit").cast("int")).alias("bit"))
 
 
 def mask_report(mask: DataFrame) -> DataFrame:
@@ -85,6 +86,49 @@ def mask_report(mask: DataFrame) -> DataFrame:
     return mask.agg(valid.alias("valid_px"), green.alias("green_px"), F.when(valid > 0, green / valid).alias("green_ratio"))
 
 
-def chunk_keys(size: int = 256) -> list[Column]:
-    """The chunk of a pixel, to lay rasters out in."""
-    return [F.floor(F.col("row") / size).cast("int").alias("chunk_row"), F.floor(F.col("col") / size).cast("int").alias("chunk_col")]
+def pixels_within(shapes: DataFrame, left: float, top: float, pixel: float, rows: int, cols: int, key: str = "id") -> DataFrame:
+    """(key, row, first, last): spans of pixels whose centres a shape (geometry, rows counted downwards from ``top``) holds; null and unreadable shapes have none.
+
+    Each polygon of a shape counts by itself, its holes left out.
+    """
+    kind = shapes.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers, found = [np.empty(0, np.int64)], [np.empty((0, 3), np.int64)]
+            for i, data in enumerate(batch.column(1).to_pylist()):
+                try:
+                    shape = g.from_wkb(data) if data is not None else None
+                except ValueError:
+                    continue
+                if shape is None or not shape[0].endswith("Polygon"):
+                    continue
+                for polygon in shape[1]:
+                    rings = [np.column_stack([(r[:, 0] - left) / pixel, (top - r[:, 1]) / pixel]) for r in polygon]
+                    spans = spans_of_centres(rings, (0, rows), cols)
+                    found.append(spans)
+                    numbers.append(np.full(len(spans), i))
+            whole = np.concatenate(found).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(numbers))), *map(pa.array, whole.T)], names=["key", "row", "first", "last"])
+
+    found = shapes.select(F.col(key).alias("key"), "geometry").mapInArrow(run, f"key {kind}, row int, first int, last int")
+    return found.withColumnRenamed("key", key)
+
+
+def area_spans(spark: SparkSession, area: bytes, left: float, top: float, pixel: float, rows: int, cols: int, block: int = 1024) -> DataFrame:
+    """(row, first, last) of one area, its rows dealt to tasks by blocks; of parts that lie over each other pixels come once."""
+    polygons = [[np.column_stack([(r[:, 0] - left) / pixel, (top - r[:, 1]) / pixel]) for r in p] for p in g.from_wkb(area)[1]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in batch.column(0).to_pylist():
+                spans = np.concatenate([spans_of_centres(rings, (start * block, min((start + 1) * block, rows)), cols) for rings in polygons])
+                whole = np.stack(joined_spans(*spans.T), 1).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, whole.T)), names=["row", "first", "last"])
+
+    return spark.range(-(-rows // block)).mapInArrow(run, "row int, first int, last int")
+
+
+def expanded(spans: DataFrame) -> DataFrame:
+    """The pixels of spans: what else they have, row, col."""
+    return spans.select(*[c for c in spans.columns if c not in ("first", "last")], F.explode(F.sequence("first", "last")).alias("col"))

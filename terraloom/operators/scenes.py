@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.functions.text import season_range
+from terraloom.operators.rasters import expanded
 
 
 def matching(items: DataFrame, start: str, end: str, most_cloud: float, bbox: tuple[float, float, float, float] | None = None, collections: tuple[str, ...] = ()) -> DataFrame:
@@ -51,13 +52,14 @@ def within_window(pixels: DataFrame, window: Column) -> DataFrame:
 
 
 def stacked(red: DataFrame, nir: DataFrame, classes: DataFrame, factor: int = 2, area: DataFrame | None = None) -> DataFrame:
-    """scene, row, col, red, nir, scl of each pixel that both bands have, on their grid; the class is that of the ``factor`` times larger pixel that holds it. Only pixels of ``area`` (row, col), where given.
+    """scene, row, col, red, nir, scl of each pixel that both bands have, on their grid; the class is that of the ``factor`` times larger pixel that holds it. Only pixels of ``area``, where given: (row, col), or spans (row, first, last) as ``rasters.area_spans`` makes them of a polygon.
 
     Bands are (scene, row, col, value). All are equality joins on keys; the first two share their partitioning.
     """
     keys = ["scene", "row", "col"]
     both = red.select(*keys, F.col("value").alias("red")).join(nir.select(*keys, F.col("value").alias("nir")), keys)
     if area is not None:
+        area = expanded(area) if "first" in area.columns else area
         both = both.join(area.select("row", "col"), ["row", "col"], "left_semi")
     coarse = classes.select("scene", F.col("row").alias("_row"), F.col("col").alias("_col"), F.col("value").alias("scl"))
     fine = both.withColumns({"_row": F.floor(F.col("row") / factor).cast("int"), "_col": F.floor(F.col("col") / factor).cast("int")})

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terraloom.operators import chunks
+
 #: The weights of a seam score, and those of luma.
 WEIGHTS = {"rgb_l1": 1.0, "rgb_l2": 0.25, "sobel_l1": 0.5}
 LUMA = (0.2126, 0.7152, 0.0722)
@@ -29,22 +31,8 @@ def mean_difference(a: str, b: str, power: int) -> Column:
 
 
 def sobel_magnitude(pixels: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """Gradient magnitude of each pixel of a long table (row, col), edges repeated. Each pixel goes to the neighbours that read it."""
-    size = pixels.groupBy(*keys).agg(F.max("row").alias("_rows"), F.max("col").alias("_cols"))
-    sized = pixels.join(size, keys)
-    # A pixel on an edge stands for those beyond it too.
-    reach = lambda c, last: F.filter(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: (F.col(c) + d >= 0) & (F.col(c) + d <= F.col(last)))
-    sent = sized.select(*keys, "row", "col", value, "_rows", "_cols", F.explode(reach("row", "_rows")).alias("dr")).withColumn("dc", F.explode(reach("col", "_cols")))
-    at = sent.select(*keys, (F.col("row") + F.col("dr")).alias("r"), (F.col("col") + F.col("dc")).alias("c"), F.col("dr"), F.col("dc"), "_rows", "_cols", value)
-    # Seen from the reader, the source lies at (-dr, -dc); at the border the reader's own row or column fills in.
-    up, down = F.col("r") == 0, F.col("r") == F.col("_rows")
-    left, right = F.col("c") == 0, F.col("c") == F.col("_cols")
-    row_smooth = F.when(F.col("dr") == 0, F.lit(2.0) + up.cast("double") + down.cast("double")).otherwise(F.lit(1.0))
-    col_smooth = F.when(F.col("dc") == 0, F.lit(2.0) + left.cast("double") + right.cast("double")).otherwise(F.lit(1.0))
-    row_slope = -F.col("dr") + F.when(F.col("dr") == 0, down.cast("double") - up.cast("double")).otherwise(F.lit(0.0))
-    col_slope = -F.col("dc") + F.when(F.col("dc") == 0, right.cast("double") - left.cast("double")).otherwise(F.lit(0.0))
-    sums = at.groupBy(*keys, F.col("r").alias("row"), F.col("c").alias("col")).agg(F.sum(F.col(value) * row_smooth * col_slope).alias("gx"), F.sum(F.col(value) * col_smooth * row_slope).alias("gy"))
-    return sums.select(*keys, "row", "col", F.sqrt(F.col("gx") * F.col("gx") + F.col("gy") * F.col("gy")).alias("magnitude"))
+    """Gradient magnitude of each pixel of images in a long table (row, col), edges repeated; 0 in images under two pixels high or wide."""
+    return chunks.by_chunk(pixels, keys, value, 1, chunks.sobel, "magnitude")
 
 
 def seam_score(metrics: dict[str, Column], weights: dict[str, float] | None = None) -> Column:
@@ -94,48 +82,64 @@ def sobel_difference(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return mine.join(theirs, [*keys, "row", "col"]).groupBy(*keys).agg(F.avg(F.abs(F.col("magnitude") - F.col("_other"))).alias("sobel_l1"))
 
 
-#: Where a neighbour lies, and across which axes its last pixels meet a candidate's first.
-SIDES = {"left": (1, 0, ("col",)), "top": (0, 1, ("row",)), "tl": (1, 1, ("row", "col"))}
+#: Where a neighbour lies, across which axes its last pixels meet a candidate's first, and the words that ask for it, anywhere in the mode.
+SIDES = {"left": (1, 0, ("col",), ("left",)), "top": (0, 1, ("row",), ("top",)), "tl": (1, 1, ("row", "col"), ("tl", "top-left"))}
 
 
-def strip_scores(candidates: DataFrame, chosen: DataFrame, size: int, strip: int, weights: dict[str, float] | None = None, neighbours: str = "left+top") -> DataFrame:
-    """Seam score of each candidate (x, y, variant, row, col, value) against chosen tiles (x, y, row, col, value), over strips of overlap.
+def strip_scores(candidates: DataFrame, chosen: DataFrame, size: int, strip: int, weights: dict[str, float] | None = None, neighbours: str = "left+top", channels: tuple[str, ...] = ("value",)) -> DataFrame:
+    """Seam score of each candidate (x, y, variant, row, col, channels) against chosen tiles (x, y, row, col, channels), over strips of overlap; 0 without a neighbour.
 
-    ``neighbours`` names the sides: left, top, and tl (or top-left) for the corner. The candidate's first ``strip`` columns lie over the left tile's last ones, its
-    first rows over the upper tile's last ones. Gradients are taken within a strip.
+    ``neighbours`` is searched for the sides' words, so ``top-left`` asks for left, top and corner. The candidate's first ``strip`` columns lie over the left tile's last ones, its
+    first rows over the upper tile's last ones. Differences are means over pixels and channels; gradients are those of luma (of red, green and blue; of the one channel else) within a strip.
     """
-    strip, asked = max(1, min(strip, size)), neighbours.replace("top-left", "tl").split("+")
-    both = None
-    for side, (dx, dy, across) in SIDES.items():
-        if side not in asked:
+    strip, both = max(1, min(strip, size)), None
+    for side, (dx, dy, across, words) in SIDES.items():
+        if not any(w in neighbours for w in words):
             continue
         mine, theirs = candidates, chosen
         for axis in across:
             mine, theirs = mine.where(F.col(axis) < strip), theirs.where(F.col(axis) >= size - strip)
-        theirs = theirs.select((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"), *[(F.col(c) - (size - strip if c in across else 0)).alias(c) for c in ("row", "col")], F.col("value").alias("other"))
+        theirs = theirs.select((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"), *[(F.col(c) - (size - strip if c in across else 0)).alias(c) for c in ("row", "col")], *[F.col(c).alias(f"_{c}") for c in channels])
         part = mine.join(theirs, ["x", "y", "row", "col"]).withColumn("side", F.lit(side))
         both = part if both is None else both.unionByName(part)
-    gap, keys, used = F.col("value") - F.col("other"), ["x", "y", "variant", "side"], usable_weights(weights)
-    metrics = both.groupBy(*keys).agg(F.avg(F.abs(gap)).alias("rgb_l1"), F.avg(gap * gap).alias("rgb_l2"))
+    every = candidates.select("x", "y", "variant").distinct()
+    if both is None:
+        return every.withColumn("seam", F.lit(0.0))
+    keys, used = ["x", "y", "variant", "side"], usable_weights(weights)
+    gaps = [F.col(c).cast("double") - F.col(f"_{c}") for c in channels]
+    mean = lambda parts: sum(parts[1:], parts[0]) / len(parts)
+    metrics = both.groupBy(*keys).agg(F.avg(mean([F.abs(d) for d in gaps])).alias("rgb_l1"), F.avg(mean([d * d for d in gaps])).alias("rgb_l2"))
     if used.get("sobel_l1"):
-        metrics = metrics.join(sobel_difference(both, keys), keys)
+        light = lambda prefix: luma(*[F.col(prefix + c) for c in channels]) if len(channels) == 3 else F.col(prefix + channels[0])
+        lit = both.select(*keys, "row", "col", light("").alias("value"), light("_").alias("other"))
+        metrics = metrics.join(sobel_difference(lit, keys), keys)
     score = seam_score({k: F.col(k) for k in used if k in metrics.columns}, used)
-    return metrics.groupBy("x", "y", "variant").agg(F.sum(score).alias("seam"))
+    return every.join(metrics.groupBy("x", "y", "variant").agg(F.sum(score).alias("seam")), ["x", "y", "variant"], "left").fillna(0.0, ["seam"])
 
 
 def heat_colour(level: Column) -> list[Column]:
-    """Red, green and blue of a level from 0 to 1: black, red, yellow, white."""
-    clip = lambda v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v))
-    return [F.rint(clip(level * 3 - k) * 255).cast("int").alias(c) for k, c in enumerate("rgb")]
+    """Red, green and blue of a level from 0 to 1: red rises to the first stop, then green to the second, then blue."""
+    #: The stops.
+    first, second = 0.5, 0.85
+    rise = lambda low, high: F.rint(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (level - low) / (high - low))) * 255).cast("int")
+    return [rise(0.0, first).alias("r"), rise(first, second).alias("g"), rise(second, 1.0).alias("b")]
+
 
+def heatmap(profiles: DataFrame, height: int | None = None, width: int | None = None) -> DataFrame:
+    """Both pixels at each place along a seam (out_row, out_col: the pixel behind the seam; axis, l1 from 0 to 1), coloured by their share of the greatest.
 
-def heatmap(profiles: DataFrame) -> DataFrame:
-    """A pixel of each place along a seam (out_row, out_col, axis, l1), as a share of the greatest; at crossings the horizontal seam shows."""
+    Levels are whole numbers of 255, cut down. At crossings the horizontal seam shows, of seams that share pixels the last one.
+    """
+    level = F.floor(F.col("l1") * 255).cast("int")
+    drawn = profiles.select("axis", level.alias("level"), F.when(F.col("axis") == "h", F.col("out_row")).otherwise(F.col("out_col")).alias("at"), "out_row", "out_col", F.explode(F.array(F.lit(1), F.lit(0))).alias("back"))
+    back = lambda c, axis: (F.col(c) - F.when(F.col("axis") == axis, F.col("back")).otherwise(0)).alias(c)
+    drawn = drawn.select("axis", "level", "at", back("out_row", "h"), back("out_col", "v")).where("out_row >= 0 AND out_col >= 0")
+    for c, most in (("out_row", height), ("out_col", width)):
+        drawn = drawn if most is None else drawn.where(F.col(c) < most)
+    shown = drawn.groupBy("out_row", "out_col").agg(F.max_by("level", F.struct(F.col("axis") == "h", "at")).alias("level"))
     # The greatest value is one row, so the cross join adds a column and no rows.
-    top = profiles.agg(F.max("l1").alias("top"))
-    level = profiles.crossJoin(F.broadcast(top)).withColumn("level", F.when(F.col("top") > 0, F.col("l1") / F.col("top")).otherwise(F.lit(0.0)))
-    shown = level.groupBy("out_row", "out_col").agg(F.max_by("level", F.when(F.col("axis") == "h", 1).otherwise(0)).alias("level"))
-    return shown.select("out_row", "out_col", *heat_colour(F.col("level")))
+    top = shown.agg(F.greatest(F.max("level"), F.lit(1)).alias("top"))
+    return shown.crossJoin(F.broadcast(top)).select("out_row", "out_col", *heat_colour(F.greatest(F.col("level"), F.lit(0)) / F.col("top")))
 
 
 def skip_reasons(pairs: DataFrame) -> DataFrame:

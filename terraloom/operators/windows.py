@@ -50,8 +50,9 @@ def painted(pixels: DataFrame, height: int, width: int, paint: Paint, channels:
     done = own.groupBy("wr", "wc").applyInPandas(run, f"out_row int, out_col int, wr int, wc int, {kinds}")
     weight = window_weight(F.col("out_row"), F.col("wr"), height, window, overlap) * window_weight(F.col("out_col"), F.col("wc"), width, window, overlap)
     done = done.withColumn("w", weight)
-    total = F.nullif(F.sum("w"), F.lit(0.0))
-    mixed = done.groupBy("out_row", "out_col").agg(*[F.floor(F.sum(F.col(c) * F.col("w")) / total + F.lit(0.5)).cast("int").alias(f"_{c}") for c in channels])
+    total = F.when(F.sum("w") > 1e-6, F.sum("w"))
+    # Cut down to whole numbers, as images are that hold bytes.
+    mixed = done.groupBy("out_row", "out_col").agg(*[F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), F.sum(F.col(c) * F.col("w")) / total))).cast("int").alias(f"_{c}") for c in channels])
     joined = pixels.join(mixed, ["out_row", "out_col"], "left")
     return joined.select("out_row", "out_col", *[F.coalesce(f"_{c}", c).alias(c) for c in channels])
 

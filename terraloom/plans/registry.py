@@ -344,21 +344,49 @@ def tile_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seams.index_gaps(_tiles(spark, sf_dir), "x").toDF("gap_from", "gap_to")
 
 
-@query("""WITH e AS (SELECT vec_id, CAST(vec_id % 20 AS INTEGER) AS place, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings),
-p AS (SELECT a.vec_id, (a.v[8 * k + 1] - b.v[8 * k + 8]) AS g, abs(abs(4 * (a.v[8 * least(k + 1, 7) + 1] - a.v[8 * greatest(k - 1, 0) + 1])) - abs(4 * (b.v[8 * least(k + 1, 7) + 8] - b.v[8 * greatest(k - 1, 0) + 8]))) AS s FROM e a JOIN e b ON b.vec_id = a.vec_id - 1 AND a.place > 0, (SELECT unnest(range(8)) AS k))
-SELECT place, vec_id // 20 AS variant_row, round(avg(abs(g)) + 0.25 * avg(g * g) + 0.5 * avg(s), 9) AS seam FROM p JOIN e USING (vec_id) GROUP BY place, vec_id // 20""")
-def candidate_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _strip_sql(strip: int) -> str:
+    """Each tile's first columns beside the last ones of the tile to its left; a strip of one column has no gradient."""
+    grid = ", ".join(f"greatest(0, least({most}, {c} {d:+d})) AS {c}{n}" for c, most in (("r", 7), ("c", strip - 1)) for n, d in (("a", -1), ("z", 1)))
+    side = lambda v, at, n: f"{v}[8 * {at[0]} + {at[1]} + {n}]"
+    def slope(v: str, n: int) -> str:
+        at = lambda r, c: side(v, (r, c), n)
+        gx = f"({at('ra', 'cz')} + 2 * {at('r', 'cz')} + {at('rz', 'cz')} - {at('ra', 'ca')} - 2 * {at('r', 'ca')} - {at('rz', 'ca')})"
+        gy = f"({at('rz', 'ca')} + 2 * {at('rz', 'c')} + {at('rz', 'cz')} - {at('ra', 'ca')} - 2 * {at('ra', 'c')} - {at('ra', 'cz')})"
+        return f"sqrt({gx} * {gx} + {gy} * {gy})"
+
+    steep = f"abs({slope('a', 1)} - {slope('b', 9 - strip)})" if strip > 1 else "0.0"
+    return f"""WITH e AS (SELECT vec_id, CAST(vec_id % 20 AS INTEGER) AS place, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings),
+p AS (SELECT *, {grid} FROM (SELECT a.vec_id, a.v AS a, b.v AS b, k // {strip} AS r, k % {strip} AS c FROM e a JOIN e b ON b.vec_id = a.vec_id - 1 AND a.place > 0, (SELECT unnest(range({8 * strip})) AS k))),
+s AS (SELECT vec_id, a[8 * r + c + 1] - b[8 * r + c + {9 - strip}] AS g, {steep} AS s FROM p),
+m AS (SELECT vec_id, avg(abs(g)) + 0.25 * avg(g * g) + 0.5 * avg(s) AS seam FROM s GROUP BY vec_id)
+SELECT place, vec_id // 20 AS variant_row, round(coalesce(seam, 0), 9) AS seam FROM e LEFT JOIN m USING (vec_id)"""
+
+
+def _strips(spark: SparkSession, sf_dir: str, strip: int) -> DataFrame:
     """The vectors are rows of 20 tiles of 8 x 8 pixels, each scored against its left neighbour."""
     pixels = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 20).cast("int").alias("x"), F.floor(F.col("vec_id") / 20).alias("y"), F.posexplode("embedding").alias("at", "v"))
     pixels = pixels.select("x", (F.col("y") * 2).alias("y"), F.floor(F.col("at") / 8).cast("int").alias("row"), (F.col("at") % 8).alias("col"), F.col("v").cast("double").alias("value"))
-    scored = seams.strip_scores(pixels.withColumn("variant", F.lit(0)), pixels, 8, 1)
+    scored = seams.strip_scores(pixels.withColumn("variant", F.lit(0)), pixels, 8, strip)
     return scored.select(F.col("x").alias("place"), (F.col("y") / 2).cast("bigint").alias("variant_row"), F.round("seam", 9).alias("seam"))
 
 
-@query("""WITH p AS (SELECT l_suppkey, l_linenumber, avg(abs(l_extendedprice - l_quantity)) AS l1 FROM lineitem GROUP BY 1, 2), n AS (SELECT *, l1 / (SELECT max(l1) FROM p) AS level FROM p)
-SELECT CAST(l_suppkey AS BIGINT) AS out_row, l_linenumber AS out_col, CAST(round_even(greatest(0, least(1, level * 3)) * 255, 0) AS INTEGER) AS r, CAST(round_even(greatest(0, least(1, level * 3 - 1)) * 255, 0) AS INTEGER) AS g, CAST(round_even(greatest(0, least(1, level * 3 - 2)) * 255, 0) AS INTEGER) AS b FROM n""")
+@query(_strip_sql(1))
+def candidate_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _strips(spark, sf_dir, 1)
+
+
+@query(_strip_sql(3))
+def candidate_strips_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _strips(spark, sf_dir, 3)
+
+
+@query("""WITH p AS (SELECT CAST(l_suppkey AS BIGINT) AS out_row, l_linenumber * 3 AS out_col, CAST(floor(avg(abs(l_extendedprice / 200000 - l_quantity / 50)) * 255) AS INTEGER) AS level FROM lineitem GROUP BY 1, 2),
+d AS (SELECT out_row, out_col - k AS out_col, level / greatest((SELECT max(level) FROM p), 1) AS t FROM p, (SELECT unnest([0, 1]) AS k))
+SELECT out_row, CAST(out_col AS INTEGER) AS out_col, CAST(CASE WHEN t < 0.5 THEN round_even(255 * (2 * t), 0) ELSE 255 END AS INTEGER) AS r,
+CAST(CASE WHEN t < 0.5 THEN 0 WHEN t < 0.85 THEN round_even(255 * (t - 0.5) / 0.35, 0) ELSE 255 END AS INTEGER) AS g, CAST(CASE WHEN t < 0.85 THEN 0 ELSE round_even(255 * (t - 0.85) / 0.15, 0) END AS INTEGER) AS b FROM d""")
 def seam_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sides = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("out_row"), F.col("l_linenumber").alias("out_col"), F.col("l_extendedprice").alias("a"), F.col("l_quantity").alias("b"))
+    """Every supplier is a row of a picture, every line number a vertical seam three pixels from the next."""
+    sides = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("out_row"), (F.col("l_linenumber") * 3).alias("out_col"), (F.col("l_extendedprice") / 200000).alias("a"), (F.col("l_quantity") / 50).alias("b"))
     profile = seams.seam_profile(sides, ["out_row"], "out_col").withColumn("axis", F.lit("v"))
     return seams.heatmap(profile)
 

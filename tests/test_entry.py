@@ -23,17 +23,20 @@ def shown(value) -> str:
     return str(value)
 
 
-@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     import duckdb
 
-    df = registry.QUERIES[name](spark, DATA)
+    df = QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
     got = sorted("|".join(shown(r[c]) for c in columns) for r in df.collect())
     db = duckdb.connect()
     for path in glob.glob(f"{DATA}/*.parquet"):
         db.sql(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM read_parquet('{path}')")
-    found = db.execute(registry.ORACLES[name])
+    found = db.execute(ORACLES[name])
     names = [d[0] for d in found.description]
     assert sorted(names) == columns
     assert got == sorted("|".join(shown(r[names.index(c)]) for c in columns) for r in found.fetchall())
