@@ -2,7 +2,7 @@
 
 Each text is encoded twice, by a byte-level vocabulary A (from space and text) and by a piece vocabulary B (which puts the
 space there itself). Where a token of A and one of B end at the same byte, both sequences are cut; the two tokens that end
-there are linked. A text is cut before single spaces between other characters first: no token of either vocabulary reaches
+there are linked. A text is cut before single spaces between other characters and between words and marks first: no token of either vocabulary reaches
 across such a place (checked for B when a worker starts), so chunks are encoded once and looked up afterwards; both lookups
 give what the whole text gives. A text of which any chunk comes back with other bytes is encoded whole, and has no tokens if it
 differs itself.
@@ -24,10 +24,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +44,8 @@ BATCH_LINKS, BATCH_TEXTS, SHARE = 1_500_000, 16_384, 512
 MOST_CHUNKS, LONGEST_CHUNK = 300_000, 64
 #: Pairs in one row of counts.
 ROW_PAIRS = 1 << 20
-#: A single space between characters that aren't white space for either vocabulary.
-CUT = re.compile(r"(?<=\S) (?=\S)")
+#: A letter that is a token of B by itself, and ASCII marks that A's pattern splits from a letter or digit before them; the apostrophe may begin a suffix and isn't one.
+LEAD, MARKS = "a", "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _byte_of() -> dict[str, int]:
@@ -72,41 +71,77 @@ class Pair:
         self.a_bytes = [bytes(of[c] for c in t) if all(c in of for c in t) else t.encode() for t in map(self.a.id_to_token, range(self.n_a))]
         pieces = [self.b.id_to_piece(i) for i in range(self.n_b)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
-        self.digits = [str(i) for i in range(max(self.n_a, self.n_b))]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
+        self.cut = self._cuts([p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))])
+        digits = [str(i) for i in range(max(self.n_a, self.n_b))]
+        self.digits = np.array([d + mark for mark in ",|;" for d in digits], object)
         self.known: dict[str, tuple | None] = {}
         self.before: dict[str, tuple | None] = {}
 
-    def _aligned(self, want: bytes, a: list[int], b: list[int]) -> tuple | None:
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_bytes) != want or b"".join(b_bytes) != want:
+    @staticmethod
+    def _cuts(pieces: list[str]) -> re.Pattern | None:
+        """Places that no piece of B reaches across: single spaces within the text, and marks right behind a letter or digit, where A's pattern splits too."""
+        if any(re.search("[^▁]▁", p) for p in pieces):
             return None
-        of, last = self.digits, self.n_a
-        if len(a) == 1 or len(b) == 1:
-            return len(a), len(b), 1, f"{','.join([of[i] for i in a])}|{','.join([of[i] for i in b])}", _code(b[-1] * last + a[-1])
-        b_at = dict(zip(accumulate(map(len, b_bytes)), range(1, len(b) + 1), strict=True))
-        groups, links, i0, j0 = [], b"", 0, 0
-        for i, end in enumerate(accumulate(map(len, a_bytes)), 1):
-            j = b_at.get(end)
-            if j:
-                groups.append(f"{','.join([of[x] for x in a[i0:i]])}|{','.join([of[x] for x in b[j0:j]])}")
-                links += _code(b[j - 1] * last + a[i - 1])
-                i0, j0 = i, j
-        return len(a), len(b), len(groups), ";".join(groups), links
+        joined = set(re.findall(rf"([^\W_])[{re.escape(MARKS)}]", "\n".join(pieces)))
+        if LEAD in joined or f"▁{LEAD}" not in pieces:
+            return re.compile(r"(?<=\S)(?= \S)")
+        return re.compile(rf"(?<=\S)(?= \S)|(?<=[^\W_{re.escape(''.join(sorted(joined)))}])(?=[{re.escape(MARKS)}])")
 
     def encode(self, chunks: list[str]) -> list[tuple | None]:
-        """``chunks`` begin with the space that B puts there."""
+        """``chunks`` begin with the space that B puts there, or with a mark behind a word: then B gets a letter before it, whose token is taken off again."""
         if not chunks:
             return []
-        made = zip(chunks, self.a.encode_batch_fast(chunks, add_special_tokens=False), self.b.encode([c[1:] for c in chunks], num_threads=1), strict=True)
-        return [self._aligned(c.encode(), a.ids, b) for c, a, b in made]
+        wants = [c.encode() for c in chunks]
+        a = [x.ids for x in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
+        b = self.b.encode([c[1:] if c[0] == " " else LEAD + c for c in chunks], num_threads=1)
+        b = [x if c[0] == " " else x[1:] for c, x in zip(chunks, b, strict=True)]
+        out: list[tuple | None] = [None] * len(chunks)
+        sound = range(len(chunks))
+        if not self._lossless(wants, a, b):
+            sound = [i for i in sound if self._lossless([wants[i]], [a[i]], [b[i]])]
+        if sound:
+            for i, found in zip(sound, self._aligned([wants[i] for i in sound], [a[i] for i in sound], [b[i] for i in sound]), strict=True):
+                out[i] = found
+        return out
+
+    def _lossless(self, wants: list[bytes], a: list[list[int]], b: list[list[int]]) -> bool:
+        """Whether the tokens of each chunk are its bytes."""
+        ends, joined = np.cumsum([len(w) for w in wants]), b"".join(wants)
+        for ids, of, sizes in ((a, self.a_bytes, self.a_sizes), (b, self.b_bytes, self.b_sizes)):
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            size = np.r_[0, np.cumsum(sizes[flat])][np.cumsum([len(x) for x in ids])]
+            if not np.array_equal(size, ends) or b"".join(map(of.__getitem__, flat.tolist())) != joined:
+                return False
+        return True
+
+    def _aligned(self, wants: list[bytes], a: list[list[int]], b: list[list[int]]) -> list[tuple]:
+        """Chunks laid behind each other: tokens that end at the same byte close a group, and none reaches over a chunk's end."""
+        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+        flat_a, flat_b = np.fromiter(chain.from_iterable(a), np.int64), np.fromiter(chain.from_iterable(b), np.int64)
+        ends_a, ends_b = np.cumsum(self.a_sizes[flat_a]), np.cumsum(self.b_sizes[flat_b])
+        at = np.searchsorted(ends_b, ends_a)  # both reach the same last byte
+        last_a = ends_b[at] == ends_a
+        last_b = np.zeros(len(flat_b), bool)
+        last_b[at[last_a]] = True
+        links = (flat_b[last_b] * self.n_a + flat_a[last_a]).tobytes()
+        # Groups in order, A's tokens before B's, each id with the mark that follows it.
+        group = np.r_[2 * (np.cumsum(last_a) - last_a), 2 * (np.cumsum(last_b) - last_b) + 1]
+        each = len(self.digits) // 3
+        text = self.digits[np.r_[flat_a + each * last_a, flat_b + 2 * each * last_b][np.argsort(group, kind="stable")]].tolist()
+        bounds = np.r_[0, np.cumsum(n_a + n_b)].tolist()
+        groups = np.r_[0, np.cumsum(last_a)[np.cumsum(n_a) - 1]].tolist()
+        return [
+            (x, y, g1 - g0, "".join(text[t0:t1])[:-1], links[8 * g0 : 8 * g1])
+            for x, y, g0, g1, t0, t1 in zip(n_a.tolist(), n_b.tolist(), groups[:-1], groups[1:], bounds[:-1], bounds[1:], strict=True)
+        ]
 
     def texts(self, texts: list[str | None]) -> list[list[tuple]]:
         """The chunks' results of each text."""
         if len(self.known) > MOST_CHUNKS // 2:  # chunks of the last half that are met again stay
             self.before, self.known = self.known, {}
         known, before = self.known, self.before
-        split = [[] if not t else [" " + c for c in (CUT.split(t) if self.cuts else [t])] for t in texts]
+        split = [[] if not t else self.cut.split(" " + t) if self.cut else [" " + t] for t in texts]
         fresh = set().union(*split).difference(known)
         kept = fresh & before.keys()
         known.update((c, before[c]) for c in kept)
@@ -125,10 +160,6 @@ class Pair:
         return out
 
 
-#: A link's code as eight bytes.
-_code = struct.Struct("<q").pack
-
-
 @lru_cache(maxsize=2)
 def _pair(a_path: str, b_path: str) -> Pair:
     return Pair(a_path, b_path)

@@ -50,7 +50,7 @@ def plain(texts: list[tuple]) -> list[tuple]:
 
 def texts() -> list[tuple]:
     rng = random.Random(5)
-    letters = ["the", "Straße", "naïve", "don't", "we'll", "12,345", "x", "日本語", "😀", "á", "<|endoftext|>", "<s>", "<0x41>", "\t", "\n", "\xa0", "　", "᠎", "​", "\x1c", "\x00", "▁", "ﬁ", "''", "...", "  ", "   ", " "]
+    letters = ["the", "Straße", "naïve", "don't", "we'll", "12,345", "x", "日本語", "😀", "á", "<|endoftext|>", "<s>", "<0x41>", "\t", "\n", "\xa0", "　", "᠎", "​", "\x1c", "\x00", "▁", "ﬁ", "''", "...", "²", "word.", "a,b", "x=(1);", "5%", "_", "é.", "%%%***", "  ", "   ", " "]
     out = [(i, "".join(rng.choice(letters) + rng.choice([" ", " ", " ", "", "  ", "\n"]) for _ in range(rng.randint(1, 40)))) for i in range(400)]
     out += [(500, None), (501, ""), (502, " "), (503, "  lead"), (504, "trail "), (505, "\n"), (506, "the the the"), (506, "the the the"), (507, "a" * 5000), (508, "long words " * 20_000), (None, "no id")]
     return out
@@ -77,7 +77,7 @@ def test_no_rows(spark):
 
 def test_chunks_give_what_whole_texts_give(spark):
     pair = alignment.Pair(A, B)
-    assert pair.cuts
+    assert pair.cut.split(' one two, x%%') == [' one', ' two', ',', ' x', '%%']
     for _, text in texts():
         if text:
             whole = pair.encode([" " + text])[0]
