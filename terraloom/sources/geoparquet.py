@@ -44,13 +44,25 @@ def epsg_of(geo: dict, geometry: str) -> int | None:
     return int(own["code"]) if own.get("authority", "EPSG") == "EPSG" and str(own.get("code", "")).isdigit() else None
 
 
-def _system(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+def _qualified(spark: SparkSession, path: str) -> tuple[object, object]:
+    """The cluster's file system for a path, and the path in full: without a scheme it lies where Spark would look for it."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system, system.makeQualified(at)
+
+
+def _uri(path: object) -> str:
+    """A full path as the files' own library names it."""
+    text = str(path.toString())
+    if text.startswith("file:/"):
+        return "file:///" + text.removeprefix("file:").lstrip("/")
+    return "s3://" + text.split("://", 1)[1] if text.startswith(("s3a://", "s3n://")) else text
 
 
 def geo_of(path: str) -> dict:
     """The ``geo`` footer of a file, or of the first file of a folder; empty where there is none. Only a footer is read."""
-    system, at = _system(path)
+    system, at = fs.FileSystem.from_uri(_uri(_qualified(SparkSession.active(), path)[1]))
     info = system.get_file_info(at)
     files = [at] if info.type == fs.FileType.File else sorted(f.path for f in system.get_file_info(fs.FileSelector(at, recursive=True)) if f.type == fs.FileType.File and f.base_name.endswith(".parquet"))
     found = (pq.read_schema(files[0], filesystem=system).metadata or {}) if files else {}
@@ -71,18 +83,20 @@ def read(spark: SparkSession, path: str, geometry: str = "geometry") -> DataFram
 
 
 def write(df: DataFrame, path: str, epsg: int, geometry: str = "geometry", kinds: list[str] | None = None) -> int:
-    """Overwrite a folder with one file for each partition, each with the footer; the number of rows.
+    """Replace a folder by one file for each partition, each with the footer; the number of rows.
 
-    A file is written under a name of its own and then takes its partition's name, so a task that runs again replaces its own file.
+    Tasks write into a folder beside it, through the file system that Spark uses for the path; it takes the old one's place when all
+    are done, so a job that fails leaves the old layer as it was. A file is written under a name of its own and then takes its
+    partition's name, so a task that runs again replaces its own file.
     """
-    system, at = _system(path)
-    if system.get_file_info(at).type == fs.FileType.Directory:
-        system.delete_dir_contents(at)
-    system.create_dir(at, recursive=True)
+    hadoop, whole = _qualified(df.sparkSession, path)
+    beside = lambda mark: whole.suffix(f".{mark}-{uuid.uuid4().hex}")
+    draft_folder = beside("draft")
+    uri = _uri(draft_folder)
     schema = to_arrow_schema(df.schema).with_metadata({b"geo": footer(epsg, geometry, kinds)})
 
     def save(batches: Iterator[pa.RecordBatch], name: str) -> int:
-        system, at = _system(path)
+        system, at = fs.FileSystem.from_uri(uri)
         draft, n = f"{at}/.{name}-{uuid.uuid4().hex}", 0
         with pq.ParquetWriter(draft, schema, filesystem=system) as writer:
             for batch in batches:
@@ -95,4 +109,18 @@ def write(df: DataFrame, path: str, epsg: int, geometry: str = "geometry", kinds
         n = save(batches, f"part-{TaskContext.get().partitionId():05}.parquet")
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-    return sum(r["n"] for r in df.mapInArrow(run, "n bigint").collect()) or save(iter(()), "part-00000.parquet")
+    hadoop.mkdirs(draft_folder)
+    try:
+        rows = sum(r["n"] for r in df.mapInArrow(run, "n bigint").collect()) or save(iter(()), "part-00000.parquet")
+    except BaseException:
+        hadoop.delete(draft_folder, True)
+        raise
+    old = beside("old")
+    replaced = hadoop.exists(whole)
+    if replaced and not hadoop.rename(whole, old):
+        raise OSError(f"{path} can't be moved aside")
+    if not hadoop.rename(draft_folder, whole):
+        raise OSError(f"{uri} can't take the place of {path}")
+    if replaced:
+        hadoop.delete(old, True)
+    return rows

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from terraloom.functions import geometry as g
 from terraloom.functions.spans import centre_spans, touched_spans
 from terraloom.operators import chunks, ingest, pyramid, rasters, scenes, seams, windows
-from terraloom.sources import catalogue
+from terraloom.sources import catalogue, geoparquet
 
 
 def star(rng: np.random.Generator, cx: float, cy: float, reach: float) -> np.ndarray:
@@ -251,3 +251,21 @@ def test_cells_for_box(spark):
     boxes = "(0D,0D,2D,1D,1D),(0.5D,0.5D,0.5D,0.5D,1D),(1D,0D,0D,1D,1D),(NULL,0D,1D,1D,1D),(0D,0D,CAST('Infinity' AS DOUBLE),1D,1D),(-1.5D,-0.5D,-0.5D,0.5D,0.5D),(0D,0D,1D,1D,0D)"
     got = spark.sql(f"SELECT w, ix, iy FROM VALUES {boxes} AS b(w, s, e, n, size), LATERAL cells_for_bbox(w, s, e, n, size)").collect()
     assert sorted((r.w, r.ix, r.iy) for r in got) == [(-1.5, -3, -1), (-1.5, -3, 0), (-1.5, -2, -1), (-1.5, -2, 0), (0.0, 0, 0), (0.0, 1, 0), (0.5, 0, 0)]
+
+
+# --- layers as files ----------------------------------------------------------------------------------------------
+
+def test_a_failed_write_leaves_the_old_layer(spark, tmp_path):
+    at = str(tmp_path / "layers" / "roads")
+    point = g.to_wkb(("Point", [np.array([[1.0, 2.0]])]))
+    rows = spark.range(10).select("id", F.lit(point).alias("geometry"))
+    assert geoparquet.write(rows, at, 4326) == 10
+    broken = rows.select(F.when(F.col("id") == 9, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("id")).alias("id"), "geometry").repartition(5)
+    with pytest.raises(Exception, match="broken"):
+        geoparquet.write(broken, at, 4326)
+    assert geoparquet.read(spark, at).count() == 10 and [p.name for p in (tmp_path / "layers").iterdir() if not p.name.startswith(".")] == ["roads"]
+    # A layer may be read, changed and written to its own place: the old files stay until the new ones are whole.
+    assert geoparquet.write(geoparquet.read(spark, at).where("id < 3"), f"file:{at}", 32642) == 3
+    back = geoparquet.read(spark, f"file://{at}")
+    assert sorted(r.id for r in back.collect()) == [0, 1, 2] and geoparquet.crs_of(back, 0) == 32642
+    assert geoparquet.write(rows.where("false"), at, 4326) == 0 and geoparquet.read(spark, at).count() == 0
