@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as g
-from terraloom.operators import heights, ingest, pyramid, rasters, scenes
+from terraloom.operators import bands, heights, ingest, pyramid, rasters, scenes
 from terraloom.plans.registry import _feature_lines, query, table
 from terraloom.sources import catalogue
 
@@ -104,3 +104,19 @@ def cells_of_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     boxes = table(spark, sf_dir, "customer").select("c_custkey", w.alias("w"), s.alias("s"), (w + 0.25 * (F.col("c_custkey") % 40)).alias("e"), (s + 1.5).alias("n"))
     cells = spark.sql("SELECT b.c_custkey, c.ix, c.iy FROM {boxes} b, LATERAL cells_for_bbox(b.w, b.s, b.e, b.n, 0.7D) c", boxes=boxes)
     return cells.groupBy("ix", "iy").agg(F.count("*").alias("boxes"), F.sum("c_custkey").alias("ids"))
+
+
+# --- repair of bands: vectors as tiles of 8 x 8 pixels, 20 in a row, with a margin of one pixel -------------------------
+
+
+@query("""WITH t AS (SELECT CAST(vec_id % 20 AS INTEGER) AS x, CAST(vec_id // 20 AS INTEGER) AS y, CAST(k // 8 AS INTEGER) AS r, CAST(k % 8 AS INTEGER) AS c, CAST(floor(abs(embedding[k + 1]) * 255) AS INTEGER) % 256 AS v FROM embeddings, (SELECT unnest(range(64)) AS k)),
+p AS (SELECT x, y, r, map_from_entries(list((c, v))) AS v FROM t GROUP BY x, y, r),
+s AS (SELECT a.x, a.y, a.r, 255 - a.v[7] AS l0, (a.v[5] * 127 + (255 - a.v[6]) * 128 + 127) // 255 AS l1, 255 - b.v[0] AS r0, (b.v[2] * 127 + (255 - b.v[1]) * 128 + 127) // 255 AS r1 FROM p a JOIN p b ON b.x = a.x + 1 AND b.y = a.y AND b.r = a.r WHERE a.r BETWEEN 1 AND 6),
+m AS (SELECT *, CAST(floor(l0 + 0.5 * (r0 - l0)) AS INTEGER) AS m0, CAST(floor(l1 + 0.5 * (r1 - l1)) AS INTEGER) AS m1 FROM s),
+w AS (SELECT x, y, r, 6 AS c, m0 AS v FROM m UNION ALL SELECT x, y, r, 5, CAST(floor(l1 + 0.5 * (m1 - l1)) AS INTEGER) FROM m UNION ALL SELECT x + 1, y, r, 1, m0 FROM m UNION ALL SELECT x + 1, y, r, 2, CAST(floor(r1 + 0.5 * (m1 - r1)) AS INTEGER) FROM m)
+SELECT t.x, t.y, t.r AS "row", t.c AS col, CAST(coalesce(w.v, t.v) AS INTEGER) AS v FROM t LEFT JOIN w ON w.x = t.x AND w.y = t.y AND w.r = t.r AND w.c = t.c""")
+def seam_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Side-by-side seams, the patch painted as its negative: what is pasted, faded and drawn together."""
+    pixels = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 20).cast("int").alias("x"), F.floor(F.col("vec_id") / 20).cast("int").alias("y"), F.posexplode("embedding").alias("k", "f"))
+    pixels = pixels.select("x", "y", F.floor(F.col("k") / 8).cast("int").alias("row"), (F.col("k") % 8).alias("col"), (F.floor(F.abs(F.col("f")) * 255) % 256).cast("int").alias("v"))
+    return bands.repaired(pixels, (8, 8), (1, 1), lambda patch, mask, seed: 255 - patch, ["v"], 3, 1, 3, 3, "v")

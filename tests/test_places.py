@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as g
 from terraloom.functions.spans import centre_spans, touched_spans
-from terraloom.operators import chunks, ingest, pyramid, rasters, scenes, seams, windows
+from terraloom.operators import bands, chunks, ingest, pyramid, rasters, scenes, seams, windows
 from terraloom.sources import catalogue, geoparquet
 
 
@@ -269,3 +269,55 @@ def test_a_failed_write_leaves_the_old_layer(spark, tmp_path):
     back = geoparquet.read(spark, f"file://{at}")
     assert sorted(r.id for r in back.collect()) == [0, 1, 2] and geoparquet.crs_of(back, 0) == 32642
     assert geoparquet.write(rows.where("false"), at, 4326) == 0 and geoparquet.read(spark, at).count() == 0
+
+
+# --- bands along seams --------------------------------------------------------------------------------------------
+
+def plain_bands(tiles: dict, w: int, h: int, mx: int, my: int, context: int, mask_half: int, write_half: int, harmonise: int, paint) -> dict:
+    """One seam after the other, pixel by pixel."""
+    tiles = {k: v.astype(int).copy() for k, v in tiles.items()}
+
+    def one(left: np.ndarray, right: np.ndarray, n: int, m: int, k: int, km: int) -> None:  # across the second axis
+        a0, a1, b0, b1 = max(0, n - m - context), min(n, n - m + context), max(0, m - context), min(n, m + context)
+        split, width = a1 - a0, a1 - a0 + b1 - b0
+        limit = min(split, width - split) - 1
+        if limit <= 0 or k - km <= km:
+            return
+        half, mask = max(1, min(write_half, limit)), np.zeros((k - 2 * km, width), bool)
+        mask[:, split - max(1, min(mask_half, limit)) : split + max(1, min(mask_half, limit)) + 1] = True
+        made = paint(np.concatenate([left[km : k - km, a0:a1], right[km : k - km, b0:b1]], 1).astype(np.uint8), mask, 0).astype(int)
+        for i in range(km, k - km):
+            for j in range(half):
+                up = 255 if half == 1 else round(255 * j / (half - 1))
+                down = 255 if half == 1 else round(255 - 255 * j / (half - 1))
+                for tile, at, new, alpha in ((left, n - m - half + j, made[i - km, split - half + j], up), (right, m + j, made[i - km, split + j], down)):
+                    tile[i, at] = np.floor((tile[i, at] * (255 - alpha) + new * alpha) / 255 + 0.5)
+            near = min(harmonise, half)
+            for d in range(near):
+                a, b = left[i, n - m - 1 - d].copy(), right[i, m + d].copy()
+                mean, t = np.floor(a + 0.5 * (b - a)), 1.0 if near == 1 else 1 - d / (near - 1)
+                left[i, n - m - 1 - d], right[i, m + d] = np.floor(a + t * (mean - a)), np.floor(b + t * (mean - b))
+
+    for x, y in sorted(tiles, key=lambda p: (p[0] % 2, p[0])):
+        if (x + 1, y) in tiles:
+            one(tiles[x, y], tiles[x + 1, y], w, mx, h, my)
+    for x, y in sorted(tiles, key=lambda p: (p[1] % 2, p[1])):
+        if (x, y + 1) in tiles:
+            one(tiles[x, y].transpose(1, 0, 2), tiles[x, y + 1].transpose(1, 0, 2), h, my, w, mx)
+    return tiles
+
+
+@pytest.mark.parametrize("context, write_half, harmonise", [(3, 3, 2), (6, 2, 5), (9, 9, 9), (2, 1, 1)])
+def test_bands(spark, context, write_half, harmonise):
+    """Wide strips overlap those of the next seam, so that every second seam is painted first."""
+    rng = np.random.default_rng(6)
+    w, h, mx, my = 14, 12, 2, 3
+    tiles = {xy: rng.integers(0, 256, (h, w, 2)) for xy in ((0, 0), (1, 0), (2, 0), (0, 1), (1, 1), (4, 1))}
+    paint = lambda patch, mask, seed: np.where(mask[:, :, None], 255 - patch, patch // 2)
+    rows = [(x, y, r, c, *map(int, t[r, c])) for (x, y), t in tiles.items() for r in range(h) for c in range(w)]
+    df = spark.createDataFrame(rows, "x int, y int, row int, col int, a int, b int")
+    got = bands.repaired(df, (w, h), (mx, my), paint, ["a", "b"], context, 1, write_half, harmonise)
+    want = plain_bands(tiles, w, h, mx, my, context, 1, write_half, harmonise, paint)
+    assert {(r.x, r.y, r.row, r.col): (r.a, r.b) for r in got.collect()} == {(x, y, r, c): tuple(map(int, t[r, c])) for (x, y), t in want.items() for r in range(h) for c in range(w)}
+    assert bands.repaired(df.where("false"), (w, h), (mx, my), paint, ["a", "b"], context).count() == 0
+    assert bands.context_of(5, 90) == 8 and bands.context_of(70, 90) == 64
