@@ -24,7 +24,7 @@ def context_of(margin_x: int, margin_y: int) -> int:
     return max(8, min(margin_x, margin_y, 64))
 
 
-def _mixed(old: np.ndarray, new: np.ndarray, alpha: np.ndarray) -> np.ndarray:
+def mixed(old: np.ndarray, new: np.ndarray, alpha: np.ndarray) -> np.ndarray:
     """Bytes mixed by bytes, rounded to the nearest."""
     return (old * (255 - alpha) + new * alpha + 127) // 255
 
@@ -34,7 +34,7 @@ def _ramp(n: int, start: int, end: int) -> np.ndarray:
     return np.array([255]) if n == 1 else np.rint(np.linspace(start, end, n)).astype(np.int64)
 
 
-def _drawn(a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
+def drawn(a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
     """Bytes drawn towards others, cut down to whole numbers."""
     return np.floor(a + share * (b - a)).astype(np.int64)
 
@@ -50,17 +50,17 @@ def strips(first: np.ndarray, second: np.ndarray, ends: tuple[np.ndarray, np.nda
     mask = np.zeros(patch.shape[:2], bool)
     mask[:, split - masked : split + masked + 1] = True
     made = np.asarray(paint(patch.astype(np.uint8), mask, seed)).astype(np.int64)
-    a = _mixed(ends[0][:, -n:], made[:, split - n : split], _ramp(n, 0, 255)[None, :, None])
-    b = _mixed(ends[1][:, :n], made[:, split : split + n], _ramp(n, 255, 0)[None, :, None])
+    a = mixed(ends[0][:, -n:], made[:, split - n : split], _ramp(n, 0, 255)[None, :, None])
+    b = mixed(ends[1][:, :n], made[:, split : split + n], _ramp(n, 255, 0)[None, :, None])
     half = max(0, min(harmonise_half, n))
     for d in range(half):
         one, other = a[:, n - 1 - d].copy(), b[:, d].copy()
-        mean, share = _drawn(one, other, 0.5), 1.0 if half == 1 else 1.0 - d / (half - 1)
-        a[:, n - 1 - d], b[:, d] = _drawn(one, mean, share), _drawn(other, mean, share)
+        mean, share = drawn(one, other, 0.5), 1.0 if half == 1 else 1.0 - d / (half - 1)
+        a[:, n - 1 - d], b[:, d] = drawn(one, mean, share), drawn(other, mean, share)
     return a, b
 
 
-def _pass(pixels: DataFrame, axis: str, size: tuple[int, int], margins: tuple[int, int], context: int, halves: tuple[int, int, int], paint: Paint, channels: list[str], seed: int, turn: int | None) -> DataFrame:
+def _pass(pixels: DataFrame, axis: str, size: tuple[int, int], margins: tuple[int, int], context: int, halves: tuple[int, int, int], paint: Paint, channels: list[str], seed: int, turn: int | None, only: DataFrame | None) -> DataFrame:
     across, along = ("col", "row") if axis == "v" else ("row", "col")
     (n, m), (k, km) = ((size[0], margins[0]), (size[1], margins[1])) if axis == "v" else ((size[1], margins[1]), (size[0], margins[0]))
     a0, a1, b0, b1 = max(0, n - m - context), min(n, n - m + context), max(0, m - context), min(n, m + context)
@@ -75,6 +75,8 @@ def _pass(pixels: DataFrame, axis: str, size: tuple[int, int], margins: tuple[in
     sides = side(0, min(a0, n - m - wide), max(a1, n - m), 0, 0).unionByName(side(1, min(b0, m), max(b1, m + wide), dx, dy))
     if turn is not None:
         sides = sides.where(F.pmod(F.col("x" if axis == "v" else "y"), F.lit(2)) == turn)
+    if only is not None:
+        sides = sides.join(only.where(F.col("axis") == axis).select("x", "y"), ["x", "y"], "left_semi")
     kinds = ", ".join(f"_{c} int" for c in channels)
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
@@ -103,16 +105,25 @@ def _pass(pixels: DataFrame, axis: str, size: tuple[int, int], margins: tuple[in
     return joined.select(*KEYS, *[F.coalesce(f"_{c}", c).alias(c) for c in channels])
 
 
-def repaired(pixels: DataFrame, size: tuple[int, int], margins: tuple[int, int], paint: Paint, channels: list[str], context: int | None = None, mask_half: int = 16, write_half: int = 16, harmonise_half: int = 8, axes: str = "vh", seed: int = 0) -> DataFrame:
+def seams_of(tiles: DataFrame, axes: str = "vh") -> DataFrame:
+    """axis, x and y of each seam of which both tiles are there: v beside x + 1, h above y + 1."""
+    own = tiles.select("x", "y").distinct()
+    steps = {"v": (1, 0), "h": (0, 1)}
+    pairs = [own.join(own.select((F.col("x") - dx).alias("x"), (F.col("y") - dy).alias("y")), ["x", "y"], "left_semi").select(F.lit(a).alias("axis"), "x", "y") for a, (dx, dy) in steps.items() if a in axes]
+    return pairs[0] if len(pairs) == 1 else pairs[0].unionByName(pairs[1])
+
+
+def repaired(pixels: DataFrame, size: tuple[int, int], margins: tuple[int, int], paint: Paint, channels: list[str], context: int | None = None, mask_half: int = 16, write_half: int = 16, harmonise_half: int = 8, axes: str = "vh", seed: int = 0, most: int | None = None) -> DataFrame:
     """Tiles (size and margins as width, height) after the repair of all seams of which both tiles are there; absent pixels stay absent, a pixel written by no seam stays as it is.
 
-    Where passes depend on each other their results are kept by the caller's checkpoints; two or four shuffles in all.
+    ``most`` is a cap on seams: the first of both tiles there, side by side before one below the other, by y, then x. Where passes depend on each other their results are kept by the caller's checkpoints; two or four shuffles in all.
     """
     context = context_of(*margins) if context is None else context
     out = pixels.select(*[F.col(c).cast("int").alias(c) for c in (*KEYS, *channels)])
+    only = None if most is None else seams_of(out, axes).orderBy(F.desc("axis"), "y", "x").limit(most)
     for axis in axes:
         n, m = (size[0], margins[0]) if axis == "v" else (size[1], margins[1])
         shared = n - m - context < m + write_half or m + context > n - m - write_half
         for turn in (0, 1) if shared else (None,):
-            out = _pass(out, axis, size, margins, context, (mask_half, write_half, harmonise_half), paint, channels, seed, turn)
+            out = _pass(out, axis, size, margins, context, (mask_half, write_half, harmonise_half), paint, channels, seed, turn, only)
     return out

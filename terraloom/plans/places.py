@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as g
-from terraloom.operators import bands, heights, ingest, pyramid, rasters, scenes
+from terraloom.operators import bands, crossings, heights, ingest, pyramid, rasters, scenes
 from terraloom.plans.registry import _feature_lines, query, table
 from terraloom.sources import catalogue
 
@@ -120,3 +120,18 @@ def seam_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     pixels = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 20).cast("int").alias("x"), F.floor(F.col("vec_id") / 20).cast("int").alias("y"), F.posexplode("embedding").alias("k", "f"))
     pixels = pixels.select("x", "y", F.floor(F.col("k") / 8).cast("int").alias("row"), (F.col("k") % 8).alias("col"), (F.floor(F.abs(F.col("f")) * 255) % 256).cast("int").alias("v"))
     return bands.repaired(pixels, (8, 8), (1, 1), lambda patch, mask, seed: 255 - patch, ["v"], 3, 1, 3, 3, "v")
+
+
+@query("""WITH t AS (SELECT CAST(vec_id % 20 AS INTEGER) AS x, CAST(vec_id // 20 AS INTEGER) AS y, CAST(k // 8 AS INTEGER) AS r, CAST(k % 8 AS INTEGER) AS c, CAST(floor(abs(embedding[k + 1]) * 255) AS INTEGER) % 256 AS v FROM embeddings, (SELECT unnest(range(64)) AS k)),
+k AS (SELECT a.x, a.y FROM (SELECT DISTINCT x, y FROM t) a SEMI JOIN t b ON b.x = a.x + 1 AND b.y = a.y SEMI JOIN t c ON c.x = a.x AND c.y = a.y + 1 SEMI JOIN t d ON d.x = a.x + 1 AND d.y = a.y + 1),
+q AS (SELECT t.*, x - CAST(c < 4 AS INTEGER) AS cx, y - CAST(r < 4 AS INTEGER) AS cy, least(c, 7 - c) AS dc, least(r, 7 - r) AS dr FROM t),
+p AS (SELECT q.*, k.x IS NOT NULL AS whole, CASE WHEN dc + dr = 0 THEN 255 WHEN dc + dr = 1 THEN 64 WHEN dc = 1 AND dr = 1 THEN 22 ELSE 0 END AS alpha FROM q LEFT JOIN k ON k.x = q.cx AND k.y = q.cy),
+v1 AS (SELECT * REPLACE (CASE WHEN whole THEN (v * (255 - alpha) + (255 - v) * alpha + 127) // 255 ELSE v END AS v) FROM p),
+v2 AS (SELECT * REPLACE (CASE WHEN whole AND dc = 1 AND dr <= 2 THEN sum(v) OVER (PARTITION BY cx, cy, y, r, dc) // 2 ELSE v END AS v) FROM v1),
+v3 AS (SELECT * REPLACE (CASE WHEN whole AND dr = 1 AND dc <= 2 THEN sum(v) OVER (PARTITION BY cx, cy, x, c, dr) // 2 ELSE v END AS v) FROM v2)
+SELECT x, y, r AS "row", c AS col, CAST(v AS INTEGER) AS v FROM v3""")
+def seam_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crossings of four tiles, the patch painted as its negative: what is faded in around them, and what is drawn together again."""
+    pixels = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 20).cast("int").alias("x"), F.floor(F.col("vec_id") / 20).cast("int").alias("y"), F.posexplode("embedding").alias("k", "f"))
+    pixels = pixels.select("x", "y", F.floor(F.col("k") / 8).cast("int").alias("row"), (F.col("k") % 8).alias("col"), (F.floor(F.abs(F.col("f")) * 255) % 256).cast("int").alias("v"))
+    return crossings.crossed(pixels, (8, 8), (1, 1), lambda patch, mask, seed: 255 - patch, ["v"], 2, 1, 2, 2)
