@@ -82,6 +82,19 @@ def sobel_difference(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return mine.join(theirs, [*keys, "row", "col"]).groupBy(*keys).agg(F.avg(F.abs(F.col("magnitude") - F.col("_other"))).alias("sobel_l1"))
 
 
+def pair_scores(both: DataFrame, keys: list[str], channels: tuple[str, ...] = ("value",), weights: dict[str, float] | None = None) -> DataFrame:
+    """keys and score of image pairs (keys, row, col, channels, and the other image's channels behind ``_``): means over pixels and channels, gradients of luma."""
+    used = usable_weights(weights)
+    gaps = [F.col(c).cast("double") - F.col(f"_{c}") for c in channels]
+    mean = lambda parts: sum(parts[1:], parts[0]) / len(parts)
+    metrics = both.groupBy(*keys).agg(F.avg(mean([F.abs(d) for d in gaps])).alias("rgb_l1"), F.avg(mean([d * d for d in gaps])).alias("rgb_l2"))
+    if used.get("sobel_l1"):
+        light = lambda prefix: luma(*[F.col(prefix + c) for c in channels]) if len(channels) == 3 else F.col(prefix + channels[0])
+        lit = both.select(*keys, "row", "col", light("").alias("value"), light("_").alias("other"))
+        metrics = metrics.join(sobel_difference(lit, keys), keys)
+    return metrics.select(*keys, seam_score({k: F.col(k) for k in used if k in metrics.columns}, used).alias("score"))
+
+
 #: Where a neighbour lies, across which axes its last pixels meet a candidate's first, and the words that ask for it, anywhere in the mode.
 SIDES = {"left": (1, 0, ("col",), ("left",)), "top": (0, 1, ("row",), ("top",)), "tl": (1, 1, ("row", "col"), ("tl", "top-left"))}
 
@@ -105,16 +118,8 @@ def strip_scores(candidates: DataFrame, chosen: DataFrame, size: int, strip: int
     every = candidates.select("x", "y", "variant").distinct()
     if both is None:
         return every.withColumn("seam", F.lit(0.0))
-    keys, used = ["x", "y", "variant", "side"], usable_weights(weights)
-    gaps = [F.col(c).cast("double") - F.col(f"_{c}") for c in channels]
-    mean = lambda parts: sum(parts[1:], parts[0]) / len(parts)
-    metrics = both.groupBy(*keys).agg(F.avg(mean([F.abs(d) for d in gaps])).alias("rgb_l1"), F.avg(mean([d * d for d in gaps])).alias("rgb_l2"))
-    if used.get("sobel_l1"):
-        light = lambda prefix: luma(*[F.col(prefix + c) for c in channels]) if len(channels) == 3 else F.col(prefix + channels[0])
-        lit = both.select(*keys, "row", "col", light("").alias("value"), light("_").alias("other"))
-        metrics = metrics.join(sobel_difference(lit, keys), keys)
-    score = seam_score({k: F.col(k) for k in used if k in metrics.columns}, used)
-    return every.join(metrics.groupBy("x", "y", "variant").agg(F.sum(score).alias("seam")), ["x", "y", "variant"], "left").fillna(0.0, ["seam"])
+    scored = pair_scores(both, ["x", "y", "variant", "side"], channels, weights)
+    return every.join(scored.groupBy("x", "y", "variant").agg(F.sum("score").alias("seam")), ["x", "y", "variant"], "left").fillna(0.0, ["seam"])
 
 
 def heat_colour(level: Column) -> list[Column]:

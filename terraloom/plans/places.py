@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as g
-from terraloom.operators import bands, crossings, heights, ingest, pyramid, rasters, scenes
+from terraloom.operators import bands, candidates, crossings, heights, ingest, pyramid, rasters, scenes
 from terraloom.plans.registry import _feature_lines, query, table
 from terraloom.sources import catalogue
 
@@ -135,3 +135,43 @@ def seam_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
     pixels = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 20).cast("int").alias("x"), F.floor(F.col("vec_id") / 20).cast("int").alias("y"), F.posexplode("embedding").alias("k", "f"))
     pixels = pixels.select("x", "y", F.floor(F.col("k") / 8).cast("int").alias("row"), (F.col("k") % 8).alias("col"), (F.floor(F.abs(F.col("f")) * 255) % 256).cast("int").alias("v"))
     return crossings.crossed(pixels, (8, 8), (1, 1), lambda patch, mask, seed: 255 - patch, ["v"], 2, 1, 2, 2)
+
+
+# --- candidates: four vectors of one place are variants of a tile of 8 x 8 pixels in red, green and blue, 20 places in a row --
+
+_LANCZOS_SQL = """lob AS (SELECT o, i, CASE WHEN t = 0 THEN 1.0 WHEN abs(t) >= 3 THEN 0.0 ELSE sin(pi() * t) / (pi() * t) * sin(pi() * t / 3) / (pi() * t / 3) END AS k
+  FROM (SELECT o, i, (i - (o + 0.5) * 2 + 0.5) / 2 AS t FROM (SELECT o, unnest(range(greatest(0, 2 * o - 5), least(8, 2 * o + 7))) AS i FROM (SELECT unnest(range(4)) AS o)) WHERE i + 0.5 >= (o + 0.5) * 2 - 6 AND i + 0.5 <= (o + 0.5) * 2 + 6)),
+wt AS (SELECT o, i, CAST(round(k / sum(k) OVER (PARTITION BY o) * 4194304) AS BIGINT) AS w FROM lob)"""
+
+
+@query(f"""WITH t AS (SELECT CAST(vec_id // 4 % 20 AS INTEGER) AS x, CAST(vec_id // 80 AS INTEGER) AS y, CAST(vec_id % 4 AS INTEGER) AS variant, CAST(k // 8 AS INTEGER) AS r, CAST(k % 8 AS INTEGER) AS c, CAST(floor(abs(embedding[k + 1]) * 255) AS BIGINT) % 256 AS b FROM embeddings, (SELECT unnest(range(64)) AS k)),
+p AS (SELECT x, y, variant, r, c, [b, b * b % 256, 255 - b] AS v FROM t), {_LANCZOS_SQL},
+ch AS (SELECT x, y, variant, r, c, ch, v[ch] AS v FROM p, (SELECT unnest([1, 2, 3]) AS ch)),
+s1 AS (SELECT x, y, variant, r, o AS c, ch, greatest(0, least(255, CAST(floor((sum(v * w) + 2097152) / 4194304) AS BIGINT))) AS v FROM ch JOIN wt ON wt.i = ch.c GROUP BY ALL),
+s2 AS (SELECT x, y, variant, o AS r, c, ch, greatest(0, least(255, CAST(floor((sum(v * w) + 2097152) / 4194304) AS BIGINT))) AS v FROM (SELECT x, y, variant, r, c, ch, v FROM s1) q JOIN wt ON wt.i = q.r GROUP BY ALL),
+sm AS (SELECT x, y, variant, r, c, list(v ORDER BY ch) AS v FROM s2 GROUP BY x, y, variant, r, c),
+pr AS (SELECT a.x, a.y, a.variant, 'left' AS part, a.r, a.c, a.v AS v, b.v AS u FROM p a JOIN p b ON b.variant = 0 AND b.x = a.x - 1 AND b.y = a.y AND b.r = a.r AND b.c = a.c + 6 WHERE a.c < 2
+  UNION ALL SELECT a.x, a.y, a.variant, 'top', a.r, a.c, a.v, b.v FROM p a JOIN p b ON b.variant = 0 AND b.x = a.x AND b.y = a.y - 1 AND b.c = a.c AND b.r = a.r + 6 WHERE a.r < 2
+  UNION ALL SELECT a.x, a.y, a.variant, 'structure', a.r, a.c, a.v, b.v FROM sm a JOIN sm b ON b.x = a.x AND b.y = a.y AND b.r = a.r AND b.c = a.c AND b.variant = CASE WHEN a.x % 3 = 0 THEN 1 ELSE 2 END
+  UNION ALL SELECT a.x, a.y, a.variant, 'colour', a.r, a.c, a.v, b.v FROM p a JOIN p b ON b.variant = 2 AND b.x = a.x AND b.y = a.y AND b.r = a.r AND b.c = a.c WHERE a.x % 3 <> 0),
+m AS (SELECT *, (abs(v[1] - u[1]) + abs(v[2] - u[2]) + abs(v[3] - u[3])) / 765.0 AS l1, ((v[1] - u[1]) * (v[1] - u[1]) + (v[2] - u[2]) * (v[2] - u[2]) + (v[3] - u[3]) * (v[3] - u[3])) / 195075.0 AS l2,
+  (0.2126::DOUBLE * v[1] + 0.7152::DOUBLE * v[2] + 0.0722::DOUBLE * v[3]) / 255 AS lv, (0.2126::DOUBLE * u[1] + 0.7152::DOUBLE * u[2] + 0.0722::DOUBLE * u[3]) / 255 AS lu,
+  CASE part WHEN 'left' THEN 7 WHEN 'top' THEN 1 WHEN 'colour' THEN 7 ELSE 3 END AS hr, CASE part WHEN 'left' THEN 1 WHEN 'top' THEN 7 WHEN 'colour' THEN 7 ELSE 3 END AS hc FROM pr),
+n AS (SELECT m.x, m.y, m.variant, m.part, m.r, m.c, dr, dc, greatest(0, least(hr, r + dr)) AS nr, greatest(0, least(hc, c + dc)) AS nc FROM m, (SELECT unnest([-1, 0, 1]) AS dr), (SELECT unnest([-1, 0, 1]) AS dc) WHERE part <> 'colour'),
+g AS (SELECT n.x, n.y, n.variant, n.part, n.r, n.c, sum(dc * (2 - abs(dr)) * lv) AS gx, sum(dr * (2 - abs(dc)) * lv) AS gy, sum(dc * (2 - abs(dr)) * lu) AS hx, sum(dr * (2 - abs(dc)) * lu) AS hy
+  FROM n JOIN m ON m.x = n.x AND m.y = n.y AND m.variant = n.variant AND m.part = n.part AND m.r = n.nr AND m.c = n.nc GROUP BY ALL),
+sob AS (SELECT x, y, variant, part, avg(abs(sqrt(gx * gx + gy * gy) - sqrt(hx * hx + hy * hy))) AS sob FROM g GROUP BY ALL),
+mean AS (SELECT x, y, variant, part, avg(CAST(l1 AS DOUBLE)) AS l1, avg(CAST(l2 AS DOUBLE)) AS l2 FROM m GROUP BY ALL),
+f AS (SELECT mean.*, CASE WHEN part = 'colour' THEN l1 WHEN part = 'structure' THEN l1 + 0.5 * sob ELSE l1 + 0.25 * l2 + 0.5 * sob END AS score FROM mean LEFT JOIN sob USING (x, y, variant, part)),
+w AS (SELECT x, y, variant, coalesce(sum(score) FILTER (part IN ('left', 'top')), 0) AS seam, sum(score) FILTER (part = 'structure') AS structure, sum(score) FILTER (part = 'colour') AS colour, CASE WHEN variant = 3 THEN 0.125 ELSE 0 END AS penalty FROM (SELECT DISTINCT x, y, variant FROM p) LEFT JOIN f USING (x, y, variant) GROUP BY ALL)
+SELECT x, y, variant, round(seam, 8) AS seam, round(structure, 8) AS structure, round(colour, 8) AS colour, round(seam + 0.5 * coalesce(structure, 0) + 0.25 * coalesce(colour, 0) + penalty, 8) AS total_score FROM w""")
+def candidate_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as a candidate: variant 0 is chosen next to it, variant 1 the input, variant 2 the reference of two places in three, variant 3 came from the second model."""
+    v = F.col("vec_id")
+    pixels = table(spark, sf_dir, "embeddings").select(F.floor(v / 4 % 20).cast("int").alias("x"), F.floor(v / 80).cast("int").alias("y"), (v % 4).cast("int").alias("variant"), F.posexplode("embedding").alias("k", "f"))
+    b = (F.floor(F.abs(F.col("f")) * 255) % 256).cast("int")
+    tiles = pixels.select("x", "y", "variant", F.floor(F.col("k") / 8).cast("int").alias("row"), (F.col("k") % 8).alias("col"), b.alias("r"), (b * b % 256).alias("g"), (255 - b).alias("b"), (F.col("variant") == 3).alias("fallback"))
+    of = lambda n: tiles.where(F.col("variant") == n).drop("variant", "fallback")
+    scoring = candidates.Scoring(8, 2, structure_px=4, structure_weight=0.5, colour_weight=0.25, fallback_penalty=0.125)
+    scored = candidates.candidate_scores(tiles, of(0), of(1), scoring, of(2).where("x % 3 <> 0"))
+    return scored.select("x", "y", "variant", *[F.round(c, 8).alias(c) for c in ("seam", "structure", "colour", "total_score")])
