@@ -13,6 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from terraloom.sources import files
+
 WORLD = 4326
 
 
@@ -44,28 +46,12 @@ def epsg_of(geo: dict, geometry: str) -> int | None:
     return int(own["code"]) if own.get("authority", "EPSG") == "EPSG" and str(own.get("code", "")).isdigit() else None
 
 
-def _qualified(spark: SparkSession, path: str) -> tuple[object, object]:
-    """The cluster's file system for a path, and the path in full: without a scheme it lies where Spark would look for it."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system, system.makeQualified(at)
-
-
-def _uri(path: object) -> str:
-    """A full path as the files' own library names it."""
-    text = str(path.toString())
-    if text.startswith("file:/"):
-        return "file:///" + text.removeprefix("file:").lstrip("/")
-    return "s3://" + text.split("://", 1)[1] if text.startswith(("s3a://", "s3n://")) else text
-
-
 def geo_of(path: str) -> dict:
     """The ``geo`` footer of a file, or of the first file of a folder; empty where there is none. Only a footer is read."""
-    system, at = fs.FileSystem.from_uri(_uri(_qualified(SparkSession.active(), path)[1]))
+    system, at = fs.FileSystem.from_uri(files.uri_of(files.qualified(SparkSession.active(), path)[1].toString()))
     info = system.get_file_info(at)
-    files = [at] if info.type == fs.FileType.File else sorted(f.path for f in system.get_file_info(fs.FileSelector(at, recursive=True)) if f.type == fs.FileType.File and f.base_name.endswith(".parquet"))
-    found = (pq.read_schema(files[0], filesystem=system).metadata or {}) if files else {}
+    parts = [at] if info.type == fs.FileType.File else sorted(f.path for f in system.get_file_info(fs.FileSelector(at, recursive=True)) if f.type == fs.FileType.File and f.base_name.endswith(".parquet"))
+    found = (pq.read_schema(parts[0], filesystem=system).metadata or {}) if parts else {}
     return json.loads(found.get(b"geo", b"{}"))
 
 
@@ -89,10 +75,10 @@ def write(df: DataFrame, path: str, epsg: int, geometry: str = "geometry", kinds
     are done, so a job that fails leaves the old layer as it was. A file is written under a name of its own and then takes its
     partition's name, so a task that runs again replaces its own file.
     """
-    hadoop, whole = _qualified(df.sparkSession, path)
+    hadoop, whole = files.qualified(df.sparkSession, path)
     beside = lambda mark: whole.suffix(f".{mark}-{uuid.uuid4().hex}")
     draft_folder = beside("draft")
-    uri = _uri(draft_folder)
+    uri = files.uri_of(draft_folder.toString())
     schema = to_arrow_schema(df.schema).with_metadata({b"geo": footer(epsg, geometry, kinds)})
 
     def save(batches: Iterator[pa.RecordBatch], name: str) -> int:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terraloom.sources import files
+
 #: The fields of the document and of its parts, which of them must be there, and the forms of ids, digests and dates.
 RUN_ID, SHA256, CRS = re.compile(r"[a-zA-Z0-9][a-zA-Z0-9_-]{0,127}"), re.compile(r"[a-fA-F0-9]{64}"), re.compile(r"EPSG:[0-9]+")
 DATE_TIME = re.compile(r"[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])[Tt]([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})")
@@ -19,8 +22,16 @@ ARTIFACTS = "path string, sha256 string, size bigint"
 
 
 def hashed_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """path, sha256 and size of files, hashed where they are read."""
-    return spark.read.format("binaryFile").load(list(paths)).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    """path, sha256 and size of files of any size: listed without their contents, each read piece by piece in a task. A path may be a folder or a pattern."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [files.sha256_of(p) for p in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array([d for d, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], names=["path", "sha256", "size"])
+
+    # Spark's reader passes over files without bytes; their names are added from a listing.
+    empty = spark.createDataFrame([(p,) for p in files.empty_files(spark, *paths)], "path string")
+    return spark.read.format("binaryFile").load(list(paths)).select("path").unionByName(empty).mapInArrow(run, ARTIFACTS)
 
 
 def content_digest(df: DataFrame) -> str:
