@@ -76,11 +76,15 @@ def _pass(pixels: DataFrame, spans: tuple, held: list, ends: tuple[int, int], ma
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         cx, cy = int(part["cx"].iloc[0]), int(part["cy"].iloc[0])
-        images, olds = {}, {}
-        for (j, i), own in part.groupby(["j", "i"]):
+        corner, rows, cols = (part["j"] * 2 + part["i"]).to_numpy(), part["row"].to_numpy(), part["col"].to_numpy()
+        values, images, olds = part[channels].to_numpy(), {}, {}
+        for j, i in product((0, 1), (0, 1)):
+            own = np.flatnonzero(corner == j * 2 + i)
+            if not len(own):
+                break
             (c0, c1), (r0, r1) = held[0][i], held[1][j]
             image = np.zeros((r1 - r0, c1 - c0, len(channels)), np.int64)
-            image[own["row"] - r0, own["col"] - c0] = own[channels].to_numpy()
+            image[rows[own] - r0, cols[own] - c0] = values[own]
             images[j, i], olds[j, i] = image, image.copy()
         if len(images) < 4:
             return pd.DataFrame({c: pd.Series(dtype=int) for c in columns})
@@ -106,9 +110,9 @@ def _pass(pixels: DataFrame, spans: tuple, held: list, ends: tuple[int, int], ma
         out = []
         for (j, i), image in images.items():
             rows, cols = np.nonzero((image != olds[j, i]).any(axis=2))
-            own = {"x": cx + i, "y": cy + j, "row": rows + held[1][j][0], "col": cols + held[0][i][0]}
-            out.append(pd.DataFrame(own | {f"_{c}": image[rows, cols, p] for p, c in enumerate(channels)}))
-        return pd.concat(out)[columns]
+            place = np.broadcast_to((cx + i, cy + j), (len(rows), 2))
+            out.append(np.column_stack([place, rows + held[1][j][0], cols + held[0][i][0], image[rows, cols]]))
+        return pd.DataFrame(np.concatenate(out), columns=columns)
 
     fresh = dealt.groupBy("cx", "cy").applyInPandas(run, ", ".join(f"{c} int" for c in columns))
     return pixels.join(fresh, KEYS, "left").select(*KEYS, *[F.coalesce(f"_{c}", c).alias(c) for c in channels])
