@@ -78,8 +78,11 @@ def harmonised(pairs: DataFrame, half: int) -> DataFrame:
 
 def sobel_difference(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """sobel_l1 of each image pair (row, col, value, other): the mean absolute difference of the two gradient magnitudes."""
-    mine, theirs = sobel_magnitude(pairs, keys, "value"), sobel_magnitude(pairs, keys, "other").withColumnRenamed("magnitude", "_other")
-    return mine.join(theirs, [*keys, "row", "col"]).groupBy(*keys).agg(F.avg(F.abs(F.col("magnitude") - F.col("_other"))).alias("sobel_l1"))
+    # Both images go through one pass, so the pairs are made once.
+    sides = F.explode(F.array(F.struct(F.lit(1).alias("sign"), F.col("value").alias("value")), F.struct(F.lit(-1).alias("sign"), F.col("other").alias("value"))))
+    images = pairs.select(*keys, "row", "col", sides.alias("_s")).select(*keys, "row", "col", F.col("_s.sign").alias("_sign"), F.col("_s.value").alias("value"))
+    gaps = sobel_magnitude(images, [*keys, "_sign"]).groupBy(*keys, "row", "col").agg(F.abs(F.sum(F.col("magnitude") * F.col("_sign"))).alias("gap"))
+    return gaps.groupBy(*keys).agg(F.avg("gap").alias("sobel_l1"))
 
 
 def pair_scores(both: DataFrame, keys: list[str], channels: tuple[str, ...] = ("value",), weights: dict[str, float] | None = None) -> DataFrame:
