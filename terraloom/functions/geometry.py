@@ -172,20 +172,28 @@ def centroid(geometry: Geometry) -> tuple[float, float]:
 # --- clipping -----------------------------------------------------------------------------------------------------
 
 
+def half_of_ring(points: np.ndarray, axis: int, bound: float, sign: int) -> np.ndarray:
+    """The part of a ring on one side of a line along an axis: above the bound with sign 1, below it with -1."""
+    depth = sign * (points[:, axis] - bound)
+    inside = depth >= 0
+    if inside.all():
+        return points
+    after, after_depth = np.roll(points, -1, axis=0), np.roll(depth, -1)
+    crosses = inside != (after_depth >= 0)
+    t = np.where(crosses, depth / np.where(crosses, depth - after_depth, 1), 0)
+    cut = points + t[:, None] * (after - points)
+    cut[:, axis] = bound
+    both = np.stack([points, cut], axis=1).reshape(-1, 2)
+    return both[np.stack([inside, crosses], axis=1).ravel()]
+
+
 def clipped_ring(ring: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
     """The part of a ring within a box, edge by edge of the box; its signed area is right even where pieces are joined along the edge."""
     points = ring[:-1] if len(ring) > 1 and (ring[0] == ring[-1]).all() else ring
     for axis, bound, sign in ((0, box[0], 1), (0, box[2], -1), (1, box[1], 1), (1, box[3], -1)):
         if not len(points):
             break
-        depth = sign * (points[:, axis] - bound)
-        after, after_depth = np.roll(points, -1, axis=0), np.roll(depth, -1)
-        inside, crosses = depth >= 0, (depth >= 0) != (after_depth >= 0)
-        t = np.where(crosses, depth / np.where(crosses, depth - after_depth, 1), 0)
-        cut = points + t[:, None] * (after - points)
-        cut[:, axis] = bound
-        both = np.stack([points, cut], axis=1).reshape(-1, 2)
-        points = both[np.stack([inside, crosses], axis=1).ravel()]
+        points = half_of_ring(points, axis, bound, sign)
     return points
 
 

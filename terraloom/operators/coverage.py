@@ -55,7 +55,12 @@ def coverage(cells: DataFrame, pieces: DataFrame, size: float, overlap: Column |
     """cell_id, cell_area_m2, green_area_m2, green_share of each cell. Overlapping pieces count twice in the area, the share is clamped."""
     met = cells_touched(pieces, size).join(cells.select("ix", "iy", "cell_id", "cx0", "cy0", "cx1", "cy1"), ["ix", "iy"])
     sums = met.groupBy("cell_id").agg(F.sum(rectangle_overlap() if overlap is None else overlap).alias("green_area_m2"))
-    out = cells.select("cell_id", "cell_area_m2").join(sums, "cell_id", "left").withColumn("green_area_m2", F.coalesce("green_area_m2", F.lit(0.0)))
+    return with_shares(cells.select("cell_id", "cell_area_m2").join(sums, "cell_id", "left"))
+
+
+def with_shares(cells: DataFrame) -> DataFrame:
+    """Cells with green_area_m2, null where nothing lies: 0 there, and the share of cell_area_m2."""
+    out = cells.withColumn("green_area_m2", F.coalesce("green_area_m2", F.lit(0.0)))
     return out.withColumn("green_share", share(F.col("green_area_m2"), F.col("cell_area_m2")))
 
 

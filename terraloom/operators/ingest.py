@@ -12,7 +12,8 @@ from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, Str
 from terraloom.functions import geometry as g
 from terraloom.functions.features import CLASS_KEYS, feature_class, feature_id
 from terraloom.functions.projection import utm_zone
-from terraloom.operators.coverage import cells_touched, coverage
+from terraloom.operators.coverage import cells_touched, with_shares
+from terraloom.operators.quadrants import area_by_cell
 from terraloom.sources.geojsonseq import parsed, string_property
 
 #: Geometry kinds a layer may hold, and the tags that put an object into a layer.
@@ -123,10 +124,10 @@ def simplified(buildings: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def green_coverage(cells: DataFrame, green: DataFrame, size: float, green_epsg: int = 4326, grid_epsg: int = 32642) -> DataFrame:
-    """Coverage of grid cells by real polygons: projected once, bucketed by envelope, clipped to each cell they touch."""
-    flat = green.select(g.st_project(F.col("geometry"), green_epsg, grid_epsg).alias("wkb")).where("wkb IS NOT NULL")
-    pieces = flat.withColumn("e", g.st_envelope("wkb")).select("wkb", "e.*")
-    return coverage(cells, pieces, size, g.st_area_within("wkb", "cx0", "cy0", "cx1", "cy1"))
+    """Coverage of grid cells by real polygons: projected once and cut along quadrants, so that shapes of any size are shuffled by their outlines."""
+    flat = green.select(g.st_project(F.col("geometry"), green_epsg, grid_epsg).alias("wkb"))
+    found = area_by_cell(flat, cells, size).withColumnRenamed("area", "green_area_m2")
+    return with_shares(cells.select("ix", "iy", "cell_id", "cell_area_m2").join(found, ["ix", "iy"], "left").drop("ix", "iy"))
 
 
 def cells_over(cells: DataFrame, area: bytes) -> DataFrame:

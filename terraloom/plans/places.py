@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as g
-from terraloom.operators import bands, candidates, crossings, heights, ingest, pyramid, rasters, scenes
+from terraloom.operators import bands, candidates, coverage, crossings, heights, ingest, pyramid, rasters, scenes
 from terraloom.plans.registry import _feature_lines, query, table
 from terraloom.sources import catalogue
 
@@ -106,6 +106,28 @@ def cells_of_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.groupBy("ix", "iy").agg(F.count("*").alias("boxes"), F.sum("c_custkey").alias("ids"))
 
 
+# --- large shapes on a small grid: right-angled triangles of 200 to 3,400 m, a third of them with a hole, on 96 x 80 cells of 25 m --
+
+
+@query("""WITH t AS (SELECT CAST(c_custkey * 37 % 3000 - 500 AS DOUBLE) AS x, CAST(c_custkey * 53 % 2600 - 500 AS DOUBLE) AS y, CAST(200 + c_custkey * 13 % 400 * 8 AS DOUBLE) AS leg, c_custkey % 3 = 0 AS holed FROM customer),
+s AS (SELECT x, y, leg, 1 AS sign FROM t UNION ALL SELECT x + leg / 8, y + leg / 8, leg / 4, -1 FROM t WHERE holed),
+c AS (SELECT 'utm42n_25m_' || CAST(ix AS VARCHAR) || '_' || CAST(iy AS VARCHAR) AS cell_id, 25.0 * ix AS cx, 25.0 * iy AS cy FROM (SELECT unnest(range(96)) AS ix), (SELECT unnest(range(80)) AS iy)),
+m AS (SELECT cell_id, sign, CAST(greatest(cx, x) AS DOUBLE) AS a, CAST(greatest(cy, y) AS DOUBLE) AS b, CAST(cx + 25 AS DOUBLE) AS a1, CAST(cy + 25 AS DOUBLE) AS b1, x + y + leg AS d FROM s JOIN c ON x < cx + 25 AND y < cy + 25 AND greatest(cx, x) + greatest(cy, y) < x + y + leg),
+f AS (SELECT cell_id, sum(sign * (power(greatest(d - a - b, 0), 2) - power(greatest(d - a1 - b, 0), 2) - power(greatest(d - a - b1, 0), 2) + power(greatest(d - a1 - b1, 0), 2)) / 2) AS v FROM m GROUP BY cell_id)
+SELECT cell_id, CAST(625 AS DOUBLE) AS cell_area_m2, round(coalesce(v, 0), 3) AS green_area_m2, round(greatest(0, least(1, coalesce(v, 0) / 625)), 6) AS green_share FROM c LEFT JOIN f USING (cell_id)""")
+def large_shape_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as triangles, many far wider than a cell and some wider than the grid; in SQL by the half-planes of corners."""
+    k = F.col("c_custkey")
+    x, y, leg = (k * 37 % 3000 - 500).cast("double"), (k * 53 % 2600 - 500).cast("double"), (k * 13 % 400 * 8 + 200).cast("double")
+    at = lambda px, py, by: F.concat_ws(",", *[F.format_string("[%f,%f]", a, b) for a, b in ((px, py), (px + by, py), (px, py + by), (px, py))])
+    outer, hole = at(x, y, leg), at(x + leg / 8, y + leg / 8, leg / 4)
+    rings = F.when(k % 3 == 0, F.concat(F.lit("[["), outer, F.lit("],["), hole, F.lit("]]"))).otherwise(F.concat(F.lit("[["), outer, F.lit("]]")))
+    line = F.concat(F.lit('{"type":"Feature","properties":{"leisure":"park"},"geometry":{"type":"Polygon","coordinates":'), rings, F.lit("}}"))
+    green = ingest.ingest(table(spark, sf_dir, "customer").select(line.alias("line")), "green")[0]
+    found = ingest.green_coverage(coverage.grid_cells(spark, (0, 0, 2400, 2000), 25), green, 25, 32642, 32642)
+    return found.withColumns({"green_area_m2": F.round("green_area_m2", 3), "green_share": F.round("green_share", 6)})
+
+
 # --- repair of bands: vectors as tiles of 8 x 8 pixels, 20 in a row, with a margin of one pixel -------------------------
 
 
