@@ -18,7 +18,7 @@ def edges_of(rings: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty((0, 4))
 
 
-def _repeated(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def repeated(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each i the whole numbers first[i] to last[i]: the i of each, and the number."""
     n = np.maximum(last - first + 1, 0)
     i = np.repeat(np.arange(len(n)), n)
@@ -29,7 +29,7 @@ def _cut_by_lines(edges: np.ndarray, start: float, step: float, lo: int, hi: int
     """Where the lines y = start + k step (lo <= k < hi) lie within the shape: k, x where each stretch begins and ends (even-odd)."""
     low, high = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
     # An edge is met from its lower end on and before its upper one, so that a corner counts once.
-    i, k = _repeated(np.maximum(np.ceil((low - start) / step), lo).astype(np.int64), np.minimum(np.ceil((high - start) / step) - 1, hi - 1).astype(np.int64))
+    i, k = repeated(np.maximum(np.ceil((low - start) / step), lo).astype(np.int64), np.minimum(np.ceil((high - start) / step) - 1, hi - 1).astype(np.int64))
     x0, y0, x1, y1 = edges[i].T
     x = x0 + (start + k * step - y0) / (y1 - y0) * (x1 - x0)
     order = np.lexsort((x, k))
@@ -72,7 +72,7 @@ def touched_spans(rings: list[np.ndarray], left: float, top: float, step: float,
     for lo in range(0, rows, ROWS):
         hi = min(lo + ROWS, rows)
         first, last = np.ceil((low - size - top) / step), np.floor((high - top) / step)
-        i, j = _repeated(np.maximum(first, lo).astype(np.int64), np.minimum(last, hi - 1).astype(np.int64))
+        i, j = repeated(np.maximum(first, lo).astype(np.int64), np.minimum(last, hi - 1).astype(np.int64))
         x0, y0, x1, y1 = edges[i].T
         with np.errstate(divide="ignore", invalid="ignore"):
             at = lambda y: np.where(y1 == y0, 0.0, np.clip((y - y0) / (y1 - y0), 0, 1))

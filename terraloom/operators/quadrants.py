@@ -2,9 +2,10 @@
 
 A quadrant of level L is a square of 2 ** L cells a side. A shape begins with the few quadrants of its own size; each is
 halved along both axes until the piece in it has no edge inside (the quadrant is covered, or empty, and goes on without a
-shape) or is one cell. So what is clipped and shuffled grows with the outline. A shape of many corners is cut a few levels
-deep where it is read, its pieces are dealt to all tasks by one shuffle, and these finish them; a small one is finished where
-it is read. Covered quadrants are added up first and become cells, one number each, just before the grid is joined.
+shape) or is a block of 2 ** BLOCK cells a side, whose cells are found at once in arrays. So what is clipped and shuffled
+grows with the outline. Shapes wider than a block are dealt to all tasks by one shuffle, those of many corners in pieces a few
+levels deep; a small one is finished where it is read. Covered quadrants are added up first and become cells, one number
+each, just before the grid is joined.
 """
 
 from __future__ import annotations
@@ -18,15 +19,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as g
+from terraloom.functions.spans import repeated
 
-#: Corners from which a piece is large, levels that a large shape goes down before its pieces are dealt out, levels of the quadrants that become cells in one task.
-LARGE, DEEP, WHOLE = 1000, 4, 8
+#: Corners from which a shape is large, levels that a large shape goes down before its pieces are dealt out, level of the blocks, level of the quadrants that become cells in one task.
+LARGE, DEEP, BLOCK, WHOLE = 1000, 4, 5, 8
 #: Rows and bytes of shapes handed on at once.
 ROWS, BYTES = 20_000, 8 << 20
 #: ``area`` is what lies inside in each cell of the quadrant; ``wkb`` is the piece of a quadrant that isn't finished. Then the grid's first and last cells.
 PIECES = "level int, qx long, qy long, area double, wkb binary, ix0 long, iy0 long, ix1 long, iy1 long"
 Rings = list[tuple[int, np.ndarray]]
 Box = tuple[float, float, float, float]
+Grid = tuple[int, int, int, int]
+#: Arrays of level, qx, qy and area, or one level, qx, qy and the bytes of a piece.
+Found = tuple
 
 
 def _rings(shape: g.Geometry) -> Rings:
@@ -64,7 +69,7 @@ def _box(level: int, qx: int, qy: int, size: float) -> Box:
     return (qx << level) * size, (qy << level) * size, ((qx + 1) << level) * size, ((qy + 1) << level) * size
 
 
-def _started(rings: Rings, size: float, grid: tuple[int, int, int, int]) -> list[tuple[Rings, int, int, int]]:
+def _started(rings: Rings, size: float, grid: Grid) -> list[tuple[Rings, int, int, int]]:
     """At most 2 x 2 quadrants about as wide as the part of the shape's envelope that lies on the grid, each with its piece."""
     every = np.concatenate([ring for _, ring in rings])
     (x0, y0), (x1, y1) = np.maximum(every.min(axis=0), np.array(grid[:2]) * size), np.minimum(every.max(axis=0), (np.array(grid[2:]) + 1) * size)
@@ -81,19 +86,68 @@ def _started(rings: Rings, size: float, grid: tuple[int, int, int, int]) -> list
     return out
 
 
-def _finished(todo: list[tuple[Rings, int, int, int]], size: float, grid: tuple[int, int, int, int], deep: int | None) -> Iterator[tuple]:
-    """Rows of PIECES without the grid: cells, covered quadrants, and after ``deep`` levels (None: never) large pieces as they are."""
-    stop = -1 if deep is None or not todo else max(todo[0][1] - deep, 1)
+def _wound(ring: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """What a ring winds around in each of n x n unit cells (x, y), and which of them an edge passes; the ring lies within them.
+
+    An edge counts its height for all cells to its left, and the part to its left in its own cell.
+    """
+    start, step = ring, np.roll(ring, -1, axis=0) - ring
+    each, at = [np.arange(len(ring))] * 2, [np.zeros(len(ring)), np.ones(len(ring))]
+    for axis in (0, 1):
+        one, other = start[:, axis], start[:, axis] + step[:, axis]
+        i, line = repeated(np.floor(np.minimum(one, other)).astype(np.int64) + 1, np.ceil(np.maximum(one, other)).astype(np.int64) - 1)
+        each.append(i)
+        at.append((line - one[i]) / step[i, axis])
+    each, at = np.concatenate(each), np.concatenate(at)
+    order = np.lexsort((at, each))
+    each, at = each[order], at[order]
+    same = each[1:] == each[:-1]
+    edge, middle, part = each[1:][same], (at[1:] + at[:-1])[same] / 2, (at[1:] - at[:-1])[same]
+    x, y = (start[edge] + middle[:, None] * step[edge]).T
+    height = part * step[edge, 1]
+    column, row = (np.clip(np.floor(c), 0, n - 1).astype(np.int64) for c in (x, y))
+    cell = column * n + row
+    own = np.bincount(cell, height * (x - column), n * n).reshape(n, n)
+    whole = np.bincount(cell, height, n * n).reshape(n, n)
+    left = np.cumsum(whole[::-1], axis=0)[::-1] - whole
+    return np.abs(own + left), np.bincount(cell, minlength=n * n).reshape(n, n) > 0
+
+
+def _block(rings: Rings, level: int, qx: int, qy: int, size: float, grid: Grid) -> Iterator[Found]:
+    """The cells of a block that hold some of a shape; four of the same in a square that no edge passes go on as one, and so on."""
+    n, (x0, y0) = 1 << level, (qx << level, qy << level)
+    total, passed = np.zeros((n, n)), np.zeros((n, n), bool)
+    for sign, ring in rings:
+        wound, by = _wound(np.clip(ring / size - (x0, y0), 0, n), n)
+        total += sign * wound
+        passed |= by
+    total = np.where(passed, total, np.round(total)).clip(0)
+    total[: max(grid[0] - x0, 0)] = total[:, : max(grid[1] - y0, 0)] = total[max(grid[2] + 1 - x0, 0) :] = total[:, max(grid[3] + 1 - y0, 0) :] = 0
+    for up in range(level + 1):
+        if up < level:
+            four = total.reshape(len(total) // 2, 2, -1, 2).transpose(0, 2, 1, 3).reshape(len(total) // 2, -1, 4)
+            joined = (four == four[:, :, :1]).all(axis=2) & ~passed.reshape(len(total) // 2, 2, -1, 2).any(axis=(1, 3))
+        else:
+            joined = np.zeros((0, 0), bool)
+        alone = total * ~np.kron(joined, np.ones((2, 2), bool)).astype(bool) if up < level else total
+        i, j = np.nonzero(alone)
+        if len(i):
+            yield np.full(len(i), up), i + (x0 >> up), j + (y0 >> up), alone[i, j] * size * size
+        if not joined.any():
+            return
+        total, passed = np.where(joined, four[:, :, 0], 0), ~joined
+
+
+def _finished(todo: list[tuple[Rings, int, int, int]], size: float, grid: Grid, stop: int = -1) -> Iterator[Found]:
+    """Cells and covered quadrants; pieces from level ``stop`` on that are wider than a block are handed on as they are."""
     while todo:
         rings, level, qx, qy = todo.pop()
         first, last = (qx << level, qy << level), (((qx + 1) << level) - 1, ((qy + 1) << level) - 1)
         if not rings or first[0] > grid[2] or first[1] > grid[3] or last[0] < grid[0] or last[1] < grid[1]:
             continue
         box = _box(level, qx, qy, size)
-        if level == 0:
-            inside = sum(sign * abs(g.signed_area(ring)) for sign, ring in rings)
-            if inside > 0:
-                yield 0, qx, qy, inside, None
+        if level <= BLOCK:
+            yield from _block(rings, level, qx, qy, size, grid)
             continue
         if not any(_open_inside(ring, box) for _, ring in rings):
             square = (box[2] - box[0]) * (box[3] - box[1])
@@ -101,28 +155,40 @@ def _finished(todo: list[tuple[Rings, int, int, int]], size: float, grid: tuple[
             if times <= 0:
                 continue
             if first[0] >= grid[0] and first[1] >= grid[1] and last[0] <= grid[2] and last[1] <= grid[3]:
-                yield level, qx, qy, times * size * size, None
+                yield np.array([level]), np.array([qx]), np.array([qy]), np.array([times * size * size])
                 continue
-        elif level <= stop and sum(len(ring) for _, ring in rings) > LARGE:
-            yield level, qx, qy, None, _packed(rings)
+        elif level <= stop:
+            yield level, qx, qy, _packed(rings)
             continue
         for i, half in enumerate(_halves(rings, 0, ((2 * qx + 1) << (level - 1)) * size)):
             for j, quarter in enumerate(_halves(half, 1, ((2 * qy + 1) << (level - 1)) * size)):
                 todo.append((quarter, level - 1, 2 * qx + i, 2 * qy + j))
 
 
-def _batches(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+def _batches(found: Iterator[tuple[Found, Grid]]) -> Iterator[pd.DataFrame]:
     names = [c.split()[0] for c in PIECES.split(", ")]
-    frame = lambda held: pd.DataFrame(held, columns=names).astype({c: "Int64" for c in names if c not in ("area", "wkb")})
-    held, size = [], 0
-    for row in rows:
-        held.append(row)
-        size += len(row[4] or b"")
-        if len(held) >= ROWS or size >= BYTES:
-            yield frame(held)
-            held, size = [], 0
-    if held:
-        yield frame(held)
+
+    def frame(closed: list[Found], opened: list[tuple]) -> pd.DataFrame:
+        arrays = [np.concatenate([row[k] for row in closed]) for k in range(4)] if closed else [[]] * 4
+        both = [pd.DataFrame(dict(zip(names, arrays))), pd.DataFrame(opened, columns=names)]  # noqa: B905
+        out = pd.concat([df for df in both if len(df)] or both[1:]).reindex(columns=names)
+        return out.astype({c: "Int64" for c in names if c not in ("area", "wkb")}).assign(wkb=out.wkb.astype(object).where(out.wkb.notna(), None))
+
+    closed, opened, rows, size = [], [], 0, 0
+    for found_one, grid in found:
+        if isinstance(found_one[3], bytes):
+            level, qx, qy, data = found_one
+            opened.append((level, qx, qy, None, data, *grid))
+            size += len(data)
+            rows += 1
+        else:
+            closed.append(found_one)
+            rows += len(found_one[0])
+        if rows >= ROWS or size >= BYTES:
+            yield frame(closed, opened)
+            closed, opened, rows, size = [], [], 0, 0
+    if rows:
+        yield frame(closed, opened)
 
 
 def cut_to_quadrants(shapes: DataFrame, cells: DataFrame, size: float) -> DataFrame:
@@ -133,7 +199,7 @@ def cut_to_quadrants(shapes: DataFrame, cells: DataFrame, size: float) -> DataFr
     """
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows() -> Iterator[tuple]:
+        def found() -> Iterator[tuple[Found, Grid]]:
             for batch in batches:
                 for data, *grid in batch[["wkb", "ix0", "iy0", "ix1", "iy1"]].itertuples(index=False):
                     if data is None or pd.isna(grid[0]):
@@ -143,24 +209,23 @@ def cut_to_quadrants(shapes: DataFrame, cells: DataFrame, size: float) -> DataFr
                     except ValueError:
                         continue
                     grid = tuple(map(int, grid))
-                    large = sum(len(ring) for _, ring in rings) > LARGE
-                    for row in _finished(_started(rings, size, grid) if rings else [], size, grid, DEEP if large else None):
-                        yield (*row, *grid)
+                    begun = _started(rings, size, grid) if rings else []
+                    deep = DEEP if sum(len(ring) for _, ring in rings) > LARGE else 0
+                    for one in _finished(begun, size, grid, max(begun[0][1] - deep, BLOCK + 1) if begun else -1):
+                        yield one, grid
 
-        yield from _batches(rows())
+        yield from _batches(found())
 
     def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for level, qx, qy, area, data, *grid in batch.itertuples(index=False):
-                    if data is None:
-                        yield level, qx, qy, area, None, *grid
-                        continue
-                    grid = tuple(map(int, grid))
-                    for row in _finished([(_rings(g.from_wkb(data)), int(level), int(qx), int(qy))], size, grid, None):
-                        yield (*row, *grid)
-
-        yield from _batches(rows())
+        def found(batch: pd.DataFrame) -> Iterator[tuple[Found, Grid]]:
+            for level, qx, qy, data, *grid in batch.drop(columns="area").itertuples(index=False):
+                grid = tuple(map(int, grid))
+                for one in _finished([(_rings(g.from_wkb(data)), int(level), int(qx), int(qy))], size, grid):
+                    yield one, grid
+
+        for batch in batches:
+            yield batch[batch.wkb.isna()]
+            yield from _batches(found(batch[batch.wkb.notna()]))
 
     ends = cells.agg(*[f(c).cast("long").alias(f"{c}{n}") for n, f in ((0, F.min), (1, F.max)) for c in ("ix", "iy")])
     begun = shapes.select("wkb").crossJoin(F.broadcast(ends)).mapInPandas(first, PIECES)  # one row beside each
