@@ -89,9 +89,10 @@ def _started(rings: Rings, size: float, grid: Grid) -> list[tuple[Rings, int, in
 def _wound(ring: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """What a ring winds around in each of n x n unit cells (x, y), and which of them an edge passes; the ring lies within them.
 
-    An edge counts its height for all cells to its left, and the part to its left in its own cell.
+    An edge counts its height for all cells to its left, and the part to its left in its own cell. Edges between cells pass none.
     """
     start, step = ring, np.roll(ring, -1, axis=0) - ring
+    between = ((step == 0) & (start == np.floor(start))).any(axis=1)
     each, at = [np.arange(len(ring))] * 2, [np.zeros(len(ring)), np.ones(len(ring))]
     for axis in (0, 1):
         one, other = start[:, axis], start[:, axis] + step[:, axis]
@@ -110,7 +111,7 @@ def _wound(ring: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     own = np.bincount(cell, height * (x - column), n * n).reshape(n, n)
     whole = np.bincount(cell, height, n * n).reshape(n, n)
     left = np.cumsum(whole[::-1], axis=0)[::-1] - whole
-    return np.abs(own + left), np.bincount(cell, minlength=n * n).reshape(n, n) > 0
+    return np.abs(own + left), np.bincount(cell[~between[edge]], minlength=n * n).reshape(n, n) > 0
 
 
 def _block(rings: Rings, level: int, qx: int, qy: int, size: float, grid: Grid) -> Iterator[Found]:
@@ -118,7 +119,10 @@ def _block(rings: Rings, level: int, qx: int, qy: int, size: float, grid: Grid)
     n, (x0, y0) = 1 << level, (qx << level, qy << level)
     total, passed = np.zeros((n, n)), np.zeros((n, n), bool)
     for sign, ring in rings:
-        wound, by = _wound(np.clip(ring / size - (x0, y0), 0, n), n)
+        at = ring / size - (x0, y0)
+        line = np.round(at)
+        at = np.where(ring == (line + (x0, y0)) * size, line, at)  # where the quadrants cut it, exactly on the line
+        wound, by = _wound(np.clip(at, 0, n), n)
         total += sign * wound
         passed |= by
     total = np.where(passed, total, np.round(total)).clip(0)
