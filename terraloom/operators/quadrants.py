@@ -233,7 +233,9 @@ def cut_to_quadrants(shapes: DataFrame, cells: DataFrame, size: float) -> DataFr
 
     ends = cells.agg(*[f(c).cast("long").alias(f"{c}{n}") for n, f in ((0, F.min), (1, F.max)) for c in ("ix", "iy")])
     begun = shapes.select("wkb").crossJoin(F.broadcast(ends)).mapInPandas(first, PIECES)  # one row beside each
-    dealt = begun.repartition("level", "qx", "qy", F.xxhash64("wkb"))
+    # A stated number, as pieces are few bytes and much work: by their size they would be put together in one task.
+    tasks = int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = begun.repartition(tasks, "level", "qx", "qy", F.xxhash64("wkb"))
     return dealt.mapInPandas(rest, PIECES).select("level", "qx", "qy", "area")
 
 
