@@ -397,8 +397,9 @@ _MOSAIC_SQL = "t AS (SELECT CAST(vec_id % 20 AS INTEGER) AS x, CAST(vec_id // 20
 
 
 def _mosaic_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products stay in single precision, as in SQL: just below a whole number they may round up to it."""
     pixels = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 20).cast("int").alias("x"), F.floor(F.col("vec_id") / 20).cast("int").alias("y"), F.posexplode("embedding").alias("k", "f"))
-    return pixels.select("x", "y", F.floor(F.col("k") / 8).cast("int").alias("row"), (F.col("k") % 8).cast("int").alias("col"), (F.floor(F.col("f") * 1000) + 1000).cast("int").alias("v"))
+    return pixels.select("x", "y", F.floor(F.col("k") / 8).cast("int").alias("row"), (F.col("k") % 8).cast("int").alias("col"), (F.floor(F.col("f") * F.lit(1000).cast("float")) + 1000).cast("int").alias("v"))
 
 
 @query(f"WITH {_MOSAIC_SQL} SELECT y * 6 + r - 1 AS out_row, x * 6 + c - 1 AS out_col, v FROM t WHERE r BETWEEN 1 AND 6 AND c BETWEEN 1 AND 6")
