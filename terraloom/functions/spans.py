@@ -6,6 +6,8 @@ comes out is (row, first, last) with both ends included, for Spark to expand.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 #: Rows that are worked on at once, so that a shape of any height takes bounded memory beside its own edges.
@@ -52,13 +54,19 @@ def joined(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.nda
     return base // width, base % width + first.min(), ends % width + first.min()
 
 
-def centre_spans(rings: list[np.ndarray], rows: tuple[int, int], cols: int) -> np.ndarray:
-    """Pixels of a grid of unit squares whose centres the rings hold: n x 3 of row, first, last."""
+def centre_spans(rings: list[np.ndarray], rows: tuple[int, int] | None, cols: int | None) -> np.ndarray:
+    """Pixels of a grid of unit squares whose centres the rings hold: n x 3 of row, first, last. Without rows or cols the grid has no ends that way."""
     edges, out = edges_of(rings), [np.empty((0, 3), np.int64)]
+    if rows is None:
+        ends = edges[:, 1::2]
+        ends = ends[np.isfinite(ends)]
+        rows = (math.floor(ends.min()), math.ceil(ends.max())) if len(ends) else (0, 0)
     for lo in range(rows[0], rows[1], ROWS):
         k, x0, x1 = _cut_by_lines(edges, 0.5, 1.0, lo, min(lo + ROWS, rows[1]))
         first, last = np.ceil(x0 - 0.5).astype(np.int64), np.ceil(x1 - 0.5).astype(np.int64) - 1
-        out.append(np.stack(joined(k, np.maximum(first, 0), np.minimum(last, cols - 1)), 1))
+        if cols is not None:
+            first, last = np.maximum(first, 0), np.minimum(last, cols - 1)
+        out.append(np.stack(joined(k, first, last), 1))
     return np.concatenate(out)
 
 

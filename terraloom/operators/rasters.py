@@ -86,10 +86,10 @@ def mask_report(mask: DataFrame) -> DataFrame:
     return mask.agg(valid.alias("valid_px"), green.alias("green_px"), F.when(valid > 0, green / valid).alias("green_ratio"))
 
 
-def pixels_within(shapes: DataFrame, left: float, top: float, pixel: float, rows: int, cols: int, key: str = "id") -> DataFrame:
+def pixels_within(shapes: DataFrame, left: float, top: float, pixel: float, rows: int | None = None, cols: int | None = None, key: str = "id") -> DataFrame:
     """(key, row, first, last): spans of pixels whose centres a shape (geometry, rows counted downwards from ``top``) holds; null and unreadable shapes have none.
 
-    Each polygon of a shape counts by itself, its holes left out.
+    Each polygon of a shape counts by itself, its holes left out. Without ``rows`` or ``cols`` the grid has no end that way, nor a beginning: pixels above or left of its corner have numbers below 0.
     """
     kind = shapes.schema[key].dataType.simpleString()
 
@@ -105,7 +105,7 @@ def pixels_within(shapes: DataFrame, left: float, top: float, pixel: float, rows
                     continue
                 for polygon in shape[1]:
                     rings = [np.column_stack([(r[:, 0] - left) / pixel, (top - r[:, 1]) / pixel]) for r in polygon]
-                    spans = spans_of_centres(rings, (0, rows), cols)
+                    spans = spans_of_centres(rings, None if rows is None else (0, rows), cols)
                     found.append(spans)
                     numbers.append(np.full(len(spans), i))
             whole = np.concatenate(found).astype(np.int32)
