@@ -445,7 +445,7 @@ def spatial_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, c = F.col("o_orderkey"), F.col("c_custkey")
     orders = box("orders", "o_orderkey", o * 37 % 9000, F.col("o_custkey") * 53 % 9000, 3 + o % 60, 3 + F.col("o_custkey") % 60, "rid")
     customers = box("customer", "c_custkey", c * 91 % 9000, c * 17 % 9000, F.lit(200), F.lit(100), "lid")
-    return ingest.spatial_pairs(customers, orders, 250).groupBy(F.col("lid").alias("c_custkey")).agg(F.count("*").alias("met"))
+    return ingest.overlap_counts(customers, orders, 250).withColumnRenamed("lid", "c_custkey")
 
 
 @query("""WITH o AS (SELECT 'file/' || CAST(o_custkey % 500 AS VARCHAR) AS path, sha256(CAST(o_orderkey AS VARCHAR)) AS sha256, o_orderkey AS size, o_orderkey AS seq FROM orders),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -97,3 +98,35 @@ def test_what_is_plainly_convex_is_valid():
     plain = g.plainly_convex(rings)
     assert 100 < plain.sum() and all(g.is_valid(("Polygon", [[r]])) for r, yes in zip(rings, plain, strict=True) if yes)
     assert not plain[:2].any()
+
+
+def orders(*keys: int) -> pa.Table:
+    return pa.table({"o_orderkey": pa.array(keys, pa.int64()), "o_custkey": pa.array([k // 9 for k in keys], pa.int64())})
+
+
+@pytest.mark.parametrize("name", ["spatial_overlap_join", "shape_overlaps"])
+def test_copies_are_paired_once_and_all_counted(spark, tmp_path, name):
+    tables = {"customer": customers(*range(0, 9000, 3), *range(9000, 18000, 3)), "orders": orders(*range(4000), *range(81000, 83000))}
+    assert equals_sql(spark, tmp_path, name, **tables) > 1000
+    read = ingest.spatial_pairs
+    rows = []
+    try:
+        ingest.spatial_pairs = lambda left, right, size: rows.append(left.count()) or read(left, right, size)
+        QUERIES[name](spark, str(tmp_path))
+    finally:
+        ingest.spatial_pairs = read
+    assert rows == [3000]  # 6,000 customers, each box twice
+
+
+def test_single_rings_meet_in_arrays_as_one_by_one():
+    rng = np.random.default_rng(7)
+    ring = lambda n: (lambda r: np.concatenate([r, r[:1]]))(rng.integers(0, 9, (n, 2)).astype(float) + rng.integers(0, 6, 2))
+    one, other = [[("Polygon", [[ring(int(rng.integers(3, 6)))]]) for _ in range(800)] for _ in range(2)]
+    one[0] = ("MultiPolygon", [[ring(3)], [ring(4)]])
+    wkb = lambda shapes: pd.Series([g.to_wkb(s) for s in shapes], dtype=object)
+    got = g.st_meet.func(wkb(one), wkb(other))
+    assert got.tolist() == [g.meet(a, b) for a, b in zip(one, other, strict=True)] and 0 < got.sum() < 800
+    assert g.st_envelope.func(wkb(one)).to_numpy().tolist() == [list(g.envelope(s)) for s in one]
+    assert np.allclose(g.st_area.func(wkb(one)), [g.area(s) for s in one])
+    nulls = g.st_meet.func(pd.Series([None, b"?", g.to_wkb(one[1])], dtype=object), wkb([one[1]] * 3))
+    assert nulls.isna().tolist() == [True, True, False] and nulls[2]
