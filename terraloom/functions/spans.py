@@ -27,13 +27,14 @@ def repeated(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return i, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[i]
 
 
-def _cut_by_lines(edges: np.ndarray, start: float, step: float, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the lines y = start + k step (lo <= k < hi) lie within the shape: k, x where each stretch begins and ends (even-odd)."""
+def _cut_by_lines(edges: np.ndarray, start: float, step: float, lo: int, hi: int, base: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the lines y = start + k step (lo <= k < hi) lie within the shape: k, x where each stretch begins and ends (even-odd). ``base`` is added to an edge's k, to keep shapes apart."""
     low, high = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
     # An edge is met from its lower end on and before its upper one, so that a corner counts once.
     i, k = repeated(np.maximum(np.ceil((low - start) / step), lo).astype(np.int64), np.minimum(np.ceil((high - start) / step) - 1, hi - 1).astype(np.int64))
     x0, y0, x1, y1 = edges[i].T
     x = x0 + (start + k * step - y0) / (y1 - y0) * (x1 - x0)
+    k = k + (base[i] if isinstance(base, np.ndarray) else base)
     order = np.lexsort((x, k))
     k, x = k[order], x[order]
     return k[::2], x[::2], x[1::2]
@@ -75,8 +76,15 @@ def touched_spans(rings: list[np.ndarray], left: float, top: float, step: float,
 
     What a row of boxes sees of the shape is, seen along the row, where its edges pass through the row and where the row's lower side cuts it.
     """
-    edges, out = edges_of(rings), [np.empty((0, 3), np.int64)]
+    edges = edges_of(rings)
+    return touched_by_many(edges, np.zeros(len(edges), np.int64), left, top, step, size, cols, rows)[:, 1:]
+
+
+def touched_by_many(edges: np.ndarray, owner: np.ndarray, left: float, top: float, step: float, size: float, cols: int, rows: int) -> np.ndarray:
+    """``touched_spans`` of many shapes at once, given by their edges and the number of each edge's shape: n x 4 of shape, j, first i, last i."""
+    out = [np.empty((0, 4), np.int64)]
     low, high = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
+    base = owner.astype(np.int64) * rows
     for lo in range(0, rows, ROWS):
         hi = min(lo + ROWS, rows)
         first, last = np.ceil((low - size - top) / step), np.floor((high - top) / step)
@@ -86,8 +94,9 @@ def touched_spans(rings: list[np.ndarray], left: float, top: float, step: float,
             at = lambda y: np.where(y1 == y0, 0.0, np.clip((y - y0) / (y1 - y0), 0, 1))
             t0, t1 = at(top + j * step), np.where(y1 == y0, 1.0, at(top + j * step + size))
         a, b = x0 + t0 * (x1 - x0), x0 + t1 * (x1 - x0)
-        k, c0, c1 = _cut_by_lines(edges, top + size, step, lo, hi)
-        row, x0, x1 = np.r_[j, k], np.r_[np.minimum(a, b), c0], np.r_[np.maximum(a, b), c1]
+        k, c0, c1 = _cut_by_lines(edges, top + size, step, lo, hi, base)
+        row, x0, x1 = np.r_[base[i] + j, k], np.r_[np.minimum(a, b), c0], np.r_[np.maximum(a, b), c1]
         first, last = np.ceil((x0 - size - left) / step).astype(np.int64), np.floor((x1 - left) / step).astype(np.int64)
-        out.append(np.stack(joined(row, np.maximum(first, 0), np.minimum(last, cols - 1)), 1))
+        row, first, last = joined(row, np.maximum(first, 0), np.minimum(last, cols - 1))
+        out.append(np.stack([row // rows, row % rows, first, last], 1))
     return np.concatenate(out)

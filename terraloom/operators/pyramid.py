@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as g
-from terraloom.functions.spans import touched_spans
+from terraloom.functions.geometry import slices
+from terraloom.functions.spans import ROWS, edges_of, touched_by_many
 
 #: What is added around the view, and around a tile when it looks for shapes, as shares of a tile.
 VIEW_PAD, QUERY_PAD = 0.25, 0.35
@@ -77,11 +78,11 @@ def candidate_spans(shapes: DataFrame, view: View, key: str = "id") -> DataFrame
     margin, reach = view.core * view.overlap, view.size * QUERY_PAD
     side = view.size + 2 * reach
     kind = shapes.schema[key].dataType.simpleString()
-    fields = ["n", "z", "ty", "tx_first", "tx_last", "depth"]
+    fields = ["z", "ty", "tx_first", "tx_last", "depth"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, found = batch.column(0), []
+            keys, shapes, numbers = batch.column(0), [], []
             for i, data in enumerate(batch.column(1).to_pylist()):
                 try:
                     shape = g.from_wkb(data) if data is not None else None
@@ -89,19 +90,30 @@ def candidate_spans(shapes: DataFrame, view: View, key: str = "id") -> DataFrame
                     shape = None
                 if shape is None or not shape[0].endswith("Polygon") or g.is_empty(shape):
                     continue
-                depth = float(sum(g.centroid(shape)))
-                for z in range(view.zooms[0], view.zooms[1] + 1):
-                    left, top, columns, rows = view.level(z)
-                    s = view.scale * 2.0**z
-                    # Each polygon by itself: parts of one shape may lie over each other.
-                    for polygon in shape[1]:
-                        rings = [np.column_stack([(r[:, 0] - r[:, 1]) * s, (r[:, 0] + r[:, 1]) * (s * 0.5)]) for r in polygon]
-                        spans = touched_spans(rings, left - margin - reach, top - margin - reach, view.core, side, columns, rows)
-                        n = len(spans)
-                        found.append(np.column_stack([np.full(n, i), np.full(n, z), spans, np.full(n, depth)]))
-            rows = np.concatenate(found) if found else np.empty((0, 6))
-            whole = {name: pa.array(rows[:, c].astype(np.int32)) for c, name in enumerate(fields[:5])}
-            yield pa.RecordBatch.from_arrays([keys.take(whole["n"]), *[whole[f] for f in fields[1:5]], pa.array(rows[:, 5])], names=["key", *fields[1:]])
+                shapes.append(shape)
+                numbers.append(i)
+            depth = g.centroids(shapes).sum(1) if shapes else np.empty(0)
+            # Each polygon by itself: parts of one shape may lie over each other.
+            whose, polygons = [], []
+            for n, shape in enumerate(shapes):
+                for polygon in shape[1]:
+                    edges = edges_of(polygon)
+                    if len(edges):
+                        whose.append(n)
+                        polygons.append(edges)
+            whose, numbers = np.array(whose, np.int64), np.array(numbers, np.int64)
+            for z in range(view.zooms[0], view.zooms[1] + 1):
+                left, top, columns, rows = view.level(z)
+                s = view.scale * 2.0**z
+                seen = [np.column_stack([(e[:, 0] - e[:, 1]) * s, (e[:, 0] + e[:, 1]) * (s * 0.5), (e[:, 2] - e[:, 3]) * s, (e[:, 2] + e[:, 3]) * (s * 0.5)]) for e in polygons]
+                # As many at once as have a bounded number of edges times rows.
+                work = np.array([len(e) * min(1 + (np.ptp(e[:, 1::2]) + side) / view.core, ROWS) for e in seen])
+                for lo, hi in slices(work):
+                    owner = np.repeat(np.arange(lo, hi), [len(e) for e in seen[lo:hi]])
+                    spans = touched_by_many(np.concatenate(seen[lo:hi]), owner, left - margin - reach, top - margin - reach, view.core, side, columns, rows)
+                    shape = whose[spans[:, 0]]
+                    whole = [pa.array(c.astype(np.int32)) for c in (np.full(len(spans), z), *spans[:, 1:].T)]
+                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(numbers[shape])), *whole, pa.array(depth[shape])], names=["key", *fields])
 
     found = shapes.select(F.col(key).alias("key"), "geometry").mapInArrow(run, f"key {kind}, z int, ty int, tx_first int, tx_last int, depth double")
     return found.withColumnRenamed("key", key)

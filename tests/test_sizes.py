@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from terraloom.functions import geometry as g
+from terraloom.functions import spans
 from terraloom.operators import ingest
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -130,3 +131,14 @@ def test_single_rings_meet_in_arrays_as_one_by_one():
     assert np.allclose(g.st_area.func(wkb(one)), [g.area(s) for s in one])
     nulls = g.st_meet.func(pd.Series([None, b"?", g.to_wkb(one[1])], dtype=object), wkb([one[1]] * 3))
     assert nulls.isna().tolist() == [True, True, False] and nulls[2]
+
+
+def test_centroids_and_spans_of_many_shapes_are_those_of_each():
+    rng = np.random.default_rng(8)
+    ring = lambda: (lambda r: np.concatenate([r, r[:1]]))(rng.uniform(0, 50, (5, 2)) + rng.uniform(0, 60, 2))
+    shapes = [("MultiPolygon", [[ring(), ring()], [ring()]]) for _ in range(50)]
+    assert np.allclose(g.centroids(shapes), [g.centroid(s) for s in shapes])
+    edges = [spans.edges_of(s[1][0]) for s in shapes]
+    many = spans.touched_by_many(np.concatenate(edges), np.repeat(np.arange(50), [len(e) for e in edges]), -3.0, -2.0, 5.7, 8.0, 20, 19)
+    for i, s in enumerate(shapes):
+        assert many[many[:, 0] == i, 1:].tolist() == spans.touched_spans(s[1][0], -3.0, -2.0, 5.7, 8.0, 20, 19).tolist()
