@@ -11,6 +11,7 @@ each, just before the grid is joined.
 from __future__ import annotations
 
 import math
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,13 +26,17 @@ from terraloom.functions.spans import repeated
 LARGE, DEEP, BLOCK, WHOLE = 1000, 4, 5, 8
 #: Rows and bytes of shapes handed on at once.
 ROWS, BYTES = 20_000, 8 << 20
-#: ``area`` is what lies inside in each cell of the quadrant; ``wkb`` is the piece of a quadrant that isn't finished. Then the grid's first and last cells.
-PIECES = "level int, qx long, qy long, area double, wkb binary, ix0 long, iy0 long, ix1 long, iy1 long"
+#: Cells of the rings of blocks that are found together; a corner counts as 16.
+AT_ONCE = 1 << 18
+#: ``area`` is what lies inside in each cell of the quadrant; ``wkb`` is the piece of a quadrant that isn't finished. Then the grid's first and last cells, and how many shapes the piece stands for.
+PIECES = "level int, qx long, qy long, area double, wkb binary, ix0 long, iy0 long, ix1 long, iy1 long, copies long"
 Rings = list[tuple[int, np.ndarray]]
 Box = tuple[float, float, float, float]
 Grid = tuple[int, int, int, int]
-#: Arrays of level, qx, qy and area, or one level, qx, qy and the bytes of a piece.
+#: Arrays of level, qx, qy and area, or one level, qx, qy and the bytes of a piece or the rings within a block.
 Found = tuple
+#: Rings within a block, its qx and qy, the grid, and how many shapes they stand for.
+Piece = tuple[Rings, int, int, Grid, int]
 
 
 def _rings(shape: g.Geometry) -> Rings:
@@ -86,14 +91,18 @@ def _started(rings: Rings, size: float, grid: Grid) -> list[tuple[Rings, int, in
     return out
 
 
-def _wound(ring: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """What a ring winds around in each of n x n unit cells (x, y), and which of them an edge passes; the ring lies within them.
+def _wound(rings: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """What each ring winds around in each of n x n unit cells (ring, x, y), and which of them an edge passes; the rings lie within them.
 
     An edge counts its height for all cells to its left, and the part to its left in its own cell. Edges between cells pass none.
     """
-    start, step = ring, np.roll(ring, -1, axis=0) - ring
+    size = np.array([len(ring) for ring in rings], np.int64)
+    owner, last = np.repeat(np.arange(len(rings)), size), np.cumsum(size) - 1
+    start, after = np.concatenate(rings), np.arange(1, size.sum() + 1)
+    after[last] = last - size + 1
+    step = start[after] - start
     between = ((step == 0) & (start == np.floor(start))).any(axis=1)
-    each, at = [np.arange(len(ring))] * 2, [np.zeros(len(ring)), np.ones(len(ring))]
+    each, at = [np.arange(len(start))] * 2, [np.zeros(len(start)), np.ones(len(start))]
     for axis in (0, 1):
         one, other = start[:, axis], start[:, axis] + step[:, axis]
         i, line = repeated(np.floor(np.minimum(one, other)).astype(np.int64) + 1, np.ceil(np.maximum(one, other)).astype(np.int64) - 1)
@@ -107,43 +116,59 @@ def _wound(ring: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     x, y = (start[edge] + middle[:, None] * step[edge]).T
     height = part * step[edge, 1]
     column, row = (np.clip(np.floor(c), 0, n - 1).astype(np.int64) for c in (x, y))
-    cell = column * n + row
-    own = np.bincount(cell, height * (x - column), n * n).reshape(n, n)
-    whole = np.bincount(cell, height, n * n).reshape(n, n)
-    left = np.cumsum(whole[::-1], axis=0)[::-1] - whole
-    return np.abs(own + left), np.bincount(cell[~between[edge]], minlength=n * n).reshape(n, n) > 0
-
-
-def _block(rings: Rings, level: int, qx: int, qy: int, size: float, grid: Grid) -> Iterator[Found]:
-    """The cells of a block that hold some of a shape; four of the same in a square that no edge passes go on as one, and so on."""
-    n, (x0, y0) = 1 << level, (qx << level, qy << level)
-    total, passed = np.zeros((n, n)), np.zeros((n, n), bool)
-    for sign, ring in rings:
-        at = ring / size - (x0, y0)
-        line = np.round(at)
-        at = np.where(ring == (line + (x0, y0)) * size, line, at)  # where the quadrants cut it, exactly on the line
-        wound, by = _wound(np.clip(at, 0, n), n)
-        total += sign * wound
-        passed |= by
+    cell, shape = (owner[edge] * n + column) * n + row, (len(rings), n, n)
+    own = np.bincount(cell, height * (x - column), len(rings) * n * n).reshape(shape)
+    whole = np.bincount(cell, height, len(rings) * n * n).reshape(shape)
+    left = np.cumsum(whole[:, ::-1], axis=1)[:, ::-1] - whole
+    return np.abs(own + left), np.bincount(cell[~between[edge]], minlength=len(rings) * n * n).reshape(shape) > 0
+
+
+def _blocks(pieces: list[Piece], level: int, size: float) -> Iterator[Found]:
+    """The cells of blocks of one level that hold some of the pieces, those of the same block added up; four of the same in a square that no edge passes go on as one, and so on."""
+    n = 1 << level
+    at, of, signs = [], [], []
+    for k, (rings, qx, qy, _, _) in enumerate(pieces):
+        corner = (qx << level, qy << level)
+        for sign, ring in rings:
+            inside = ring / size - corner
+            line = np.round(inside)
+            inside = np.where(ring == (line + corner) * size, line, inside)  # where the quadrants cut it, exactly on the line
+            at.append(np.clip(inside, 0, n))
+            of.append(k)
+            signs.append(sign)
+    wound, by = _wound(at, n)
+    total, passed = np.zeros((len(pieces), n, n)), np.zeros((len(pieces), n, n), bool)
+    np.add.at(total, of, np.array(signs)[:, None, None] * wound)
+    np.logical_or.at(passed, of, by)
     total = np.where(passed, total, np.round(total)).clip(0)
-    total[: max(grid[0] - x0, 0)] = total[:, : max(grid[1] - y0, 0)] = total[max(grid[2] + 1 - x0, 0) :] = total[:, max(grid[3] + 1 - y0, 0) :] = 0
+    for k, (_, qx, qy, grid, copies) in enumerate(pieces):
+        x0, y0 = qx << level, qy << level
+        total[k] *= copies
+        total[k, : max(grid[0] - x0, 0)] = total[k, :, : max(grid[1] - y0, 0)] = total[k, max(grid[2] + 1 - x0, 0) :] = total[k, :, max(grid[3] + 1 - y0, 0) :] = 0
+    places, block = np.unique(np.array([p[1:3] for p in pieces], np.int64), axis=0, return_inverse=True)
+    (qx, qy), block = places.T, block.ravel()
+    summed, met = np.zeros((len(qx), n, n)), np.zeros((len(qx), n, n), bool)
+    np.add.at(summed, block, total)
+    np.logical_or.at(met, block, passed)
+    total, passed = summed, met
     for up in range(level + 1):
-        if up < level:
-            four = total.reshape(len(total) // 2, 2, -1, 2).transpose(0, 2, 1, 3).reshape(len(total) // 2, -1, 4)
-            joined = (four == four[:, :, :1]).all(axis=2) & ~passed.reshape(len(total) // 2, 2, -1, 2).any(axis=(1, 3))
-        else:
-            joined = np.zeros((0, 0), bool)
-        alone = total * ~np.kron(joined, np.ones((2, 2), bool)).astype(bool) if up < level else total
-        i, j = np.nonzero(alone)
-        if len(i):
-            yield np.full(len(i), up), i + (x0 >> up), j + (y0 >> up), alone[i, j] * size * size
+        m = n >> (up + 1)
+        joined = np.zeros((len(qx), m, m), bool)
+        alone = total
+        if m:
+            four = total.reshape(-1, m, 2, m, 2).transpose(0, 1, 3, 2, 4).reshape(-1, m, m, 4)
+            joined = (four == four[..., :1]).all(axis=3) & ~passed.reshape(-1, m, 2, m, 2).any(axis=(2, 4))
+            alone = total * ~joined.repeat(2, axis=1).repeat(2, axis=2)
+        k, i, j = np.nonzero(alone)
+        if len(k):
+            yield np.full(len(k), up), i + (qx[k] << (level - up)), j + (qy[k] << (level - up)), alone[k, i, j] * size * size
         if not joined.any():
             return
-        total, passed = np.where(joined, four[:, :, 0], 0), ~joined
+        total, passed = np.where(joined, four[..., 0], 0), ~joined
 
 
 def _finished(todo: list[tuple[Rings, int, int, int]], size: float, grid: Grid, stop: int = -1) -> Iterator[Found]:
-    """Cells and covered quadrants; pieces from level ``stop`` on that are wider than a block are handed on as they are."""
+    """Covered quadrants, and the rings within blocks; pieces from level ``stop`` on that are wider than a block are handed on as they are."""
     while todo:
         rings, level, qx, qy = todo.pop()
         first, last = (qx << level, qy << level), (((qx + 1) << level) - 1, ((qy + 1) << level) - 1)
@@ -151,7 +176,7 @@ def _finished(todo: list[tuple[Rings, int, int, int]], size: float, grid: Grid,
             continue
         box = _box(level, qx, qy, size)
         if level <= BLOCK:
-            yield from _block(rings, level, qx, qy, size, grid)
+            yield level, qx, qy, rings
             continue
         if not any(_open_inside(ring, box) for _, ring in rings):
             square = (box[2] - box[0]) * (box[3] - box[1])
@@ -169,7 +194,7 @@ def _finished(todo: list[tuple[Rings, int, int, int]], size: float, grid: Grid,
                 todo.append((quarter, level - 1, 2 * qx + i, 2 * qy + j))
 
 
-def _batches(found: Iterator[tuple[Found, Grid]]) -> Iterator[pd.DataFrame]:
+def _batches(found: Iterator[tuple[Found, Grid, int]], cell: float) -> Iterator[pd.DataFrame]:
     names = [c.split()[0] for c in PIECES.split(", ")]
 
     def frame(closed: list[Found], opened: list[tuple]) -> pd.DataFrame:
@@ -179,33 +204,46 @@ def _batches(found: Iterator[tuple[Found, Grid]]) -> Iterator[pd.DataFrame]:
         return out.astype({c: "Int64" for c in names if c not in ("area", "wkb")}).assign(wkb=out.wkb.astype(object).where(out.wkb.notna(), None))
 
     closed, opened, rows, size = [], [], 0, 0
-    for found_one, grid in found:
-        if isinstance(found_one[3], bytes):
+    waiting, work = defaultdict(list), Counter()
+    for found_one, grid, copies in found:
+        if isinstance(found_one[3], list):
+            level, qx, qy, rings = found_one
+            waiting[level].append((rings, qx, qy, grid, copies))
+            work[level] += sum(max(1 << (2 * level), 16 * len(ring)) for _, ring in rings)
+            if work[level] < AT_ONCE:
+                continue
+            made = list(_blocks(waiting.pop(level), level, cell))
+            closed += made
+            rows += sum(len(m[0]) for m in made)
+            del work[level]
+        elif isinstance(found_one[3], bytes):
             level, qx, qy, data = found_one
-            opened.append((level, qx, qy, None, data, *grid))
+            opened.append((level, qx, qy, None, data, *grid, copies))
             size += len(data)
             rows += 1
         else:
-            closed.append(found_one)
+            closed.append((*found_one[:3], found_one[3] * copies))
             rows += len(found_one[0])
         if rows >= ROWS or size >= BYTES:
             yield frame(closed, opened)
             closed, opened, rows, size = [], [], 0, 0
-    if rows:
+    for level, pieces in waiting.items():
+        closed += _blocks(pieces, level, cell)
+    if closed or opened:
         yield frame(closed, opened)
 
 
 def cut_to_quadrants(shapes: DataFrame, cells: DataFrame, size: float) -> DataFrame:
-    """level, qx, qy, area: the cells and covered quadrants of the polygons in ``wkb`` (grid coordinates) on the grid of ``cells`` (ix, iy), a row for each shape.
+    """level, qx, qy, area: the cells and covered quadrants of the polygons in ``wkb`` (grid coordinates) on the grid of ``cells`` (ix, iy); what shapes hold of the same block is added up where they are cut together.
 
-    Nulls, bytes that can't be read, other kinds of shapes and shapes with a coordinate that isn't finite count as nothing, as
+    A column ``copies`` of ``shapes`` says how many equal shapes a row stands for; their areas are added up. Nulls, bytes that can't be read, other kinds of shapes and shapes with a coordinate that isn't finite count as nothing, as
     do shapes beside the grid; without cells there are no rows. Shapes that overlap count each.
     """
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def found() -> Iterator[tuple[Found, Grid]]:
+        def found() -> Iterator[tuple[Found, Grid, int]]:
             for batch in batches:
-                for data, *grid in batch[["wkb", "ix0", "iy0", "ix1", "iy1"]].itertuples(index=False):
+                for data, copies, *grid in batch[["wkb", "copies", "ix0", "iy0", "ix1", "iy1"]].itertuples(index=False):
                     if data is None or pd.isna(grid[0]):
                         continue
                     try:
@@ -216,23 +254,24 @@ def cut_to_quadrants(shapes: DataFrame, cells: DataFrame, size: float) -> DataFr
                     begun = _started(rings, size, grid) if rings else []
                     deep = DEEP if sum(len(ring) for _, ring in rings) > LARGE else 0
                     for one in _finished(begun, size, grid, max(begun[0][1] - deep, BLOCK + 1) if begun else -1):
-                        yield one, grid
+                        yield one, grid, int(copies)
 
-        yield from _batches(found())
+        yield from _batches(found(), size)
 
     def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def found(batch: pd.DataFrame) -> Iterator[tuple[Found, Grid]]:
-            for level, qx, qy, data, *grid in batch.drop(columns="area").itertuples(index=False):
+        def found(batch: pd.DataFrame) -> Iterator[tuple[Found, Grid, int]]:
+            for level, qx, qy, data, *grid, copies in batch.drop(columns="area").itertuples(index=False):
                 grid = tuple(map(int, grid))
                 for one in _finished([(_rings(g.from_wkb(data)), int(level), int(qx), int(qy))], size, grid):
-                    yield one, grid
+                    yield one, grid, int(copies)
 
         for batch in batches:
             yield batch[batch.wkb.isna()]
-            yield from _batches(found(batch[batch.wkb.notna()]))
+            yield from _batches(found(batch[batch.wkb.notna()]), size)
 
     ends = cells.agg(*[f(c).cast("long").alias(f"{c}{n}") for n, f in ((0, F.min), (1, F.max)) for c in ("ix", "iy")])
-    begun = shapes.select("wkb").crossJoin(F.broadcast(ends)).mapInPandas(first, PIECES)  # one row beside each
+    copies = F.col("copies") if "copies" in shapes.columns else F.lit(1)
+    begun = shapes.select("wkb", copies.cast("long").alias("copies")).crossJoin(F.broadcast(ends)).mapInPandas(first, PIECES)  # one row beside each
     # A stated number, as pieces are few bytes and much work: by their size they would be put together in one task.
     tasks = int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = begun.repartition(tasks, "level", "qx", "qy", F.xxhash64("wkb"))
@@ -240,7 +279,7 @@ def cut_to_quadrants(shapes: DataFrame, cells: DataFrame, size: float) -> DataFr
 
 
 def area_by_cell(shapes: DataFrame, cells: DataFrame, size: float) -> DataFrame:
-    """ix, iy and the area of the polygons in ``wkb`` within that cell, for cells where there is some; overlaps count each."""
+    """ix, iy and the area of the polygons in ``wkb`` (as often as ``copies`` says, where there is that column) within that cell, for cells where there is some; overlaps count each."""
     wide = F.expr(f"greatest(level - {WHOLE}, 0)")
     parts = cut_to_quadrants(shapes, cells, size).withColumn("wide", wide)
     span = lambda q, by: F.explode(F.expr(f"sequence(shiftleft({q}, {by}), shiftleft({q} + 1, {by}) - 1)"))

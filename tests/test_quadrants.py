@@ -84,3 +84,28 @@ def test_one_plan_without_range_joins(spark, capsys):
     plan = capsys.readouterr().out
     assert plan.count("BroadcastNestedLoopJoin") == 1  # the one row of the grid's ends
     assert not re.search(r"Exchange hashpartitioning\(cell_id", plan)
+
+
+def test_equal_shapes_are_cut_once(spark, monkeypatch):
+    shapes = [("Polygon", [[box(3, 3, 57, 41)]])] * 9 + [("Polygon", [[box(20, 20, 90, 90), box(30, 30, 40, 40)]])]
+    df, cells = tables(spark, shapes, (0, 0, 100, 100), 10)
+    once, _ = tables(spark, shapes[8:], (0, 0, 100, 100), 10)
+    weighed = once.distinct().withColumn("copies", F.when(F.length("wkb") < 120, 9).otherwise(1))
+    assert by_cell(weighed, cells, 10) == {k: pytest.approx(v) for k, v in by_cell(df, cells, 10).items()}
+    cut, read = [], ingest.area_by_cell
+    monkeypatch.setattr(ingest, "area_by_cell", lambda flat, *more: cut.append(flat.count()) or read(flat, *more))
+    shares = ingest.green_coverage(cells, df.select(F.col("wkb").alias("geometry")), 10, 32642, 32642)
+    assert cut == [2] and shares.agg(F.sum("green_area_m2")).first()[0] == pytest.approx(9 * 54 * 38 + 70 * 70 - 100)
+
+
+def test_blocks_of_many_shapes_at_once(spark):
+    """Pieces of one block are added up, holes and shapes that cross the block's side included."""
+    shapes = [("Polygon", [[box(x, x, x + 30, x + 17), box(x + 4, x + 4, x + 9, x + 9)]]) for x in range(-20, 60, 7)]
+    df, cells = tables(spark, shapes, (-30, -30, 120, 120), 10)
+    want = {}
+    for ix, iy in {(r.ix, r.iy) for r in cells.collect()}:
+        want[ix, iy] = sum(g.area_within(s, (ix * 10, iy * 10, ix * 10 + 10, iy * 10 + 10)) for s in shapes)
+    got = by_cell(df, cells, 10)
+    assert {k: pytest.approx(v, abs=1e-7) for k, v in want.items()} == {k: got.get(k, 0.0) for k in want}
+    found = list(quadrants._blocks([(quadrants._rings(s), 0, 0, (-3, -3, 12, 12), 1) for s in shapes[3:6]], 5, 10))
+    assert sum(len(f[0]) for f in found) == len({(lv, x, y) for f in found for lv, x, y in zip(*f[:3], strict=True)})
