@@ -485,7 +485,8 @@ def _feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = F.when(F.col("c_custkey") % 10 == 0, ring((0, 0), (1, 1), (1, 0), (0, 1), (0, 0))).otherwise(ring((0, 0), (1, 0), (1, 1), (0, 1), (0, 0)))
     node = F.when(F.col("c_custkey") % 7 == 0, F.lit("null")).otherwise(F.concat(F.lit('{"type":"Polygon","coordinates":'), shape, F.lit("}")))
     line = F.concat(F.lit('{"type":"Feature","properties":{"@type":"way","@id":'), F.col("c_custkey").cast("string"), F.lit(',"building":"'), F.col("c_mktsegment"), F.lit('","height":"'), (F.col("c_custkey") % 30).cast("string"), F.lit(' m"},"geometry":'), node, F.lit("}"))
-    return table(spark, sf_dir, "customer").select(line.alias("line"))
+    # Dealt before the lines are written, which takes longer than to read the rows.
+    return ingest.dealt(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")).select(line.alias("line"))
 
 
 @query("""SELECT 'way/' || CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS class, CAST(c_custkey % 30 AS DOUBLE) AS height_m, CASE WHEN c_custkey % 10 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
@@ -520,8 +521,8 @@ def isometric_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT count(*) FILTER (a >= 500) AS kept, count(*) FILTER (a < 500) AS dropped_small FROM (SELECT (c_custkey % 50 + 1) * (c_custkey % 50 + 1) / CASE WHEN c_custkey % 10 = 0 THEN 2.0 ELSE 1.0 END AS a FROM customer WHERE c_custkey % 7 <> 0)")
 def large_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The squares, taken as lying on the web map, of at least 500 square metres, and how many are smaller."""
-    kept, dropped = ingest.large_enough(ingest.ingest(_feature_lines(spark, sf_dir), "buildings")[0], 500, 3857)
-    return kept.agg(F.count("*").alias("kept")).crossJoin(F.broadcast(dropped))  # one row beside one row
+    sized = ingest.with_fits(ingest.ingest(_feature_lines(spark, sf_dir), "buildings")[0], 500, 3857)
+    return sized.agg(F.count_if("fits").alias("kept"), F.count_if(~F.col("fits")).alias("dropped_small"))  # both in one reading
 
 
 # --- scenes: orders as scenes of their customers' places -------------------------------------------------------------

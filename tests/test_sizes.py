@@ -142,3 +142,28 @@ def test_centroids_and_spans_of_many_shapes_are_those_of_each():
     many = spans.touched_by_many(np.concatenate(edges), np.repeat(np.arange(50), [len(e) for e in edges]), -3.0, -2.0, 5.7, 8.0, 20, 19)
     for i, s in enumerate(shapes):
         assert many[many[:, 0] == i, 1:].tolist() == spans.touched_spans(s[1][0], -3.0, -2.0, 5.7, 8.0, 20, 19).tolist()
+
+
+def test_customers_lines_are_dealt_before_they_are_written(spark):
+    from terraloom.plans import registry
+
+    lines = registry._feature_lines(spark, "/root/testdata/sf0.001")
+    assert lines.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
+def test_large_footprints_are_read_once(spark, capsys):
+    from terraloom.plans import registry
+
+    found = registry.QUERIES["large_footprints"](spark, "/root/testdata/sf0.001")
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan") == 1 and found.columns == ["kept", "dropped_small"]
+    # Shapes are made once, above the dealing (plans are printed from the top).
+    assert plan.count("shapes(") == 1 and "ArrowEvalPython" not in plan[plan.index("RoundRobin") :]
+
+
+def test_holes_in_convex_shapes_are_known_in_arrays():
+    ring = lambda x0, y0, x1, y1: g.np.array([(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)], float)
+    inners = [ring(2, 2, 3, 3), ring(2, 2, 3, 3)[::-1], ring(0, 2, 3, 3), ring(8, 8, 12, 9), ring(20, 20, 21, 21), ring(-1, -1, 11, 11)]
+    assert g.plainly_within([ring(0, 0, 10, 10)] * 6, inners).tolist() == [True, True, False, False, False, False]
+    assert all(g.is_valid(("Polygon", [[ring(0, 0, 10, 10), inner]])) for inner in inners[:2])
