@@ -10,10 +10,13 @@ import re
 import shutil
 import subprocess
 import sys
+import tracemalloc
 import zlib
 from collections import Counter
+from unittest.mock import MagicMock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -625,6 +628,52 @@ def test_language_model(spark, monkeypatch):
     assert language_model.score(table(spark, {})).count() == 0
 
 
+def test_counting_holds_no_batch_of_words(monkeypatch):
+    """A batch of 1.2 million words is counted block by block: right sums, however often parts are passed on, and no arrays of all its words."""
+
+    class Captured:  # a DataFrame that hands out the function it is given
+        sparkContext = property(lambda self: self)
+        sparkSession = property(lambda self: self)
+        select = where = groupBy = agg = lambda self, *a: self
+        broadcast = lambda self, value: type("Shared", (), {"value": value})
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+    monkeypatch.setattr(language_model, "_rows", lambda docs: docs)
+    monkeypatch.setattr(language_model, "_in_training", lambda c: c)
+    monkeypatch.setattr(language_model, "F", MagicMock())
+    words = np.array(words_of(3000, 4))
+    rng = np.random.default_rng(5)
+    texts = [" ".join(words[rng.integers(0, 3000, 300)]) for _ in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array(texts)], names=["doc_id", "text"])
+    expected = Counter(" ".join(texts).split())
+    list(spaced_words(np.zeros(1, np.uint8), np.array([0, 1])))
+    hashed_words(np.zeros(1, np.uint8), np.zeros(0, int), np.zeros(0, int))  # its tables are made once
+
+    def counted(function, *a) -> tuple[Counter, float]:
+        docs, out = Captured(), Counter()
+        function(docs, *a)
+        tracemalloc.start()
+        for part in docs.run(iter([batch])):
+            for h, c in zip(part.column("h").to_pylist(), part.column("c").to_pylist(), strict=True):
+                out[h] += c
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        return out, peak
+
+    for most in (1 << 20, 5000):
+        monkeypatch.setattr(language_model, "MOST_KEYS", most, raising=False)
+        counts, peak = counted(language_model.token_counts)
+        assert counts.pop(0) == 4000 and sorted(counts.values()) == sorted(expected.values())
+        assert peak < 25
+        known = np.sort(np.array(list(counts), np.int64).view(np.uint64))
+        found, peak = counted(language_model.contexts, language_model.Classes(known, 4))
+        assert found == {h: 2 * c for h, c in counts.items()}
+        assert peak < 35
+
+
 def test_class_model_is_a_distribution(spark, monkeypatch):
     """After any context, the probabilities of all words, one unseen word a shape and the end add up to one."""
     texts = {i: " ".join(words_of(30, i % 7) + words_of(12, 99)) for i in range(30)}
