@@ -8,6 +8,7 @@ import threading
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -321,3 +322,29 @@ def test_bands(spark, context, write_half, harmonise):
     assert {(r.x, r.y, r.row, r.col): (r.a, r.b) for r in got.collect()} == {(x, y, r, c): tuple(map(int, t[r, c])) for (x, y), t in want.items() for r in range(h) for c in range(w)}
     assert bands.repaired(df.where("false"), (w, h), (mx, my), paint, ["a", "b"], context).count() == 0
     assert bands.context_of(5, 90) == 8 and bands.context_of(70, 90) == 64
+
+
+def test_bands_of_many_seams(spark, monkeypatch):
+    """Groups that go on in the next batch are whole, seams are painted by handfuls and one by one, and a null counts as absent."""
+    batches = [pa.RecordBatch.from_pydict({"x": x, "y": y, "v": v}) for x, y, v in (([1, 1, 2], [1, 1, 1], [1, 2, 3]), ([], [], []), ([2], [1], [4]), ([2, 2, 2], [1, 3, 3], [5, 6, 7]), ([3], [3], [8]))]
+    batches[1] = batches[1].cast(batches[0].schema)
+    assert [g["v"].tolist() for g in bands.grouped(iter(batches))] == [[1, 2], [3, 4, 5], [6, 7], [8]]
+    rng = np.random.default_rng(8)
+    w, h, mx, my = 12, 10, 3, 2
+    paint = lambda patch, mask, seed: np.where(mask[:, :, None], 255 - patch, patch)
+    tiles = {(x, y): rng.integers(0, 256, (h, w, 2)) for x in range(9) for y in range(4)}
+    for image in tiles.values():
+        image[4, w - mx - 2] = image[4, mx + 1] = 0  # to be null below
+    rows = [(x, y, r, c, *(int(v) if (r, c) not in ((4, w - mx - 2), (4, mx + 1)) else None for v in t[r, c])) for (x, y), t in tiles.items() for r in range(h) for c in range(w)]
+    df = spark.createDataFrame(rows, "x int, y int, row int, col int, a int, b int")
+    want = plain_bands(tiles, w, h, mx, my, 3, 1, 2, 1, paint)
+    held = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    try:
+        for records, cells in ((7, 1 << 20), (held, 1 << 20), (held, 1)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+            monkeypatch.setattr(bands, "MOST_CELLS", cells, raising=False)
+            got = {(r.x, r.y, r.row, r.col): (r.a, r.b) for r in bands.repaired(df, (w, h), (mx, my), paint, ["a", "b"], 3, 1, 2, 1).collect()}
+            assert len(got) == len(rows)
+            assert all(v == tuple(want[x, y][r, c]) or v == (None, None) and (r, c) in ((4, w - mx - 2), (4, mx + 1)) for (x, y, r, c), v in got.items())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
