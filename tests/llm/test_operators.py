@@ -753,6 +753,18 @@ def test_exchange_raises_the_likelihood():
 # --- media --------------------------------------------------------------------------------------------------------
 
 
+def test_corners_of_small_buckets_stay_off_the_disk(spark, monkeypatch):
+    """Scratch tables hold the pairs that met in small buckets, not their corners, and no table is left in the catalogue."""
+    rng = np.random.default_rng(12)
+    gallery = media.gallery(spark.createDataFrame([(i, rng.normal(size=64).tolist()) for i in range(30)], "vec_id bigint, embedding array<float>"))
+    kept, plainly = [], media.written
+    monkeypatch.setattr(media, "written", lambda df, label: kept.append(plainly(df, label)) or kept[-1])
+    assert media.copies(gallery).where("n_links > 0").count() == 60
+    corners = media.described(gallery).selectExpr("sum(size(tests)) AS n").first().n
+    assert sum(t.where("part IS NOT NULL").count() for t in kept if "part" in t.columns) < corners / 4
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("terraloom")]
+
+
 def test_media_copies(spark):
     rng = np.random.default_rng(8)
     vectors = [(i, [float(x) for x in rng.normal(size=64)]) for i in range(60)]
