@@ -765,6 +765,33 @@ def test_corners_of_small_buckets_stay_off_the_disk(spark, monkeypatch):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("terraloom")]
 
 
+def test_pairs_of_images_that_only_meet_are_not_written(spark, monkeypatch):
+    """Unlike images with a match grow with the square of the images; only linked pairs come to the disk."""
+    rng = np.random.default_rng(21)
+    gallery = media.gallery(spark.createDataFrame([(i, rng.normal(size=64).tolist()) for i in range(60)], "vec_id bigint, embedding array<float>"))
+    kept, plainly = [], media.written
+    monkeypatch.setattr(media, "written", lambda df, label: kept.append(plainly(df, label)) or kept[-1])
+    monkeypatch.setattr(media, "BLOCK", 50)
+    links = media.copies(gallery).agg(F.sum("n_links")).first()[0] // 2
+    assert 50 <= links and sum(t.where("a IS NOT NULL").count() for t in kept if {"a", "b"} <= {*t.columns}) <= links
+
+
+def test_sketches_lose_no_match():
+    """Squared distances of sketches are at most the number of differing tests, so the whole comparison of many images finds what the plain one finds."""
+    rng = np.random.default_rng(22)
+    pictures = np.stack([media.drawn(rng.normal(size=64).astype(np.float32)) for _ in range(12)])
+    who, *places, bits = media.keypoints(pictures)
+    order = np.argsort(who, kind="stable")
+    tests = bits[order].view(np.uint64)
+    block = media.Block(np.arange(12).tobytes(), np.bincount(who.astype(int)).astype(np.int64).tobytes(), np.stack(places)[:, order].astype(np.float32).tobytes(), tests.tobytes())
+    axes = media._axes(tests)
+    left, right = (media.Sketches(block, np.arange(12), axes, side) for side in (True, False))
+    differing = np.bitwise_count(tests[:, None] ^ tests[None]).sum(axis=2, dtype=int)
+    assert (left.vectors @ right.vectors.T <= differing + 0.5).all()
+    i, j = media._near(tests, tests)
+    assert sorted(zip(i, j, strict=True)) == sorted(zip(*np.nonzero(differing <= media.MOST_DIFFERING), strict=True))
+
+
 def test_media_copies(spark):
     rng = np.random.default_rng(8)
     vectors = [(i, [float(x) for x in rng.normal(size=64)]) for i in range(60)]
