@@ -895,3 +895,21 @@ def test_media_recall():
             assert not any(media.are_linked(a, b) for i, a in enumerate(left) for b in right[i + 1 :]), kind
     assert min(linked.values()) >= 36, linked
     assert all(found[k] >= 0.9 * linked[k] for k in linked), found
+
+
+def test_media_pairs_of_blocks_come_one_by_one(spark, monkeypatch):
+    """A block that a task keeps holds its whole batch, so a batch has one pair of blocks; the setting is as before afterwards."""
+    key, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, media.written
+
+    def noted(df, label):
+        seen[label] = spark.conf.get(key)
+        return write(df, label)
+
+    monkeypatch.setattr(media, "written", noted)
+    monkeypatch.setattr(media, "BLOCK", 3)
+    before = spark.conf.get(key)
+    rng = np.random.default_rng(8)
+    vectors = spark.createDataFrame([(i, rng.normal(size=16).astype(float).tolist()) for i in range(4)], "vec_id bigint, embedding array<float>")
+    rows = {r["media_id"]: r for r in media.copies(media.gallery(vectors)).collect()}
+    assert seen["links"] == "1" and seen["nodes"] == before and spark.conf.get(key) == before
+    assert len(rows) == 8
