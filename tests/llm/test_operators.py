@@ -913,3 +913,17 @@ def test_media_pairs_of_blocks_come_one_by_one(spark, monkeypatch):
     rows = {r["media_id"]: r for r in media.copies(media.gallery(vectors)).collect()}
     assert seen["links"] == "1" and seen["nodes"] == before and spark.conf.get(key) == before
     assert len(rows) == 8
+
+
+def test_media_points_that_repeat_count_once():
+    """Of many pairs at once those agree that agree one by one, also where the corners of several scales share a place."""
+    rng = np.random.default_rng(9)
+    sides, sizes = ([], []), []
+    for distinct in (3, 8, 9, 10, 11, 30, 60):
+        for times in (1, 2, 5):
+            places = np.repeat(np.concatenate([rng.uniform(0, 60, (distinct, 2)), np.tile([1.0, 0.5], (distinct, 1))], axis=1), times, axis=0)
+            for side, moved in zip(sides, (places, places + [3, 4, 0, 0]), strict=True):
+                side.append(moved)
+            sizes.append(len(places))
+    a, b = map(np.concatenate, sides)
+    assert media._all_agreeing(a, b, np.array(sizes)) == [k for k in range(len(sizes)) if media._agrees(sides[0][k], sides[1][k])]
